@@ -75,38 +75,45 @@ def gathered(flat_start: np.ndarray, flat_len: np.ndarray, flat: np.ndarray) ->
 
 
 class RunCache:
-    """Arrays of ids by word, bounded by a number of words; emptied when full."""
+    """Arrays of ids by word, at most `limit` words; when full, those not met for longest go."""
 
     def __init__(self, limit: int = 300_000):
-        self.limit, self.number = limit, {}
-        self._clear()
-
-    def _clear(self) -> None:
-        self.number.clear()
-        self.used, self.start, self.length, self.flat = 0, np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int32)
+        self.limit, self.number, self.tick = limit, {}, 0
+        self.used, self.start, self.length, self.last, self.flat = 0, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def _shrink(self) -> None:
+        n = len(self.number)
+        keep = self.last[:n] > np.partition(self.last[:n], n // 2)[n // 2]
+        names = [w for w, k in zip(self.number, keep.tolist()) if k]
+        self.flat = gathered(self.start[:n][keep], self.length[:n][keep], self.flat)
+        self.length, self.last, self.used = self.length[:n][keep], self.last[:n][keep], len(self.flat)
+        self.start = np.cumsum(self.length) - self.length
+        self.number = dict(zip(names, range(len(names))))
 
     def _put(self, new: list[str], runs: list) -> None:
         n, lens = len(self.number), np.fromiter(map(len, runs), np.int64, len(runs))
         total = int(lens.sum())
         if n + len(new) > len(self.start):
-            grow = max(len(self.start) * 2, n + len(new))
-            self.start, self.length = np.resize(self.start, grow), np.resize(self.length, grow)
+            grow = max(len(self.start) * 3 // 2, n + len(new))
+            self.start, self.length, self.last = (np.resize(x, grow) for x in (self.start, self.length, self.last)) if n else np.zeros((3, grow), np.int64)
         if self.used + total > len(self.flat):
-            self.flat = np.resize(self.flat, max(len(self.flat) * 2, self.used + total))
+            self.flat = np.concatenate([self.flat[: self.used], np.zeros(max(self.used // 2, total), np.int32)])
         self.start[n : n + len(new)] = self.used + np.cumsum(lens) - lens
         self.length[n : n + len(new)] = lens
-        if total:
-            self.flat[self.used : self.used + total] = np.concatenate([np.asarray(r, np.int32) for r in runs if len(r)])
+        self.flat[self.used : self.used + total] = np.fromiter((i for r in runs for i in r), np.int32, total)
         self.used += total
         self.number.update(zip(new, range(n, n + len(new))))
 
     def runs(self, distinct: list[str], code: np.ndarray, start: np.ndarray, make) -> tuple[np.ndarray, np.ndarray]:
         """(start of each text's ids and the end, ids); make: lists of ids of words that are new."""
-        if len(self.number) + len(distinct) > self.limit or self.used > 16 * self.limit:
-            self._clear()
+        if self.number and (len(self.number) + len(distinct) > self.limit or self.used > 16 * self.limit):
+            self._shrink()
         if new := [w for w in distinct if w not in self.number]:
             self._put(new, make(new))
-        at = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))[code]
+        own = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
+        self.tick += 1
+        self.last[own] = self.tick
+        at = own[code]
         lens = self.length[at]
         return np.concatenate([[0], np.cumsum(lens)])[start], gathered(self.start[at], lens, self.flat)
 

@@ -38,9 +38,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.batches import arrow_map, remainder, table, text_slices, words
-from sluice.llm.scratch import dropped, new_path
+from sluice.llm.scratch import dropped, new_path, settled
 
-K, RESERVE, BLOCK_TOKENS = 5, 0.01, 2_000_000
+K, RESERVE, BLOCK_TOKENS = 5, 0.01, 4_000_000
 BEGIN, END = 0, 1
 #: Hashes of the marks; no word is the empty string, and none holds a space.
 _MARKS = [xxhash.xxh3_64_intdigest(" begin"), xxhash.xxh3_64_intdigest(" end")]
@@ -108,15 +108,25 @@ class _Block:
         self.held.append(held)
         self.n += len(flat)
 
-    def hashes(self) -> np.ndarray:
+    def numbered(self) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes of the words and marks, in order; tokens as numbers in that order)."""
         h = np.fromiter(map(xxhash.xxh3_64_intdigest, self.names), np.uint64, len(self.names))
-        return np.concatenate([np.array(_MARKS, np.uint64), h])
+        h = np.concatenate([np.array(_MARKS, np.uint64), h])
+        order = np.argsort(h)
+        rank = np.empty(len(h), np.int32)
+        rank[order] = np.arange(len(h), dtype=np.int32)
+        return h[order], rank[np.concatenate(self.tokens)]
 
 
-def _pairs(tokens: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct pairs as h * width + w, number of each scored token's pair, positions of scored tokens)."""
-    at = np.flatnonzero(tokens != BEGIN)
-    distinct, number = np.unique(tokens[at - 1].astype(np.int64) * width + tokens[at], return_inverse=True)
+def _begin(hashes: np.ndarray) -> int:
+    """The number of the begin mark."""
+    return int(np.searchsorted(hashes, np.uint64(_MARKS[BEGIN])))
+
+
+def _pairs(tokens: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct pairs as h * number of words + w, number of each scored token's pair, positions of scored tokens)."""
+    at = np.flatnonzero(tokens != _begin(hashes))
+    distinct, number = np.unique(tokens[at - 1].astype(np.int64) * len(hashes) + tokens[at], return_inverse=True)
     return distinct, number.astype(np.int32), at
 
 
@@ -129,14 +139,14 @@ def _asking(parts: int, most_tokens: int):
         def flush():
             nonlocal count, block
             number = (task << 24) + count
-            hashes, tokens = block.hashes(), np.concatenate(block.tokens)
+            hashes, tokens = block.numbered()
             lens, held = np.concatenate(block.lens), np.concatenate(block.held)
             learnt = np.repeat(~held, lens + 1)
             single = np.bincount(tokens[learnt], minlength=len(hashes))
-            pairs, of, at = _pairs(tokens, len(hashes))
+            pairs, of, at = _pairs(tokens, hashes)
             double = np.bincount(of[learnt[at]], minlength=len(pairs))
             ids = np.array([0 if x is None else x for x in block.ids], np.int64)
-            rows = [("text", number, 0, _pack(ids, np.array([x is None for x in block.ids], np.uint8), held.view(np.uint8), _small(lens), _small(tokens), hashes))]
+            rows = [("text", number, 0, _pack(ids, np.array([x is None for x in block.ids], np.uint8), held.view(np.uint8), _small(lens), _small(tokens)))]
             for kind, keys, n in (("1", hashes, single), ("2", _mixed(hashes[pairs // len(hashes)], hashes[pairs % len(hashes)]), double)):
                 order = np.argsort(keys)
                 keys, n = keys[order], n[order]
@@ -231,11 +241,10 @@ def _first_round(one: list[int], two: list[int], parts: int):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         """A block with its counts: shares of back-off weights, and all of its scores but these weights."""
         block = key[0].as_py()
-        ids, null, held, lens, tokens, hashes = _ordered(rows, "text")[0]
-        order = np.argsort(hashes)
-        count1 = np.zeros(len(hashes), np.int64)
-        count1[order] = np.concatenate([x[0] for x in _ordered(rows, "answers1")])
-        pairs, of, at = _pairs(tokens, len(hashes))
+        ids, null, held, lens, tokens = _ordered(rows, "text")[0]
+        hashes = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in _ordered(rows, "1")])
+        count1 = np.concatenate([x[0] for x in _ordered(rows, "answers1")]).astype(np.int64)
+        pairs, of, at = _pairs(tokens, hashes)
         h, w = pairs // len(hashes), pairs % len(hashes)
         order2 = np.argsort(_mixed(hashes[h], hashes[w]))
         answers = _ordered(rows, "answers2")
@@ -245,16 +254,16 @@ def _first_round(one: list[int], two: list[int], parts: int):
         p1 = single(count1)
         d = d2[np.minimum(count2, K)] * (count2 <= K) + (count2 > K)
         p2 = d * count2 / (count1[h] + RESERVE)
-        seen = np.bincount(h[mine], p2[mine], len(hashes))[order]
-        low = np.bincount(h[mine], p1[w[mine]], len(hashes))[order]
-        cut = _cuts(hashes[order], parts)
+        seen = np.bincount(h[mine], p2[mine], len(hashes))
+        low = np.bincount(h[mine], p1[w[mine]], len(hashes))
+        cut = _cuts(hashes, parts)
         out = [("shares", block, p, _pack(seen[a:b], low[a:b])) for p, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
         doc = np.repeat(np.arange(len(lens)), lens)
         log = np.log10(np.where(count2 > 0, p2, p1[w]))[of]
         word = tokens[at]
         total = lambda x: np.bincount(doc, x, len(lens))
         open_ = (count2[of] == 0) & (count1[tokens[at - 1]] > 0)
-        out.append(("docs", block, 0, _pack(ids, null, held, _small(lens), total(count1[word] > 0), total(single.base(count1)[word]), total(log), _small(doc[open_]), _small(tokens[at - 1][open_]), hashes)))
+        out.append(("docs", block, 0, _pack(ids, null, held, _small(lens), total(count1[word] > 0), total(single.base(count1)[word]), total(log), _small(doc[open_]), _small(tokens[at - 1][open_]))))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _MESSAGE)], schema=_MESSAGE)
 
     return run
@@ -279,9 +288,8 @@ def _second_round(n: int):
     kind = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        ids, null, held, lens, known, base, score, doc, word, hashes = _ordered(rows, "docs")[0]
-        log = np.zeros(len(hashes))
-        log[np.argsort(hashes)] = np.concatenate([x[0] for x in _ordered(rows, "weights")])
+        ids, null, held, lens, known, base, score, doc, word = _ordered(rows, "docs")[0]
+        log = np.concatenate([x[0] for x in _ordered(rows, "weights")])
         score = score + np.bincount(doc, log[word], len(lens))
         held = held.astype(bool) & (null == 0)
         return pa.Table.from_arrays([pa.array(ids, mask=null.astype(bool)), pa.array(held), pa.array(lens.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(np.full(len(lens), n)), pa.array(base), pa.array(score)], schema=kind)
@@ -308,9 +316,11 @@ def scored(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, parts: int | None
         stats[row[0]] = list(row[1:])
     one, two = (stats.get(k, [0] * (K + 3)) for k in ("stats1", "stats2"))
     dropped(spark, f"{asked}/kind=2")
+    settled(spark)
     columns = ["kind", "block", "part", "body"]
-    first = ask("text").unionByName(count.filter(F.col("kind").isin("answers1", "answers2")).select(*columns))
+    first = ask("text", "1").unionByName(count.filter(F.col("kind").isin("answers1", "answers2")).select(*columns))
     write(first.groupBy("block").applyInArrow(_first_round(one, two, parts), MESSAGE), shares)
+    settled(spark)
     share = spark.read.schema(MESSAGE).parquet(shares)
     weights = ask("1").unionByName(share.filter("kind = 'shares'")).groupBy("part").applyInArrow(_weights, MESSAGE)
     return share.filter("kind = 'docs'").unionByName(weights).groupBy("block").applyInArrow(_second_round(one[0]), SCORES)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -37,3 +38,9 @@ def dropped(spark: SparkSession, path: str) -> None:
     """Deletes a table of the shared folder that nothing reads any more."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def settled(spark: SparkSession) -> None:
+    """Has Spark free the shuffle files of plans that are done with now, not at its next periodic collection."""
+    gc.collect()
+    spark._jvm.System.gc()
