@@ -1,7 +1,8 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
 Everything is DataFrame and SQL functions.  A text is cut into words; a word
-that holds a long run of key-like characters with a digit is a candidate.  Its
+that holds a long run of key-like characters with a digit, or a key of a known
+form, is a candidate.  Its
 features are length, character classes and transitions between them, how much
 of it dictionary words cover, words of its path, and the words beside it.  A
 random forest (MLlib) trained from labelled findings turns them into a
@@ -29,7 +30,7 @@ from sluice.llm.batches import table
 
 LEAST, THRESHOLD, TREES, DEPTH, EXAMPLES = 12, 0.5, 24, 6, 6000
 #: A text without this has no candidate, and its words are not looked at.
-CORE = rf"(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{{{LEAST},}}"
+CORE = rf"(?:AKIA|ASIA)[0-9A-Z]{{16}}|(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{{{LEAST},}}={{0,2}}"
 CUT = r"""[\s"'`<>(){}\[\]|,;]+"""
 BLOCK = r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?(?:-----END [A-Z ]*PRIVATE KEY-----|$)"
 #: Words by which keys and placeholders are told.
@@ -69,14 +70,19 @@ FEATURES = {
 }
 
 
+def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """rows with a column that is worked out once a row, even if later columns use it in every element of an array: the generator keeps the optimizer from copying it."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def candidates(docs: DataFrame, text: str = "text", path: str | None = "source") -> DataFrame:
     """docs with _candidates, an array of structs with core, the words beside it, and features f (array<double>)."""
     where = f"`{path}`" if path else "cast(null as string)"
-    cut = docs.withColumn("_words", F.when(F.col(text).rlike(CORE), F.split(F.col(text), CUT)))
+    cut = once(docs, "_words", F.when(F.col(text).rlike(CORE), F.split(F.col(text), CUT)))
     core = CORE.replace("\\", "\\\\")
-    found = cut.withColumn("_found", F.expr(f"filter(transform(_words, (w, i) -> named_struct('core', regexp_extract(w, '{core}', 0), 'word', w, 'before', get(_words, i - 1), 'before2', get(_words, i - 2), 'after', get(_words, i + 1), 'path', {where})), c -> c.core != '')"))
+    found = once(cut, "_found", F.expr(f"filter(transform(_words, (w, i) -> named_struct('core', regexp_extract(w, '{core}', 0), 'word', w, 'before', get(_words, i - 1), 'before2', get(_words, i - 2), 'after', get(_words, i + 1), 'path', {where})), c -> c.core != '')"))
     features = ", ".join(f"cast({x} as double)" for x in FEATURES.values())
-    return found.withColumn("_candidates", F.expr(f"transform(_found, c -> named_struct('core', c.core, 'word', c.word, 'before', c.before, 'f', array({features})))")).drop("_words", "_found")
+    return once(found, "_candidates", F.expr(f"transform(_found, c -> named_struct('core', c.core, 'f', array({features})))")).drop("_words", "_found")
 
 
 def example_findings(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
@@ -149,12 +155,12 @@ def rule(core: str = "c.core") -> str:
 
 def with_secrets(docs: DataFrame, score: str, threshold: float = THRESHOLD, path: str | None = "source") -> DataFrame:
     """docs with _secrets: array of (secret, rule, score), distinct in a text, in order of place."""
-    scored = candidates(docs, path=path).withColumn("_scored", F.expr(f"filter(transform(_candidates, c -> named_struct('secret', c.core, 'rule', {rule()}, 'score', {score})), s -> s.score >= {threshold}D)"))
+    scored = once(candidates(docs, path=path), "_scored", F.expr(f"filter(transform(_candidates, c -> named_struct('secret', c.core, 'rule', {rule()}, 'score', {score})), s -> s.score >= {threshold}D)"))
     blocks = F.when(F.col("text").contains("PRIVATE KEY"), F.expr("transform(regexp_extract_all(text, '" + BLOCK.replace("\\", "\\\\") + "', 0), b -> named_struct('secret', b, 'rule', 'private_key', 'score', 1.0D))"))
     kind = "array<struct<secret:string,rule:string,score:double>>"
     all_ = F.concat(F.coalesce(blocks.cast(kind), F.array().cast(kind)), F.coalesce(F.col("_scored").cast(kind), F.array().cast(kind)))
     # the same secret beside different words may have several scores: the best counts
-    named = scored.withColumn("_all", all_).withColumn("_secrets", F.expr("transform(array_distinct(transform(_all, s -> s.secret)), x -> named_struct('secret', x, 'rule', element_at(filter(_all, s -> s.secret = x), 1).rule, 'score', array_max(transform(filter(_all, s -> s.secret = x), s -> s.score))))"))
+    named = once(once(scored, "_all", all_), "_secrets", F.expr("transform(array_distinct(transform(_all, s -> s.secret)), x -> named_struct('secret', x, 'rule', element_at(filter(_all, s -> s.secret = x), 1).rule, 'score', array_max(transform(filter(_all, s -> s.secret = x), s -> s.score))))"))
     return named.drop("_candidates", "_scored", "_all")
 
 
