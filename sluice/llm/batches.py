@@ -137,7 +137,7 @@ def shipped(spark: SparkSession) -> None:
     context._sluice_shipped = True
 
 
-def arrow_map(rows: DataFrame, function, schema: str) -> DataFrame:
+def arrow_map(rows: DataFrame, function, schema) -> DataFrame:
     """mapInArrow with this package on the executors."""
     shipped(rows.sparkSession)
     return rows.mapInArrow(function, schema)

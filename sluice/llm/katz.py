@@ -40,8 +40,10 @@ from pyspark.sql import functions as F
 from sluice.llm.batches import arrow_map, remainder, table, text_slices, words
 from sluice.llm.scratch import dropped, new_path, settled
 
-K, RESERVE, BLOCK_TOKENS = 5, 0.01, 4_000_000
+K, RESERVE, BLOCK_TOKENS = 5, 0.01, 2_500_000
 BEGIN, END = 0, 1
+#: Counts are summed for so many sets of parts one after another, so that only one set's messages are in shuffle files at a time.
+TURNS = 3
 #: Hashes of the marks; no word is the empty string, and none holds a space.
 _MARKS = [xxhash.xxh3_64_intdigest(" begin"), xxhash.xxh3_64_intdigest(" end")]
 MESSAGE = "kind string, block long, part int, body binary"
@@ -148,8 +150,9 @@ def _asking(parts: int, most_tokens: int):
             ids = np.array([0 if x is None else x for x in block.ids], np.int64)
             rows = [("text", number, 0, _pack(ids, np.array([x is None for x in block.ids], np.uint8), held.view(np.uint8), _small(lens), _small(tokens)))]
             for kind, keys, n in (("1", hashes, single), ("2", _mixed(hashes[pairs // len(hashes)], hashes[pairs % len(hashes)]), double)):
-                order = np.argsort(keys)
-                keys, n = keys[order], n[order]
+                if kind == "2":
+                    order = np.argsort(keys)
+                    keys, n = keys[order], n[order]
                 cut = _cuts(keys, parts)
                 rows += [(kind, number, p, _pack(np.diff(keys[a:b], prepend=np.uint64(0)), _small(n[a:b]))) for p, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
             count, block = count + 1, _Block()
@@ -245,21 +248,23 @@ def _first_round(one: list[int], two: list[int], parts: int):
         hashes = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in _ordered(rows, "1")])
         count1 = np.concatenate([x[0] for x in _ordered(rows, "answers1")]).astype(np.int64)
         pairs, of, at = _pairs(tokens, hashes)
-        h, w = pairs // len(hashes), pairs % len(hashes)
-        order2 = np.argsort(_mixed(hashes[h], hashes[w]))
+        h, w = (pairs // len(hashes)).astype(np.int32), (pairs % len(hashes)).astype(np.int32)
+        del pairs
+        order2 = np.argsort(_mixed(hashes[h], hashes[w])).astype(np.int32)
         answers = _ordered(rows, "answers2")
-        count2, mine = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), bool)
+        count2, mine = np.zeros(len(h), np.int64), np.zeros(len(h), bool)
         count2[order2] = np.concatenate([x[0] for x in answers])
         mine[order2] = np.concatenate([x[1] for x in answers]).astype(bool)
+        del order2, answers
         p1 = single(count1)
-        d = d2[np.minimum(count2, K)] * (count2 <= K) + (count2 > K)
-        p2 = d * count2 / (count1[h] + RESERVE)
+        p2 = np.append(d2, 1.0)[np.minimum(count2, K + 1)] * count2 / (count1[h] + RESERVE)
         seen = np.bincount(h[mine], p2[mine], len(hashes))
         low = np.bincount(h[mine], p1[w[mine]], len(hashes))
         cut = _cuts(hashes, parts)
         out = [("shares", block, p, _pack(seen[a:b], low[a:b])) for p, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
         doc = np.repeat(np.arange(len(lens)), lens)
         log = np.log10(np.where(count2 > 0, p2, p1[w]))[of]
+        del p2, mine, w
         word = tokens[at]
         total = lambda x: np.bincount(doc, x, len(lens))
         open_ = (count2[of] == 0) & (count1[tokens[at - 1]] > 0)
@@ -308,8 +313,10 @@ def scored(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, parts: int | None
     asked, counts, shares = (new_path(spark, f"katz-{x}") for x in ("asked", "counts", "shares"))
     write(arrow_map(docs.select("doc_id", "text", "held"), _asking(parts, block_tokens), MESSAGE), asked)
     ask = lambda *kinds: spark.read.schema(MESSAGE).parquet(asked).filter(F.col("kind").isin(*kinds))
-    counted = ask("1", "2").groupBy("kind", "part").applyInArrow(_counted, COUNTED)
-    counted.write.option("compression", "zstd").partitionBy("kind").parquet(counts)
+    for turn in range(TURNS):
+        counted = ask("1", "2").filter(F.col("part") % TURNS == turn).groupBy("kind", "part").applyInArrow(_counted, COUNTED)
+        counted.write.mode("append").option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0").partitionBy("kind").parquet(counts)
+        settled(spark)
     count = spark.read.schema(COUNTED).parquet(counts)
     stats: dict[str, list[int]] = {}
     for row in count.filter(F.col("kind").startswith("stats")).groupBy("kind").agg(*(F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(K + 3))).collect():

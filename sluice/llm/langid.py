@@ -226,30 +226,50 @@ def fitted(docs: DataFrame, learn: DataFrame, path: str, bound: int = SAMPLE_DOC
 _MODELS: dict[str, LanguageModel] = {}
 
 
+def _predicting(spark: SparkSession, model: LanguageModel):
+    """A function that runs on executors: languages and scores of the rows of a batch, slice by slice."""
+    shared, name = spark.sparkContext.broadcast((model.languages, model.vocab, model.p)), uuid.uuid4().hex  # as large as the vocabulary times the languages
+
+    def predictions(batch):
+        from sluice.llm.langid import _MODELS  # the worker's own, kept from task to task
+
+        if name not in _MODELS:
+            _MODELS.clear()
+            _MODELS[name] = LanguageModel(*shared.value)
+        for part, text in text_slices(batch):
+            yield part, *_MODELS[name].text_scores(text)
+
+    return predictions
+
+
 def predicted(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """doc_id, lang_pred and score of each document."""
-    spark = docs.sparkSession
     if model is None:
-        return docs.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    shared = spark.sparkContext.broadcast((model.languages, model.vocab, model.p))  # as large as the vocabulary times the languages
-
-    name = uuid.uuid4().hex
+        return docs.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).cast("double").alias("score"))
+    predictions = _predicting(docs.sparkSession, model)
 
     def rows(batches):
-        from sluice.llm.langid import _MODELS  # the worker's own, kept from task to task
-
-        own = _MODELS.get(name)
-        if own is None:
-            _MODELS.clear()
-            own = _MODELS[name] = LanguageModel(*shared.value)
         for batch in batches:
-            for part, text in text_slices(batch):
-                langs, scores = own.text_scores(text)
+            for part, langs, scores in predictions(batch):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(langs, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"])
 
     return arrow_map(docs.select("doc_id", "text"), rows, "doc_id long, lang_pred string, score double")
 
 
+def selected(docs: DataFrame, model: LanguageModel | None, least: float) -> DataFrame:
+    """The documents, with all their columns, that have a language with a score of `least` or more."""
+    if model is None:
+        return docs
+    predictions = _predicting(docs.sparkSession, model)
+
+    def rows(batches):
+        for batch in batches:
+            for part, langs, scores in predictions(batch):
+                yield part.filter(pa.array([x != "und" and s >= least for x, s in zip(langs, scores)], pa.bool_()))
+
+    return arrow_map(docs, rows, docs.schema)
+
+
 def identified(docs: DataFrame, path: str, bound: int = SAMPLE_DOCS, folds: int = 5) -> DataFrame:
     """Fits on the documents outside the held-out fold and predicts all."""
     held = F.coalesce(remainder(F.col("doc_id"), folds) == 0, F.lit(True))

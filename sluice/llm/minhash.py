@@ -33,7 +33,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.batches import arrow_map, table, text_slices, words
@@ -237,5 +237,15 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return ids.join(classes, "copy", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("copy_of")).alias("copy_of"), F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "copy_of")).alias("group_id"), F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"))
 
 
+def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents, with all their columns, whose id is the smallest of their group; of rows with one id the first by text.  Rows without an id stay."""
+    groups = grouped(docs, threshold)
+    keep = groups.filter("doc_id = group_id").select(F.col("doc_id").alias("_kept")).distinct()
+    named = docs.filter(F.col("doc_id").isNotNull())
+    again = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())  # in the join's own partitions
+    found = named.join(keep, named["doc_id"] == keep["_kept"]).drop("_kept").withColumn("_n", F.row_number().over(again)).filter("_n = 1").drop("_n")
+    return found.unionByName(docs.filter(F.col("doc_id").isNull()))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped(table(spark, sf_dir, "documents"))

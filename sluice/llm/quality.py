@@ -182,27 +182,51 @@ def fitted(docs: DataFrame, labelled: DataFrame, bound: int = SAMPLE_DOCS) -> Ma
 _MACHINES: dict[str, tuple[Machine, Features]] = {}
 
 
-def scored(docs: DataFrame, machine: Machine | None) -> DataFrame:
-    """doc_id, score and predicted of each document."""
-    if machine is None:
-        return docs.select("doc_id", F.lit(0.5).alias("score"), F.lit(1).alias("predicted"))
-    shared, name = docs.sparkSession.sparkContext.broadcast((machine.edges, machine.w0, machine.w.astype(np.float32), machine.v.astype(np.float32))), uuid.uuid4().hex
+def _scoring(spark: SparkSession, machine: Machine):
+    """A function that runs on executors: scores of the rows of a batch, slice by slice."""
+    shared, name = spark.sparkContext.broadcast((machine.edges, machine.w0, machine.w.astype(np.float32), machine.v.astype(np.float32))), uuid.uuid4().hex
 
-    def rows(batches):
+    def scores(batch):
         from sluice.llm.quality import _MACHINES  # the worker's own, kept from task to task
 
         if name not in _MACHINES:
             _MACHINES.clear()
             _MACHINES[name] = Machine(*shared.value), Features()
         own, make = _MACHINES[name]
+        for part, text in text_slices(batch, 2 << 20):
+            yield part, own.scores(*make(text, _stated(part))).astype(float)
+
+    return scores
+
+
+def scored(docs: DataFrame, machine: Machine | None) -> DataFrame:
+    """doc_id, score and predicted of each document."""
+    if machine is None:
+        return docs.select("doc_id", F.lit(0.5).cast("double").alias("score"), F.lit(1).alias("predicted"))
+    scores = _scoring(docs.sparkSession, machine)
+
+    def rows(batches):
         for batch in batches:
-            for part, text in text_slices(batch, 2 << 20):
-                score = own.scores(*make(text, _stated(part))).astype(float)
+            for part, score in scores(batch):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     return arrow_map(docs.select("doc_id", "text", "n_chars"), rows, "doc_id long, score double, predicted int")
 
 
+def selected(docs: DataFrame, machine: Machine | None, least: float = 0.5) -> DataFrame:
+    """The documents, with all their columns, whose score is `least` or more."""
+    if machine is None:
+        return docs
+    scores = _scoring(docs.sparkSession, machine)
+
+    def rows(batches):
+        for batch in batches:
+            for part, score in scores(batch):
+                yield part.filter(pa.array(score >= least))
+
+    return arrow_map(docs, rows, docs.schema)
+
+
 def classified(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_DOCS, folds: int = 3) -> DataFrame:
     """Fits on labels outside the held-out fold and scores all documents.  labels: doc_id, quality."""
     held = lambda x: F.coalesce(remainder(x, folds) == 1, F.lit(True))
