@@ -13,11 +13,12 @@ Equal texts are one node from the start.  Texts that agree in a band of ROWS
 registers are candidates, and candidates are linked if their shingle sets have
 a Jaccard similarity of THRESHOLD or more, computed exactly.  A bucket of
 equal bands never becomes all its pairs: first each member is compared with
-the bucket's smallest, which settles groups of copies however large; then
-members of different components are compared, in buckets of up to FEW members
-one by one and in larger ones by blocks of BLOCK members whose signatures are
-held against each other in memory, so only pairs that could reach THRESHOLD
-come out and are verified.  Groups are the connected components of the links.
+the bucket's leader, the member that meets most others, which settles groups
+of copies however large; then members of different components are compared,
+in buckets of up to FEW members one by one and in larger ones by blocks of
+BLOCK members whose signatures are held against each other in memory.  Pairs
+whose signatures cannot belong to texts as alike as THRESHOLD (by four
+standard deviations) are not verified.  Groups are the connected components of the links.
 
 Nulls, empty and long texts: a null text counts as empty; a text of fewer than
 SHINGLE words is one shingle of all its words; an empty text has no shingle
@@ -164,8 +165,17 @@ def components(links: DataFrame) -> DataFrame:
         roots = new.select("node", "root")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """a, b, similarity of the pairs that are alike."""
+def _near(pairs: DataFrame, signs: DataFrame, least: int) -> DataFrame:
+    """a, b of the pairs whose signatures agree in `least` registers or more."""
+    left, right = (signs.select(F.col("node").alias(x), F.col("signature").alias(f"_{x}")) for x in "ab")
+    agree = F.expr("aggregate(zip_with(_a, _b, (x, y) -> IF(x = y, 1, 0)), 0, (n, x) -> n + x)")
+    return pairs.join(left, "a").join(right, "b").filter(agree >= least).select("a", "b")
+
+
+def _verified(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
+    """a, b, similarity of the pairs that are alike.  pairs: written, so that few of them are known to be few."""
+    nodes = kept(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "nodes")
+    sets = kept(signed.select("node", "shingles").join(nodes, "node", "left_semi"), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_x"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_y"))
     both = F.size(F.array_intersect("_x", "_y"))
@@ -179,14 +189,16 @@ def _blocks(least: int):
     kind = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        i, j = key[2].as_py(), key[3].as_py()
+        band, i, j = key[0].as_py(), key[2].as_py(), key[3].as_py()
         node, root, chunk = (rows.column(c).to_numpy() for c in ("node", "root", "chunk"))
         sign = rows.column("signature").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
         left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
         out = []
         for x in left:
             y = right[(root[right] != root[x]) & ((node[right] > node[x]) | (i != j))]
-            y = y[(sign[y] == sign[x]).sum(1) >= least]
+            same = sign[y] == sign[x]
+            first = same.reshape(len(y), -1, ROWS).all(2).argmax(1)  # a pair is this band's if it is the first they share
+            y = y[(same.sum(1) >= least) & (first == band)]
             out.append(np.column_stack([np.full(len(y), node[x]), node[y]]))
         pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
         return pa.table([pa.array(np.minimum(*pairs.T)), pa.array(np.maximum(*pairs.T))], schema=kind)
@@ -194,27 +206,35 @@ def _blocks(least: int):
     return run
 
 
-def links(signed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """a, b, similarity: links between different texts that join all that are alike and share a band."""
-    bands = signed.select("node", F.posexplode("bands").alias("band", "key"))
-    sizes = bands.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("leader")).filter("n > 1")
+def links(single: DataFrame, signed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """a, b, similarity: links between different texts that join all that are alike and share a band.
+
+    single: node, bands, signature of one document of each text; signed: all
+    documents' shingles.
+    """
+    spread = 4 * (threshold * (1 - threshold) / REGISTERS) ** 0.5  # four standard deviations of the agreement
+    least = int(REGISTERS * (threshold - spread))
+    parts = int(single.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bands = single.select("node", F.posexplode("bands").alias("band", "key")).repartition(parts, "band", "key")  # one exchange for sizes and members
+    sizes = bands.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
     members = kept(bands.join(sizes, ["band", "key"]), "members")
-    sets = kept(signed.join(members.select("node").distinct(), "node", "left_semi").select("node", "signature", "shingles"), "sets")
-    pairs = members.filter("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    first = kept(_verified(pairs, sets, threshold), "links")
+    signs = kept(single.select("node", "signature").join(members.select("node").distinct(), "node", "left_semi"), "signs")
+    # the member that meets most others leads: the text that copies were made from is alike to more of them than they are to each other
+    degree = members.groupBy("node").agg(F.sum("n").alias("degree"))
+    leaders = members.join(degree, "node").groupBy("band", "key").agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("leader"))
+    led = members.join(leaders, ["band", "key"]).filter("node != leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    first = kept(_verified(kept(_near(led, signs, least), "pairs"), signed, threshold), "links")
     rooted = members.join(components(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("band", "key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low != _high").select("band", "key")
     open_ = kept(rooted.join(mixed, ["band", "key"]).select("band", "key", "node", "root", "n"), "open")
     few = open_.filter(F.col("n") <= FEW)
     left, right = (few.select("band", "key", F.col("node").alias(x), F.col("root").alias(f"_{x}")) for x in "ab")
-    near = left.join(right, ["band", "key"]).filter("a < b AND _a != _b").select("a", "b")
+    near = _near(left.join(right, ["band", "key"]).filter("a < b AND _a != _b").select("a", "b").distinct(), signs, least)
     chunks = F.ceil(F.col("n") / BLOCK).cast("int")
     many = open_.filter(F.col("n") > FEW).withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
     many = many.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1))).select("band", "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "node", "root", "chunk")
-    many = many.join(sets.select("node", "signature"), "node")
-    spread = 4 * (threshold * (1 - threshold) / REGISTERS) ** 0.5  # four standard deviations
-    far = many.groupBy("band", "key", "i", "j").applyInArrow(_blocks(int(REGISTERS * (threshold - spread))), "a long, b long")
-    second = _verified(near.unionByName(far).distinct(), sets, threshold)
+    far = many.join(signs, "node").groupBy("band", "key", "i", "j").applyInArrow(_blocks(least), "a long, b long")
+    second = _verified(kept(near.unionByName(far).distinct(), "pairs"), signed, threshold)
     return kept(first.unionByName(second).distinct(), "links")
 
 
@@ -229,8 +249,9 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     signed = kept(arrow_map(hashed, _signed, SIGNED), "signed")
     copies = kept(signed.filter("node IS NOT NULL").groupBy("copy").agg(F.min("node").alias("copy_of")), "copies")
     ids = signed.select(F.col("node").alias("doc_id"), "copy")
-    single = signed.filter("size(bands) > 0").join(copies.select(F.col("copy_of").alias("node"), "copy"), ["node", "copy"], "left_semi").dropDuplicates(["node", "copy"]).drop("copy")
-    found = links(single, threshold)
+    light = signed.filter("size(bands) > 0").select("node", "copy", "bands", "signature")
+    single = kept(light.join(copies.select(F.col("copy_of").alias("node"), "copy"), ["node", "copy"], "left_semi").dropDuplicates(["node", "copy"]).drop("copy"), "single")
+    found = links(single, signed, threshold)
     degree = found.select("a").unionByName(found.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("copy_of")).agg(F.count("*").alias("n_links"))
     classes = copies.join(components(found).withColumnRenamed("node", "copy_of"), "copy_of", "left").join(degree, "copy_of", "left")
     # ids of a group that share a row's text come by the text's digest; rows without an id have none
