@@ -197,7 +197,7 @@ def _blocks(least: int):
         for x in left:
             y = right[(root[right] != root[x]) & ((node[right] > node[x]) | (i != j))]
             same = sign[y] == sign[x]
-            first = same.reshape(len(y), -1, ROWS).all(2).argmax(1)  # a pair is this band's if it is the first they share
+            first = same.reshape(len(y), BANDS, ROWS).all(2).argmax(1)  # a pair is this band's if it is the first they share
             y = y[(same.sum(1) >= least) & (first == band)]
             out.append(np.column_stack([np.full(len(y), node[x]), node[y]]))
         pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
