@@ -43,7 +43,7 @@ from sluice.llm.scratch import dropped, new_path, settled
 K, RESERVE, BLOCK_TOKENS = 5, 0.01, 2_500_000
 BEGIN, END = 0, 1
 #: Counts are summed for so many sets of parts one after another, so that only one set's messages are in shuffle files at a time.
-TURNS = 3
+TURNS = 5
 #: Hashes of the marks; no word is the empty string, and none holds a space.
 _MARKS = [xxhash.xxh3_64_intdigest(" begin"), xxhash.xxh3_64_intdigest(" end")]
 MESSAGE = "kind string, block long, part int, body binary"
@@ -327,6 +327,8 @@ def scored(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, parts: int | None
     columns = ["kind", "block", "part", "body"]
     first = ask("text", "1").unionByName(count.filter(F.col("kind").isin("answers1", "answers2")).select(*columns))
     write(first.groupBy("block").applyInArrow(_first_round(one, two, parts), MESSAGE), shares)
+    for done in (f"{asked}/kind=text", f"{counts}/kind=answers1", f"{counts}/kind=answers2"):
+        dropped(spark, done)
     settled(spark)
     share = spark.read.schema(MESSAGE).parquet(shares)
     weights = ask("1").unionByName(share.filter("kind = 'shares'")).groupBy("part").applyInArrow(_weights, MESSAGE)
