@@ -262,9 +262,9 @@ def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents, with all their columns, whose id is the smallest of their group; of rows with one id the first by text.  Rows without an id stay."""
     groups = grouped(docs, threshold)
     keep = groups.filter("doc_id = group_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.filter(F.col("doc_id").isNotNull())
-    again = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())  # in the join's own partitions
-    found = named.join(keep, named["doc_id"] == keep["_kept"]).drop("_kept").withColumn("_n", F.row_number().over(again)).filter("_n = 1").drop("_n")
+    named = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.struct("*").alias("_row"))
+    again = Window.partitionBy("_id").orderBy(F.col("_text").asc_nulls_first())  # in the join's own partitions
+    found = named.join(keep, F.col("_id") == F.col("_kept")).withColumn("_n", F.row_number().over(again)).filter("_n = 1").select("_row.*")
     return found.unionByName(docs.filter(F.col("doc_id").isNull()))
 
 

@@ -179,11 +179,12 @@ def findings(docs: DataFrame, labelled: DataFrame | None = None, path: str | Non
 
 def redacted(docs: DataFrame, labelled: DataFrame | None = None, mark: str = "[SECRET]", path: str | None = "source") -> DataFrame:
     """docs with every secret replaced by a mark and n_chars stated anew where it changed; the columns stay as they are."""
-    rows = with_secrets(docs, learnt(docs.sparkSession, labelled), path=path)
+    own = docs.select(F.struct("*").alias("_row"), "text", *([path] if path else []))  # whatever else docs have stays out of the way
+    rows = with_secrets(own, learnt(docs.sparkSession, labelled), path=path)
     changed = F.size("_secrets") > 0
-    text = F.when(changed, F.expr(f"aggregate(_secrets, text, (t, s) -> replace(t, s.secret, '{mark}'))")).otherwise(F.col("text"))
-    out = rows.withColumn("_new", text)
-    return out.select(*(F.col("_new").alias(c) if c == "text" else F.when(changed, F.length("_new").cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    out = rows.withColumn("_new", F.when(changed, F.expr(f"aggregate(_secrets, text, (t, s) -> replace(t, s.secret, '{mark}'))")).otherwise(F.col("text")))
+    new = {"text": F.col("_new"), "n_chars": F.when(changed, F.length("_new").cast("long")).otherwise(F.col("_row.n_chars")) if "n_chars" in docs.columns else None}
+    return out.select(*((new[c] if c in new else F.col("_row")[c]).alias(c) for c in docs.columns))
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
