@@ -1,7 +1,8 @@
 """Near-duplicate groups by ProbMinHash signatures, banding and verification.
 
-Texts become sets of SHINGLE successive words, weighted by 1 + log of how
-often each comes.  Each shingle is a Poisson process whose rate is its weight;
+Texts become sets of SHINGLE successive words, weighted by 1 + a quarter of the
+log of how often each comes: a repeated line counts more, but a text with it
+is still near the text with one line less.  Each shingle is a Poisson process whose rate is its weight;
 its arrivals fall on random registers, and a register keeps the shingle of its
 first arrival.  Two texts agree in a register with the probability Jaccard
 similarity of their weights.  Arrivals come in order of time, so the process
@@ -42,6 +43,8 @@ from sluice.llm.scratch import kept
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 24, 4
 FEW, BLOCK = 12, 1024
+#: How far weights may take probability similarity below set similarity for a pair to be verified still.
+SLACK = 0.04
 REGISTERS = BANDS * ROWS
 _U, _S = np.uint64, np.float64(2.0**-53)
 
@@ -80,9 +83,14 @@ def shingles(start: np.ndarray, code: np.ndarray, hashes: np.ndarray, size: int
     return of[at], value[at], np.diff(np.append(at, len(of)))
 
 
+def weigh(times: np.ndarray) -> np.ndarray:
+    """A shingle's weight by how often it comes."""
+    return 1 + np.log(times) / 4
+
+
 def signatures(of: np.ndarray, value: np.ndarray, times: np.ndarray, n: int, registers: int = REGISTERS) -> np.ndarray:
     """A row of shingle hashes per text; a text without shingles has zeros."""
-    weight = 1 + np.log(times)
+    weight = weigh(times)
     total = np.bincount(of, weight, n)
     out = np.zeros((n, registers), np.uint64)
     open_ = total > 0
@@ -212,8 +220,9 @@ def links(single: DataFrame, signed: DataFrame, threshold: float = THRESHOLD) ->
     single: node, bands, signature of one document of each text; signed: all
     documents' shingles.
     """
-    spread = 4 * (threshold * (1 - threshold) / REGISTERS) ** 0.5  # four standard deviations of the agreement
-    least = int(REGISTERS * (threshold - spread))
+    low = threshold - SLACK
+    spread = 4 * (low * (1 - low) / REGISTERS) ** 0.5  # four standard deviations of the agreement
+    least = int(REGISTERS * (low - spread))
     parts = int(single.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bands = single.select("node", F.posexplode("bands").alias("band", "key")).repartition(parts, "band", "key")  # one exchange for sizes and members
     sizes = bands.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")

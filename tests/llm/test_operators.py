@@ -267,7 +267,7 @@ def test_registers_estimate_probability_jaccard():
     rng = np.random.default_rng(10)
     u, v = rng.integers(1, 9, 40), rng.integers(1, 9, 40)
     v[:10] = 0
-    weights = lambda t: np.where(t > 0, 1 + np.log(np.maximum(t, 1)), 0)
+    weights = lambda t: np.where(t > 0, minhash.weigh(np.maximum(t, 1)), 0)
     x, y = weights(u), weights(v)
     want = sum(1 / sum(max(x[k] / x[d], y[k] / y[d]) for k in range(40)) for d in range(40) if x[d] > 0 and y[d] > 0)
     keys = rng.integers(1, 2**63, 40).astype(np.uint64)
