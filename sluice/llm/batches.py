@@ -8,6 +8,9 @@ each distinct word of a slice once.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -118,6 +121,22 @@ class RunCache:
         return np.concatenate([[0], np.cumsum(lens)])[start], gathered(self.start[at], lens, self.flat)
 
 
+_HELD: dict[tuple, object] = {}
+
+
+def held(kind: tuple, make):
+    """What a worker keeps from task to task, such as a model with its cache of words: one thing at a time, so that stages of a pipeline don't add up."""
+    if kind not in _HELD:
+        if _HELD:
+            _HELD.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # freed memory goes back to the system where the C library can
+                ctypes.CDLL(None).malloc_trim(0)
+        _HELD[kind] = make()
+    return _HELD[kind]
+
+
 def shipped(spark: SparkSession) -> None:
     """Sends this package to the executors, once a Spark context, unless their path has it."""
     import os

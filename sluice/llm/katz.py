@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.batches import arrow_map, remainder, table, text_slices, words
+from sluice.llm.batches import held as kept_things
 from sluice.llm.scratch import dropped, new_path, settled
 
 K, RESERVE, BLOCK_TOKENS = 5, 0.01, 2_500_000
@@ -136,6 +137,7 @@ def _asking(parts: int, most_tokens: int):
     def messages(batches) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        kept_things(("blocks",), dict)  # lets go of what another operator has kept in this worker
         task, count, block = TaskContext.get().partitionId(), 0, _Block()
 
         def flush():

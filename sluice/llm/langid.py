@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.batches import arrow_map, coded, remainder, table, text_slices
+from sluice.llm.batches import arrow_map, coded, held, remainder, table, text_slices
 from sluice.llm.samples import sampled
 
 SAMPLE_DOCS, ROUNDS, LONGEST, MARK = 6000, 3, 16, "▁"
@@ -223,21 +223,14 @@ def fitted(docs: DataFrame, learn: DataFrame, path: str, bound: int = SAMPLE_DOC
     return LanguageModel.fitted(counts, vocabulary(path)) if counts else None
 
 
-_MODELS: dict[str, LanguageModel] = {}
-
-
 def _predicting(spark: SparkSession, model: LanguageModel):
     """A function that runs on executors: languages and scores of the rows of a batch, slice by slice."""
     shared, name = spark.sparkContext.broadcast((model.languages, model.vocab, model.p)), uuid.uuid4().hex  # as large as the vocabulary times the languages
 
     def predictions(batch):
-        from sluice.llm.langid import _MODELS  # the worker's own, kept from task to task
-
-        if name not in _MODELS:
-            _MODELS.clear()
-            _MODELS[name] = LanguageModel(*shared.value)
+        own = held(("languages", name), lambda: LanguageModel(*shared.value))
         for part, text in text_slices(batch):
-            yield part, *_MODELS[name].text_scores(text)
+            yield part, *own.text_scores(text)
 
     return predictions
 
@@ -272,9 +265,9 @@ def selected(docs: DataFrame, model: LanguageModel | None, least: float) -> Data
 
 def identified(docs: DataFrame, path: str, bound: int = SAMPLE_DOCS, folds: int = 5) -> DataFrame:
     """Fits on the documents outside the held-out fold and predicts all."""
-    held = F.coalesce(remainder(F.col("doc_id"), folds) == 0, F.lit(True))
-    model = fitted(docs, docs.filter(~held).select("doc_id", "lang"), path, bound)
-    return predicted(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+    out = F.coalesce(remainder(F.col("doc_id"), folds) == 0, F.lit(True))
+    model = fitted(docs, docs.filter(~out).select("doc_id", "lang"), path, bound)
+    return predicted(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm.batches import arrow_map, table
+from sluice.llm.batches import arrow_map, held, table
 
 PAGES, TREES, DEPTH, RATE, BINS = 500, 40, 4, 0.25, 32
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[a-zA-Z/!?][^>]*+(?:>|\Z)", re.S)
@@ -338,9 +338,6 @@ def _main_node(source: str) -> int:
     return len(Page(source[: source.find(">", cut) + 1]).tag) - 1 if cut >= 0 else -1
 
 
-_TREES: dict[str, Boosted] = {}
-
-
 def extracted(pages: DataFrame, model: Boosted | None = None) -> DataFrame:
     """page_id, url, text and n_chars of each page."""
     own = model or fitted()
@@ -348,12 +345,7 @@ def extracted(pages: DataFrame, model: Boosted | None = None) -> DataFrame:
     kind = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def rows(batches):
-        from sluice.llm.mainhtml import _TREES  # the worker's own, kept from task to task
-
-        if name not in _TREES:
-            _TREES.clear()
-            _TREES[name] = Boosted(*shared.value)
-        trees = _TREES[name]
+        trees = held(("trees", name), lambda: Boosted(*shared.value))
         for batch in batches:
             for a in range(0, batch.num_rows, 200):
                 part = batch.slice(a, 200)

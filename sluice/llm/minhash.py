@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.batches import arrow_map, table, text_slices, words
+from sluice.llm.batches import arrow_map, held, table, text_slices, words
 from sluice.llm.scratch import kept
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 24, 4
@@ -128,7 +128,7 @@ def signatures(of: np.ndarray, value: np.ndarray, times: np.ndarray, n: int, reg
 
 
 def _signed(batches):
-    names: dict[str, int] = {}
+    names: dict[str, int] = held(("shingles",), dict)
     for batch in batches:
         for rows, text in text_slices(batch, 2 << 20):
             start, code, distinct = words(text)

@@ -25,7 +25,6 @@ from __future__ import annotations
 import json
 import zlib
 from bisect import bisect_right
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -33,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.batches import RunCache, arrow_map, coded, table, text_slices
+from sluice.llm.batches import RunCache, arrow_map, coded, held, table, text_slices
 
 CAPACITY, END_ID, SALTS = 4096, 1, 64
 #: Branches looked at around one largest piece; beyond, the incumbent stands.
@@ -65,13 +64,12 @@ class WordTokenizer:
         return self.cache.runs(distinct, code, start, lambda new: [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)])
 
 
-@lru_cache(maxsize=2)
 def word_tokenizer(path: str) -> WordTokenizer:
     """The tokenizer of a path, once a worker."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return WordTokenizer(path)
+    return held(("words", path), lambda: WordTokenizer(path))
 
 
 def _pieces(path: str, capacity: int, end_id: int):

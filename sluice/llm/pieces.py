@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -28,7 +27,7 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm.batches import RunCache, arrow_map, coded, table, text_slices
+from sluice.llm.batches import RunCache, arrow_map, coded, held, table, text_slices
 
 MARK, LINE_END = "▁", "\n"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, agrees boolean"
@@ -136,10 +135,9 @@ class PieceModel:
         return self.library.decode(ids)
 
 
-@lru_cache(maxsize=2)
 def piece_model(path: str) -> PieceModel:
     """The model of a path, once a worker."""
-    return PieceModel(path)
+    return held(("pieces", path), lambda: PieceModel(path))
 
 
 def _rows(path: str):

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.batches import arrow_map, remainder, table, text_slices, words
+from sluice.llm.batches import arrow_map, held, remainder, table, text_slices, words
 from sluice.llm.samples import sampled
 
 SAMPLE_DOCS, BUCKETS, FACTORS, BINS, ROUNDS = 8000, 1 << 17, 8, 16, 6
@@ -179,20 +179,12 @@ def fitted(docs: DataFrame, labelled: DataFrame, bound: int = SAMPLE_DOCS) -> Ma
     return machine.fit(*machine.active(lens, feature.astype(np.int64), weight.astype(float), stats), y)
 
 
-_MACHINES: dict[str, tuple[Machine, Features]] = {}
-
-
 def _scoring(spark: SparkSession, machine: Machine):
     """A function that runs on executors: scores of the rows of a batch, slice by slice."""
     shared, name = spark.sparkContext.broadcast((machine.edges, machine.w0, machine.w.astype(np.float32), machine.v.astype(np.float32))), uuid.uuid4().hex
 
     def scores(batch):
-        from sluice.llm.quality import _MACHINES  # the worker's own, kept from task to task
-
-        if name not in _MACHINES:
-            _MACHINES.clear()
-            _MACHINES[name] = Machine(*shared.value), Features()
-        own, make = _MACHINES[name]
+        own, make = held(("quality", name), lambda: (Machine(*shared.value), Features()))
         for part, text in text_slices(batch, 2 << 20):
             yield part, own.scores(*make(text, _stated(part))).astype(float)
 
@@ -229,9 +221,9 @@ def selected(docs: DataFrame, machine: Machine | None, least: float = 0.5) -> Da
 
 def classified(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_DOCS, folds: int = 3) -> DataFrame:
     """Fits on labels outside the held-out fold and scores all documents.  labels: doc_id, quality."""
-    held = lambda x: F.coalesce(remainder(x, folds) == 1, F.lit(True))
-    machine = fitted(docs, labels.filter(~held(F.col("doc_id"))).select("doc_id", F.col("quality").cast("int").alias("label")), bound)
-    return scored(docs, machine).select("doc_id", held(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    out = lambda x: F.coalesce(remainder(x, folds) == 1, F.lit(True))
+    machine = fitted(docs, labels.filter(~out(F.col("doc_id"))).select("doc_id", F.col("quality").cast("int").alias("label")), bound)
+    return scored(docs, machine).select("doc_id", out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
