@@ -125,3 +125,12 @@ def prior_pairs(rows: DataFrame, key: str, ts: str, span: int, bucket: int | Non
     right = e.select(F.col(key).alias("_k"), F.col("_e").alias("_h"), F.floor(F.col("_e") / size).alias("_b"))
     hit = (F.col("_h") >= F.col("_e") - span) & (F.col("_h") < F.col("_e"))
     return left.join(right, (left[key] == right["_k"]) & (left["_bucket"] == right["_b"]) & hit, "left").groupBy(*e.columns).agg(F.count("_h").alias("prior_pairs")).drop("_e")
+
+
+def evidence(rows: DataFrame, key: str, ts: str, id_: str, subject: Column, span: int, most: int = 20) -> DataFrame:
+    """For chosen subjects their newest prior events in a span, at most `most` each: what their features were made from."""
+    own = rows.filter(subject).select(F.col(key).alias("_k"), F.col(id_).alias("subject_id"), epoch(ts).alias("_t"))
+    e = rows.withColumn("_e", epoch(ts))
+    prior = e.join(own, (e[key] == own["_k"]) & (F.col("_e") < F.col("_t")) & (F.col("_e") >= F.col("_t") - span))
+    newest = Window.partitionBy("subject_id").orderBy(F.col(ts).desc(), F.col(id_).desc())
+    return prior.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") <= most).select("subject_id", *rows.columns, (F.col("_t") - F.col("_e")).alias("age_seconds"))

@@ -259,3 +259,9 @@ def candle_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY 1")
 def hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events").groupBy(hour_of(F.col("ts")).alias("hour")).agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT a.event_id AS subject_id, b.event_id, (a.e - b.e)::BIGINT AS age_seconds FROM (SELECT *, {_E} AS e FROM events WHERE event_id % 400 = 0) a JOIN (SELECT *, {_E} AS e FROM events) b ON a.user_id = b.user_id AND b.e < a.e AND b.e >= a.e - 604800 QUALIFY row_number() OVER (PARTITION BY a.event_id ORDER BY b.ts DESC, b.event_id DESC) <= 20")
+def evidence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "events")
+    return Fe.evidence(rows, "user_id", "ts", "event_id", F.col("event_id") % 400 == 0, 604800).select("subject_id", "event_id", "age_seconds")

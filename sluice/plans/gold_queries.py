@@ -280,3 +280,20 @@ def boosted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "customer").withColumn("y", (F.col("c_acctbal") > 5000).cast("int"))
     model = fit_boosted(rows, ["c_acctbal", "c_nationkey"], ["c_mktsegment"], "y", trees=10)
     return scored(model, rows, ["c_acctbal", "c_nationkey"], ["c_mktsegment"], "c_custkey", "y")
+
+
+@query()
+def synthetic_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality report of a synthetic set; needs no tables."""
+    from sluice.sources.synthetic import Plan, Synthetic, quality_report
+
+    s = Synthetic(spark, Plan(accounts=40, logins=400, transactions=2500, days=3))
+    t = s.transactions()
+    return quality_report({"accounts": s.accounts(), "devices": s.devices(), "wallets": s.wallets(), "transactions": t, "labels": s.labels(t), "logins": s.logins(t)})
+
+
+@query("SELECT doc_id, score, predicted FROM (SELECT *, row_number() OVER (PARTITION BY doc_id % 100 ORDER BY decided_at DESC, doc_id DESC) AS n FROM (SELECT doc_id, (n_chars % 100) / 100.0::DOUBLE AS score, (n_chars % 100) / 100.0::DOUBLE >= 0.8 AS predicted, TIMESTAMP '2024-01-01' + INTERVAL (doc_id % 720) HOUR AS decided_at FROM documents WHERE doc_id % 7 <> 0)) WHERE n = 1")
+def latest_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest decision of each transaction (documents by their last two digits)."""
+    rows = decisions(spark, sf_dir).withColumn("t", F.col("doc_id") % 100)
+    return L.latest(rows, ["t"], L.newest_by("decided_at", "doc_id")).select("doc_id", "score", "predicted")

@@ -96,3 +96,8 @@ def stream_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = lambda df, _: df.write.mode("overwrite").parquet(target)
     counts.writeStream.outputMode("complete").foreachBatch(sink).option("checkpointLocation", shared_path(spark, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(target)
+
+
+@query("SELECT event_type AS topic, count(*) + count(*) FILTER (WHERE event_id % 10 = 0) AS n, min(event_id) AS first_offset, max(event_id) AS last_offset FROM events GROUP BY 1")
+def batch_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.batch_metrics(P.parsed(_broker_rows(spark, sf_dir))).select("topic", "n", "first_offset", "last_offset")

@@ -118,3 +118,8 @@ def windowed_counts(stream: DataFrame, ts: str, by: str, size: str = "1 hour", l
     """Tumbling counts with a watermark."""
     at = stream.withColumn("_at", F.col(ts).cast("timestamp")).withWatermark("_at", late)
     return at.groupBy(F.window("_at", size), by).agg(F.count("*").alias("n")).select(F.col("window.start").cast("timestamp_ntz").alias("start"), by, "n")
+
+
+def batch_metrics(rows: DataFrame) -> DataFrame:
+    """Rows, first and last offset, and the newest event of each topic of a batch."""
+    return rows.groupBy("topic").agg(F.count("*").alias("n"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"), F.max_by("event_id", F.struct("event_at", "offset")).alias("newest_event"))

@@ -192,3 +192,25 @@ def test_master_rules_and_run_log(spark, tmp_path):
     sinks.log_run(spark, path, "r2", "t", 8, "append")
     assert sinks.latest_run(spark, path).head()["run_id"] == "r2"
     assert sinks.row_deltas(spark, path).head()["delta"] == 3
+
+
+def test_reloaded_models_score_alike(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    from sluice.operators import models
+
+    rows = spark.createDataFrame([(i, float(i % 7), "ab"[i % 2] if i % 5 else None, int(i % 7 > 3)) for i in range(200)] + [(200, None, "c", 0), (201, float("inf"), "a", 1)], "id int, x double, c string, y int")
+    model = models.fit_logistic(rows, ["x"], ["c"], "y", 50)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    again = PipelineModel.load(str(tmp_path / "m"))
+    a, b = ({r.id: r.score for r in models.scored(m, rows, ["x"], ["c"], "id").collect()} for m in (model, again))
+    assert max(abs(a[i] - b[i]) for i in a) <= 1e-12 and len(a) == 202
+    table = models.coefficients(model, models.cleaned(rows, ["x"], ["c"], "y")).collect()
+    assert table[0].size >= table[-1].size and any("scaled" in r.name for r in table)
+
+
+def test_offsets_and_alert_stream(spark, tmp_path):
+    from sluice.streaming.pipelines import offset_deltas
+
+    assert offset_deltas({"sources": [{"startOffset": '{"t": {"0": 5}}', "endOffset": '{"t": {"0": 9, "1": 2}}'}]}) == {"t": 6}
+    assert offset_deltas({"sources": [{"startOffset": None, "endOffset": {"t": {"0": 3}}}]}) == {"t": 3}
