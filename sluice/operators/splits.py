@@ -33,23 +33,26 @@ def rare_event_bounds(rows: DataFrame, ts: str, tie: str, label: str, least: tup
 
     The test part starts as late as it can with `events` events in it and in a validation part before it and at least
     the least shares of rows; then the validation part starts where the shares are nearest the wanted ones (sum of
-    absolute differences; ties: the earlier end of train).  The latest start follows from the rank of events from the
-    end, and train_end is then one of the positions in a range, so candidates are never paired.
+    absolute differences; ties: the earlier end of train).  The latest start follows from the last events,
+    and train_end is then a bound of its range or beside a corner of the distance, so there are six candidates however
+    many rows there are.
     """
     p = positioned(rows.withColumn("_y", F.col(label).cast("int")), ts, tie)
     events_at = p.filter("_y = 1").select("_position")
     total = p.agg(F.max("_total").alias("_total"))
-    ranked = events_at.withColumn("_from_end", F.row_number().over(Window.orderBy(F.col("_position").desc()))).filter(F.col("_from_end") <= events).agg(F.min("_position").alias("_test_event"))
+    ranked = events_at.orderBy(F.col("_position").desc()).limit(events).agg(F.min("_position").alias("_test_event"), F.count("*").alias("_late"))
     one = total.crossJoin(ranked)  # one row each
     share = lambda x: F.ceil(F.col("_total") * F.lit(x).cast("decimal(5,4)"))
-    end = one.select("_total", F.least(F.col("_test_event") - 1, F.col("_total") - share(least[2])).alias("validation_end"))
+    end = one.filter(F.col("_late") == events).select("_total", F.least(F.col("_test_event") - 1, F.col("_total") - share(least[2])).alias("validation_end"))
     valid = events_at.crossJoin(F.broadcast(end)).filter("_position <= validation_end")  # one row of bounds
-    third = valid.withColumn("_from_end", F.row_number().over(Window.orderBy(F.col("_position").desc()))).filter(F.col("_from_end") <= events).agg(F.min("_position").alias("_valid_event"), F.count("*").alias("_found"))
+    third = valid.orderBy(F.col("_position").desc()).limit(events).agg(F.min("_position").alias("_valid_event"), F.count("*").alias("_found"))
     bounds = end.crossJoin(third).filter(F.col("_found") == events)
     high = F.least(F.col("_valid_event") - 1, F.col("validation_end") - share(least[1]))
     low = share(least[0])
-    grid = bounds.filter(high >= low).select("_total", "validation_end", F.explode(F.sequence(low.cast("long"), high.cast("long"))).alias("train_end"))
     n = F.col("_total").cast("double")
+    # the sum of distances falls, is flat between two corners, and rises: the best end is a bound or beside a corner
+    corners = [low, high, *(f(x) for x in (n * wanted[0], F.col("validation_end") - n * wanted[1]) for f in (F.floor, F.ceil))]
+    grid = bounds.filter(high >= low).select("_total", "validation_end", F.explode(F.array(*(F.least(F.greatest(x, low), high).cast("long") for x in corners))).alias("train_end"))
     distance = F.abs(F.col("train_end") / n - wanted[0]) + F.abs((F.col("validation_end") - F.col("train_end")) / n - wanted[1]) + F.abs((F.col("_total") - F.col("validation_end")) / n - (1 - wanted[0] - wanted[1]))
     return grid.select(F.col("train_end").cast("long").alias("train_end"), F.col("validation_end").cast("long").alias("validation_end"), F.round(distance, 9).alias("distance")).orderBy("distance", "train_end").limit(1)
 
@@ -70,13 +73,13 @@ def split_integrity(rows: DataFrame, key: str, ts: str, label: str) -> DataFrame
     return overlap.unionByName(uncovered).unionByName(order).unionByName(classes)
 
 
-def split_digest(rows: DataFrame, key: str, version: str, feature_version: str = "v1", parts: int = 256) -> DataFrame:
+def split_digest(rows: DataFrame, key: str, version: str, feature_version: str = "v1", part: Column | None = None) -> DataFrame:
     """SHA-256 of the sorted lines id|split|feature version|version of each part of the keys, and of the parts' digests.
 
-    A digest of digests: no task gathers all lines.
+    A digest of digests: no task gathers all lines.  part: of a key, by default one of 256 by its crc32.
     """
     line = F.concat_ws("|", F.col(key).cast("string"), "split", F.lit(feature_version), F.lit(version))
-    part = F.pmod(F.crc32(F.col(key).cast("string")), F.lit(parts))
+    part = F.pmod(F.crc32(F.col(key).cast("string")), F.lit(256)) if part is None else part
     own = rows.groupBy(part.alias("_part")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("_d"))
     return own.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_part", "_d"))), lambda x: x["_d"]), "\n"), 256).alias("split_digest"))
 

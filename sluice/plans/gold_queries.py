@@ -187,10 +187,9 @@ def rare_event_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Sp.rare_event_bounds(rows, "ts", "event_id", "y")
 
 
-@query()
+@query(f"SELECT sha256(string_agg(d, chr(10) ORDER BY part)) AS split_digest FROM (SELECT part, sha256(string_agg(line, chr(10) ORDER BY line)) AS d FROM (SELECT event_id % 256 AS part, event_id::VARCHAR || '|' || split || '|v1|v1' AS line FROM ({_SPLIT})) GROUP BY part)")
 def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A digest of digests by crc32 parts; checked in tests."""
-    return Sp.split_digest(_split(spark, sf_dir), "event_id", "v1")
+    return Sp.split_digest(_split(spark, sf_dir), "event_id", "v1", part=F.col("event_id") % 256)
 
 
 @query(f"""
