@@ -15,9 +15,10 @@ registers are candidates, and candidates are linked if their shingle sets have
 a Jaccard similarity of THRESHOLD or more, computed exactly.  A bucket of
 equal bands never becomes all its pairs: first each member is compared with
 the bucket's leader, the member that meets most others, which settles groups
-of copies however large; then members of different components are compared,
-in buckets of up to FEW members one by one and in larger ones by blocks of
-BLOCK members whose signatures are held against each other in memory.  Pairs
+of copies however large; then members outside a bucket's
+largest component are compared with all others, in buckets of up to FEW
+members one by one and in larger ones in blocks of BLOCK members, which
+compare and verify in memory and give only links that join components.  Pairs
 whose signatures cannot belong to texts as alike as THRESHOLD (by four
 standard deviations) are not verified.  Groups are the connected components of the links.
 
@@ -38,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.batches import arrow_map, held, table, text_slices, words
+from sluice.llm.batches import arrow_map, gathered, held, table, text_slices, words
 from sluice.llm.scratch import kept
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 24, 4
@@ -192,30 +193,45 @@ def _verified(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFram
     return found.filter(F.col("similarity") >= threshold)
 
 
-def _blocks(least: int):
-    """Pairs of unlike components whose signatures agree in `least` registers or more."""
-    kind = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _blocks(least: int, threshold: float):
+    """Links that join unlike components: rest members against all, verified where they stand.
+
+    Pairs whose signatures agree in fewer than `least` registers, or that the
+    block's links join already, are passed over.
+    """
+    kind = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        band, i, j = key[0].as_py(), key[2].as_py(), key[3].as_py()
-        node, root, chunk = (rows.column(c).to_numpy() for c in ("node", "root", "chunk"))
+        band = key[0].as_py()
+        node, root, asks, rest = (rows.column(c).to_numpy() for c in ("node", "root", "asks", "rest"))
         sign = rows.column("signature").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
-        left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
-        out = []
-        for x in left:
-            y = right[(root[right] != root[x]) & ((node[right] > node[x]) | (i != j))]
+        flat = rows.column("shingles").combine_chunks().flatten().to_numpy().view(np.uint32)
+        cut = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(rows.column("shingles")).to_numpy())])
+        size, root, out = np.diff(cut), root.copy(), []
+        for x in np.flatnonzero(asks):
+            y = np.flatnonzero(~asks & (root != root[x]) & (~rest | (node > node[x])))  # two rest members meet once
+            y = y[np.minimum(size[y], size[x]) >= threshold * np.maximum(size[y], size[x])]
             same = sign[y] == sign[x]
             first = same.reshape(len(y), BANDS, ROWS).all(2).argmax(1)  # a pair is this band's if it is the first they share
             y = y[(same.sum(1) >= least) & (first == band)]
-            out.append(np.column_stack([np.full(len(y), node[x]), node[y]]))
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pa.table([pa.array(np.minimum(*pairs.T)), pa.array(np.maximum(*pairs.T))], schema=kind)
+            if not len(y):
+                continue
+            own = flat[cut[x] : cut[x + 1]]
+            theirs = gathered(cut[y], size[y], flat)
+            hit = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
+            both = np.add.reduceat(hit, np.cumsum(size[y]) - size[y], dtype=np.int64)
+            alike = both / (size[x] + size[y] - both)
+            for k in np.flatnonzero(alike >= threshold):
+                if root[y[k]] != root[x]:
+                    out.append((min(node[x], node[y[k]]), max(node[x], node[y[k]]), alike[k]))
+                    root[root == root[y[k]]] = root[x]
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), kind)] if out else [pa.array([], f.type) for f in kind], schema=kind)
 
     return run
 
 
 def links(single: DataFrame, signed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """a, b, similarity: links between different texts that join all that are alike and share a band.
+    """a, b, similarity: links between different texts that join all that are alike and share a band, not all links there are.
 
     single: node, bands, signature of one document of each text; signed: all
     documents' shingles.
@@ -223,8 +239,7 @@ def links(single: DataFrame, signed: DataFrame, threshold: float = THRESHOLD) ->
     low = threshold - SLACK
     spread = 4 * (low * (1 - low) / REGISTERS) ** 0.5  # four standard deviations of the agreement
     least = int(REGISTERS * (low - spread))
-    parts = int(single.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bands = single.select("node", F.posexplode("bands").alias("band", "key")).repartition(parts, "band", "key")  # one exchange for sizes and members
+    bands = single.select("node", F.posexplode("bands").alias("band", "key"))
     sizes = bands.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
     members = kept(bands.join(sizes, ["band", "key"]), "members")
     signs = kept(single.select("node", "signature").join(members.select("node").distinct(), "node", "left_semi"), "signs")
@@ -234,24 +249,31 @@ def links(single: DataFrame, signed: DataFrame, threshold: float = THRESHOLD) ->
     led = members.join(leaders, ["band", "key"]).filter("node != leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     first = kept(_verified(kept(_near(led, signs, least), "pairs"), signed, threshold), "links")
     rooted = members.join(components(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = rooted.groupBy("band", "key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low != _high").select("band", "key")
-    open_ = kept(rooted.join(mixed, ["band", "key"]).select("band", "key", "node", "root", "n"), "open")
+    shares = rooted.groupBy("band", "key", "root").agg(F.count("*").alias("_m"))
+    mixed = shares.groupBy("band", "key").agg(F.count("*").alias("_roots"), F.sum("_m").alias("n"), F.max("_m").alias("_most"), F.max_by("root", F.struct("_m", "root")).alias("major")).filter("_roots > 1")
+    open_ = kept(rooted.drop("n").join(mixed.select("band", "key", "n", "major", (F.col("n") - F.col("_most")).alias("r")), ["band", "key"]), "open")
     few = open_.filter(F.col("n") <= FEW)
     left, right = (few.select("band", "key", F.col("node").alias(x), F.col("root").alias(f"_{x}")) for x in "ab")
     near = _near(left.join(right, ["band", "key"]).filter("a < b AND _a != _b").select("a", "b").distinct(), signs, least)
-    chunks = F.ceil(F.col("n") / BLOCK).cast("int")
-    many = open_.filter(F.col("n") > FEW).withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
-    many = many.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1))).select("band", "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "node", "root", "chunk")
-    far = many.join(signs, "node").groupBy("band", "key", "i", "j").applyInArrow(_blocks(least), "a long, b long")
-    second = _verified(kept(near.unionByName(far).distinct(), "pairs"), signed, threshold)
-    return kept(first.unionByName(second).distinct(), "links")
+    # members outside the largest component, the rest, ask all members: blocks of the rest meet blocks of all
+    many = open_.filter(F.col("n") > FEW).withColumn("rest", F.col("root") != F.col("major"))
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    block = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    asking = many.filter("rest").select("band", "key", block("r").alias("i"), every("n").alias("j"), "node", "root", "rest", F.lit(True).alias("asks"))
+    asked = many.select("band", "key", every("r").alias("i"), block("n").alias("j"), "node", "root", "rest", F.lit(False).alias("asks"))
+    nodes = kept(many.select("node").distinct(), "nodes")
+    whole = kept(signed.select("node", "signature", "shingles").join(nodes, "node", "left_semi"), "whole")
+    far = asking.unionByName(asked).join(whole, "node").groupBy("band", "key", "i", "j").applyInArrow(_blocks(least, threshold), "a long, b long, similarity double")
+    second = _verified(kept(near, "pairs"), signed, threshold)
+    return kept(first.unionByName(second).unionByName(far), "links")
 
 
 def grouped(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, copy_of, group_id and n_links of each document.
+    """doc_id, copy_of and group_id of each document.
 
     copy_of is the smallest id with an equal text, group_id the smallest of
-    its group, n_links the number of links of its text to other texts.
+    its group.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("copy"))
@@ -261,10 +283,10 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     light = signed.filter("size(bands) > 0").select("node", "copy", "bands", "signature")
     single = kept(light.join(copies.select(F.col("copy_of").alias("node"), "copy"), ["node", "copy"], "left_semi").dropDuplicates(["node", "copy"]).drop("copy"), "single")
     found = links(single, signed, threshold)
-    degree = found.select("a").unionByName(found.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("copy_of")).agg(F.count("*").alias("n_links"))
-    classes = copies.join(components(found).withColumnRenamed("node", "copy_of"), "copy_of", "left").join(degree, "copy_of", "left")
+    classes = copies.join(components(found).withColumnRenamed("node", "copy_of"), "copy_of", "left")
     # ids of a group that share a row's text come by the text's digest; rows without an id have none
-    return ids.join(classes, "copy", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("copy_of")).alias("copy_of"), F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "copy_of")).alias("group_id"), F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"))
+    known = F.col("doc_id").isNotNull()
+    return ids.join(classes, "copy", "left").select("doc_id", F.when(known, F.col("copy_of")).alias("copy_of"), F.when(known, F.coalesce("root", "copy_of")).alias("group_id"))
 
 
 def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
