@@ -64,8 +64,8 @@ class Lattices:
         self.n = n = len(words[0])
         get = vocab.get
         self.spans = [(i, j) for j in range(1, n + 1) for i in range(max(0, j - LONGEST), j)]
-        flat = [get(w[i:j], -1) if j - i > 1 else get(w[i], 0) for w in words for i, j in self.spans]
-        self.pieces = np.array(flat, np.int32).reshape(len(words), len(self.spans))
+        flat = (get(w[i:j], -1) if j - i > 1 else get(w[i], 0) for w in words for i, j in self.spans)
+        self.pieces = np.fromiter(flat, np.int32, len(words) * len(self.spans)).reshape(len(words), len(self.spans))
         self.used = np.flatnonzero((self.pieces >= 0).any(0))
 
     def forward(self, p: np.ndarray) -> np.ndarray:

@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -166,13 +167,14 @@ def fitted(docs: DataFrame, labelled: DataFrame, bound: int = SAMPLE_DOCS) -> Ma
     if len(set(y.tolist())) < 2:
         return None
     feature, weight = (np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in rows.column(k).chunks]) for k in ("feature", "weight"))
-    lens = np.array([len(x) for x in rows.column("feature").to_pylist()])
+    lens = pc.list_value_length(rows.column("feature")).to_numpy().astype(np.int64)
     stats = np.array(rows.column("stats").to_pylist(), float)
     order = np.lexsort((feature[np.minimum(np.cumsum(lens) - lens, max(0, len(feature) - 1))] if len(feature) else lens, stats[:, -2], y))  # whatever order the rows came in
     if len(feature):
         first = np.cumsum(lens) - lens
         picked = np.concatenate([np.arange(first[d], first[d] + lens[d]) for d in order])
         feature, weight = feature[picked], weight[picked]
+        del picked
     lens, stats, y = lens[order], stats[order], y[order]
     edges = np.nan_to_num(np.nanquantile(np.where(np.isnan(stats).all(0), 0, stats), np.arange(1, BINS) / BINS, axis=0).T)
     machine = Machine.empty(edges)
