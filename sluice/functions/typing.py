@@ -122,3 +122,14 @@ def normal_target(c: Column) -> Column:
     """1 for true or 1, 0 for false or 0, null for anything else."""
     text = F.lower(F.trim(c.cast("string")))
     return F.when(text.isin("true", "1"), 1).when(text.isin("false", "0"), 0).cast("int")
+
+
+def model_type_fits(dtype: str, categorical: bool) -> bool:
+    """Whether a column's type will do as a model input: text for categories, any number otherwise."""
+    return dtype == "string" if categorical else dtype in ("tinyint", "smallint", "int", "bigint", "float", "double") or dtype.startswith("decimal")
+
+
+def finite_or_null(c: Column) -> Column:
+    """A double without NaN and infinities, for deviations that ignore them."""
+    d = c.cast("double")
+    return F.when(~(F.isnan(d) | (F.abs(d) == float("inf"))), d)

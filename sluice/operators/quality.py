@@ -229,3 +229,31 @@ def cascade(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         rules = [Rule("transaction_not_found", F.col("transaction_id").isNotNull() & F.col("_id").isNull()), Rule("label_before_transaction", P.out_of_order(F.col("_at"), F.col("label_timestamp")))]
         out["labels"] = with_reasons(joined, rules).drop("_id", "_at")
     return out
+
+
+def incomplete_metadata(rows: DataFrame, *columns: str) -> DataFrame:
+    """Number of rows with a null or blank metadata column."""
+    blank = reduce(lambda a, b: a | b, (P.missing(rows, c) for c in columns))
+    return rows.filter(blank).agg(F.count("*").alias("n"))
+
+
+def from_the_future(rows: DataFrame, known: str, used: str) -> DataFrame:
+    """Rows that use something known only later, such as a candle that ends after the event it is joined to."""
+    return rows.filter(P.out_of_order(F.col(known), F.col(used)))
+
+
+def negative_counts(rows: DataFrame, *columns: str) -> DataFrame:
+    """Negative values of each column, in one row."""
+    return rows.agg(*(F.count(F.when(F.col(c) < 0, 1)).alias(c) for c in columns))
+
+
+def final_table_check(rows: DataFrame, key: str, status: str, good: str = "VALID") -> DataFrame:
+    """Checks of a finished table: null keys, keys that repeat, rows with another status."""
+    odd = rows.filter(~F.col(status).eqNullSafe(F.lit(good))).agg(F.count("*").alias("n"))
+    return checks(("null_keys", null_keys(rows, key)), ("repeated_keys", duplicate_keys(rows, key)), ("other_status", odd))
+
+
+def integrity_report(tables: dict[str, DataFrame], links: list[tuple[str, str, str, str]]) -> DataFrame:
+    """A check per link (table, column, parent, key): how many present keys have no parent."""
+    found = [(f"{t}.{c}->{p}.{k}", orphans(tables[t], c, tables[p], k).agg(F.count("*").alias("n"))) for t, c, p, k in links]
+    return checks(*found)

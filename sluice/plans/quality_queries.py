@@ -273,3 +273,35 @@ def target_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     text = F.when(kind == "purchase", " TRUE ").when(kind == "error", "0").otherwise("maybe")
     return read_table(spark, sf_dir, "events").select("event_id", Ty.as_bool(F.when(kind == "view", "Yes").otherwise("no")).alias("flagged"), Ty.normal_target(text).cast("double").alias("target"))
+
+
+_LINKS = (("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey"), ("lineitem", "l_partkey", "part", "p_partkey"), ("customer", "c_nationkey", "nation", "n_nationkey"), ("nation", "n_regionkey", "region", "r_regionkey"), ("supplier", "s_nationkey", "nation", "n_nationkey"), ("events", "user_id", "customer", "c_custkey"), ("labels", "doc_id", "documents", "doc_id"))
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}.{c}->{p}.{k}' AS check_name, count(*) AS failures, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM {t} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {k} FROM {p})" for t, c, p, k in _LINKS))
+def dq_integrity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = {x for t, _, p, _ in _LINKS for x in (t, p)}
+    return Q.integrity_report({n: read_table(spark, sf_dir, n) for n in names}, list(_LINKS))
+
+
+@query("SELECT 'null_keys' AS check_name, count(*) FILTER (WHERE o_orderkey IS NULL) AS failures, 'PASS' AS status FROM orders UNION ALL SELECT 'repeated_keys', count(*) - count(DISTINCT o_orderkey), 'PASS' FROM orders UNION ALL SELECT 'other_status', count(*) FILTER (WHERE o_orderstatus <> 'F'), 'FAIL' FROM orders")
+def dq_final_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.final_table_check(read_table(spark, sf_dir, "orders"), "o_orderkey", "o_orderstatus", "F")
+
+
+@query("SELECT count(*) AS n FROM events WHERE event_type = 'view' OR trim(props) = ''")
+def dq_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "events").withColumn("_run", F.when(F.col("event_type") != "view", "run-1"))
+    return Q.incomplete_metadata(rows, "_run", "props")
+
+
+@query("SELECT event_id FROM events WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR > ts AND event_id % 100 = 0")
+def dq_future_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that would use the candle they are in, which ends after them."""
+    rows = read_table(spark, sf_dir, "events").filter("event_id % 100 = 0").withColumn("end", (Ty.hour_of(F.col("ts")) + F.expr("interval 1 hour")).cast("timestamp_ntz"))
+    return Q.from_the_future(rows, "end", "ts").select("event_id")
+
+
+@query("SELECT count(*) FILTER (WHERE c_acctbal < 0) AS c_acctbal, count(*) FILTER (WHERE c_custkey < 0) AS c_custkey FROM customer")
+def negative_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.negative_counts(read_table(spark, sf_dir, "customer"), "c_acctbal", "c_custkey")
