@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; where it is unset, as in tests, a folder of its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The session's spark.checkpoint.dir; where it is unset, as in tests, a folder of the context's own."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or getattr(context, "_sluice_folder", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if not context.master.startswith("local[") and context.master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = context._sluice_folder = tempfile.mkdtemp(prefix="checkpoints-")
     return folder.rstrip("/")
 
 
