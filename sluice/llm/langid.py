@@ -38,7 +38,7 @@ SAMPLE_DOCS, ROUNDS, LONGEST, MARK = 6000, 3, 16, "▁"
 UNKNOWN, LONG = 1e-7, 40
 #: Each piece's probability is raised by this per letter, so that no word underflows; taken off again at the end.
 RAISE = 50.0
-CACHED = 400_000
+CACHED = 600_000
 RUN = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
@@ -64,8 +64,8 @@ class Lattices:
         self.n = n = len(words[0])
         get = vocab.get
         self.spans = [(i, j) for j in range(1, n + 1) for i in range(max(0, j - LONGEST), j)]
-        flat = (get(w[i:j], -1) if j - i > 1 else get(w[i], 0) for w in words for i, j in self.spans)
-        self.pieces = np.fromiter(flat, np.int32, len(words) * len(self.spans)).reshape(len(words), len(self.spans))
+        flat = [get(w[i:j], -1) if j - i > 1 else get(w[i], 0) for w in words for i, j in self.spans]
+        self.pieces = np.array(flat, np.int32).reshape(len(words), len(self.spans))
         self.used = np.flatnonzero((self.pieces >= 0).any(0))
 
     def forward(self, p: np.ndarray) -> np.ndarray:
@@ -91,11 +91,11 @@ class Lattices:
             np.add.at(out, self.pieces[:, k], scale * a[:, i] * p[self.pieces[:, k]] * RAISE ** (j - i) * b[:, j])
 
 
-def _by_length(words: list[str]) -> list[tuple[list[int], list[str]]]:
+def _by_length(words: list[str], most: int = 20_000) -> list[tuple[list[int], list[str]]]:
     groups: dict[int, list[int]] = defaultdict(list)
     for i, w in enumerate(words):
         groups[len(w)].append(i)
-    return [(at, [words[i] for i in at]) for _, at in sorted(groups.items())]
+    return [(at[a : a + most], [words[i] for i in at[a : a + most]]) for _, at in sorted(groups.items()) for a in range(0, len(at), most)]
 
 
 class LanguageModel:
@@ -144,10 +144,9 @@ class LanguageModel:
         out = np.zeros((len(words), len(self.languages)))
         for at, ws in _by_length(words):
             if len(ws[0]) < LONG:
-                for a in range(0, len(ws), 20_000):
-                    lattice = Lattices([MARK + w for w in ws[a : a + 20_000]], self.vocab)
-                    for x, p in enumerate(self.p):
-                        out[at[a : a + 20_000], x] = np.log(lattice.forward(p)[:, -1]) - lattice.n * np.log(RAISE)
+                lattice = Lattices([MARK + w for w in ws], self.vocab)
+                for x, p in enumerate(self.p):
+                    out[at, x] = np.log(lattice.forward(p)[:, -1]) - lattice.n * np.log(RAISE)
             else:
                 for i, w in zip(at, ws):
                     out[i] = self._long(MARK + w)
