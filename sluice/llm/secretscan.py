@@ -1,8 +1,9 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-Everything is DataFrame and SQL functions.  A text is cut into words; a word
-that holds a long run of key-like characters with a digit, or a key of a known
-form, is a candidate.  Its
+Everything is DataFrame and SQL functions.  Every long run of key-like
+characters with a digit, and every key of a known form (JWTs whole, with their
+dots), is a candidate, however many a word holds: an assignment, URL or pair of
+credentials gives each of its parts, judged by the text before it.  Its
 features are length, character classes and transitions between them, how much
 of it dictionary words cover, words of its path, and the words beside it.  A
 random forest (MLlib) trained from labelled findings turns them into a
@@ -11,7 +12,8 @@ place, row by row, without a shuffle.  Private-key blocks are findings as they
 stand.
 
 Labelled findings: `findings` takes any table of text, path and label with a
-candidate a text; without one it learns from `example_findings`, which are made
+candidate a text, or with a column secret that says which of a text's
+candidates the label is of (the others are none); without one it learns from `example_findings`, which are made
 by rule from numbers, the same every time.
 
 Nulls, empty and long texts: null and empty texts have no findings; long texts
@@ -30,7 +32,12 @@ from sluice.llm.batches import table
 
 LEAST, THRESHOLD, TREES, DEPTH, EXAMPLES = 12, 0.5, 24, 6, 6000
 #: A text without this has no candidate, and its words are not looked at.
-CORE = rf"(?:AKIA|ASIA)[0-9A-Z]{{16}}|(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{{{LEAST},}}={{0,2}}"
+JWT = r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)*"
+#: Signs of equality are padding only where no value follows.
+PADDING = r"""(?:==?(?!=|["'`]?[A-Za-z0-9+/_-]))?"""
+CORE = rf"{JWT}|(?:AKIA|ASIA)[0-9A-Z]{{16}}|(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{{{LEAST},}}{PADDING}"
+#: Stands around every candidate of a text while it is cut; texts' own become line ends.
+EDGE, NEAR = "\x01", 200
 CUT = r"""[\s"'`<>(){}\[\]|,;]+"""
 BLOCK = r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?(?:-----END [A-Z ]*PRIVATE KEY-----|$)"
 #: Words by which keys and placeholders are told.
@@ -45,7 +52,7 @@ def _any(words: tuple[str, ...]) -> str:
     return "|".join(words)
 
 
-#: Name and SQL of each feature of a candidate c: core, word, before, before2, after, path.
+#: Name and SQL of each feature of a candidate c: core, word (up to the core's end), before, before2, tail (the word from there), after, path.
 FEATURES = {
     "length": "length(c.core)",
     "digits": "regexp_count(c.core, '[0-9]') / length(c.core)",
@@ -66,6 +73,9 @@ FEATURES = {
     "public_before": f"cast(lower(concat_ws(' ', c.before2, c.before, c.word)) rlike '{_any(PUBLIC_WORDS)}' as int)",
     "given": "cast(concat_ws(' ', c.before, c.word) rlike '[=:]' as int)",
     "place_near": f"cast(lower(concat_ws(' ', c.before2, c.before, c.after)) rlike '{_any(PLACE_WORDS)}' as int)",
+    "named": "cast(c.tail rlike '^[=:].' or (c.tail rlike '^[=:]$' and c.core rlike '^[A-Za-z][A-Za-z0-9]*([_-][A-Za-z0-9]+)+$') as int)",
+    "paired": "cast(c.word rlike '(AKIA|ASIA)[0-9A-Z]{16}[:,/].' as int)",
+    "in_url": "cast(c.word rlike '://[^?]*$' as int)",
     "path_test": "cast(coalesce(lower(c.path), '') rlike '(test|example|sample|fixture|mock|docs?/|readme)' as int)",
 }
 
@@ -78,20 +88,24 @@ def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
 def candidates(docs: DataFrame, text: str = "text", path: str | None = "source") -> DataFrame:
     """docs with _candidates, an array of structs with core, the words beside it, and features f (array<double>)."""
     where = f"`{path}`" if path else "cast(null as string)"
-    cut = once(docs, "_words", F.when(F.col(text).rlike(CORE), F.split(F.col(text), CUT)))
-    core = CORE.replace("\\", "\\\\")
-    found = once(cut, "_found", F.expr(f"filter(transform(_words, (w, i) -> named_struct('core', regexp_extract(w, '{core}', 0), 'word', w, 'before', get(_words, i - 1), 'before2', get(_words, i - 2), 'after', get(_words, i + 1), 'path', {where})), c -> c.core != '')"))
+    quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    marked = F.regexp_replace(F.translate(F.col(text), EDGE, "\n"), f"({CORE})", f"{EDGE}$1{EDGE}")
+    cut = once(docs, "_parts", F.when(F.col(text).rlike(CORE), F.split(marked, EDGE)))  # what is between candidates at even places, candidates at odd ones
+    near = once(cut, "_near", F.expr(f"""transform(filter(sequence(1, size(_parts) - 1), i -> i % 2 = 1), i -> named_struct('core', _parts[i],
+        'left', split(concat(IF(i > 1, right(_parts[i - 2], {NEAR}), ''), right(_parts[i - 1], {NEAR})), {quoted(CUT)}),
+        'right', split(concat(left(_parts[i + 1], {NEAR}), left(coalesce(get(_parts, i + 2), ''), {NEAR})), {quoted(CUT)})))"""))
+    found = once(near, "_found", F.expr(f"transform(_near, n -> named_struct('core', n.core, 'word', concat(element_at(n.left, -1), n.core), 'before', get(n.left, size(n.left) - 2), 'before2', get(n.left, size(n.left) - 3), 'tail', n.right[0], 'after', get(n.right, 1), 'path', {where}))"))
     features = ", ".join(f"cast({x} as double)" for x in FEATURES.values())
-    return once(found, "_candidates", F.expr(f"transform(_found, c -> named_struct('core', c.core, 'f', array({features})))")).drop("_words", "_found")
+    return once(found, "_candidates", F.expr(f"transform(_found, c -> named_struct('core', c.core, 'f', array({features})))")).drop("_parts", "_near", "_found")
 
 
 def example_findings(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
-    """text, path, label: findings made by rule, half of them secrets."""
+    """text, path, label, secret: findings made by rule, about half of them secrets; secret is null where all candidates have the label."""
     rows = spark.range(n).select(F.col("id"), F.sha2(F.concat(F.lit("finding "), F.col("id").cast("string")), 256).alias("h"), F.sha2(F.concat(F.lit("beside "), F.col("id").cast("string")), 256).alias("g"))
     word = lambda a, n: f"translate(substr(g, {a}, {n}), '0123456789abcdef', 'aeioustnrlmdcphg')"
     letters = "translate(upper(h), '0123456789ABCDEF', 'QZ2R4K7MAXBJCWEP')"
     mixed = "translate(base64(unhex(h)), '+/=', 'xY9')"
-    made = [  # label, text
+    made = [  # label, text; a tuple of (before, secret, after) is a secret among other candidates
         (1, "concat('token = \"', substr(h, 1, 40), '\"')"),
         (1, "concat('password=', substr(h, 1, 16 + cast(conv(substr(g, 60, 1), 16, 10) as int)))"),
         (1, f"concat('AKIA', substr({letters}, 1, 16))"),
@@ -117,20 +131,30 @@ def example_findings(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
         (0, f"concat('src/main/', {word(3, 5)}, '/util', id % 9, '/')"),
         (0, f"concat('order ', upper({word(4, 3)}), '-2023-', substr(translate(h, 'abcdef', '314159'), 1, 8))"),
         (0, f"concat('token = \"session', {word(30, 6)}, id % 9, '\"')"),
+        (1, ("concat('OAUTH2_CLIENT_SECRET', element_at(array('=', ': ', '=\"'), cast(1 + id % 3 as int)))", "substr(h, 1, 32)", "''")),
+        (1, (f"concat('S3_', upper({word(2, 5)}), '_ACCESS_KEY=')", f"substr({mixed}, 1, 40)", "''")),
+        (1, ("concat('https://h', substr(h, 60, 2), '.io/api/v', id % 9, '/', " + word(2, 5) + ", '/items?token=')", f"concat('ghp_', substr({mixed}, 1, 36))", "'&page=2'")),
+        (1, f"concat('AKIA', substr({letters}, 1, 16), ':', substr({mixed}, 1, 40))"),  # both are secrets
+        (1, ("concat('client_id=', substr(g, 1, 20), '&client_secret=')", "substr(h, 1, 32)", "''")),
+        (1, f"concat('eyJ', substr({mixed}, 1, 18), '.eyJ', substr({mixed}, 9, 30), '.', translate(substr({mixed}, 2, 40), 'xY', '_-'))"),
+        (0, "concat('https://www.', " + word(2, 6) + ", '.com/', " + word(12, 5) + ", '/', id % 9999, '/', " + word(20, 7) + ", '?page=', id % 99)"),
         (0, "concat('AKIAEXAMPLE', substr(translate(h, 'abcdef', '314159'), 1, 5), 'KEY')"),
     ]
-    kinds = f"CASE id % {len(made)} " + " ".join(f"WHEN {i} THEN {x}" for i, (_, x) in enumerate(made)) + " END"
-    label = f"CASE WHEN id % {len(made)} IN ({', '.join(str(i) for i, (y, _) in enumerate(made) if y)}) THEN 1.0D ELSE 0.0D END"
+    case = lambda xs: f"CASE id % {len(made)} " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(xs)) + " END"
+    kinds = case("concat(" + ", ".join(x) + ")" if isinstance(x, tuple) else x for _, x in made)
+    secret = case(x[1] if isinstance(x, tuple) else "cast(null as string)" for _, x in made)
+    label = case("1.0D" if y else "0.0D" for y, _ in made)
     path = "element_at(array('src0', 'web/page', 'tests/unit', 'src/app', 'news', 'readme'), cast(1 + conv(substr(g, 50, 1), 16, 10) as int) % 6 + 1)"
-    return rows.select(F.expr(f"concat({word(1, 5)}, ' ', {word(12, 7)}, ' ', {kinds}, ' ', {word(33, 6)}, '. ', {word(41, 4)})").alias("text"), F.expr(path).alias("path"), F.expr(label).alias("label"))
+    return rows.select(F.expr(f"concat({word(1, 5)}, ' ', {word(12, 7)}, ' ', {kinds}, ' ', {word(33, 6)}, '. ', {word(41, 4)})").alias("text"), F.expr(path).alias("path"), F.expr(label).alias("label"), F.expr(secret).alias("secret"))
 
 
 def forest(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH):
-    """A random forest of labelled findings (text, path, label)."""
+    """A random forest of labelled findings (text, path, label and, where a text has other candidates, secret)."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.functions import array_to_vector
 
-    rows = candidates(labelled, path="path").select("label", F.explode("_candidates").alias("c")).select("label", array_to_vector("c.f").alias("features"))
+    own = F.col("label") if "secret" not in labelled.columns else F.when(F.col("secret").isNull() | (F.col("secret") == F.col("c.core")), F.col("label")).otherwise(0.0)
+    rows = candidates(labelled, path="path").select("*", F.explode("_candidates").alias("c")).select(own.alias("label"), array_to_vector("c.f").alias("features"))
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=3, featureSubsetStrategy="sqrt", subsamplingRate=0.8).fit(rows)
 
 
@@ -182,7 +206,7 @@ def redacted(docs: DataFrame, labelled: DataFrame | None = None, mark: str = "[S
     own = docs.select(F.struct("*").alias("_row"), "text", *([path] if path else []))  # whatever else docs have stays out of the way
     rows = with_secrets(own, learnt(docs.sparkSession, labelled), path=path)
     changed = F.size("_secrets") > 0
-    out = rows.withColumn("_new", F.when(changed, F.expr(f"aggregate(_secrets, text, (t, s) -> replace(t, s.secret, '{mark}'))")).otherwise(F.col("text")))
+    out = rows.withColumn("_new", F.when(changed, F.expr(f"aggregate(array_sort(_secrets, (a, b) -> length(b.secret) - length(a.secret)), text, (t, s) -> replace(t, s.secret, '{mark}'))")).otherwise(F.col("text")))
     new = {"text": F.col("_new"), "n_chars": F.when(changed, F.length("_new").cast("long")).otherwise(F.col("_row.n_chars")) if "n_chars" in docs.columns else None}
     return out.select(*((new[c] if c in new else F.col("_row")[c]).alias(c) for c in docs.columns))
 
