@@ -302,6 +302,13 @@ def dq_future_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.from_the_future(rows, "end", "ts").select("event_id")
 
 
+@query("SELECT event_id FROM events WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR > ts")
+def dq_future_candles_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check of dq_future_candles over every event."""
+    rows = read_table(spark, sf_dir, "events").withColumn("end", (Ty.hour_of(F.col("ts")) + F.expr("interval 1 hour")).cast("timestamp_ntz"))
+    return Q.from_the_future(rows, "end", "ts").select("event_id")
+
+
 @query("SELECT count(*) FILTER (WHERE c_acctbal < 0) AS c_acctbal, count(*) FILTER (WHERE c_custkey < 0) AS c_custkey FROM customer")
 def negative_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.negative_counts(read_table(spark, sf_dir, "customer"), "c_acctbal", "c_custkey")

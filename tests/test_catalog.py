@@ -34,6 +34,11 @@ def test_query_gives_the_rows_of_its_sql(spark, duck, name):
     assert rows(got) == rows(want)
 
 
+def test_future_candles_are_looked_for_in_all_events(spark, duck):
+    want = duck.execute("SELECT count(*) FROM events WHERE ts IS NOT NULL").fetchone()[0]
+    assert catalog.QUERIES["dq_future_candles_all"](spark, DATA).count() == want
+
+
 def test_model_queries_tell_classes_apart(spark):
     for name in ("logistic_scores", "boosted_scores"):
         out = catalog.QUERIES[name](spark, DATA).toPandas()
