@@ -1,10 +1,11 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-Everything is DataFrame and SQL functions.  Every long run of key-like
-characters with a digit, and every key of a known form (JWTs whole, with their
-dots), is a candidate, however many a word holds: an assignment, URL or pair of
-credentials gives each of its parts, judged by the text before it.  Its
-features are length, character classes and transitions between them, how much
+Everything is DataFrame and SQL functions.  Every value behind a key word with =
+or :, whatever its length and signs (a quoted one whole, with its spaces), every
+key of a known form (JWTs whole, with their dots) and every long run of key-like
+characters with a digit is a candidate, however many a word holds: an
+assignment, URL or pair of credentials gives each of its parts, judged by the
+text before it.  Its features are length, character classes and transitions between them, how much
 of it dictionary words cover, words of its path, and the words beside it.  A
 random forest (MLlib) trained from labelled findings turns them into a
 probability; its trees become one SQL expression, so texts are scored in
@@ -19,7 +20,8 @@ by rule from numbers, the same every time.
 Nulls, empty and long texts: null and empty texts have no findings; long texts
 are read whole.  A null path has no path words; a null id stays null.  A secret
 that comes several times in a text is one finding with its first place and its
-number of occurrences; repeated rows are scanned each; an empty table gives no
+number of occurrences; one that could be a word of prose counts only behind its
+key word, and is redacted only there; repeated rows are scanned each; an empty table gives no
 rows.  Other columns are never looked at.
 """
 
@@ -35,9 +37,8 @@ LEAST, THRESHOLD, TREES, DEPTH, EXAMPLES = 12, 0.5, 24, 6, 6000
 JWT = r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)*"
 #: Signs of equality are padding only where no value follows.
 PADDING = r"""(?:==?(?!=|["'`]?[A-Za-z0-9+/_-]))?"""
-CORE = rf"{JWT}|(?:AKIA|ASIA)[0-9A-Z]{{16}}|(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{{{LEAST},}}{PADDING}"
-#: Stands around every candidate of a text while it is cut; texts' own become line ends.
-EDGE, NEAR = "\x01", 200
+SERVICE = r"(?<![A-Za-z0-9])(?:gh[pousr]_|xox[abprs]-|sk_live_|sk-|AIza|glpat-|eyJ)[A-Za-z0-9+/_-]+"
+CORE = rf"{JWT}|{SERVICE}{PADDING}|(?:AKIA|ASIA)[0-9A-Z]{{16}}|(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{{{LEAST},}}{PADDING}"
 CUT = r"""[\s"'`<>(){}\[\]|,;]+"""
 BLOCK = r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?(?:-----END [A-Z ]*PRIVATE KEY-----|$)"
 #: Words by which keys and placeholders are told.
@@ -47,12 +48,21 @@ PLACE_WORDS = ("example", "sample", "dummy", "changeme", "placeholder", "your",
 DICTIONARY = ("about", "access", "account", "admin", "after", "and", "api", "build", "cache", "change", "class", "client", "code", "config", "data", "date", "default", "demo", "dev", "document", "error", "event", "example", "file", "for", "function", "group", "hash", "here", "home", "html", "http", "image", "index", "input", "item", "java", "key", "lib", "list", "local", "log", "main", "manager", "map", "message", "model", "module", "name", "new", "node", "number", "object", "order", "output", "page", "path", "pass", "password", "private", "process", "public", "query", "release", "report", "request", "response", "sample", "secret", "server", "service", "session", "set", "source", "state", "status", "string", "system", "table", "test", "the", "time", "token", "type", "update", "user", "util", "value", "version", "view", "web", "word", "your")
 PREFIX = r"^(AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk_live_|sk-|AIza|glpat-|eyJ)"
 
+#: Stand around every candidate of a text while it is cut, and behind a key word; texts' own become line ends.
+EDGE, LEAD, NEAR = "\x01", "\x02", 200
+#: A name with a key word in it and = or : behind it, and the value: quoted, or up to space, closing signs or the next name.
+NAME = rf"""(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]{{1,99}}["'\]]{{0,2}}\s{{0,4}}[=:])[A-Za-z0-9_-]*?(?i:{"|".join(KEY_WORDS[:-1])}|auth(?!or))[A-Za-z0-9_-]*["'\]]{{0,2}}\s{{0,4}}(?::=|=>|==|[=:])\s{{0,4}}(?:(?i:bearer|basic|token)\s{{1,4}})?"""
+END = r"""(?![.,;:)\]}|&]{1,8}(?:[\s"'`<>]|\z))(?![&,;|][A-Za-z0-9_.-]{1,99}[=:])"""
+VALUE = rf"""(?:{END}[^\s"'`<>\x01\x02])++"""
+KEYED = rf"""({NAME}")([^"\n]+)(?=")|({NAME}')([^'\n]+)(?=')|({NAME}["'`]?)({VALUE})"""
+CANDIDATE = rf"{KEYED}|({CORE})"
+
 
 def _any(words: tuple[str, ...]) -> str:
     return "|".join(words)
 
 
-#: Name and SQL of each feature of a candidate c: core, word (up to the core's end), before, before2, tail (the word from there), after, path.
+#: Name and SQL of each feature of a candidate c: lead (the key word and sign it stands behind, or ''), core, word (up to the core's end), before, before2, tail (the word from there), after, path.
 FEATURES = {
     "length": "length(c.core)",
     "digits": "regexp_count(c.core, '[0-9]') / length(c.core)",
@@ -76,6 +86,13 @@ FEATURES = {
     "named": "cast(c.tail rlike '^[=:].' or (c.tail rlike '^[=:]$' and c.core rlike '^[A-Za-z][A-Za-z0-9]*([_-][A-Za-z0-9]+)+$') as int)",
     "paired": "cast(c.word rlike '(AKIA|ASIA)[0-9A-Z]{16}[:,/].' as int)",
     "in_url": "cast(c.word rlike '://[^?]*$' as int)",
+    "keyed": "cast(c.lead != '' as int)",
+    "assigned": "cast(c.lead rlike '=' as int)",
+    "quoted": "cast(c.lead rlike '[\"\\'`]$' as int)",
+    "tight": "cast(c.lead rlike '[=:][\"\\'`]?$' as int)",
+    "letters": "cast(c.core rlike '^[A-Za-z]+$' as int)",
+    "punctuation": "regexp_count(c.core, '[^A-Za-z0-9+/_=-]') / length(c.core)",
+    "code": "cast(c.core rlike '^[$%{]|[(){}\\\\[\\\\]]|^(?i:true|false|null|none|nil|undefined|string|str|int|bool|yes|no|required|optional|enabled|disabled|unknown|empty|env|self|basic|bearer|oauth2?)$' as int)",
     "path_test": "cast(coalesce(lower(c.path), '') rlike '(test|example|sample|fixture|mock|docs?/|readme)' as int)",
 }
 
@@ -85,18 +102,23 @@ def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
     return rows.select("*", F.explode(F.array(value)).alias(name))
 
 
+def behind(c: str = "c") -> str:
+    """SQL for the text that must stand before a candidate to tell it from a word of prose; '' if its own form does."""
+    return f"IF({c}.lead = '' OR length({c}.core) >= {LEAST} OR (length({c}.core) >= 8 AND {c}.core rlike '[A-Za-z]' AND {c}.core rlike '[^A-Za-z]'), '', {c}.lead)"
+
+
 def candidates(docs: DataFrame, text: str = "text", path: str | None = "source") -> DataFrame:
     """docs with _candidates, an array of structs with core, the words beside it, and features f (array<double>)."""
     where = f"`{path}`" if path else "cast(null as string)"
     quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    marked = F.regexp_replace(F.translate(F.col(text), EDGE, "\n"), f"({CORE})", f"{EDGE}$1{EDGE}")
-    cut = once(docs, "_parts", F.when(F.col(text).rlike(CORE), F.split(marked, EDGE)))  # what is between candidates at even places, candidates at odd ones
-    near = once(cut, "_near", F.expr(f"""transform(filter(sequence(1, size(_parts) - 1), i -> i % 2 = 1), i -> named_struct('core', _parts[i],
-        'left', split(concat(IF(i > 1, right(_parts[i - 2], {NEAR}), ''), right(_parts[i - 1], {NEAR})), {quoted(CUT)}),
-        'right', split(concat(left(_parts[i + 1], {NEAR}), left(coalesce(get(_parts, i + 2), ''), {NEAR})), {quoted(CUT)})))"""))
-    found = once(near, "_found", F.expr(f"transform(_near, n -> named_struct('core', n.core, 'word', concat(element_at(n.left, -1), n.core), 'before', get(n.left, size(n.left) - 2), 'before2', get(n.left, size(n.left) - 3), 'tail', n.right[0], 'after', get(n.right, 1), 'path', {where}))"))
+    marked = F.regexp_replace(F.translate(F.col(text), EDGE + LEAD, "\n\n"), CANDIDATE, f"{EDGE}$1$3$5{LEAD}$2$4$6$7{EDGE}")
+    cut = once(docs, "_parts", F.when(F.col(text).rlike(CANDIDATE), F.split(marked, EDGE)))  # what is between candidates at even places, candidates at odd ones
+    near = once(cut, "_near", F.expr(f"""transform(filter(sequence(1, size(_parts) - 1), i -> i % 2 = 1), i -> named_struct('lead', substring_index(_parts[i], '{LEAD}', 1), 'core', substring_index(_parts[i], '{LEAD}', -1),
+        'left', split(concat(IF(i > 1, replace(right(_parts[i - 2], {NEAR}), '{LEAD}', ''), ''), right(_parts[i - 1], {NEAR}), substring_index(_parts[i], '{LEAD}', 1)), {quoted(CUT)}),
+        'right', split(concat(left(_parts[i + 1], {NEAR}), replace(left(coalesce(get(_parts, i + 2), ''), {NEAR}), '{LEAD}', '')), {quoted(CUT)})))"""))
+    found = once(near, "_found", F.expr(f"transform(_near, n -> named_struct('lead', n.lead, 'core', n.core, 'word', concat(element_at(n.left, -1), n.core), 'before', get(n.left, size(n.left) - 2), 'before2', get(n.left, size(n.left) - 3), 'tail', n.right[0], 'after', get(n.right, 1), 'path', {where}))"))
     features = ", ".join(f"cast({x} as double)" for x in FEATURES.values())
-    return once(found, "_candidates", F.expr(f"transform(_found, c -> named_struct('core', c.core, 'f', array({features})))")).drop("_parts", "_near", "_found")
+    return once(found, "_candidates", F.expr(f"transform(_found, c -> named_struct('core', c.core, 'lead', {behind()}, 'f', array({features})))")).drop("_parts", "_near", "_found")
 
 
 def example_findings(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
@@ -137,6 +159,20 @@ def example_findings(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
         (1, f"concat('AKIA', substr({letters}, 1, 16), ':', substr({mixed}, 1, 40))"),  # both are secrets
         (1, ("concat('client_id=', substr(g, 1, 20), '&client_secret=')", "substr(h, 1, 32)", "''")),
         (1, f"concat('eyJ', substr({mixed}, 1, 18), '.eyJ', substr({mixed}, 9, 30), '.', translate(substr({mixed}, 2, 40), 'xY', '_-'))"),
+        (1, f"concat(element_at(array('password=', 'passwd: ', 'db_password = \"'), cast(1 + id % 3 as int)), {word(1, 7)}, {word(9, 5)}, {word(18, 7)}, {word(27, 6)})"),
+        (1, f"concat(element_at(array('password=', 'pwd=', 'PASSWORD: '), cast(1 + id % 3 as int)), initcap({word(1, 3)}), id % 10, {word(5, 2)}, id % 7, {word(9, 3)}, element_at(array('&', '!', '$', '#', '@'), cast(1 + id % 5 as int)), id % 9)"),
+        (1, f"concat(element_at(array('password=', 'pwd: ', 'secret='), cast(1 + id % 3 as int)), {word(1, 4)}, id % 1000)"),
+        (1, f"concat('password=', {word(1, 4)}, {word(9, 3)})"),
+        (1, f"concat('passphrase = \"', {word(1, 6)}, ' ', {word(9, 5)}, ' ', {word(18, 7)}, ' ', {word(27, 4)}, '\"')"),
+        (1, f"concat('sk_live_', {word(1, 8)}, {word(9, 8)})"),
+        (1, f"concat(element_at(array('xoxb-', 'glpat-', 'sk-', 'gho_'), cast(1 + id % 4 as int)), {word(1, 8)}, {word(9, 8)})"),
+        (0, f"concat(element_at(array('the secret: ', 'password: ', 'a token: '), cast(1 + id % 3 as int)), {word(1, 5)})"),
+        (0, "concat(element_at(array('token: ', 'password=', 'auth = ', 'secret: '), cast(1 + id % 4 as int)), element_at(array('string', 'true', 'null', 'none', 'required'), cast(1 + id % 5 as int)))"),
+        (0, f"concat(element_at(array('password=', 'token: ', 'secret = '), cast(1 + id % 3 as int)), element_at(array('${{', '$', '{{{{'), cast(1 + id % 3 as int)), upper({word(1, 6)}), '}}')"),
+        (0, f"concat('token = get_', {word(1, 5)}, '(', {word(9, 4)}, ')')"),
+        (0, "concat(element_at(array('max_tokens=', 'tokens: '), cast(1 + id % 2 as int)), id % 9999)"),
+        (0, "concat(element_at(array('password=', 'password: \"', 'secret='), cast(1 + id % 3 as int)), element_at(array('changeme', 'your_password', 'example', 'xxxxxxxx'), cast(1 + id % 4 as int)))"),
+        (0, f"concat('sk-', {word(1, 3)})"),
         (0, "concat('https://www.', " + word(2, 6) + ", '.com/', " + word(12, 5) + ", '/', id % 9999, '/', " + word(20, 7) + ", '?page=', id % 99)"),
         (0, "concat('AKIAEXAMPLE', substr(translate(h, 'abcdef', '314159'), 1, 5), 'KEY')"),
     ]
@@ -177,14 +213,18 @@ def rule(core: str = "c.core") -> str:
     return f"CASE WHEN {core} rlike '^(AKIA|ASIA)' THEN 'cloud_key' WHEN {core} rlike '{PREFIX}' THEN 'service_token' WHEN {core} rlike '^[0-9a-fA-F]+$' THEN 'hex_secret' ELSE 'secret' END"
 
 
+#: What x stands behind; only '' where one of its places needs nothing before it.
+LEADS = "IF(exists(_all, s -> s.secret = x AND s.lead = ''), array(''), array_distinct(transform(filter(_all, s -> s.secret = x), s -> s.lead)))"
+
+
 def with_secrets(docs: DataFrame, score: str, threshold: float = THRESHOLD, path: str | None = "source") -> DataFrame:
-    """docs with _secrets: array of (secret, rule, score), distinct in a text, in order of place."""
-    scored = once(candidates(docs, path=path), "_scored", F.expr(f"filter(transform(_candidates, c -> named_struct('secret', c.core, 'rule', {rule()}, 'score', {score})), s -> s.score >= {threshold}D)"))
-    blocks = F.when(F.col("text").contains("PRIVATE KEY"), F.expr("transform(regexp_extract_all(text, '" + BLOCK.replace("\\", "\\\\") + "', 0), b -> named_struct('secret', b, 'rule', 'private_key', 'score', 1.0D))"))
-    kind = "array<struct<secret:string,rule:string,score:double>>"
+    """docs with _secrets: array of (secret, rule, score, leads), distinct in a text, in order of place."""
+    scored = once(candidates(docs, path=path), "_scored", F.expr(f"filter(transform(_candidates, c -> named_struct('secret', c.core, 'rule', {rule()}, 'score', {score}, 'lead', c.lead)), s -> s.score >= {threshold}D)"))
+    blocks = F.when(F.col("text").contains("PRIVATE KEY"), F.expr("transform(regexp_extract_all(text, '" + BLOCK.replace("\\", "\\\\") + "', 0), b -> named_struct('secret', b, 'rule', 'private_key', 'score', 1.0D, 'lead', ''))"))
+    kind = "array<struct<secret:string,rule:string,score:double,lead:string>>"
     all_ = F.concat(F.coalesce(blocks.cast(kind), F.array().cast(kind)), F.coalesce(F.col("_scored").cast(kind), F.array().cast(kind)))
     # the same secret beside different words may have several scores: the best counts
-    named = once(once(scored, "_all", all_), "_secrets", F.expr("transform(array_distinct(transform(_all, s -> s.secret)), x -> named_struct('secret', x, 'rule', element_at(filter(_all, s -> s.secret = x), 1).rule, 'score', array_max(transform(filter(_all, s -> s.secret = x), s -> s.score))))"))
+    named = once(once(scored, "_all", all_), "_secrets", F.expr(f"transform(array_distinct(transform(_all, s -> s.secret)), x -> named_struct('secret', x, 'rule', element_at(filter(_all, s -> s.secret = x), 1).rule, 'score', array_max(transform(filter(_all, s -> s.secret = x), s -> s.score)), 'leads', {LEADS}))"))
     return named.drop("_candidates", "_scored", "_all")
 
 
@@ -197,8 +237,9 @@ def findings(docs: DataFrame, labelled: DataFrame | None = None, path: str | Non
     """A row per document and secret: doc_id, rule, start (from 0), length, occurrences, secret_sha256, score."""
     own = docs.select("doc_id", "text", *([path] if path else []))
     rows = with_secrets(own, learnt(docs.sparkSession, labelled), path=path).filter("size(_secrets) > 0").select("doc_id", "text", F.explode("_secrets").alias("s"))
-    times: Column = ((F.length("text") - F.length(F.replace(F.col("text"), F.col("s.secret"), F.lit("")))) / F.length("s.secret")).cast("long")
-    return rows.select("doc_id", F.col("s.rule").alias("rule"), (F.instr("text", F.col("s.secret")) - 1).cast("long").alias("start"), F.length("s.secret").cast("long").alias("length"), times.alias("occurrences"), F.sha2(F.col("s.secret"), 256).alias("secret_sha256"), F.col("s.score").alias("score"))
+    places = F.expr("aggregate(s.leads, 0L, (n, l) -> n + (length(text) - length(replace(text, concat(l, s.secret), ''))) div length(concat(l, s.secret)))")
+    first = F.expr("array_min(transform(s.leads, l -> instr(text, concat(l, s.secret)) + length(l)))") - 1
+    return rows.select("doc_id", F.col("s.rule").alias("rule"), first.cast("long").alias("start"), F.length("s.secret").cast("long").alias("length"), places.cast("long").alias("occurrences"), F.sha2(F.col("s.secret"), 256).alias("secret_sha256"), F.col("s.score").alias("score"))
 
 
 def redacted(docs: DataFrame, labelled: DataFrame | None = None, mark: str = "[SECRET]", path: str | None = "source") -> DataFrame:
@@ -206,7 +247,7 @@ def redacted(docs: DataFrame, labelled: DataFrame | None = None, mark: str = "[S
     own = docs.select(F.struct("*").alias("_row"), "text", *([path] if path else []))  # whatever else docs have stays out of the way
     rows = with_secrets(own, learnt(docs.sparkSession, labelled), path=path)
     changed = F.size("_secrets") > 0
-    out = rows.withColumn("_new", F.when(changed, F.expr(f"aggregate(array_sort(_secrets, (a, b) -> length(b.secret) - length(a.secret)), text, (t, s) -> replace(t, s.secret, '{mark}'))")).otherwise(F.col("text")))
+    out = rows.withColumn("_new", F.when(changed, F.expr(f"aggregate(array_sort(_secrets, (a, b) -> length(b.secret) - length(a.secret)), text, (t, s) -> aggregate(s.leads, t, (u, l) -> replace(u, concat(l, s.secret), concat(l, '{mark}'))))")).otherwise(F.col("text")))
     new = {"text": F.col("_new"), "n_chars": F.when(changed, F.length("_new").cast("long")).otherwise(F.col("_row.n_chars")) if "n_chars" in docs.columns else None}
     return out.select(*((new[c] if c in new else F.col("_row")[c]).alias(c) for c in docs.columns))
 

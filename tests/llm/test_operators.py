@@ -246,6 +246,25 @@ def test_every_secret_of_a_word_is_found(spark):
     assert a[:32] not in out[5]
 
 
+def test_values_behind_key_words_are_candidates_whatever_their_form(spark):
+    texts = {
+        1: ("set password=correcthorsebatterystaple now", "set password=[SECRET] now"),
+        2: ("use sk_live_abcdefghijklmnop now", "use [SECRET] now"),
+        3: ("set password=Tr0ub4dor&3 now", "set password=[SECRET] now"),
+        4: ("the river pwd=riv37 riv37 now", "the river pwd=[SECRET] riv37 now"),
+        5: ('passphrase = "tall ships sail north" here', 'passphrase = "[SECRET]" here'),
+        6: ("password: required and token = null here", "password: required and token = null here"),
+        7: ("the author: martin said max_tokens=4096", "the author: martin said max_tokens=4096"),
+    }
+    rows = spark.createDataFrame([(i, t, "src1") for i, (t, _) in texts.items()], "doc_id long, text string, source string")
+    assert {r.doc_id: r.text for r in secretscan.redacted(rows).collect()} == {i: t for i, (_, t) in texts.items()}
+    for r in secretscan.findings(rows).collect():
+        assert hashlib.sha256(texts[r.doc_id][0][r.start : r.start + r.length].encode()).hexdigest() == r.secret_sha256 and r.occurrences == 1
+    long = "aB3." * 20000 + "z"
+    only = secretscan.candidates(spark.createDataFrame([(f"password={long} x",)], "text string"), path=None).select(F.explode("_candidates.core").alias("c")).collect()
+    assert [r.c for r in only] == [long]
+
+
 def near_corpus(seed=9):
     r = random.Random(seed)
     words = ["".join(r.choice("abcdefghij") for _ in range(4)) for _ in range(400)]
