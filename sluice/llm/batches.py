@@ -8,19 +8,21 @@ each distinct word of a slice once.
 
 from __future__ import annotations
 
-import contextlib
 import ctypes
+import functools
 import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that are held at once as words.
 SLICE_BYTES = 4 << 20
+#: Bytes of a group behind which memory is given back.
+LARGE_GROUP = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -124,19 +126,69 @@ class RunCache:
 _HELD: dict[tuple, object] = {}
 
 
+@functools.cache
+def _c_library():
+    """The C library of a worker, told once to give freed arrays back to the system; None where it cannot."""
+    try:
+        c = ctypes.CDLL(None)
+        for option, value in ((-3, 4 << 20), (-1, 16 << 20), (-8, 1)):  # least size of a mapping of its own, most free memory at the top, arenas
+            c.mallopt(option, value)
+        c.malloc_trim(0)
+    except (OSError, AttributeError):
+        return None
+    pa.set_memory_pool(pa.system_memory_pool())
+    return c
+
+
+def let_go() -> None:
+    """Gives what a worker does not need any more back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if c := _c_library():
+        c.malloc_trim(0)
+
+
 def held(kind: tuple, make):
     """What a worker keeps from task to task, such as a model with its cache of words: one thing at a time, so that stages of a pipeline don't add up."""
     if kind not in _HELD:
         if _HELD:
             _HELD.clear()
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # freed memory goes back to the system where the C library can
-                ctypes.CDLL(None).malloc_trim(0)
+            let_go()
         _HELD[kind] = make()
     return _HELD[kind]
 
 
+def _begun(keeps: bool) -> None:
+    """Before a task or a group; keeps: whether what the worker holds may be of use for it."""
+    _c_library()
+    if not keeps and _HELD:
+        _HELD.clear()
+        let_go()
+
+
+def _lean_batches(function):
+    def batches(rows):
+        _begun(True)
+        yield from function(rows)
+        let_go()
+
+    return batches
+
+
+def _lean_group(function):
+    def group(rows):
+        return keyed_group(rows)
+
+    def keyed_group(*args):
+        _begun(False)
+        out = function(*args)
+        if args[-1].nbytes > LARGE_GROUP:
+            let_go()
+        return out
+
+    return (lambda key, rows: keyed_group(key, rows)) if function.__code__.co_argcount == 2 else group
+
+
 def shipped(spark: SparkSession) -> None:
     """Sends this package to the executors, once a Spark context, unless their path has it."""
     import os
@@ -159,4 +211,10 @@ def shipped(spark: SparkSession) -> None:
 def arrow_map(rows: DataFrame, function, schema) -> DataFrame:
     """mapInArrow with this package on the executors."""
     shipped(rows.sparkSession)
-    return rows.mapInArrow(function, schema)
+    return rows.mapInArrow(_lean_batches(function), schema)
+
+
+def arrow_groups(groups: GroupedData, function, schema: str) -> DataFrame:
+    """applyInArrow with this package on the executors."""
+    shipped(groups.session)
+    return groups.applyInArrow(_lean_group(function), schema)

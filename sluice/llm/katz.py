@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.batches import arrow_map, remainder, table, text_slices, words
+from sluice.llm.batches import arrow_groups, arrow_map, remainder, table, text_slices, words
 from sluice.llm.batches import held as kept_things
 from sluice.llm.scratch import dropped, new_path, settled
 
@@ -316,7 +316,7 @@ def scored(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, parts: int | None
     write(arrow_map(docs.select("doc_id", "text", "held"), _asking(parts, block_tokens), MESSAGE), asked)
     ask = lambda *kinds: spark.read.schema(MESSAGE).parquet(asked).filter(F.col("kind").isin(*kinds))
     for turn in range(TURNS):
-        counted = ask("1", "2").filter(F.col("part") % TURNS == turn).groupBy("kind", "part").applyInArrow(_counted, COUNTED)
+        counted = arrow_groups(ask("1", "2").filter(F.col("part") % TURNS == turn).groupBy("kind", "part"), _counted, COUNTED)
         counted.write.mode("append").option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0").partitionBy("kind").parquet(counts)
         settled(spark)
     count = spark.read.schema(COUNTED).parquet(counts)
@@ -328,13 +328,13 @@ def scored(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, parts: int | None
     settled(spark)
     columns = ["kind", "block", "part", "body"]
     first = ask("text", "1").unionByName(count.filter(F.col("kind").isin("answers1", "answers2")).select(*columns))
-    write(first.groupBy("block").applyInArrow(_first_round(one, two, parts), MESSAGE), shares)
+    write(arrow_groups(first.groupBy("block"), _first_round(one, two, parts), MESSAGE), shares)
     for done in (f"{asked}/kind=text", f"{counts}/kind=answers1", f"{counts}/kind=answers2"):
         dropped(spark, done)
     settled(spark)
     share = spark.read.schema(MESSAGE).parquet(shares)
-    weights = ask("1").unionByName(share.filter("kind = 'shares'")).groupBy("part").applyInArrow(_weights, MESSAGE)
-    return share.filter("kind = 'docs'").unionByName(weights).groupBy("block").applyInArrow(_second_round(one[0]), SCORES)
+    weights = arrow_groups(ask("1").unionByName(share.filter("kind = 'shares'")).groupBy("part"), _weights, MESSAGE)
+    return arrow_groups(share.filter("kind = 'docs'").unionByName(weights).groupBy("block"), _second_round(one[0]), SCORES)
 
 
 def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:

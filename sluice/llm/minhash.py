@@ -1,26 +1,35 @@
 """Near-duplicate groups by ProbMinHash signatures, banding and verification.
 
-Texts become sets of SHINGLE successive words, weighted by 1 + a quarter of the
-log of how often each comes: a repeated line counts more, but a text with it
-is still near the text with one line less.  Each shingle is a Poisson process whose rate is its weight;
-its arrivals fall on random registers, and a register keeps the shingle of its
-first arrival.  Two texts agree in a register with the probability Jaccard
-similarity of their weights.  Arrivals come in order of time, so the process
-ends early: only arrivals up to the time by which all registers are expected
-to be taken are drawn, and the few texts with a register still empty go on to
-twice that time.
+Texts become sets of SHINGLE successive words, weighted by how often each
+comes, up to HEAVIEST times the weight of one that comes once.  Each shingle
+is a Poisson process whose rate is its weight; its arrivals fall on random
+registers, and a register keeps the shingle of its first arrival.  Two texts
+agree in a register with the probability Jaccard similarity of their weights.
+Arrivals come in order of time, so the process ends early: only arrivals up to
+the time by which all registers are expected to be taken are drawn, and the
+few texts with a register still empty go on to twice that time.
 
 Equal texts are one node from the start.  Texts that agree in a band of ROWS
-registers are candidates, and candidates are linked if their shingle sets have
-a Jaccard similarity of THRESHOLD or more, computed exactly.  A bucket of
-equal bands never becomes all its pairs: first each member is compared with
-the bucket's leader, the member that meets most others, which settles groups
-of copies however large; then members outside a bucket's
-largest component are compared with all others, in buckets of up to FEW
-members one by one and in larger ones in blocks of BLOCK members, which
-compare and verify in memory and give only links that join components.  Pairs
-whose signatures cannot belong to texts as alike as THRESHOLD (by four
-standard deviations) are not verified.  Groups are the connected components of the links.
+registers are candidates; every candidate pair that could join two groups is
+verified: it is linked if the shingle sets (64-bit hashes) have a Jaccard
+similarity of THRESHOLD or more.  Nothing but bounds of their
+similarity, by sizes and prefixes, keeps a pair from being verified.
+
+A bucket of equal bands never becomes all its pairs.  First each member is
+compared with the bucket's leader, the member that meets most others, which
+settles groups of copies however large.  What buckets still hold of different
+groups is compared one by one in buckets of up to FEW members.  Members of
+larger ones meet by their prefixes: a set's shingles in order of how rare they
+are (by a table of SLOTS counts), of which two sets as alike as THRESHOLD must
+share one of the first n - ceil(THRESHOLD n) + 1, early enough in both for
+what follows it to make up the rest.  So boilerplate, which is common, brings
+nobody together, and no pair is lost.  Buckets of a prefix
+shingle with members of several groups are compared one by one or, when large,
+in blocks of BLOCK members, which give only links that join groups.  Groups
+are the connected components of the links.
+
+Large buckets are dealt over up to SALTS parts by their members' ids in every
+join by bucket, so none is a single task's.
 
 Nulls, empty and long texts: a null text counts as empty; a text of fewer than
 SHINGLE words is one shingle of all its words; an empty text has no shingle
@@ -39,13 +48,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.batches import arrow_map, gathered, held, table, text_slices, words
-from sluice.llm.scratch import kept
+from sluice.llm.batches import arrow_groups, arrow_map, gathered, held, table, text_slices, words
+from sluice.llm.scratch import Scratch
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 24, 4
-FEW, BLOCK = 12, 1024
-#: How far weights may take probability similarity below set similarity for a pair to be verified still.
-SLACK = 0.04
+FEW, BLOCK, SALTS, SLOTS = 32, 256, 1024, 1 << 16
+#: The weight of a shingle that comes very often.  It is near 1, so that repeats take little from the similarity by which texts become candidates.
+HEAVIEST = 1.25
 REGISTERS = BANDS * ROWS
 _U, _S = np.uint64, np.float64(2.0**-53)
 
@@ -86,7 +95,7 @@ def shingles(start: np.ndarray, code: np.ndarray, hashes: np.ndarray, size: int
 
 def weigh(times: np.ndarray) -> np.ndarray:
     """A shingle's weight by how often it comes."""
-    return 1 + np.log(times) / 4
+    return np.minimum(1 + np.log(times) / 16, HEAVIEST)
 
 
 def signatures(of: np.ndarray, value: np.ndarray, times: np.ndarray, n: int, registers: int = REGISTERS) -> np.ndarray:
@@ -128,92 +137,109 @@ def signatures(of: np.ndarray, value: np.ndarray, times: np.ndarray, n: int, reg
     return out
 
 
-def _signed(batches):
+def _shingled(batch: pa.RecordBatch):
+    """(rows, start of each text's shingles and the end, their hashes, how often they come) of the slices of a batch."""
     names: dict[str, int] = held(("shingles",), dict)
+    for rows, text in text_slices(batch, 2 << 20):
+        start, code, distinct = words(text)
+        if len(names) + len(distinct) > 400_000:
+            names.clear()
+        for w in distinct:
+            if w not in names:
+                names[w] = xxhash.xxh3_64_intdigest(w)
+        of, value, times = shingles(start, code, np.fromiter(map(names.__getitem__, distinct), np.uint64, len(distinct)))
+        yield rows, of, np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(text)))]), value, times
+
+
+def _lists(sizes: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values))
+
+
+def _signed(batches):
     for batch in batches:
-        for rows, text in text_slices(batch, 2 << 20):
-            start, code, distinct = words(text)
-            if len(names) + len(distinct) > 400_000:
-                names.clear()
-            for w in distinct:
-                if w not in names:
-                    names[w] = xxhash.xxh3_64_intdigest(w)
-            of, value, times = shingles(start, code, np.fromiter(map(names.__getitem__, distinct), np.uint64, len(distinct)))
-            n = len(text)
+        for rows, of, cut, value, times in _shingled(batch):
+            n, size = len(cut) - 1, np.diff(cut)
             sign = signatures(of, value, times, n)
             with np.errstate(over="ignore"):
                 band = np.zeros((n, BANDS), np.uint64)
                 for r in range(ROWS):
                     band = _mix(band * _U(0x9E3779B97F4A7C15) + sign[:, r::ROWS])
                 band = _mix(band + np.arange(BANDS, dtype=np.uint64))
-            cut = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=n))])
-            some = np.diff(cut) > 0
-            lists = lambda each, x: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(each)]), pa.int32()), pa.array(x))
-            low = lambda x: (x >> _U(32)).astype(np.uint32).view(np.int32)
-            yield pa.RecordBatch.from_arrays([rows.column(rows.schema.get_field_index("doc_id")).cast(pa.int64()), rows.column(rows.schema.get_field_index("copy")), lists(np.where(some, BANDS, 0), band[some].reshape(-1).view(np.int64)), lists(np.where(some, REGISTERS, 0), low(sign[some].reshape(-1))), lists(np.diff(cut), low(value))], names=["node", "copy", "bands", "signature", "shingles"])
+            yield pa.RecordBatch.from_arrays([rows.column("node"), pa.array(size.astype(np.int32)), _lists(np.where(size > 0, BANDS, 0), band[size > 0].reshape(-1).view(np.int64))], names=["node", "size", "bands"])
 
 
-SIGNED = "node long, copy binary, bands array<long>, signature array<int>, shingles array<int>"
+def _sets(batches):
+    for batch in batches:
+        for rows, _, cut, value, _ in _shingled(batch):
+            yield pa.RecordBatch.from_arrays([rows.column("node"), _lists(np.diff(cut), value.view(np.int64))], names=["node", "shingles"])
+
+
+SIGNED, SETS = "node long, size int, bands array<long>", "node long, shingles array<long>"
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """node, root of each node of the links (a, b): root is the smallest node that links lead to.
 
     Every round gives each node the smallest root next to it and then its
     root's root, so a chain halves; rounds end when nothing changes.
     """
-    both = kept(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    roots = kept(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("root")), "roots")
+    both = scratch.kept(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    roots = scratch.kept(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("root")), "roots")
     while True:
         near = both.join(roots.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         low = roots.join(near, "node").select("node", "root", F.least("root", "near").alias("low"))
         up = roots.select(F.col("node").alias("low"), F.col("root").alias("over"))
-        new = kept(low.join(up, "low", "left").select("node", F.col("root").alias("before"), F.least("low", F.coalesce("over", "low")).alias("root")), "roots")
+        new = scratch.kept(low.join(up, "low", "left").select("node", F.col("root").alias("before"), F.least("low", F.coalesce("over", "low")).alias("root")), "roots")
         if new.filter("root != before").limit(1).count() == 0:
             return new.select("node", "root")
         roots = new.select("node", "root")
 
 
-def _near(pairs: DataFrame, signs: DataFrame, least: int) -> DataFrame:
-    """a, b of the pairs whose signatures agree in `least` registers or more."""
-    left, right = (signs.select(F.col("node").alias(x), F.col("signature").alias(f"_{x}")) for x in "ab")
-    agree = F.expr("aggregate(zip_with(_a, _b, (x, y) -> IF(x = y, 1, 0)), 0, (n, x) -> n + x)")
-    return pairs.join(left, "a").join(right, "b").filter(agree >= least).select("a", "b")
+def _sized(a: str, b: str, threshold: float):
+    """Whether sets of two sizes can be as alike as the threshold."""
+    return F.least(a, b) >= threshold * F.greatest(a, b)
 
 
-def _verified(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
-    """a, b, similarity of the pairs that are alike.  pairs: written, so that few of them are known to be few."""
-    nodes = kept(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "nodes")
-    sets = kept(signed.select("node", "shingles").join(nodes, "node", "left_semi"), "sets")
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """a, b, similarity of the pairs that are alike."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_x"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_y"))
     both = F.size(F.array_intersect("_x", "_y"))
-    near = F.least(F.size("_x"), F.size("_y")) >= threshold * F.greatest(F.size("_x"), F.size("_y"))
-    found = pairs.join(left, "a").join(right, "b").filter(near).select("a", "b", (both / (F.size("_x") + F.size("_y") - both)).alias("similarity"))
+    found = pairs.join(left, "a").join(right, "b").select("a", "b", (both / (F.size("_x") + F.size("_y") - both)).alias("similarity"))
     return found.filter(F.col("similarity") >= threshold)
 
 
-def _blocks(least: int, threshold: float):
-    """Links that join unlike components: rest members against all, verified where they stand.
+def _prefixes(weights: np.ndarray, threshold: float):
+    """node, root, size, key and pos: the rarest shingles of each set, one of which any set as alike must share with it, and their places."""
 
-    Pairs whose signatures agree in fewer than `least` registers, or that the
-    block's links join already, are passed over.
-    """
+    def rows(batches):
+        for batch in batches:
+            lists = batch.column("shingles")
+            size = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat, of = lists.flatten().to_numpy().view(np.uint64), np.repeat(np.arange(len(size)), size)
+            order = np.lexsort((flat, weights[(flat % _U(len(weights))).astype(np.int64)], of))
+            most = size - np.ceil(threshold * size - 1e-9).astype(np.int64) + 1
+            pos = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+            first = pos < most[of]
+            at = of[first]
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(at)), batch.column("root").take(pa.array(at)), pa.array(size[at].astype(np.int32)), pa.array(flat[order][first].view(np.int64)), pa.array(pos[first].astype(np.int32))], names=["node", "root", "size", "key", "pos"])
+
+    return rows
+
+
+def _blocks(threshold: float):
+    """Links that join unlike groups, verified where their members stand; pairs that the block's links join already are passed over."""
     kind = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
 
-    def run(key: tuple, rows: pa.Table) -> pa.Table:
-        band = key[0].as_py()
-        node, root, asks, rest = (rows.column(c).to_numpy() for c in ("node", "root", "asks", "rest"))
-        sign = rows.column("signature").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
-        flat = rows.column("shingles").combine_chunks().flatten().to_numpy().view(np.uint32)
+    def run(rows: pa.Table) -> pa.Table:
+        node, root, asks, rest, pos = (rows.column(c).to_numpy() for c in ("node", "root", "asks", "rest", "pos"))
+        flat = rows.column("shingles").combine_chunks().flatten().to_numpy().view(np.uint64)
         cut = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(rows.column("shingles")).to_numpy())])
         size, root, out = np.diff(cut), root.copy(), []
         for x in np.flatnonzero(asks):
             y = np.flatnonzero(~asks & (root != root[x]) & (~rest | (node > node[x])))  # two rest members meet once
             y = y[np.minimum(size[y], size[x]) >= threshold * np.maximum(size[y], size[x])]
-            same = sign[y] == sign[x]
-            first = same.reshape(len(y), BANDS, ROWS).all(2).argmax(1)  # a pair is this band's if it is the first they share
-            y = y[(same.sum(1) >= least) & (first == band)]
+            y = y[np.minimum(size[y] - pos[y], size[x] - pos[x]) >= threshold / (1 + threshold) * (size[y] + size[x]) - 1e-9]
             if not len(y):
                 continue
             own = flat[cut[x] : cut[x + 1]]
@@ -230,43 +256,69 @@ def _blocks(least: int, threshold: float):
     return run
 
 
-def links(single: DataFrame, signed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def _mixed(rooted: DataFrame, by: list[str]) -> DataFrame:
+    """Buckets with members of several groups: how many members, how many outside the largest group (r), and that group (major)."""
+    shares = rooted.groupBy(*by, "root").agg(F.count("*").alias("_m"))
+    found = shares.groupBy(*by).agg(F.count("*").alias("_roots"), F.sum("_m").alias("n"), F.max("_m").alias("_most"), F.max_by("root", F.struct("_m", "root")).alias("major"))
+    return found.filter("_roots > 1").select(*by, "n", "major", (F.col("n") - F.col("_most")).alias("r"))
+
+
+def _one_by_one(few: DataFrame, by: list[str], threshold: float) -> DataFrame:
+    """a, b: the pairs of different groups in buckets of few members; where sets' elements come after pos at most, those that have enough of them."""
+    after = F.col("size") - F.col("pos") if "pos" in few.columns else F.col("size")
+    left, right = (few.select(*by, F.col("node").alias(x), F.col("root").alias(f"_{x}"), F.col("size").alias(f"_size_{x}"), after.alias(f"_after_{x}")) for x in "ab")
+    enough = F.least("_after_a", "_after_b") >= threshold / (1 + threshold) * (F.col("_size_a") + F.col("_size_b")) - 1e-9
+    return left.join(right, by).filter("a < b AND _a != _b").filter(_sized("_size_a", "_size_b", threshold) & enough).select("a", "b").distinct()
+
+
+def _by_prefix(many: DataFrame, sets: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+    """a, b, similarity: links that join different groups among the nodes of many (node, root)."""
+    spark = many.sparkSession
+    own = scratch.kept(sets.join(many.select("node", "root").distinct(), "node"), "own")
+    slot = F.pmod("shingle", F.lit(SLOTS)).cast("int")
+    counts = np.zeros(SLOTS, np.int64)
+    for at, n in own.select(F.explode("shingles").alias("shingle")).groupBy(slot.alias("slot")).count().collect():  # SLOTS rows at most
+        counts[at] = n
+    salted = scratch.kept(arrow_map(own, _prefixes(counts, threshold), "node long, root long, size int, key long, pos int").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS))), "prefixes")
+    mixed = scratch.kept(_mixed(salted, ["key"]), "mixed")
+    dealt = salted.select("key", "salt").distinct().join(mixed, "key")  # a large bucket's salts, each with what there is to know of it
+    open_ = scratch.kept(salted.join(dealt, ["key", "salt"]).drop("salt"), "open")
+    near = _one_by_one(open_.filter(F.col("n") <= FEW), ["key"], threshold)
+    large = open_.filter(F.col("n") > FEW).withColumn("rest", F.col("root") != F.col("major"))
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    block = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    asking = large.filter("rest").select("key", block("r").alias("i"), every("n").alias("j"), "node", "root", "rest", "pos", F.lit(True).alias("asks"))
+    asked = large.select("key", every("r").alias("i"), block("n").alias("j"), "node", "root", "rest", "pos", F.lit(False).alias("asks"))
+    far = arrow_groups(asking.unionByName(asked).join(own.select("node", "shingles"), "node").groupBy("key", "i", "j"), _blocks(threshold), "a long, b long, similarity double")
+    return _verified(near, own, threshold).unionByName(far)
+
+
+def links(single: DataFrame, texts: DataFrame, scratch: Scratch, threshold: float = THRESHOLD) -> DataFrame:
     """a, b, similarity: links between different texts that join all that are alike and share a band, not all links there are.
 
-    single: node, bands, signature of one document of each text; signed: all
-    documents' shingles.
+    single: node, size, bands of each text; texts: node, text.
     """
-    low = threshold - SLACK
-    spread = 4 * (low * (1 - low) / REGISTERS) ** 0.5  # four standard deviations of the agreement
-    least = int(REGISTERS * (low - spread))
-    bands = single.select("node", F.posexplode("bands").alias("band", "key"))
-    sizes = bands.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
-    members = kept(bands.join(sizes, ["band", "key"]), "members")
-    signs = kept(single.select("node", "signature").join(members.select("node").distinct(), "node", "left_semi"), "signs")
+    by = ["band", "key"]
+    bands = single.select("node", "size", F.pmod(F.xxhash64("node"), F.lit(SALTS)).alias("salt"), F.posexplode("bands").alias("band", "key"))
+    shares = bands.groupBy(*by, "salt").agg(F.count("*").alias("_m"))
+    sizes = shares.groupBy(*by).agg(F.sum("_m").alias("n"), F.collect_list("salt").alias("salts")).filter("n > 1")  # SALTS of them at most
+    sizes = scratch.kept(sizes.select(*by, "n", F.explode("salts").alias("salt")), "sizes")
+    members = scratch.kept(bands.join(sizes, [*by, "salt"]), "members")
+    nodes = scratch.kept(members.select("node").distinct(), "nodes")
+    sets = scratch.kept(arrow_map(texts.join(nodes, "node", "left_semi"), _sets, SETS), "sets")
     # the member that meets most others leads: the text that copies were made from is alike to more of them than they are to each other
     degree = members.groupBy("node").agg(F.sum("n").alias("degree"))
-    leaders = members.join(degree, "node").groupBy("band", "key").agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("leader"))
-    led = members.join(leaders, ["band", "key"]).filter("node != leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    first = kept(_verified(kept(_near(led, signs, least), "pairs"), signed, threshold), "links")
-    rooted = members.join(components(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    shares = rooted.groupBy("band", "key", "root").agg(F.count("*").alias("_m"))
-    mixed = shares.groupBy("band", "key").agg(F.count("*").alias("_roots"), F.sum("_m").alias("n"), F.max("_m").alias("_most"), F.max_by("root", F.struct("_m", "root")).alias("major")).filter("_roots > 1")
-    open_ = kept(rooted.drop("n").join(mixed.select("band", "key", "n", "major", (F.col("n") - F.col("_most")).alias("r")), ["band", "key"]), "open")
-    few = open_.filter(F.col("n") <= FEW)
-    left, right = (few.select("band", "key", F.col("node").alias(x), F.col("root").alias(f"_{x}")) for x in "ab")
-    near = _near(left.join(right, ["band", "key"]).filter("a < b AND _a != _b").select("a", "b").distinct(), signs, least)
-    # members outside the largest component, the rest, ask all members: blocks of the rest meet blocks of all
-    many = open_.filter(F.col("n") > FEW).withColumn("rest", F.col("root") != F.col("major"))
-    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    block = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
-    asking = many.filter("rest").select("band", "key", block("r").alias("i"), every("n").alias("j"), "node", "root", "rest", F.lit(True).alias("asks"))
-    asked = many.select("band", "key", every("r").alias("i"), block("n").alias("j"), "node", "root", "rest", F.lit(False).alias("asks"))
-    nodes = kept(many.select("node").distinct(), "nodes")
-    whole = kept(signed.select("node", "signature", "shingles").join(nodes, "node", "left_semi"), "whole")
-    far = asking.unionByName(asked).join(whole, "node").groupBy("band", "key", "i", "j").applyInArrow(_blocks(least, threshold), "a long, b long, similarity double")
-    second = _verified(kept(near, "pairs"), signed, threshold)
-    return kept(first.unionByName(second).unionByName(far), "links")
+    leaders = members.join(degree, "node").groupBy(*by).agg(F.max_by(F.struct("node", "size"), F.struct("degree", -F.col("node"))).alias("leader"))
+    led = members.join(sizes.drop("n").join(leaders, by), [*by, "salt"]).filter("node != leader.node").filter(_sized("size", "leader.size", threshold))
+    led = led.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
+    first = scratch.kept(_verified(led, sets, threshold), "links")
+    rooted = scratch.kept(members.drop("n").join(components(first, scratch), "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
+    mixed = scratch.kept(_mixed(rooted, by), "mixed")
+    open_ = scratch.kept(rooted.join(sizes.drop("n").join(mixed, by), [*by, "salt"]).drop("salt"), "open")
+    second = _verified(_one_by_one(open_.filter(F.col("n") <= FEW), by, threshold), sets, threshold)
+    far = _by_prefix(open_.filter(F.col("n") > FEW), sets, threshold, scratch)
+    return scratch.kept(first.unionByName(second).unionByName(far).dropDuplicates(["a", "b"]), "links")
 
 
 def grouped(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -275,18 +327,18 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     copy_of is the smallest id with an equal text, group_id the smallest of
     its group.
     """
+    scratch = Scratch(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
-    hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("copy"))
-    signed = kept(arrow_map(hashed, _signed, SIGNED), "signed")
-    copies = kept(signed.filter("node IS NOT NULL").groupBy("copy").agg(F.min("node").alias("copy_of")), "copies")
-    ids = signed.select(F.col("node").alias("doc_id"), "copy")
-    light = signed.filter("size(bands) > 0").select("node", "copy", "bands", "signature")
-    single = kept(light.join(copies.select(F.col("copy_of").alias("node"), "copy"), ["node", "copy"], "left_semi").dropDuplicates(["node", "copy"]).drop("copy"), "single")
-    found = links(single, signed, threshold)
-    classes = copies.join(components(found).withColumnRenamed("node", "copy_of"), "copy_of", "left")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("copy"))
+    # each text once; copies are one before they are shuffled
+    texts = scratch.kept(rows.filter("doc_id IS NOT NULL").groupBy("copy").agg(F.min("doc_id").alias("node"), F.first("text").alias("text")), "texts")
+    signed = scratch.kept(arrow_map(texts.select("node", "text"), _signed, SIGNED), "signed")
+    found = links(signed.filter("size > 0"), texts.select("node", "text"), scratch, threshold)
+    classes = texts.select("copy", F.col("node").alias("copy_of")).join(components(found, scratch).withColumnRenamed("node", "copy_of"), "copy_of", "left")
     # ids of a group that share a row's text come by the text's digest; rows without an id have none
     known = F.col("doc_id").isNotNull()
-    return ids.join(classes, "copy", "left").select("doc_id", F.when(known, F.col("copy_of")).alias("copy_of"), F.when(known, F.coalesce("root", "copy_of")).alias("group_id"))
+    named = rows.select("doc_id", "copy").join(classes, "copy", "left")
+    return scratch.last(named.select("doc_id", F.when(known, F.col("copy_of")).alias("copy_of"), F.when(known, F.coalesce("root", "copy_of")).alias("group_id")), "groups")
 
 
 def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

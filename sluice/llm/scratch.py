@@ -34,6 +34,27 @@ def kept(rows: DataFrame, name: str = "rows", by: str | None = None) -> DataFram
     return spark.read.schema(rows.schema).parquet(path)
 
 
+class Scratch:
+    """The tables that one operator writes on its way, all in one folder of the shared one."""
+
+    def __init__(self, spark: SparkSession, name: str = "scratch"):
+        self.spark, self.path = spark, new_path(spark, name)
+        self.made = 0
+
+    def kept(self, rows: DataFrame, name: str) -> DataFrame:
+        """The rows, written here and read again."""
+        self.made += 1
+        path = f"{self.path}/{name}-{self.made}"
+        rows.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def last(self, rows: DataFrame, name: str) -> DataFrame:
+        """The operator's result, written beside the folder, which goes: nothing but the result stays."""
+        out = kept(rows, name)
+        dropped(self.spark, self.path)
+        return out
+
+
 def dropped(spark: SparkSession, path: str) -> None:
     """Deletes a table of the shared folder that nothing reads any more."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

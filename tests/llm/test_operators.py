@@ -280,11 +280,11 @@ def near_corpus(seed=9):
     return out + [shared + " " + " ".join(r.choice(words) for _ in range(12)) for _ in range(40)] + ["one two", "one two", "one two three", ""]
 
 
-def test_groups_are_the_components_of_all_links(spark):
-    texts = near_corpus()
+def groups_by_hand(texts):
+    """The smallest number of each text's group, by comparing all pairs."""
     sets = []
     for t in texts:
-        w = t.split()
+        w = t.lower().split()
         sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
     root = list(range(len(texts)))
 
@@ -297,8 +297,32 @@ def test_groups_are_the_components_of_all_links(spark):
         if texts[i] == texts[j] or (sets[i] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])):
             a, b = find(i), find(j)
             root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize(("few", "block"), [(32, 256), (2, 4)])
+def test_groups_are_the_components_of_all_links(spark, monkeypatch, few, block):
+    monkeypatch.setattr(minhash, "FEW", few)
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    texts = near_corpus()
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.group_id for r in minhash.grouped(rows).collect()} == dict(enumerate(groups_by_hand(texts)))
+
+
+@pytest.mark.parametrize("times", [10, 100, 1000])
+def test_links_of_texts_with_repeated_lines(spark, times):
+    r = random.Random(times)
+    words = ["".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(3000)]
+    texts = []
+    for _ in range(30):  # 404 shingles, of which the second text lacks 80 or so, one line of the first comes many times
+        line = [r.choice(words) for _ in range(90)]
+        rest = [r.choice(words) for _ in range(320)]
+        other = [*rest[:-42], *(r.choice(words) for _ in range(40))]
+        texts += [" ".join(rest + line * times), " ".join(other + line + line[:4])]
+    want = groups_by_hand(texts)
+    assert sum(a == b for a, b in zip(want[::2], want[1::2])) >= 25
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert {r.doc_id: r.group_id for r in minhash.grouped(rows).collect()} == {i: find(i) for i in range(len(texts))}
+    assert {x.doc_id: x.group_id for x in minhash.grouped(rows).collect()} == dict(enumerate(want))
 
 
 def test_registers_estimate_probability_jaccard():
