@@ -52,7 +52,7 @@ from sluice.llm.batches import arrow_groups, arrow_map, gathered, held, table, t
 from sluice.llm.scratch import Scratch
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 24, 4
-FEW, BLOCK, SALTS, SLOTS = 32, 256, 1024, 1 << 16
+FEW, BLOCK, SALTS, SLOTS = 32, 128, 1024, 1 << 16
 #: The weight of a shingle that comes very often.  It is near 1, so that repeats take little from the similarity by which texts become candidates.
 HEAVIEST = 1.25
 REGISTERS = BANDS * ROWS
@@ -180,16 +180,21 @@ SIGNED, SETS = "node long, size int, bands array<long>", "node long, shingles ar
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """node, root of each node of the links (a, b): root is the smallest node that links lead to.
 
-    Every round gives each node the smallest root next to it and then its
-    root's root, so a chain halves; rounds end when nothing changes.
+    A step gives each node the smallest root next to it and then its root's
+    root, so a chain halves; a round is two steps, and rounds end when the
+    second changes nothing.  links: is read several times.
     """
-    both = scratch.kept(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    roots = scratch.kept(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("root")), "roots")
-    while True:
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+    def step(roots: DataFrame) -> DataFrame:
         near = both.join(roots.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         low = roots.join(near, "node").select("node", "root", F.least("root", "near").alias("low"))
         up = roots.select(F.col("node").alias("low"), F.col("root").alias("over"))
-        new = scratch.kept(low.join(up, "low", "left").select("node", F.col("root").alias("before"), F.least("low", F.coalesce("over", "low")).alias("root")), "roots")
+        return low.join(up, "low", "left").select("node", F.col("root").alias("before"), F.least("low", F.coalesce("over", "low")).alias("root"))
+
+    roots = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("root"))
+    while True:
+        new = scratch.kept(step(step(roots).select("node", "root")), "roots")
         if new.filter("root != before").limit(1).count() == 0:
             return new.select("node", "root")
         roots = new.select("node", "root")
@@ -280,8 +285,7 @@ def _by_prefix(many: DataFrame, sets: DataFrame, threshold: float, scratch: Scra
     for at, n in own.select(F.explode("shingles").alias("shingle")).groupBy(slot.alias("slot")).count().collect():  # SLOTS rows at most
         counts[at] = n
     salted = scratch.kept(arrow_map(own, _prefixes(counts, threshold), "node long, root long, size int, key long, pos int").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS))), "prefixes")
-    mixed = scratch.kept(_mixed(salted, ["key"]), "mixed")
-    dealt = salted.select("key", "salt").distinct().join(mixed, "key")  # a large bucket's salts, each with what there is to know of it
+    dealt = salted.select("key", "salt").distinct().join(_mixed(salted, ["key"]), "key")  # a large bucket's salts, each with what there is to know of it
     open_ = scratch.kept(salted.join(dealt, ["key", "salt"]).drop("salt"), "open")
     near = _one_by_one(open_.filter(F.col("n") <= FEW), ["key"], threshold)
     large = open_.filter(F.col("n") > FEW).withColumn("rest", F.col("root") != F.col("major"))
@@ -303,21 +307,20 @@ def links(single: DataFrame, texts: DataFrame, scratch: Scratch, threshold: floa
     bands = single.select("node", "size", F.pmod(F.xxhash64("node"), F.lit(SALTS)).alias("salt"), F.posexplode("bands").alias("band", "key"))
     shares = bands.groupBy(*by, "salt").agg(F.count("*").alias("_m"))
     sizes = shares.groupBy(*by).agg(F.sum("_m").alias("n"), F.collect_list("salt").alias("salts")).filter("n > 1")  # SALTS of them at most
-    sizes = scratch.kept(sizes.select(*by, "n", F.explode("salts").alias("salt")), "sizes")
-    members = scratch.kept(bands.join(sizes, [*by, "salt"]), "members")
-    nodes = scratch.kept(members.select("node").distinct(), "nodes")
-    sets = scratch.kept(arrow_map(texts.join(nodes, "node", "left_semi"), _sets, SETS), "sets")
+    members = scratch.kept(bands.join(sizes.select(*by, "n", F.explode("salts").alias("salt")), [*by, "salt"]), "members")
+    salts = members.select(*by, "salt").distinct()  # of each bucket
+    sets = scratch.kept(arrow_map(texts.join(members.select("node").distinct(), "node", "left_semi"), _sets, SETS), "sets")
     # the member that meets most others leads: the text that copies were made from is alike to more of them than they are to each other
     degree = members.groupBy("node").agg(F.sum("n").alias("degree"))
     leaders = members.join(degree, "node").groupBy(*by).agg(F.max_by(F.struct("node", "size"), F.struct("degree", -F.col("node"))).alias("leader"))
-    led = members.join(sizes.drop("n").join(leaders, by), [*by, "salt"]).filter("node != leader.node").filter(_sized("size", "leader.size", threshold))
+    led = members.join(salts.join(leaders, by), [*by, "salt"]).filter("node != leader.node").filter(_sized("size", "leader.size", threshold))
     led = led.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
     first = scratch.kept(_verified(led, sets, threshold), "links")
-    rooted = scratch.kept(members.drop("n").join(components(first, scratch), "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
-    mixed = scratch.kept(_mixed(rooted, by), "mixed")
-    open_ = scratch.kept(rooted.join(sizes.drop("n").join(mixed, by), [*by, "salt"]).drop("salt"), "open")
+    rooted = members.drop("n").join(components(first, scratch), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = scratch.kept(rooted.join(salts.join(_mixed(rooted, by), by), [*by, "salt"]).drop("salt"), "open")
     second = _verified(_one_by_one(open_.filter(F.col("n") <= FEW), by, threshold), sets, threshold)
-    far = _by_prefix(open_.filter(F.col("n") > FEW), sets, threshold, scratch)
+    many = open_.filter(F.col("n") > FEW)
+    far = _by_prefix(many, sets, threshold, scratch)
     return scratch.kept(first.unionByName(second).unionByName(far).dropDuplicates(["a", "b"]), "links")
 
 
@@ -334,11 +337,11 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = scratch.kept(rows.filter("doc_id IS NOT NULL").groupBy("copy").agg(F.min("doc_id").alias("node"), F.first("text").alias("text")), "texts")
     signed = scratch.kept(arrow_map(texts.select("node", "text"), _signed, SIGNED), "signed")
     found = links(signed.filter("size > 0"), texts.select("node", "text"), scratch, threshold)
-    classes = texts.select("copy", F.col("node").alias("copy_of")).join(components(found, scratch).withColumnRenamed("node", "copy_of"), "copy_of", "left")
+    roots = components(found, scratch).withColumnRenamed("node", "copy_of")
+    classes = scratch.last(texts.select("copy", F.col("node").alias("copy_of")).join(roots, "copy_of", "left"), "classes")
     # ids of a group that share a row's text come by the text's digest; rows without an id have none
     known = F.col("doc_id").isNotNull()
-    named = rows.select("doc_id", "copy").join(classes, "copy", "left")
-    return scratch.last(named.select("doc_id", F.when(known, F.col("copy_of")).alias("copy_of"), F.when(known, F.coalesce("root", "copy_of")).alias("group_id")), "groups")
+    return rows.join(classes, "copy", "left").select("doc_id", F.when(known, F.col("copy_of")).alias("copy_of"), F.when(known, F.coalesce("root", "copy_of")).alias("group_id"))
 
 
 def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

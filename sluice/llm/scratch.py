@@ -8,6 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Files of a written table a core.
+FILES = 4
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The session's spark.checkpoint.dir; where it is unset, as in tests, a folder of the context's own."""
@@ -25,12 +28,16 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def kept(rows: DataFrame, name: str = "rows", by: str | None = None) -> DataFrame:
+def in_files(rows: DataFrame) -> DataFrame:
+    """The rows in at most FILES partitions a core: each takes several of the plan's one after another, so a small table of many partitions isn't as many files."""
+    return rows.coalesce(FILES * rows.sparkSession.sparkContext.defaultParallelism)
+
+
+def kept(rows: DataFrame, name: str = "rows") -> DataFrame:
     """The rows, written in the shared folder and read again."""
     spark = rows.sparkSession
     path = new_path(spark, name)
-    writer = rows.write.option("compression", "zstd")
-    (writer.partitionBy(by) if by else writer).parquet(path)
+    in_files(rows).write.option("compression", "zstd").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
@@ -45,7 +52,7 @@ class Scratch:
         """The rows, written here and read again."""
         self.made += 1
         path = f"{self.path}/{name}-{self.made}"
-        rows.write.option("compression", "zstd").parquet(path)
+        in_files(rows).write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def last(self, rows: DataFrame, name: str) -> DataFrame:
