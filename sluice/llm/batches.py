@@ -79,6 +79,11 @@ def gathered(flat_start: np.ndarray, flat_len: np.ndarray, flat: np.ndarray) ->
     return flat[np.arange(ends[-1]) + shift]
 
 
+def flattened(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(lengths of the lists, what they hold)."""
+    return np.fromiter(map(len, lists), np.int64, len(lists)), np.fromiter((i for x in lists for i in x), np.int32)
+
+
 class RunCache:
     """Arrays of ids by word, at most `limit` words; when full, those not met for longest go."""
 
@@ -95,8 +100,8 @@ class RunCache:
         self.start = np.cumsum(self.length) - self.length
         self.number = dict(zip(names, range(len(names))))
 
-    def _put(self, new: list[str], runs: list) -> None:
-        n, lens = len(self.number), np.fromiter(map(len, runs), np.int64, len(runs))
+    def _put(self, new: list[str], lens: np.ndarray, ids: np.ndarray) -> None:
+        n = len(self.number)
         total = int(lens.sum())
         if n + len(new) > len(self.start):
             grow = max(len(self.start) * 3 // 2, n + len(new))
@@ -105,16 +110,16 @@ class RunCache:
             self.flat = np.concatenate([self.flat[: self.used], np.zeros(max(self.used // 2, total), np.int32)])
         self.start[n : n + len(new)] = self.used + np.cumsum(lens) - lens
         self.length[n : n + len(new)] = lens
-        self.flat[self.used : self.used + total] = np.fromiter((i for r in runs for i in r), np.int32, total)
+        self.flat[self.used : self.used + total] = ids
         self.used += total
         self.number.update(zip(new, range(n, n + len(new))))
 
     def runs(self, distinct: list[str], code: np.ndarray, start: np.ndarray, make) -> tuple[np.ndarray, np.ndarray]:
-        """(start of each text's ids and the end, ids); make: lists of ids of words that are new."""
+        """(start of each text's ids and the end, ids); make: (numbers of ids, ids) of words that are new."""
         if self.number and (len(self.number) + len(distinct) > self.limit or self.used > 16 * self.limit):
             self._shrink()
         if new := [w for w in distinct if w not in self.number]:
-            self._put(new, make(new))
+            self._put(new, *make(new))
         own = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
         self.tick += 1
         self.last[own] = self.tick

@@ -3,28 +3,43 @@
 Documents become ids once, in Arrow batches; only their pieces' lengths and
 checksums go on.  Lengths are whole numbers up to the capacity, so everything
 there is to pack is a histogram of at most `capacity` counts, however many
-documents there are, and the driver packs that: around the largest length left
-it enumerates undominated fillings of the rest of the sequence (branch and
-bound; a branch that cannot waste less than the incumbent, which starts as the
-best-fit filling, is pruned), then repeats the best filling as often as the
-counts allow.  Each filling uses up a length or halves what is left of one, so
-fillings are few, and every piece finds its place from its rank among pieces
-of its length.
-
-Ranks within a length are dealt over SALTS parts with their counts summed
-before, so a length that a third of all pieces have is no single task's.
+documents there are, and the driver packs that.
+
+Around the largest length left stands the best-fit filling as incumbent.  If
+it wastes more than it must, the undominated filling of least waste takes its
+place: sums that shorter lengths can reach are sets of bits, which bound the
+waste of every branch exactly, so the search walks straight to it.  Longest
+pieces come first, so of all fillings of that waste it is the one in which no
+piece or pieces could be swapped for a longer one (it is not dominated).  A
+filling is repeated as often as the counts allow: each uses up a length or
+leaves less of it than one filling needs, so fillings are few.
+
+If that takes more sequences than the lower bound (whole capacity, and pieces
+of more than half of it), the last TAIL sequences are packed anew by the whole
+branch and bound: undominated fillings around the largest piece in order of
+waste, pruned where the waste so far cannot save a sequence any more.  That
+search ends after SEARCH fillings at the latest (packing is NP-hard); `Plan`
+tells whether its number of sequences is proven to be the least.
+
+Every piece finds its place from its rank among pieces of its length.  Ranks
+are dealt over parts of about PART pieces with their counts summed before, and
+places are joined by length and hundreds of ranks, so a length that a third of
+all pieces have is no single task's.
 
 Nulls, empty and long texts: a null text counts as empty and has the end id
 alone; longer documents are cut into pieces of the capacity and a rest.
-Repeated rows are packed as often as they come; an empty table gives no rows.
-Other columns are never looked at.
+Repeated rows are packed as often as they come, equal lengths in order of
+doc_id; an empty table gives no rows.  Other columns are never looked at.
 """
 
 from __future__ import annotations
 
 import json
+import unicodedata
 import zlib
 from bisect import bisect_right
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
@@ -32,11 +47,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.batches import RunCache, arrow_map, coded, held, table, text_slices
+from sluice.llm.batches import RunCache, arrow_map, coded, flattened, gathered, held, table, text_slices
+from sluice.llm.scratch import Scratch
 
-CAPACITY, END_ID, SALTS = 4096, 1, 64
-#: Branches looked at around one largest piece; beyond, the incumbent stands.
-BRANCHES = 20_000
+CAPACITY, END_ID, PART, RANKS = 4096, 1, 1 << 16, 512
+#: Sequences that are packed anew where the bound is not met, and fillings looked at for that.
+TAIL, SEARCH = 64, 2000
+#: Signs that the tokenizer always parts from letters before them.
+SIGNS = ".,;:!?"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -52,8 +70,64 @@ class WordTokenizer:
         if not split or split[0]["behavior"] != "Removed" or "\\s" in split[0]["pattern"]["Regex"].replace("^\\s", ""):
             raise ValueError("words of this tokenizer may go over white space")
         self.marks = {"type": "Lowercase"} in kind["normalizer"]["normalizers"] and all(x["content"].startswith("<|") for x in kind["added_tokens"])
+        suffix, vocabulary = kind["model"].get("end_of_word_suffix"), self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word of letters
+        self.ends[[i for w, i in vocabulary.items() if suffix and w.endswith(suffix)]] = True
+        self.signs = {x: self._each([x])[0] for x in SIGNS}
         self.cache = RunCache(700_000)
 
+    def _each(self, words: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _letters(self, words: list[str], together: int = 1000) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of ids, ids) of words of letters: many are encoded as one text, and cut where words end."""
+        lens, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for k in range(0, len(words), together):
+            part = words[k : k + together]
+            ids = np.array(self._each([" ".join(part)])[0], np.int32)
+            n = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+            if len(n) != len(part) or n.sum() != len(ids):  # not every word is one of letters to the tokenizer
+                n, ids = flattened(self._each(part))
+            lens.append(n)
+            flat.append(ids)
+        return np.concatenate(lens), np.concatenate(flat)
+
+    def _new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of ids, ids) of words: a sign behind letters is parted from them, so letters are encoded once with any sign."""
+        plain = lambda w: w.isalpha() and (w.isascii() or (unicodedata.is_normalized("NFC", w) and w.lower().isalpha()))
+        known, place, wanted = self.cache.number, {}, []
+        which, sign, others = np.full(len(words), -1), [""] * len(words), []
+        cached = []
+        for i, w in enumerate(words):
+            stem = w[:-1] if w[-1:] in self.signs else w
+            if not plain(stem):
+                others.append(i)
+                continue
+            if stem not in place:
+                place[stem] = len(place)
+                if stem in known:
+                    cached.append((place[stem], known[stem]))
+                else:
+                    wanted.append(stem)
+            which[i] = place[stem]
+            if len(stem) < len(w):
+                sign[i] = w[-1]
+        at, number = np.array(cached, np.int64).reshape(-1, 2).T
+        new_lens, new_flat = self._letters(wanted)
+        other_lens, other_flat = flattened(self._each([words[i] for i in others]))
+        sign_lens, sign_flat = flattened(list(self.signs.values()))
+        flat = np.concatenate([gathered(self.cache.start[number], self.cache.length[number], self.cache.flat), new_flat, other_flat, sign_flat])
+        lens = np.concatenate([self.cache.length[number], new_lens, other_lens, sign_lens, [0]])
+        start = np.cumsum(lens) - lens
+        run = np.empty(len(place), np.int64)  # where a stem is among the runs of flat
+        run[at] = np.arange(len(at))
+        run[[place[w] for w in wanted]] = len(at) + np.arange(len(wanted))
+        first = run[which] if len(run) else which.copy()
+        first[others] = len(at) + len(wanted) + np.arange(len(others))
+        where = {x: len(at) + len(wanted) + len(others) + k for k, x in enumerate(self.signs)} | {"": len(lens) - 1}
+        runs = np.column_stack([first, [where[x] for x in sign]]).ravel()
+        return lens[runs].reshape(-1, 2).sum(1), gathered(start[runs], lens[runs], flat)
+
     def encode_all(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(start of each text's ids and the end, ids)."""
         import pyarrow.compute as pc
@@ -61,7 +135,7 @@ class WordTokenizer:
         # lower case and line ends are the tokenizer's own first steps, and make fewer distinct words; marks of special tokens are matched before them
         low = pc.if_else(pc.match_substring(text, "<|"), text, pc.ascii_lower(text)) if self.marks else text
         start, code, distinct = coded(pc.split_pattern(pc.replace_substring(low, "\n", " "), " "))
-        return self.cache.runs(distinct, code, start, lambda new: [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)])
+        return self.cache.runs(distinct, code, start, self._new)
 
 
 def word_tokenizer(path: str) -> WordTokenizer:
@@ -94,80 +168,184 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
     return arrow_map(docs.select("doc_id", "text"), _pieces(path, capacity, end_id), PIECES)
 
 
-def complete(counts: np.ndarray, room: int, most_branches: int = BRANCHES) -> list[int]:
-    """The best undominated filling of `room` by lengths with counts (index: length), longest first.
+def reaches(lengths: list[tuple[int, int]], room: int) -> list[int]:
+    """For each k, as bits, the sums up to room that lengths[k:] (length, count) can make."""
+    out, sums, mask = [1], 1, (1 << (room + 1)) - 1
+    for length, count in reversed(lengths):
+        n, step = min(count, room // length), 1
+        while n > 0:  # counts by powers of two
+            take = min(step, n)
+            sums |= (sums << (take * length)) & mask
+            n, step = n - take, step * 2
+        out.append(sums)
+    return out[::-1]
+
 
-    Best-fit gives the incumbent.  A filling is dominated if one of its pieces
-    could be swapped for a longer one that still fits, so at every depth only
-    the longest fitting lengths come first, and a branch ends as soon as what
-    it could still fill cannot beat the incumbent's waste.
+def undominated(counts: dict[int, int], room: int, most_waste: int) -> Iterator[tuple[int, list[int] | None]]:
+    """(waste, lengths) of the fillings of room that waste up to most_waste, in order of waste and then longest pieces first.
+
+    A filling is dominated, and None stands for it, if some of its pieces
+    could be swapped for one longer piece that is left and fits.
     """
-    left = counts.copy()
-    lengths = np.flatnonzero(left).tolist()
-    total = int((left[: room + 1] * np.arange(min(len(left), room + 1))).sum())
-    best: list[int] = []
-    space = room
-    while (k := bisect_right(lengths, space)) > 0:  # best fit: the longest that fits, again and again
-        while k > 0 and left[lengths[k - 1]] == 0:
+    lengths = sorted(((x, n) for x, n in counts.items() if n and x <= room), reverse=True)
+    reach = reaches(lengths, room)
+
+    def exact(k: int, target: int, chosen: list[int]) -> Iterator[list[int]]:
+        if target == 0:
+            yield chosen
+        elif k < len(lengths):
+            length, count = lengths[k]
+            for n in range(min(count, target // length), -1, -1):
+                if reach[k + 1] >> (target - n * length) & 1:
+                    yield from exact(k + 1, target - n * length, chosen + [length] * n)
+
+    def dominated(filling: list[int], waste: int) -> bool:
+        sums = reaches([(x, 1) for x in filling], room)[0]
+        for x, n in lengths:
+            if n > filling.count(x):
+                own = sums if x not in filling else reaches([(y, 1) for y in filling if y != x], room)[0]
+                least = max(1, x - waste)
+                if own >> least & ((1 << (x - least + 1)) - 1):
+                    return True
+        return False
+
+    for waste in range(min(most_waste, room) + 1):
+        if reach[0] >> (room - waste) & 1:
+            for filling in exact(0, room - waste, []):
+                yield waste, None if dominated(filling, waste) else filling
+
+
+def best_fit(left: dict[int, int], lengths: list[int], room: int) -> list[int]:
+    """The longest piece that fits, again and again.  lengths: in order."""
+    out, used = [], {}
+    while (k := bisect_right(lengths, room)) > 0:
+        while k > 0 and left[lengths[k - 1]] <= used.get(lengths[k - 1], 0):
             k -= 1
         if k == 0:
             break
-        best.append(lengths[k - 1])
-        left[lengths[k - 1]] -= 1
-        space -= lengths[k - 1]
-    least, floor = space, max(0, room - total)
-    if least <= floor:
-        return best
-    left = counts.copy()
-    seen = 0
-    chosen: list[int] = []
-
-    def branch(space: int, top: int) -> bool:
-        nonlocal best, least, seen
-        if space < least:
-            best, least = chosen.copy(), space
-            if least <= floor:
-                return True
-        seen += 1
-        if seen > most_branches:
-            return True
-        k = min(bisect_right(lengths, space), bisect_right(lengths, top))
-        # the last place: one piece that fits exactly beats everything
-        for i in range(k - 1, -1, -1):
-            x = lengths[i]
-            if not left[x]:
-                continue
-            if len(chosen) + 1 > 64 or x * 64 < space - least:  # 64 pieces of x cannot fill enough
+        x = lengths[k - 1]
+        n = min(left[x] - used.get(x, 0), room // x)
+        out += [x] * n
+        used[x] = used.get(x, 0) + n
+        room -= n * x
+    return out
+
+
+def complete(left: dict[int, int], room: int) -> list[int]:
+    """The filling of room by lengths with counts: best fit if nothing can waste less, else the undominated one of least waste."""
+    lengths = sorted(x for x, n in left.items() if n and x <= room)
+    incumbent = best_fit(left, lengths, room)
+    waste = room - sum(incumbent)
+    if waste == 0 or len(incumbent) == sum(left[x] for x in lengths):  # nothing is left that fits
+        return incumbent
+    own = [(x, left[x]) for x in reversed(lengths)]
+    reach = reaches(own, room)
+    target = reach[0].bit_length() - 1  # the largest sum there is
+    if room - target == waste:
+        return incumbent
+    out = []
+    for k, (length, count) in enumerate(own):
+        for n in range(min(count, target // length), -1, -1):
+            if reach[k + 1] >> (target - n * length) & 1:
+                out += [length] * n
+                target -= n * length
                 break
-            left[x] -= 1
-            chosen.append(x)
-            done = branch(space - x, x)
-            chosen.pop()
-            left[x] += 1
-            if done:
-                return True
-        return False
+    return out
 
-    branch(room, room)
-    return best
 
+class Plan(NamedTuple):
+    """How pieces go into sequences."""
 
-def fillings(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, list[int]]]:
-    """(how often, lengths) of the sequences that hold all counted pieces."""
-    left = np.zeros(capacity + 1, np.int64)
-    for length, n in counts.items():
-        left[length] = n
-    out = []
-    while (rest := np.flatnonzero(left)).size:
-        largest = int(rest[-1])
+    fillings: list[tuple[int, list[int]]]  # how often, lengths
+    sequences: int
+    bound: int  # no packing has fewer sequences
+    proven: bool  # whether none with fewer sequences than this one exists
+
+
+def _search(counts: dict[int, int], capacity: int, incumbent: int, bound: int, most: int) -> tuple[list[list[int]] | None, bool]:
+    """(fillings of fewer sequences than the incumbent, or None; whether the search came to its end)."""
+    best, tried = None, 0
+    spare = lambda: (incumbent - 1) * capacity - total  # noqa: E731  waste that a packing which saves a sequence may have
+    total = sum(x * n for x, n in counts.items())
+    left, done, wasted = dict(counts), [], 0
+
+    def choices(waste: int) -> Iterator[tuple[int, list[int] | None]]:
+        largest = max(x for x, n in left.items() if n)
+        rest = left | {largest: left[largest] - 1}
+        return ((w, f and [largest, *f] if f != [] else [largest]) for w, f in undominated(rest, capacity - largest, spare() - waste))
+
+    stack = [choices(0)]
+    while stack:
+        if tried >= most:
+            return best, False
+        found = next(stack[-1], None)
+        if found is None or wasted + found[0] > spare():
+            stack.pop()
+            if done:
+                w, filling = done.pop()
+                wasted -= w
+                for x in filling:
+                    left[x] += 1
+            continue
+        tried += 1
+        waste, filling = found
+        if filling is None:
+            continue
+        for x in filling:
+            left[x] -= 1
+        if not any(left.values()):
+            best, incumbent = [f for _, f in done] + [filling], len(done) + 1
+            if incumbent <= bound:
+                return best, True
+            for x in filling:
+                left[x] += 1
+            continue
+        done.append(found)
+        wasted += waste
+        stack.append(choices(wasted))
+    return best, True
+
+
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Sequences that any packing needs: by all tokens, or by the pieces that can't be two in one."""
+    return max(-(-sum(x * n for x, n in counts.items()) // capacity), sum(n for x, n in counts.items() if 2 * x > capacity))
+
+
+def fillings(counts: dict[int, int], capacity: int = CAPACITY, tail: int = TAIL, search: int = SEARCH) -> Plan:
+    """The sequences that hold all counted pieces."""
+    left = {x: n for x, n in sorted(counts.items()) if n}
+    out: list[tuple[int, list[int]]] = []
+    while left:
+        largest = max(left)
         left[largest] -= 1
         filling = [largest, *complete(left, capacity - largest)]
         left[largest] += 1
-        lengths, need = np.unique(filling, return_counts=True)
-        times = int((left[lengths] // need).min())
-        left[lengths] -= need * times
+        need = {x: filling.count(x) for x in set(filling)}
+        times = min(left[x] // n for x, n in need.items())
+        for x, n in need.items():
+            left[x] -= n * times
+            if not left[x]:
+                del left[x]
         out.append((times, filling))
-    return out
+    sequences, bound = sum(n for n, _ in out), lower_bound(counts, capacity)
+    proven = sequences <= bound
+    if not proven:  # the last sequences anew, by the whole search
+        anew: list[tuple[int, list[int]]] = []
+        while out and (room := tail - sum(n for n, _ in anew)) > 0:
+            times, filling = out.pop()
+            anew.append((min(times, room), filling))
+            if times > room:
+                out.append((times - room, filling))
+        pieces_: dict[int, int] = {}
+        for n, filling in anew:
+            for x in filling:
+                pieces_[x] = pieces_.get(x, 0) + n
+        now = sum(n for n, _ in anew)
+        better, ended = _search(pieces_, capacity, now, lower_bound(pieces_, capacity), search)
+        out += [(1, f) for f in better] if better else anew[::-1]
+        sequences = sum(n for n, _ in out)
+        proven = sequences <= bound or (ended and sum(n for n, _ in out[: -len(better or anew)]) == 0)
+    return Plan(out, sequences, bound, proven)
 
 
 def placed(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -177,33 +355,31 @@ def placed(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     plan: list[tuple[int, int, int, int, int]] = []  # length, first rank, places in a sequence before it, first sequence, offset
     given: dict[int, int] = {}
     first = 0
-    for times, filling in fillings(counts, capacity):
+    for times, filling in fillings(counts, capacity).fillings:
         offset = 0
         for length in filling:
             plan.append((length, given.get(length, 0), times, first, offset))
             given[length] = given.get(length, 0) + times
             offset += length
         first += times
-    by: dict[int, list[tuple[int, int, int, int]]] = {}
-    for length, rank, times, sequence, offset in plan:
-        by.setdefault(length, []).append((rank, times, sequence, offset))
-    slots = spark.createDataFrame([(k, v) for k, v in by.items()] or [], "length long, slots array<struct<rank:long,times:long,sequence:long,offset:long>>")
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)))
-    sums = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))  # at most capacity x SALTS rows
-    before = sums.select("length", "_salt", (F.sum("_n").over(Window.partitionBy("length").orderBy("_salt")) - F.col("_n")).alias("_before"))
-    ranked = salted.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32")) - 1)
-    ranked = ranked.join(F.broadcast(before), ["length", "_salt"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
-    # the slot is the last that begins at or below the rank; slots of a length are in order of rank
-    slot = F.expr("filter(slots, s -> _rank >= s.rank AND _rank < s.rank + s.times)[0]")
-    found = ranked.join(F.broadcast(slots), "length").withColumn("_slot", slot)
-    return found.select(*rows.columns, (F.col("_slot.sequence") + F.col("_rank") - F.col("_slot.rank")).alias("sequence_id"), F.col("_slot.offset").alias("offset"))
+    columns = [np.array(c, np.int64) for c in zip(*plan)] or [np.zeros(0, np.int64)] * 5
+    slots = spark.createDataFrame(pa.table(columns, names=["length", "_first", "_times", "_sequence", "offset"]))
+    near = lambda rank: F.floor(rank / RANKS)
+    slots = slots.withColumn("_near", F.explode(F.sequence(near(F.col("_first")), near(F.col("_first") + F.col("_times") - 1))))
+    parts = spark.createDataFrame(pa.table([np.array(list(counts), np.int64), np.array([-(-n // PART) for n in counts.values()], np.int64)], names=["length", "_parts"]))
+    dealt = rows.join(F.broadcast(parts), "length").withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece"), F.col("_parts")))  # `capacity` rows
+    sums = dealt.groupBy("length", "_part").agg(F.count("*").alias("_n"))
+    before = sums.select("length", "_part", (F.sum("_n").over(Window.partitionBy("length").orderBy("_part")) - F.col("_n")).alias("_before"))
+    own = Window.partitionBy("length", "_part").orderBy("doc_id", "piece", "ids_crc32")
+    ranked = dealt.withColumn("_rank", F.row_number().over(own) - 1).join(before, ["length", "_part"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
+    found = ranked.withColumn("_near", near(F.col("_rank"))).join(slots, ["length", "_near"]).filter("_rank >= _first AND _rank < _first + _times")
+    return found.select(*rows.columns, (F.col("_sequence") + F.col("_rank") - F.col("_first")).alias("sequence_id"), "offset")
 
 
 def packed(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Each piece of each document with its sequence and its place there."""
-    from sluice.llm.scratch import kept
-
-    return placed(kept(pieces(docs, path, capacity, end_id)), capacity)
+    scratch = Scratch(docs.sparkSession, "packing")
+    return scratch.last(placed(scratch.kept(pieces(docs, path, capacity, end_id), "pieces"), capacity), "packed")
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

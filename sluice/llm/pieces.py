@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm.batches import RunCache, arrow_map, coded, held, table, text_slices
+from sluice.llm.batches import RunCache, arrow_map, coded, flattened, held, table, text_slices
 
 MARK, LINE_END = "▁", "\n"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, agrees boolean"
@@ -124,11 +124,11 @@ class PieceModel:
             ids, at = ids[keep], np.concatenate([[0], np.cumsum(np.where(empty, 0, lens))])
         return at, ids, agrees
 
-    def _new_runs(self, new: list[str]) -> list[list[int]]:
-        """Ids of new runs, which are checked against the library's; its own begin mark stands for the first."""
+    def _new_runs(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of ids, ids) of new runs, which are checked against the library's; its own begin mark stands for the first."""
         own = [self.encode(MARK + w) for w in new]
         self.wrong.update(w for w, x, y in zip(new, own, self.library.encode(new, num_threads=1)) if w and x != y)
-        return own
+        return flattened(own)
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids by the library."""
