@@ -148,10 +148,47 @@ def test_forest_recall_and_exact_scores(spark, clustered):
     assert copies == list(range(1500, 1500 + len(copies)))  # equal vectors: smallest ids
 
 
+def clusters(rng, n, centres=60):
+    return rng.normal(size=(centres, 32))[rng.integers(centres, size=n)] * 3 + 0.5 * rng.normal(size=(n, 32))
+
+
+def test_descent_and_climb_are_those_of_prefix_trees():
+    rng = np.random.default_rng(16)
+    tree = forest.Forest(np.arange(80), rng.normal(size=(80, 6)), trees=5, bits=12)
+    q = rng.normal(size=(9, 6))
+    strings = tree.strings(q)
+    text = lambda x: format(int(x), "012b")
+    index = [[text(tree.sorted[i, t]) for i in np.argsort(tree.order[:, t])] for t in range(5)]  # by vector
+    shared = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    longest = [[max(shared(text(strings[i, t]), x) for x in index[t]) for t in range(5)] for i in range(9)]
+    assert tree.matches(strings).tolist() == longest
+    for enough in (5, 30):
+        got = {i: (level, set(np.flatnonzero(row))) for level, rows, inside in tree.levels(strings, enough) for i, row in zip(rows.tolist(), inside)}
+        for i in range(9):
+            for level in range(12, -1, -1):  # the runs of all trees whose match is as long, until there are enough
+                want = {v for t in range(5) if longest[i][t] >= level for v, x in enumerate(index[t]) if x[:level] == text(strings[i, t])[:level]}
+                if len(want) >= enough or level == 0:
+                    break
+            assert got[i] == (level, want)
+
+
+def test_candidates_are_few_in_clustered_vectors():
+    rng = np.random.default_rng(17)
+    x = clusters(rng, 6000)
+    tree = forest.Forest(np.arange(6000), x)
+    asked = np.arange(0, 6000, 20)
+    query, found, _, numbers = tree.search(asked, x[asked], 20, tree.enough(20))
+    score = x[asked] @ x.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    top = np.argsort(-score, axis=1)[:, :20]
+    recall = np.mean([len(set(found[query == i]) & set(t)) / 20 for i, t in zip(asked, top)])
+    assert recall >= 0.9 and numbers.mean() < 0.2 * 6000
+
+
 def test_packing_is_gapless_exact_and_near_the_bound(spark):
     from tokenizers import Tokenizer
 
-    texts = [*corpus(7, 300), "", "W" * 3000, "ÉCOLE İstanbul ΣΑΣ ﬁ 3½ don't O'RE <|endoftext|> x"]
+    texts = [*corpus(7, 300), "", "W" * 3000, "ÉCOLE İstanbul ΣΑΣ ﬁ 3½ don't O'RE <|endoftext|> x", "a, a. École, École. İ, ΣΑΣ. ﬁ; e\u0301, 漢字! ǅ? ... , don't. x2, ª: ᾳ. ﷽, a,b. a., नमस्ते, \u0345."]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     capacity = 64
     out = packing.packed(rows, WORD, capacity).collect()
@@ -195,13 +232,38 @@ def test_bin_completion_against_all_packings():
         return best
 
     r = random.Random(8)
-    extra = 0
-    for _ in range(60):
-        sizes = [r.randint(1, 20) for _ in range(9)]
+    for k in range(80):
+        sizes = [r.randint(1, 20) if k % 2 else r.randint(4, 11) for _ in range(9)]
         plan = packing.fillings(Counter(sizes), 20)
-        assert Counter(x for n, f in plan for x in f * n) == Counter(sizes) and all(sum(f) <= 20 for _, f in plan)
-        extra += sum(n for n, _ in plan) - fewest(sorted(sizes, reverse=True), 20)
-    assert extra <= 3
+        assert Counter(x for n, f in plan.fillings for x in f * n) == Counter(sizes) and all(sum(f) <= 20 for _, f in plan.fillings)
+        assert plan.proven and plan.sequences == sum(n for n, _ in plan.fillings) == fewest(sorted(sizes, reverse=True), 20)
+
+
+def test_fillings_that_are_left_out_are_dominated():
+    r = random.Random(14)
+    for _ in range(40):
+        counts, room, most = Counter(r.randint(1, 12) for _ in range(8)), r.randint(8, 24), r.randint(0, 6)
+        every = {tuple(sorted(c, reverse=True)) for k in range(9) for c in itertools.combinations(sorted(counts.elements()), k) if room - most <= sum(c) <= room}
+
+        def dominated(filling):
+            rest = counts - Counter(filling)
+            return any(sum(s) <= x <= sum(s) + room - sum(filling) and s != (x,) for x in rest for k in range(1, len(filling) + 1) for s in itertools.combinations(filling, k))  # noqa: B023
+
+        found = [(w, f) for w, f in packing.undominated(counts, room, most) if f is not None]
+        assert [w for w, _ in found] == sorted(w for w, _ in found) and all(sum(f) == room - w for w, f in found)
+        assert {tuple(f) for _, f in found} == {f for f in every if not dominated(f)}
+
+
+def test_packing_of_many_lengths_meets_the_bound():
+    r = random.Random(15)
+    counts = Counter(min(4096, int(r.paretovariate(1.1) * 40)) for _ in range(20_000))
+    plan = packing.fillings(counts)
+    pieces_ = Counter()
+    for n, filling in plan.fillings:
+        assert sum(filling) <= 4096
+        for x in filling:
+            pieces_[x] += n
+    assert pieces_ == counts and plan.sequences == plan.bound and plan.proven
 
 
 def test_secrets_are_found_and_others_left(spark):
