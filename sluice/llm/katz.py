@@ -1,24 +1,29 @@
 """Katz back-off language model with Good-Turing discounts.
 
-Probabilities, for a word w behind a word h (h is the begin mark at first):
+Probabilities, for a word w behind the n - 1 words of a history h, of which h'
+lacks the first (a begin mark is the first word of every text):
 
-    P(w | h) = d_c c(h, w) / (c(h) + RESERVE)      if (h, w) was learnt
-             = alpha(h) P(w)                       if only h was learnt
-             = P(w)                                otherwise
+    P(w | h) = d_c c(h w) / c(h)       if h w was learnt
+             = alpha(h) P(w | h')      if only h was learnt
+             = P(w | h')               otherwise
     P(w)     = d_c c(w) / N, the rest of the mass for all words not learnt
 
-d_c are Katz's Good-Turing discounts for counts up to K (lowered where counts
-of counts do not allow it) and 1 above; alpha(h) makes P(. | h) sum to one
-exactly.  RESERVE keeps a sliver for histories whose counts are all above K.
+d_c are Katz's Good-Turing discounts of each order for counts up to K (lowered
+where counts of counts do not allow it) and 1 above; alpha(h) makes P(. | h)
+sum to one exactly.  A history that came more than K times might have no count
+to discount, so RESERVE is added to its count, which keeps a sliver of mass.
+The order of the model is a parameter; every token is evaluated from it down,
+order by order, until a probability is found.
 
 How it is laid out.  Nothing is broadcast: the model has no size bound.  Texts
 are cut into blocks of a bounded number of tokens.  A block numbers its own
-words, and for every distinct word and word pair it has, sends the key and its
-own count to the part of the model that the key's hash belongs to; parts are
-ranges of hashes, so no word or pair, however common, is more than one entry a
-block.  A part sums the counts, is stored as sorted arrays (one table, a row a
-part and order), and answers each block in the order it asked.  Two rounds
-make a score: counts, then back-off weights.  Keys are 64-bit hashes.
+words and runs of 2 to `order` words, and for every distinct one it has, sends
+the key and its own count to the part of the model that the key's hash belongs
+to; parts are ranges of hashes, so no word or run, however common, is more
+than one entry a block.  A part sums the counts, is stored as sorted arrays
+(one table, a row a part and order), and answers each block in the order it
+asked.  Two rounds make a score: counts, then back-off weights.  Keys are
+64-bit hashes, so of m distinct runs about m^2 / 2^65 share a count.
 
 Nulls, empty and long texts: a null text counts as empty and has the end token
 alone; long texts are read whole.  A null id is scored and not learnt from.
@@ -39,9 +44,9 @@ from pyspark.sql import functions as F
 
 from sluice.llm.batches import arrow_groups, arrow_map, remainder, table, text_slices, words
 from sluice.llm.batches import held as kept_things
-from sluice.llm.scratch import dropped, new_path, settled
+from sluice.llm.scratch import dropped, in_files, new_path, settled
 
-K, RESERVE, BLOCK_TOKENS = 5, 0.01, 2_500_000
+ORDER, K, RESERVE, BLOCK_TOKENS = 2, 5, 0.01, 2_000_000
 BEGIN, END = 0, 1
 #: Counts are summed for so many sets of parts one after another, so that only one set's messages are in shuffle files at a time.
 TURNS = 5
@@ -126,14 +131,43 @@ def _begin(hashes: np.ndarray) -> int:
     return int(np.searchsorted(hashes, np.uint64(_MARKS[BEGIN])))
 
 
-def _pairs(tokens: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct pairs as h * number of words + w, number of each scored token's pair, positions of scored tokens)."""
-    at = np.flatnonzero(tokens != _begin(hashes))
-    distinct, number = np.unique(tokens[at - 1].astype(np.int64) * len(hashes) + tokens[at], return_inverse=True)
-    return distinct, number.astype(np.int32), at
+class Runs:
+    """The distinct runs of n words of a block, n from 1: 1 is the words and marks themselves.
+
+    A run ends at a scored token and does not go over the begin mark.
+    """
+
+    def __init__(self, hashes: np.ndarray, of: np.ndarray, history: np.ndarray | None = None, lower: np.ndarray | None = None):
+        self.of = of  # number of the run that ends at each token, -1 where there is none
+        self.history, self.lower = history, lower  # of each run: numbers of the runs of n - 1 words that begin and end it
+        self.order = np.argsort(hashes, kind="stable").astype(np.int32)
+        self.keys = hashes[self.order]
+        self.rank = np.empty(len(hashes), np.int32)  # the place of each run among sorted keys
+        self.rank[self.order] = np.arange(len(hashes), dtype=np.int32)
+
+    @property
+    def hashes(self) -> np.ndarray:
+        return self.keys[self.rank]
+
+    def longer(self, tokens: np.ndarray, words: Runs) -> Runs:
+        """Runs with one word more."""
+        at = np.flatnonzero((self.of[:-1] >= 0) & (tokens[1:] != _begin(words.keys))) + 1
+        distinct, first, number = np.unique(self.of[at - 1].astype(np.int64) * len(words.keys) + tokens[at], return_index=True, return_inverse=True)
+        of = np.full(len(tokens), -1, np.int32)
+        of[at] = number
+        history, word = (distinct // len(words.keys)).astype(np.int32), (distinct % len(words.keys)).astype(np.int32)
+        return Runs(_mixed(self.hashes[history], words.keys[word]), of, history, self.of[at[first]])
+
+
+def _runs(tokens: np.ndarray, hashes: np.ndarray, order: int) -> list[Runs]:
+    """By n - 1; hashes: of words, sorted, and tokens their numbers."""
+    out = [Runs(hashes, tokens)]
+    while len(out) < order:
+        out.append(out[-1].longer(tokens, out[0]))
+    return out
 
 
-def _asking(parts: int, most_tokens: int):
+def _asking(parts: int, most_tokens: int, order: int):
     def messages(batches) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -146,17 +180,12 @@ def _asking(parts: int, most_tokens: int):
             hashes, tokens = block.numbered()
             lens, held = np.concatenate(block.lens), np.concatenate(block.held)
             learnt = np.repeat(~held, lens + 1)
-            single = np.bincount(tokens[learnt], minlength=len(hashes))
-            pairs, of, at = _pairs(tokens, hashes)
-            double = np.bincount(of[learnt[at]], minlength=len(pairs))
             ids = np.array([0 if x is None else x for x in block.ids], np.int64)
             rows = [("text", number, 0, _pack(ids, np.array([x is None for x in block.ids], np.uint8), held.view(np.uint8), _small(lens), _small(tokens)))]
-            for kind, keys, n in (("1", hashes, single), ("2", _mixed(hashes[pairs // len(hashes)], hashes[pairs % len(hashes)]), double)):
-                if kind == "2":
-                    order = np.argsort(keys)
-                    keys, n = keys[order], n[order]
-                cut = _cuts(keys, parts)
-                rows += [(kind, number, p, _pack(np.diff(keys[a:b], prepend=np.uint64(0)), _small(n[a:b]))) for p, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
+            for n, runs in enumerate(_runs(tokens, hashes, order), 1):
+                own = np.bincount(runs.of[learnt & (runs.of >= 0)], minlength=len(runs.keys))[runs.order]
+                cut = _cuts(runs.keys, parts)
+                rows += [(str(n), number, p, _pack(np.diff(runs.keys[a:b], prepend=np.uint64(0)), _small(own[a:b]))) for p, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
             count, block = count + 1, _Block()
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _MESSAGE)], schema=_MESSAGE)
 
@@ -240,101 +269,124 @@ def _ordered(rows: pa.Table, kind: str) -> list[list[np.ndarray]]:
     return [_unpack(b) for b in mine.column("body").to_pylist()]
 
 
-def _first_round(one: list[int], two: list[int], parts: int):
-    single, d2 = Singles(one), discounts(two)
+def _count(history: np.ndarray) -> np.ndarray:
+    """Counts of histories, with RESERVE where it may be needed."""
+    return history + np.where(history > K, RESERVE, 0)
+
+
+def _first_round(stats: list[list[int]], parts: int):
+    order, single, discount = len(stats), Singles(stats[0]), [np.append(discounts(x), 1.0) for x in stats]
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         """A block with its counts: shares of back-off weights, and all of its scores but these weights."""
         block = key[0].as_py()
         ids, null, held, lens, tokens = _ordered(rows, "text")[0]
         hashes = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in _ordered(rows, "1")])
-        count1 = np.concatenate([x[0] for x in _ordered(rows, "answers1")]).astype(np.int64)
-        pairs, of, at = _pairs(tokens, hashes)
-        h, w = (pairs // len(hashes)).astype(np.int32), (pairs % len(hashes)).astype(np.int32)
-        del pairs
-        order2 = np.argsort(_mixed(hashes[h], hashes[w])).astype(np.int32)
-        answers = _ordered(rows, "answers2")
-        count2, mine = np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-        count2[order2] = np.concatenate([x[0] for x in answers])
-        mine[order2] = np.concatenate([x[1] for x in answers]).astype(bool)
-        del order2, answers
-        p1 = single(count1)
-        p2 = np.append(d2, 1.0)[np.minimum(count2, K + 1)] * count2 / (count1[h] + RESERVE)
-        seen = np.bincount(h[mine], p2[mine], len(hashes))
-        low = np.bincount(h[mine], p1[w[mine]], len(hashes))
-        cut = _cuts(hashes, parts)
-        out = [("shares", block, p, _pack(seen[a:b], low[a:b])) for p, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
-        doc = np.repeat(np.arange(len(lens)), lens)
-        log = np.log10(np.where(count2 > 0, p2, p1[w]))[of]
-        del p2, mine, w
-        word = tokens[at]
+        runs, counts, chance, out = _runs(tokens, hashes, order), [], [], []
+        for n, own in enumerate(runs):
+            answers = _ordered(rows, f"answers{n + 1}")
+            count = np.concatenate([x[0] for x in answers]).astype(np.int64)[own.rank]
+            if n == 0:
+                p = single(count)
+            else:
+                p = discount[n][np.minimum(count, K + 1)] * count / np.maximum(_count(counts[-1][own.history]), 1)
+                mine = np.concatenate([x[1] for x in answers]).astype(bool)[own.rank]
+                below = runs[n - 1]
+                share = lambda x, h=own.history[mine], b=below: np.bincount(h, x, len(b.keys))[b.order]
+                seen, low = share(p[mine]), share(chance[-1][own.lower[mine]])  # what is learnt is learnt in every lower order, too
+                cut = _cuts(below.keys, parts)
+                out += [(f"shares{n + 1}", block, k, _pack(seen[a:b], low[a:b])) for k, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
+            counts.append(count)
+            chance.append(p)
+        at = np.flatnonzero(tokens != _begin(hashes))
+        doc = np.repeat(np.arange(len(lens), dtype=np.int32), lens)
+
+        def evaluated(n: int, left: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+            """(logs of the probabilities of the tokens that are left, but for back-off weights; documents and histories of these, by order) from order n down."""
+            if n == 0:
+                return np.log10(chance[0][tokens[at[left]]]), []
+            run_of = runs[n].of[at[left]]
+            known = (run_of >= 0) & (counts[n][run_of] > 0)
+            log = np.empty(len(left))
+            log[known] = np.log10(chance[n][run_of[known]])
+            log[~known], weights = evaluated(n - 1, left[~known])
+            history = np.where(run_of >= 0, runs[n - 1].of[at[left] - 1], -1)
+            opened = ~known & (history >= 0)
+            opened[opened] = counts[n - 1][history[opened]] > 0
+            return log, [*weights, doc[left[opened]], runs[n - 1].rank[history[opened]]]
+
+        log, weights = evaluated(order - 1, np.arange(len(at)))
         total = lambda x: np.bincount(doc, x, len(lens))
-        open_ = (count2[of] == 0) & (count1[tokens[at - 1]] > 0)
-        out.append(("docs", block, 0, _pack(ids, null, held, _small(lens), total(count1[word] > 0), total(single.base(count1)[word]), total(log), _small(doc[open_]), _small(tokens[at - 1][open_]))))
+        word = tokens[at]
+        out.append(("docs", block, 0, _pack(ids, null, held, _small(lens), total(counts[0][word] > 0), total(single.base(counts[0])[word]), total(log), *map(_small, weights))))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _MESSAGE)], schema=_MESSAGE)
 
     return run
 
 
 def _weights(key: tuple, rows: pa.Table) -> pa.Table:
-    """A part of the histories: alpha of each, and an answer to each block."""
-    part = key[0].as_py()
-    asked = rows.filter(pa.compute.equal(rows.column("kind"), "1")).sort_by("block")
-    shares = rows.filter(pa.compute.equal(rows.column("kind"), "shares")).sort_by("block")
+    """A part of the histories of n - 1 words: alpha of each, and an answer to each block."""
+    n, part = key[0].as_py(), key[1].as_py()
+    asked = rows.filter(pa.compute.equal(rows.column("kind"), str(n - 1))).sort_by("block")
+    shares = rows.filter(pa.compute.equal(rows.column("kind"), f"shares{n}")).sort_by("block")
     blocks = asked.column("block").to_pylist()
     keys = [np.cumsum(_unpack(b)[0], dtype=np.uint64) for b in asked.column("body").to_pylist()]
     sums = [_unpack(b) for b in shares.column("body").to_pylist()]
     _, seen, at = _sums(keys, [s[0] for s in sums])
     _, low, _ = _sums(keys, [s[1] for s in sums])
     alpha = (1 - seen) / np.maximum(1 - low, 1e-12)
-    out = [("weights", b, part, _pack(np.log10(alpha[where]))) for b, where in zip(blocks, at)]
+    out = [(f"weights{n}", b, part, _pack(np.log10(np.maximum(alpha[where], 1e-300)))) for b, where in zip(blocks, at)]
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _MESSAGE)], schema=_MESSAGE)
 
 
-def _second_round(n: int):
+def _second_round(n: int, order: int):
     kind = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        ids, null, held, lens, known, base, score, doc, word = _ordered(rows, "docs")[0]
-        log = np.concatenate([x[0] for x in _ordered(rows, "weights")])
-        score = score + np.bincount(doc, log[word], len(lens))
+        ids, null, held, lens, known, base, score, *weights = _ordered(rows, "docs")[0]
+        for k, (doc, history) in enumerate(zip(weights[::2], weights[1::2]), 2):
+            log = np.concatenate([x[0] for x in _ordered(rows, f"weights{k}")])
+            score = score + np.bincount(doc, log[history], len(lens))
         held = held.astype(bool) & (null == 0)
         return pa.Table.from_arrays([pa.array(ids, mask=null.astype(bool)), pa.array(held), pa.array(lens.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(np.full(len(lens), n)), pa.array(base), pa.array(score)], schema=kind)
 
     return run
 
 
-def scored(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, parts: int | None = None) -> DataFrame:
+def scored(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, parts: int | None = None, order: int = ORDER) -> DataFrame:
     """Scores of all documents by the model of those whose `held` is false.  docs: doc_id, text, held.
 
     parts: of the model's tables; by default as many as shuffle partitions, so a part stays as large as a shuffle partition should be.
     """
     spark = docs.sparkSession
     parts = parts or max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    write = lambda rows, path: rows.write.option("compression", "none").partitionBy("kind").parquet(path)  # noqa: E731  bodies are compressed already
+    write = lambda rows, path: in_files(rows).write.option("compression", "none").partitionBy("kind").parquet(path)  # noqa: E731  bodies are compressed already
     asked, counts, shares = (new_path(spark, f"katz-{x}") for x in ("asked", "counts", "shares"))
-    write(arrow_map(docs.select("doc_id", "text", "held"), _asking(parts, block_tokens), MESSAGE), asked)
+    write(arrow_map(docs.select("doc_id", "text", "held"), _asking(parts, block_tokens, order), MESSAGE), asked)
     ask = lambda *kinds: spark.read.schema(MESSAGE).parquet(asked).filter(F.col("kind").isin(*kinds))
+    orders = [str(n) for n in range(1, order + 1)]
     for turn in range(TURNS):
-        counted = arrow_groups(ask("1", "2").filter(F.col("part") % TURNS == turn).groupBy("kind", "part"), _counted, COUNTED)
-        counted.write.mode("append").option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0").partitionBy("kind").parquet(counts)
+        counted = arrow_groups(ask(*orders).filter(F.col("part") % TURNS == turn).groupBy("kind", "part"), _counted, COUNTED)
+        in_files(counted).write.mode("append").option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0").partitionBy("kind").parquet(counts)
         settled(spark)
     count = spark.read.schema(COUNTED).parquet(counts)
-    stats: dict[str, list[int]] = {}
+    found: dict[str, list[int]] = {}
     for row in count.filter(F.col("kind").startswith("stats")).groupBy("kind").agg(*(F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(K + 3))).collect():
-        stats[row[0]] = list(row[1:])
-    one, two = (stats.get(k, [0] * (K + 3)) for k in ("stats1", "stats2"))
-    dropped(spark, f"{asked}/kind=2")
+        found[row[0]] = list(row[1:])
+    stats = [found.get(f"stats{n}", [0] * (K + 3)) for n in orders]
+    if order > 1:
+        dropped(spark, f"{asked}/kind={order}")  # no history is as long
     settled(spark)
     columns = ["kind", "block", "part", "body"]
-    first = ask("text", "1").unionByName(count.filter(F.col("kind").isin("answers1", "answers2")).select(*columns))
-    write(arrow_groups(first.groupBy("block"), _first_round(one, two, parts), MESSAGE), shares)
-    for done in (f"{asked}/kind=text", f"{counts}/kind=answers1", f"{counts}/kind=answers2"):
+    first = ask("text", "1").unionByName(count.filter(F.col("kind").isin(*(f"answers{n}" for n in orders))).select(*columns))
+    write(arrow_groups(first.groupBy("block"), _first_round(stats, parts), MESSAGE), shares)
+    for done in (f"{asked}/kind=text", *(f"{counts}/kind=answers{n}" for n in orders)):
         dropped(spark, done)
     settled(spark)
     share = spark.read.schema(MESSAGE).parquet(shares)
-    weights = arrow_groups(ask("1").unionByName(share.filter("kind = 'shares'")).groupBy("part"), _weights, MESSAGE)
-    return arrow_groups(share.filter("kind = 'docs'").unionByName(weights).groupBy("block"), _second_round(one[0]), SCORES)
+    histories = ask(*orders[:-1]).withColumn("n", F.col("kind").cast("int") + 1).unionByName(share.filter(F.col("kind").startswith("shares")).withColumn("n", F.substring("kind", 7, 9).cast("int")))
+    weights = arrow_groups(histories.groupBy("n", "part"), _weights, MESSAGE)
+    return arrow_groups(share.filter("kind = 'docs'").unionByName(weights).groupBy("block"), _second_round(stats[0][0], order), SCORES)
 
 
 def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Operators against brute force, exact round trips and held-out labels."""
 
+import functools
 import hashlib
 import itertools
 import math
@@ -75,50 +76,55 @@ def test_quality_on_held_out_rows(spark):
     assert all(x.predicted == int(bool(rows[x.doc_id][2])) for x in out if x.held_out)
 
 
-def katz_by_hand(train, texts):
+def katz_by_hand(train, texts, order):
     """Scores by the definition, word by word."""
-    one, two = Counter(), Counter()
-    begin = 0
+    count = [Counter() for _ in range(order + 1)]  # by length of the run
     for t in train:
         ws = ["<s>", *t.lower().split(), "</s>"]
-        one.update(ws[1:])
-        begin += 1
-        two.update(zip(ws, ws[1:]))
-    stats = lambda c: [sum(c.values()), len(c), *(sum(v == r for v in c.values()) for r in range(1, katz.K + 2))]
-    single, d2 = katz.Singles(stats(one)), katz.discounts(stats(two))
-    p1 = lambda w: float(single(np.array([one[w]]))[0])
-    hist = Counter(one)
-    hist["<s>"] = begin
-    d = lambda c: d2[c] if c <= katz.K else 1.0
-    p2 = lambda h, w: d(two[h, w]) * two[h, w] / (hist[h] + katz.RESERVE)
-    after = defaultdict(list)
-    for h, w in two:
-        after[h].append(w)
-    alpha = {h: (1 - sum(p2(h, w) for w in ws)) / (1 - sum(p1(w) for w in ws)) for h, ws in after.items()}
-    p = lambda h, w: p2(h, w) if two[h, w] else alpha.get(h, 1.0) * p1(w)
+        for n in range(1, order + 1):
+            count[n].update(tuple(ws[i : i + n]) for i in range(len(ws) - n + 1))
+    begin = count[1].pop(("<s>",), 0)
+    stats = [[sum(c.values()), len(c), *(sum(v == r for v in c.values()) for r in range(1, katz.K + 2))] for c in count[1:]]
+    single, d = katz.Singles(stats[0]), [katz.discounts(x) for x in stats]
+    hist = lambda h: begin if h == ("<s>",) else count[len(h)][h]
+    after = defaultdict(set)
+    for n in range(2, order + 1):
+        for run in count[n]:
+            after[run[:-1]].add(run[-1])
+
+    def p(h, w):
+        if not h:
+            return float(single(np.array([count[1][w,]]))[0])
+        c = count[len(h) + 1][(*h, w)]
+        if c:
+            return (d[len(h)][c] if c <= katz.K else 1.0) * c / (hist(h) + (katz.RESERVE if hist(h) > katz.K else 0))
+        return (alpha(h) if hist(h) else 1.0) * p(h[1:], w)
+
+    @functools.cache
+    def alpha(h):
+        return (1 - sum(p(h, w) for w in after[h])) / (1 - sum(p(h[1:], w) for w in after[h]))
+
     out = []
     for t in texts:
         ws = ["<s>", *t.lower().split(), "</s>"]
-        out.append((len(ws) - 1, sum(one[w] > 0 for w in ws[1:]), sum(math.log10((one[w] + 0.1) / (single.n + 0.1 * (single.v + 1))) for w in ws[1:]), sum(math.log10(p(h, w)) for h, w in zip(ws, ws[1:]))))
-    return out, one, p
+        logs = [math.log10(p(tuple(ws[max(0, i - order + 1) : i]), ws[i])) for i in range(1, len(ws))]
+        out.append((len(ws) - 1, sum(count[1][w,] > 0 for w in ws[1:]), sum(math.log10((count[1][w,] + 0.1) / (single.n + 0.1 * (single.v + 1))) for w in ws[1:]), sum(logs)))
+    return out, [w for w, in count[1]], p, list(after)
 
 
-@pytest.mark.parametrize("block", [100, 1_000_000])
-def test_katz_against_the_definition(spark, block):
-    texts = [*corpus(5), "unseen words only here", "", "A a b\x1fc d"]
+@pytest.mark.parametrize(("order", "block"), [(1, 100), (2, 100), (2, 1_000_000), (3, 100), (3, 1_000_000), (4, 300)])
+def test_katz_against_the_definition(spark, order, block):
+    texts = [*corpus(5), "unseen words only here", "", "A a\xa0b\x1fc d"]
     held = [i % 10 == 0 or i >= 120 for i in range(len(texts))]
-    want, one, p = katz_by_hand([t for t, h in zip(texts, held) if not h], texts)
+    want, words, p, histories = katz_by_hand([t for t, h in zip(texts, held) if not h], texts[:-1], order)  # the last is cut at other spaces by str.split
     rows = spark.createDataFrame(list(zip(range(len(texts)), texts, held)), "doc_id long, text string, held boolean")
-    out = {r.doc_id: r for r in katz.scored(rows, block_tokens=block, parts=5).collect()}
-    if " " not in " ".join(texts[:-1]):  # the last text is cut at other spaces by str.split
-        want = want[:-1]
+    out = {r.doc_id: r for r in katz.scored(rows, block_tokens=block, parts=5, order=order).collect()}
     for i, (n, known, base, score) in enumerate(want):
         assert (out[i].n_tokens, out[i].n_known) == (n, known)
         assert out[i].base_score == pytest.approx(base) and out[i].score == pytest.approx(score)
-    assert out[len(texts) - 1].n_tokens == 4  # A, a b\x1fc, d, end
-    some = list(one)
-    for h in ("<s>", some[3], some[20]):  # all learnt words and the class of all others
-        assert sum(p(h, w) for w in some) + p(h, "never seen") == pytest.approx(1)
+    assert out[len(texts) - 1].n_tokens == 4  # A, a b\x1fc, d, end
+    for h in histories[:: max(1, len(histories) // 12)]:  # all learnt words and the class of all others
+        assert sum(p(h, w) for w in words) + p(h, "never seen") == pytest.approx(1)
 
 
 @pytest.mark.parametrize("clustered", [False, True])
