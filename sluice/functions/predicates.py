@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 #: Fixed formats.
 UUID_FORMAT = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[1-5][0-9a-fA-F]{3}-[89abAB][0-9a-fA-F]{3}-[0-9a-fA-F]{12}$"
 COUNTRY_FORMAT = "^[A-Z]{2}$"
-IP_FORMAT = r"^((25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(25[0-5]|2[0-4]\d|1?\d?\d)$|^[0-9a-fA-F:]*:[0-9a-fA-F:]*$"
+IP_FORMAT = r"^(([0-9]{1,3}\.){3}[0-9]{1,3}|[0-9A-Fa-f:]+)$"
 
 
 def any_null(*columns: str) -> Column:
@@ -106,7 +106,9 @@ def is_alert(kind: Column, predicted: Column, probability: Column, score: Column
 
 
 #: Fixed terms that a feature's name must not have.
-LEAKING_TERMS = ("is_fraud", "fraud_type", "label", "investigation", "target", "decision", "outcome")
+LEAKING_TERMS = ("is_fraud", "target", "fraud_type", "fraud_label", "label_timestamp", "label_source", "investigation_status")
+#: Columns that a live row must have to be learnt from.
+LIVE_INPUTS = ("transaction_id", "account_id", "device_id", "event_timestamp", "asset", "transaction_type", "country", "transaction_amount_usd", "is_fraud")
 
 
 def leaking_columns(columns: list[str], forbidden: tuple[str, ...] = LEAKING_TERMS) -> list[str]:

@@ -54,7 +54,22 @@ def seconds(ts: Column) -> Column:
 
 def nanos(ts: Column) -> Column:
     """Nanoseconds as a decimal, for ordering columns of mixed resolution."""
-    return micros(ts).cast("decimal(38,0)") * 1000
+    return (micros(ts).cast("decimal(38,0)") * 1000).cast("decimal(38,0)")
+
+
+def event_time(*candidates: Column) -> Column:
+    """The first time that is known, say of the prediction, the event, the broker and the ingestion."""
+    return F.coalesce(*(c.cast("timestamp") for c in candidates))
+
+
+def in_utc(ts: Column, zone: str) -> Column:
+    """A local time of a zone as a timestamp in UTC."""
+    return F.to_utc_timestamp(ts, zone)
+
+
+def json_safe(c: Column) -> Column:
+    """A number as JSON can hold it: null for NaN and infinities."""
+    return finite_or_null(c)
 
 
 def seconds_between(later: Column, earlier: Column) -> Column:
@@ -62,9 +77,14 @@ def seconds_between(later: Column, earlier: Column) -> Column:
     return seconds(later) - seconds(earlier)
 
 
-def row_hash(columns: list[str], null: str = "\\N", separator: str = "|") -> Column:
-    """SHA-256 of the columns' texts; nulls are a token of their own and timestamps keep microseconds."""
-    return F.sha2(F.concat_ws(separator, *(F.coalesce(F.col(c).cast("string"), F.lit(null)) for c in columns)), 256)
+def row_hash(columns: list[str]) -> Column:
+    """SHA-256 of the columns' texts, each behind its length, and - for a null: unlike rows never have the same text.  Timestamps keep microseconds."""
+
+    def part(c: str) -> Column:
+        text = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    return F.sha2(F.concat_ws("|", *map(part, columns)), 256)
 
 
 def payload_hash(c: Column) -> Column:
@@ -108,6 +128,17 @@ def deterministic_id(*parts: Column) -> Column:
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(F.lit("8"), F.substring(h, 18, 3)), F.substring(h, 21, 12))
 
 
+#: The namespace of names that are URLs.
+URL_NAMESPACE = "6ba7b8119dad11d180b400c04fd430c8"
+
+
+def uuid5(name: Column, namespace: str = URL_NAMESPACE) -> Column:
+    """The name-based UUID (version 5) of a name in a namespace (32 hex digits)."""
+    h = F.substring(F.sha1(F.concat(F.unhex(F.lit(namespace)), F.encode(name, "UTF-8"))), 1, 32)
+    variant = F.lower(F.hex(F.conv(F.substring(h, 17, 1), 16, 10).cast("int").bitwiseAND(3).bitwiseOR(8)))
+    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
+
+
 def model_columns(categorical: list[str], numeric: list[str]) -> list[Column]:
     """Features in a model's types."""
     return [F.col(c).cast("string").alias(c) for c in categorical] + [F.col(c).cast("double").alias(c) for c in numeric]

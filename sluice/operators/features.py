@@ -64,11 +64,37 @@ def authentication_features(subjects: DataFrame, logins: DataFrame, key: str, ts
     return out.filter("_subject").select(*subjects.columns, "failed_auth_short", "failed_auth_long", "successful_auth_long", flag(F.col("failed_auth_short") > 0).alias("recent_auth_failure"), (F.col("_e") - F.col("_last")).alias("seconds_since_last_success"), flag(F.col("_last").isNotNull()).alias("has_previous_success"))
 
 
+def with_distinct(rows: DataFrame, key: str, who: str, span: int, counted: Column, name: str) -> DataFrame:
+    """Rows (with their epoch _e and _real) and, as rows that are not _real, the changes of how many different `who` a key has seen in a span.
+
+    One of them counts from its latest event until its next one or until the span is over, so the number at any time is
+    a running sum of ones that come and go: linear, however busy a key is, where a set in every window is not.
+    """
+    seen = rows.filter(counted & F.col(who).isNotNull() & F.col(key).isNotNull()).select(F.col(key), "_e", F.col(who).alias("_who")).distinct()
+    again = F.lead("_e").over(Window.partitionBy(key, "_who").orderBy("_e"))
+    spans = seen.select(key, "_e", F.least(F.coalesce(again, F.col("_e") + span), F.col("_e") + span).alias("_end"))
+    points = spans.select(key, F.explode(F.array(F.struct(F.col("_e"), F.lit(1).alias(name)), F.struct(F.col("_end").alias("_e"), F.lit(-1).alias(name)))).alias("_p")).select(key, "_p.*")
+    return rows.withColumn(name, F.lit(0)).unionByName(points.withColumn("_real", F.lit(False)), allowMissingColumns=True)
+
+
 def shared_entity(rows: DataFrame, key: str, ts: str, who: str, span: int = HOUR) -> DataFrame:
-    """Prior events on an entity (a device) in a span and how many different ones (accounts) they are of."""
-    w = before(key, "_e", span)
-    out = rows.withColumn("_e", epoch(ts)).select("*", F.count(F.lit(1)).over(w).alias("prior_events"), F.size(F.collect_set(who).over(w)).cast("long").alias("distinct_accounts"))
-    return out.drop("_e")
+    """Prior events on an entity (a device) in a span and how many different ones (accounts) they are of.  Rows without a key are one entity's, of nobody."""
+    every = with_distinct(rows.withColumn("_e", epoch(ts)).withColumn("_real", F.lit(True)), key, who, span, F.lit(True), "_change")
+    real = F.when(F.col("_real"), 1)
+    out = every.select("*", F.count(real).over(before(key, "_e", span)).alias("prior_events"), F.coalesce(F.sum("_change").over(before(key, "_e", None)), F.lit(0)).cast("long").alias("distinct_accounts"))
+    return out.filter("_real").drop("_e", "_real", "_change")
+
+
+def device_authentications(subjects: DataFrame, logins: DataFrame, key: str, ts: str, who: str, success: str, short: int = 600, long: int = HOUR) -> DataFrame:
+    """For each subject: failed logins (short), successful ones (long) and different accounts that logged in (long) on its device before."""
+    rows = timeline(subjects, logins.withColumn("_login_of", F.col(who)), key, ts, [success, "_login_of"])  # subjects' own accounts don't count
+    rows = rows.withColumn("_e", epoch(ts)).withColumn("_real", F.lit(True))
+    every = with_distinct(rows, key, "_login_of", long, ~F.col("_subject"), "_change")
+    login = F.coalesce(F.col("_real") & ~F.col("_subject"), F.lit(False))
+    failed, good = F.when(login & ~F.col(success), 1), F.when(login & F.col(success), 1)
+    near, far, ever = (before(key, "_e", s) for s in (short, long, None))
+    out = every.select("*", F.count(failed).over(near).alias("device_failed_auth_short"), F.count(good).over(far).alias("device_successful_auth_long"), F.coalesce(F.sum("_change").over(ever), F.lit(0)).cast("long").alias("device_distinct_accounts"))
+    return out.filter("_real AND _subject").select(*subjects.columns, "device_failed_auth_short", "device_successful_auth_long", "device_distinct_accounts")
 
 
 def counterparty_history(rows: DataFrame, party: str, ts: str, name: str) -> DataFrame:
@@ -114,6 +140,17 @@ def first_seen_features(rows: DataFrame, seen: DataFrame, key: str, ts: str, nam
     return out.select(*rows.columns, flag(first <= t).alias(f"{name}_profile_available"), hours.alias(f"{name}_age_hours"), (hours / 24).alias(f"{name}_age_days"), F.when(first <= t, (hours <= 24).cast("int")).alias(f"is_new_{name}_24h"))
 
 
+def history_for(rows: DataFrame, subjects: DataFrame, keys: dict[str, str], ts: str, start: Column, end: Column) -> DataFrame:
+    """Rows in [start, end) of any entity that the subjects have: rows' column to subjects' column.  A semi join a key, united, each row once."""
+    near = rows.filter((F.col(ts) >= start) & (F.col(ts) < end))
+    wanted = None
+    for own, theirs in keys.items():
+        ids = subjects.select(F.col(theirs).alias("_id")).filter("_id IS NOT NULL").distinct().withColumn(f"_of_{own}", F.lit(True))
+        near = near.join(ids, near[own] == ids["_id"], "left").drop("_id")
+        wanted = F.col(f"_of_{own}").isNotNull() if wanted is None else wanted | F.col(f"_of_{own}").isNotNull()
+    return near.filter(wanted).select(*rows.columns)
+
+
 def prior_pairs(rows: DataFrame, key: str, ts: str, span: int, bucket: int | None = None) -> DataFrame:
     """Counts of prior events by a range join, for checking windows.
 
@@ -130,7 +167,8 @@ def prior_pairs(rows: DataFrame, key: str, ts: str, span: int, bucket: int | Non
 def evidence(rows: DataFrame, key: str, ts: str, id_: str, subject: Column, span: int, most: int = 20) -> DataFrame:
     """For chosen subjects their newest prior events in a span, at most `most` each: what their features were made from."""
     own = rows.filter(subject).select(F.col(key).alias("_k"), F.col(id_).alias("subject_id"), epoch(ts).alias("_t"))
-    e = rows.withColumn("_e", epoch(ts))
-    prior = e.join(own, (e[key] == own["_k"]) & (F.col("_e") < F.col("_t")) & (F.col("_e") >= F.col("_t") - span))
+    own = own.withColumn("_bucket", F.explode(F.array(F.floor(F.col("_t") / span), F.floor(F.col("_t") / span) - 1)))  # times in buckets of the span, so the join is an equi join
+    e = rows.withColumn("_e", epoch(ts)).withColumn("_of", F.floor(F.col("_e") / span))
+    prior = e.join(own, (e[key] == own["_k"]) & (e["_of"] == own["_bucket"]) & (F.col("_e") < F.col("_t")) & (F.col("_e") >= F.col("_t") - span))
     newest = Window.partitionBy("subject_id").orderBy(F.col(ts).desc(), F.col(id_).desc())
     return prior.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") <= most).select("subject_id", *rows.columns, (F.col("_t") - F.col("_e")).alias("age_seconds"))

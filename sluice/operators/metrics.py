@@ -24,9 +24,11 @@ def profile_numeric(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def profile_categorical(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """How often each value of each column comes; one pass for all columns."""
+    """How often each value of each column comes, and its place: most frequent first, then by value, nulls last; one pass for all columns."""
     pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns)))
-    return rows.select(pairs.alias("_p")).groupBy("_p.column_name", "_p.value").agg(F.count("*").alias("n"))
+    counts = rows.select(pairs.alias("_p")).groupBy("_p.column_name", "_p.value").agg(F.count("*").alias("n"))
+    line = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("value").asc_nulls_last())
+    return counts.withColumn("place", F.row_number().over(line))
 
 
 def confusion(label: Column, predicted: Column) -> dict[str, Column]:
@@ -48,14 +50,19 @@ def classification_metrics(rows: DataFrame, label: Column, predicted: Column, by
     return with_rates(rows.groupBy(*by).agg(*aggs) if by else rows.agg(*aggs))
 
 
+#: Parts that distinct scores are summed in.
+PARTS = 256
+
+
 def _ordered_sums(rows: DataFrame, label: str, score: str) -> DataFrame:
     """Per distinct score: positives and rows, and their sums from the highest score down.
 
-    Equal scores are one row first, and running sums are over parts of the score range with each part's total added,
-    so no task sees all scores.
+    Equal scores are one row first, and running sums are over PARTS parts between quantiles of the scores with each
+    part's total added, so no task sees all scores, wherever they crowd.
     """
     own = rows.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(score).alias("s")).agg(F.sum(label).alias("p"), F.count("*").alias("n"))
-    part = own.withColumn("_part", F.floor(F.col("s") * 256))  # probabilities: at most 257 parts
+    ends = own.agg(F.percentile_approx("s", [i / PARTS for i in range(1, PARTS)]).alias("_ends"))  # one row
+    part = own.crossJoin(F.broadcast(ends)).withColumn("_part", F.expr("size(filter(_ends, e -> e < s))")).drop("_ends")
     totals = part.groupBy("_part").agg(F.sum("p").alias("_p"), F.sum("n").alias("_n"))
     above = Window.orderBy(F.col("_part").desc()).rowsBetween(Window.unboundedPreceding, -1)  # over the parts' totals only
     before = totals.select("_part", F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_p0"), F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_n0"))
@@ -64,7 +71,7 @@ def _ordered_sums(rows: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def average_precision(rows: DataFrame, label: str, score: str) -> DataFrame:
-    """Sum over distinct scores of precision times the step in recall; null unless both classes are there.  Scores are probabilities."""
+    """Sum over distinct scores of precision times the step in recall; null unless both classes are there."""
     sums = _ordered_sums(rows, label, score)
     out = sums.agg(F.sum(F.col("p") * F.col("cum_p") / F.col("cum_n")).alias("_a"), F.sum("p").alias("_p"), F.sum("n").alias("_n"))
     return out.select(F.when((F.col("_p") > 0) & (F.col("_p") < F.col("_n")), F.col("_a") / F.col("_p")).alias("average_precision"))
@@ -102,17 +109,59 @@ def chosen_model(candidates: DataFrame, least_recall: float) -> DataFrame:
 
 
 def parity(left: DataFrame, right: DataFrame, key: str, columns: list[str], absolute: float = 1e-6, relative: float = 1e-9) -> DataFrame:
-    """For each column of two frames: rows that are exact, within tolerance and different, the largest difference, and a status."""
-    long = lambda df, name: df.select(key, F.explode(F.array(*(F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias(name)) for c in columns))).alias("_f")).select(key, "_f.*")
+    """For each column of two frames: rows that are exact, within tolerance, different and on one side only, the largest difference, and a status.
+
+    The frames are joined once, as wide rows; keys that one side lacks are mismatches.
+    """
+    side = lambda df, name: df.select(F.col(key).alias(f"_key{name}"), F.lit(True).alias(f"_in{name}"), *(F.col(c).cast("double").alias(f"{name}_{c}") for c in columns))
+    wide = side(left, "_a").join(side(right, "_b"), F.col("_key_a") == F.col("_key_b"), "full")
+    cells = F.array(*(F.struct(F.lit(c).alias("feature"), F.col(f"_a_{c}").alias("_a"), F.col(f"_b_{c}").alias("_b")) for c in columns))
+    rows = wide.select("_in_a", "_in_b", F.explode(cells).alias("_f")).select("_in_a", "_in_b", "_f.*")
     a, b = F.col("_a"), F.col("_b")
+    single = F.col("_in_a").isNull() | F.col("_in_b").isNull()
     both_null, one_null = a.isNull() & b.isNull(), a.isNull() != b.isNull()
     diff = F.abs(a - b)
-    exact = both_null | F.coalesce(a == b, F.lit(False))
+    exact = ~single & (both_null | F.coalesce(a == b, F.lit(False)))
     close = ~exact & F.coalesce((diff <= absolute) | (diff <= relative * F.greatest(F.abs(a), F.abs(b))), F.lit(False))
-    out = long(left, "_a").join(long(right, "_b"), [key, "feature"]).groupBy("feature").agg(F.count(F.when(exact, 1)).alias("exact"), F.count(F.when(close, 1)).alias("tolerance"), F.count(F.when(~exact & ~close | one_null, 1)).alias("mismatch"), F.coalesce(F.max(diff), F.lit(0.0)).alias("largest_difference"))
+    n = lambda c: F.count(F.when(c, 1))
+    out = rows.groupBy("feature").agg(n(exact).alias("exact"), n(close).alias("tolerance"), n(~exact & ~close | one_null).alias("mismatch"), n(F.col("_in_b").isNull()).alias("left_only"), n(F.col("_in_a").isNull()).alias("right_only"), F.coalesce(F.max(diff), F.lit(0.0)).alias("largest_difference"))
     return out.withColumn("status", F.when(F.col("mismatch") > 0, "MISMATCH").when(F.col("tolerance") > 0, "TOLERANCE").otherwise("EXACT"))
 
 
+def parity_families(found: DataFrame, families: dict[str, list[str]]) -> DataFrame:
+    """For every feature of every family: MATCH, MAJOR-MISMATCH or, where parity knows nothing of it, NOT-VERIFIABLE."""
+    spark = found.sparkSession
+    every = spark.createDataFrame([(f, c) for f, cs in families.items() for c in cs], "family string, feature string")
+    status = F.when(F.col("status").isin("EXACT", "TOLERANCE"), "MATCH").when(F.col("status") == "MISMATCH", "MAJOR-MISMATCH").otherwise("NOT-VERIFIABLE")
+    return every.join(found.select("feature", "status"), "feature", "left").select("feature", "family", status.alias("static_status"))
+
+
+def segment_metrics(rows: DataFrame, segments: dict[str, Column], label: Column, predicted: Column, score: Column) -> DataFrame:
+    """For each value of each segment: rows, events, mean score, flagged rows, precision and recall (null where undefined); one pass for all segments."""
+    pairs = F.explode(F.array(*(F.struct(F.lit(n).alias("segment_name"), F.coalesce(c.cast("string"), F.lit("__MISSING__")).alias("segment_value")) for n, c in segments.items())))
+    cells = rows.select(pairs.alias("_s"), label.alias("_y"), predicted.alias("_p"), score.alias("_score"))
+    n = lambda c: F.count(F.when(c, 1))
+    y, p = F.col("_y"), F.col("_p")
+    out = cells.groupBy("_s.segment_name", "_s.segment_value").agg(F.count("*").alias("row_count"), n(y).alias("fraud_count"), F.avg("_score").alias("average_probability"), n(p).alias("high_risk_count"), n(y & p).alias("_tp"))
+    return out.withColumns({"fraud_precision": ratio(F.col("_tp"), F.col("high_risk_count")), "fraud_recall": ratio(F.col("_tp"), F.col("fraud_count"))}).drop("_tp")
+
+
+def cold_start(previous: Column) -> Column:
+    """cold_start for rows without any earlier event, existing_history for others."""
+    return F.when(F.coalesce(previous.cast("double"), F.lit(0.0)) == 0, "cold_start").otherwise("existing_history")
+
+
+def fraud_distribution(transactions: DataFrame, labels: DataFrame, audit: DataFrame, key: str) -> DataFrame:
+    """Confirmed frauds, their share of all and of completed transactions, whether it is in the approved range, and labelled rows of each scenario, as name and value."""
+    paid = transactions.agg(F.count("*").alias("transactions"), F.count(F.when(F.col("transaction_status") == "COMPLETED", 1)).alias("completed"))
+    one = paid.crossJoin(labels.agg(F.count(F.when(F.col("is_fraud"), 1)).alias("frauds")))  # one row each
+    rate = F.coalesce(ratio(F.col("frauds"), F.col("transactions")), F.lit(0.0))
+    values = {"confirmed_fraud_count": F.col("frauds"), "transaction_count": F.col("transactions"), "completed_transaction_count": F.col("completed"), "fraud_rate": rate, "completed_transaction_fraud_rate": F.coalesce(ratio(F.col("frauds"), F.col("completed")), F.lit(0.0)), "fraud_rate_within_approved_range": rate.between(0.005, 0.01).cast("int")}
+    totals = one.select(F.explode(F.array(*(F.struct(F.lit(k).alias("name"), v.cast("double").alias("value")) for k, v in values.items()))).alias("_v")).select("_v.*")
+    scenarios = audit.filter("label_expected").groupBy(F.concat(F.lit("scenario:"), "scenario_id").alias("name")).agg(F.count(key).cast("double").alias("value"))
+    return totals.unionByName(scenarios)
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """All frames' rows, by column name."""
     return reduce(DataFrame.unionByName, frames)

@@ -41,6 +41,26 @@ def balanced(rows: DataFrame, label: str) -> DataFrame:
     return rows.withColumn("_weight", weight)
 
 
+def positive_weighted(rows: DataFrame, label: str) -> DataFrame:
+    """Adds a weight of negatives / positives for positives and 1 for others."""
+    n, positives = rows.agg(F.count("*"), F.sum(F.col(label).cast("long"))).head()
+    return rows.withColumn("_weight", F.when(F.col(label) == 1, (n - positives) / max(1, positives or 0)).otherwise(1.0))
+
+
+def registered(registry: DataFrame, name: str, metrics: dict[str, float]) -> DataFrame:
+    """A registry (name, version, alias, metric values) with one more version of a model; aliases stay where they are."""
+    version = registry.filter(F.col("name") == name).agg((F.coalesce(F.max("version"), F.lit(0)) + 1).cast("int").alias("version"))
+    values = F.create_map(*(F.lit(x) for kv in metrics.items() for x in kv)).cast("map<string,double>")
+    return registry.unionByName(version.select(F.lit(name).alias("name"), "version", F.lit(None).cast("string").alias("alias"), values.alias("metrics")))
+
+
+def aliased(registry: DataFrame, name: str, version: int, alias: str) -> DataFrame:
+    """The registry with an alias on one version of a model and on no other of it."""
+    mine, own = F.col("name") == name, F.col("version") == version
+    moved = F.when(mine & own, F.lit(alias)).when(mine & (F.col("alias") == alias), F.lit(None)).otherwise(F.col("alias"))
+    return registry.withColumn("alias", moved.cast("string"))
+
+
 def fit_logistic(rows: DataFrame, numeric: list[str], categorical: list[str], label: str, iterations: int = 1000) -> PipelineModel:
     """Balanced logistic regression behind the preprocessing; fitted on the given rows only."""
     data = balanced(cleaned(rows, numeric, categorical, label), label)
@@ -49,7 +69,7 @@ def fit_logistic(rows: DataFrame, numeric: list[str], categorical: list[str], la
 
 def fit_boosted(rows: DataFrame, numeric: list[str], categorical: list[str], label: str, trees: int = 200, depth: int = 3, rate: float = 0.05, subsample: float = 0.85) -> PipelineModel:
     """Boosted trees with positives weighted by negatives / positives."""
-    data = balanced(cleaned(rows, numeric, categorical, label), label)
+    data = positive_weighted(cleaned(rows, numeric, categorical, label), label)
     return Pipeline(stages=[*preprocessing(numeric, categorical), GBTClassifier(labelCol=label, weightCol="_weight", maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=subsample, seed=7)]).fit(data)
 
 

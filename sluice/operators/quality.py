@@ -133,10 +133,59 @@ def failed_paths(report: dict, prefix: str = "") -> list[str]:
     return out
 
 
-def transformation_matrix(before: T.StructType, after: T.StructType) -> list[dict]:
-    """For each column of the result: type before and after, and what was done."""
+def transformation_matrix(before: T.StructType, after: T.StructType, rules: TableRules | None = None) -> list[dict]:
+    """For each column of the result: type before and after, what was done, and the kinds of rules that it is under."""
     old = {f.name: f.dataType.simpleString() for f in before}
-    return [{"column": f.name, "from": old.get(f.name), "to": f.dataType.simpleString(), "change": "added" if f.name not in old else "kept" if old[f.name] == f.dataType.simpleString() else "converted"} for f in after]
+    own = rules or TableRules()
+    kinds = {"required": own.required, "uuid_format": own.uuids, "country_code": own.countries, "ip_address": own.addresses, "approved_values": [*(own.allowed or {}), *(own.allowed_elements or {})], "array_size": own.sizes or {}, "unique_items": own.unique_items, "conversion": own.conversions or {}}
+    out = []
+    for f in after:
+        kind = f.dataType.simpleString()
+        change = "added" if f.name not in old else "kept" if old[f.name] == kind else "converted"
+        out.append({"column": f.name, "from": old.get(f.name), "to": kind, "change": change, "rules": ";".join(k for k, names in kinds.items() if f.name in names)})
+    return out
+
+
+def json_problems(rows: DataFrame, column: str, required: dict[str, str], optional: dict[str, str] | None = None, closed: bool = True) -> DataFrame:
+    """Adds _problems to rows of JSON records: fields that are missing, of another type or (if closed) not in the contract.
+
+    required and optional: field to SQL type.  A field's JSON text must be readable as its type.
+    """
+    fields = required | (optional or {})
+    record = F.from_json(column, "map<string,string>")
+    value = lambda f: F.element_at(F.col("_record"), F.lit(f))
+    missing = [F.when(value(f).isNull(), F.lit(f"{f}_missing")) for f in required]
+    mistyped = [F.when(value(f).isNotNull() & value(f).try_cast(t).isNull(), F.lit(f"{f}_not_{t}")) for f, t in fields.items()]
+    unknown = F.transform(F.array_sort(F.filter(F.map_keys("_record"), lambda k: ~k.isin(*fields))), lambda k: F.concat(k, F.lit("_unexpected")))
+    found = F.concat(F.array_compact(F.array(*missing, *mistyped)), unknown if closed else F.array().cast("array<string>"))
+    bad = F.array(F.lit("not_a_record"))
+    return rows.withColumn("_record", record).withColumn("_problems", F.when(F.col("_record").isNull() | (F.size("_record") == 0) & ~F.trim(F.col(column)).rlike(r"^\{\s*\}$"), bad).otherwise(found)).drop("_record")
+
+
+def schema_checks(rows: DataFrame, expected: T.StructType) -> DataFrame:
+    """Rows, missing, unexpected and mistyped columns, and columns out of order, as check rows (row_count is never a failure)."""
+    from sluice.sources.tables import schema_problems
+
+    found = schema_problems(rows, expected)
+    order = [c for c in rows.columns if c in expected.fieldNames()] != [c for c in expected.fieldNames() if c in rows.columns]
+    counts = [(f"{k}_columns", len(v)) for k, v in found.items()] + [("columns_out_of_order", int(order))]
+    static = rows.sparkSession.createDataFrame(counts, "check_name string, failures long")
+    empty = rows.agg(F.lit("no_rows").alias("check_name"), (F.count("*") == 0).cast("long").alias("failures"))
+    return static.unionByName(empty).withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL"))
+
+
+def value_checks(rows: DataFrame, unique: tuple[str, ...], subsets: dict[str, list]) -> DataFrame:
+    """Checks that keys are unique, and that a column's values, nulls aside, are among those allowed."""
+    odd = [(f"{c}_in_allowed", rows.filter(P.not_one_of(F.col(c), v)).agg(F.count("*").alias("n"))) for c, v in subsets.items()]
+    return checks((f"{'_'.join(unique)}_unique", duplicate_keys(rows, *unique)), *odd)
+
+
+def label_timing(labels: DataFrame, transactions: DataFrame, key: str, labelled: str, happened: str) -> DataFrame:
+    """Labels without their transaction or that lie before it, with the reason."""
+    paid = transactions.select(F.col(key).alias("_key"), F.col(happened).alias("_at"))
+    joined = labels.join(paid, F.col(key) == F.col("_key"), "left")
+    reason = F.when(F.col("_key").isNull(), "no_transaction").when(F.col(labelled) < F.col("_at"), "before_transaction")
+    return joined.withColumn("reason", reason).filter("reason IS NOT NULL").drop("_key", "_at")
 
 
 def gaps(rows: DataFrame, key: str, ts: str, step: str) -> DataFrame:
@@ -156,14 +205,14 @@ def transaction_rules(tolerance: float = 0.01) -> list[Rule]:
     return [
         Rule("event_timestamp_after_source_timestamp", P.out_of_order(c("event_timestamp"), c("source_timestamp"))),
         Rule("source_timestamp_after_ingestion_timestamp", P.out_of_order(c("source_timestamp"), c("ingestion_timestamp"))),
-        Rule("crypto_quantity_positive", F.coalesce(c("crypto_quantity") <= 0, false)),
-        Rule("market_price_positive", F.coalesce(c("market_price_usd") <= 0, false)),
-        Rule("transaction_amount_not_negative", F.coalesce(c("transaction_amount_usd") < 0, false)),
-        Rule("source_equals_destination_wallet", F.coalesce(source == target, false)),
-        Rule("deposit_without_destination_wallet", (kind == "DEPOSIT") & target.isNull()),
-        Rule("outgoing_without_source_wallet", kind.isin("WITHDRAWAL", "TRANSFER") & source.isNull()),
-        Rule("outgoing_without_destination_wallet", kind.isin("WITHDRAWAL", "TRANSFER") & target.isNull()),
-        Rule("amount_matches_quantity_times_price", F.coalesce(F.abs(c("transaction_amount_usd") - (c("crypto_quantity") * c("market_price_usd")).cast("decimal(20,8)")) > tolerance, false)),
+        Rule("crypto_quantity_not_positive", F.coalesce(c("crypto_quantity") <= 0, false)),
+        Rule("market_price_usd_not_positive", F.coalesce(c("market_price_usd") <= 0, false)),
+        Rule("transaction_amount_usd_negative", F.coalesce(c("transaction_amount_usd") < 0, false)),
+        Rule("source_and_destination_wallet_identical", F.coalesce(source == target, false)),
+        Rule("deposit_missing_destination_wallet_id", (kind == "DEPOSIT") & target.isNull()),
+        Rule("outgoing_transaction_missing_source_wallet_id", kind.isin("WITHDRAWAL", "TRANSFER") & source.isNull()),
+        Rule("outgoing_transaction_missing_destination_wallet_id", kind.isin("WITHDRAWAL", "TRANSFER") & target.isNull()),
+        Rule("transaction_amount_mismatch_quantity_times_price", F.coalesce(F.abs(c("transaction_amount_usd") - (c("crypto_quantity") * c("market_price_usd")).cast("decimal(20,8)")) > tolerance, false)),
     ]
 
 
@@ -173,12 +222,12 @@ def candle_rules(granularity: int = 60) -> list[Rule]:
     o, h, l, e = (c(f"{x}_price_usd") for x in ("open", "high", "low", "close"))  # noqa: E741
     start, end = c("candle_start_timestamp"), c("candle_end_timestamp")
     return [
-        *(Rule(f"{n}_price_positive", F.coalesce(x <= 0, false)) for n, x in (("open", o), ("high", h), ("low", l), ("close", e))),
-        Rule("volume_not_negative", F.coalesce(c("volume") < 0, false)),
-        Rule("granularity", F.coalesce(c("granularity_seconds") != granularity, false)),
-        Rule("end_is_start_plus_granularity", F.coalesce(end != start + F.expr(f"interval {granularity} seconds"), false)),
-        Rule("high_is_highest", F.coalesce((h < o) | (h < e) | (h < l), false)),
-        Rule("low_is_lowest", F.coalesce((l > o) | (l > e) | (l > h), false)),
+        *(Rule(f"{n}_price_usd_not_positive", F.coalesce(x <= 0, false)) for n, x in (("open", o), ("high", h), ("low", l), ("close", e))),
+        Rule("volume_negative", F.coalesce(c("volume") < 0, false)),
+        Rule(f"granularity_not_{granularity}_seconds", F.coalesce(c("granularity_seconds") != granularity, false)),
+        Rule(f"candle_end_not_start_plus_{granularity}_seconds", F.coalesce(end != start + F.expr(f"interval {granularity} seconds"), false)),
+        Rule("high_price_below_ohlc_values", F.coalesce((h < o) | (h < e) | (h < l), false)),
+        Rule("low_price_above_ohlc_values", F.coalesce((l > o) | (l > e) | (l > h), false)),
     ]
 
 
@@ -188,21 +237,35 @@ def label_rules() -> list[Rule]:
     return [
         Rule("event_timestamp_after_source_timestamp", P.out_of_order(c("event_timestamp"), c("source_timestamp"))),
         Rule("source_timestamp_after_ingestion_timestamp", P.out_of_order(c("source_timestamp"), c("ingestion_timestamp"))),
-        Rule("event_timestamp_is_label_timestamp", F.coalesce(c("event_timestamp") != c("label_timestamp"), false)),
-        Rule("fraud_without_type", F.coalesce(c("is_fraud"), false) & c("fraud_type").isNull()),
-        Rule("type_without_fraud", F.coalesce(~c("is_fraud"), false) & c("fraud_type").isNotNull()),
-        Rule("confirmed_but_not_fraud", F.coalesce((c("investigation_status") == "CONFIRMED_FRAUD") & ~c("is_fraud"), false)),
-        Rule("cleared_but_fraud", F.coalesce((c("investigation_status") == "CLEARED") & c("is_fraud"), false)),
+        Rule("event_timestamp_not_equal_label_timestamp", F.coalesce(c("event_timestamp") != c("label_timestamp"), false)),
+        Rule("fraud_type_required_for_fraud", F.coalesce(c("is_fraud"), false) & c("fraud_type").isNull()),
+        Rule("fraud_type_must_be_null_for_non_fraud", F.coalesce(~c("is_fraud"), false) & c("fraud_type").isNotNull()),
+        Rule("confirmed_fraud_status_requires_is_fraud_true", F.coalesce((c("investigation_status") == "CONFIRMED_FRAUD") & ~c("is_fraud"), false)),
+        Rule("cleared_status_requires_is_fraud_false", F.coalesce((c("investigation_status") == "CLEARED") & c("is_fraud"), false)),
     ]
 
 
+def authentication_rules() -> list[Rule]:
+    """Order of times."""
+    c = F.col
+    return [
+        Rule("event_timestamp_after_source_timestamp", P.out_of_order(c("event_timestamp"), c("source_timestamp"))),
+        Rule("source_timestamp_after_ingestion_timestamp", P.out_of_order(c("source_timestamp"), c("ingestion_timestamp"))),
+    ]
+
+
+def date_rules(dates: dict[str, str]) -> list[Rule]:
+    """Partition dates (date column: timestamp column) that are not their timestamps'."""
+    return [Rule(f"{d}_not_derived_from_{ts}", P.date_differs(F.col(d), F.col(ts))) for d, ts in dates.items()]
+
+
 def master_rules(table: str) -> list[Rule]:
-    """accounts: updates and amounts; devices: last seen after first."""
+    """accounts: updates and amounts; devices: last seen after first; wallets have none beyond the generic ones."""
     c, false = F.col, F.lit(False)
     if table == "accounts":
-        return [Rule("updated_before_created", P.out_of_order(c("created_at"), c("updated_at"))), Rule("normal_amount_not_negative", F.coalesce(c("normal_transaction_amount_usd") < 0, false)), Rule("normal_frequency_not_negative", F.coalesce(c("normal_transaction_frequency_per_day") < 0, false))]
+        return [Rule("updated_at_before_created_at", P.out_of_order(c("created_at"), c("updated_at"))), Rule("normal_transaction_amount_usd_negative", F.coalesce(c("normal_transaction_amount_usd") < 0, false)), Rule("normal_transaction_frequency_per_day_negative", F.coalesce(c("normal_transaction_frequency_per_day") < 0, false))]
     if table == "devices":
-        return [Rule("last_seen_before_first_seen", P.out_of_order(c("first_seen_at"), c("last_seen_at")))]
+        return [Rule("last_seen_at_before_first_seen_at", P.out_of_order(c("first_seen_at"), c("last_seen_at")))]
     return []
 
 

@@ -73,12 +73,40 @@ def split_integrity(rows: DataFrame, key: str, ts: str, label: str) -> DataFrame
     return overlap.unionByName(uncovered).unionByName(order).unionByName(classes)
 
 
-def split_digest(rows: DataFrame, key: str, version: str, feature_version: str = "v1", part: Column | None = None) -> DataFrame:
+def split_lines(key: str, version: str, feature_version: str) -> Column:
+    """id|split|feature version|version."""
+    return F.concat_ws("|", F.col(key).cast("string"), "split", F.lit(feature_version), F.lit(version))
+
+
+def split_digest(rows: DataFrame, key: str, version: str, feature_version: str = "v1") -> DataFrame:
+    """SHA-256 of all lines id|split|feature version|version in order of id, joined by line ends.
+
+    One digest over all lines is one chain: the sort is distributed, then one task reads its parts one after another,
+    a batch at a time.  For splits too long for that there is `split_digest_tree`.
+    """
+
+    def chain(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        digest, any_ = hashlib.sha256(), False
+        for batch in batches:
+            for line in batch.column(0).to_pylist():
+                digest.update((b"\n" if any_ else b"") + line.encode())
+                any_ = True
+        yield pa.RecordBatch.from_arrays([pa.array([digest.hexdigest()])], names=["split_digest"])
+
+    lines = rows.select(F.col(key).alias("_key"), split_lines(key, version, feature_version).alias("_line")).orderBy("_key").select("_line")
+    return lines.coalesce(1).mapInArrow(chain, "split_digest string")
+
+
+def split_digest_tree(rows: DataFrame, key: str, version: str, feature_version: str = "v1", part: Column | None = None) -> DataFrame:
     """SHA-256 of the sorted lines id|split|feature version|version of each part of the keys, and of the parts' digests.
 
     A digest of digests: no task gathers all lines.  part: of a key, by default one of 256 by its crc32.
     """
-    line = F.concat_ws("|", F.col(key).cast("string"), "split", F.lit(feature_version), F.lit(version))
+    line = split_lines(key, version, feature_version)
     part = F.pmod(F.crc32(F.col(key).cast("string")), F.lit(256)) if part is None else part
     own = rows.groupBy(part.alias("_part")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("_d"))
     return own.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_part", "_d"))), lambda x: x["_d"]), "\n"), 256).alias("split_digest"))

@@ -9,7 +9,7 @@ from sluice.functions.typing import hour_of, seconds
 from sluice.operators import features as Fe
 from sluice.operators import market as M
 from sluice.operators import quality as Q
-from sluice.operators.metrics import parity
+from sluice.operators.metrics import parity, parity_families
 from sluice.operators.scoring import reason_codes
 from sluice.sources.tables import read_table
 
@@ -234,11 +234,29 @@ def reason_code_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", F.concat_ws(";", reason_codes(F.col("event_id") % 3 == 0, rows.columns)).alias("reasons"))
 
 
-@query(f"SELECT f AS feature, count(*) FILTER (WHERE k <> 0) AS exact, 0::BIGINT AS tolerance, count(*) FILTER (WHERE k = 0) AS mismatch FROM (SELECT unnest(['prior_count_1h', 'prior_sum_24h']) AS f, event_id % 50 AS k FROM ({_FEATURE_SQL})) GROUP BY f")
+_PARITY_SQL = f"""
+SELECT f AS feature, count(*) FILTER (WHERE k <> 0 AND m > 1) AS exact, 0::BIGINT AS tolerance, count(*) FILTER (WHERE k = 0 OR m <= 1) AS mismatch,
+ count(*) FILTER (WHERE m = 0) AS left_only, count(*) FILTER (WHERE m = 1) AS right_only
+FROM (SELECT unnest(['prior_count_1h', 'prior_sum_24h']) AS f, event_id % 50 AS k, event_id % 70 AS m FROM ({_FEATURE_SQL})) GROUP BY f"""
+
+
+def _parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table against a copy that is off in some rows and lacks others; it lacks some of the copy's, too."""
+    names, k = ["prior_count_1h", "prior_sum_24h"], F.col("event_id")
+    rows = feature_table(spark, sf_dir).select("event_id", *names)
+    other = rows.filter(k % 70 != 0).select("event_id", *(F.when(k % 50 == 0, F.col(c) + 1).otherwise(F.col(c)).alias(c) for c in names))
+    return parity(rows.filter(k % 70 != 1), other, "event_id", names)
+
+
+@query(_PARITY_SQL)
 def parity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = feature_table(spark, sf_dir).select("event_id", "prior_count_1h", "prior_sum_24h")
-    other = rows.select("event_id", *(F.when(F.col("event_id") % 50 == 0, F.col(c) + 1).otherwise(F.col(c)).alias(c) for c in ("prior_count_1h", "prior_sum_24h")))
-    return parity(rows, other, "event_id", ["prior_count_1h", "prior_sum_24h"]).select("feature", "exact", "tolerance", "mismatch")
+    return _parity(spark, sf_dir).select("feature", "exact", "tolerance", "mismatch", "left_only", "right_only")
+
+
+@query("SELECT * FROM (VALUES ('prior_count_1h', 'history', 'MAJOR-MISMATCH'), ('prior_sum_24h', 'history', 'MAJOR-MISMATCH'), ('close', 'market', 'NOT-VERIFIABLE')) t(feature, family, static_status)")
+def parity_by_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What parity tells of each family's features; nothing was compared of the market's."""
+    return parity_families(_parity(spark, sf_dir), {"history": ["prior_count_1h", "prior_sum_24h"], "market": ["close"]})
 
 
 @query("SELECT count(*) AS n, sum(price_usd * size)::DOUBLE AS turnover FROM (SELECT CAST(value AS DECIMAL(20,8)) AS price_usd, CAST(event_id AS DECIMAL(20,8)) AS size FROM events WHERE value > 0 AND event_id > 0)")
@@ -249,10 +267,10 @@ def market_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.agg(F.count("*").alias("n"), F.sum(F.col("price_usd") * F.col("size")).cast("double").alias("turnover"))
 
 
-@query(f"SELECT event_type AS product_id, make_timestamp(({_E}) * 1000000) AS candle_start, value AS open, round(value + 1, 6) AS high FROM events WHERE {_E} >= 1704153600 AND {_E} < 1704672000 QUALIFY row_number() OVER (PARTITION BY event_type, {_E} ORDER BY event_id DESC) = 1")
+@query(f"SELECT event_type AS product_id, make_timestamp(({_E}) * 1000000) AS candle_start, value AS open, round(value + 1, 6) AS high FROM events WHERE {_E} >= 1704067200 AND {_E} < 1706745600 QUALIFY row_number() OVER (PARTITION BY event_type, {_E} ORDER BY event_id DESC) = 1")
 def candle_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_table(spark, sf_dir, "events").select("event_type", F.array(seconds(F.col("ts")).cast("double"), F.col("value") - 1, F.col("value") + 1, F.col("value"), F.col("value"), F.lit(1.0)).alias("a"))
-    out = M.candle_rows(rows, "a", "event_type", 1704153600, 1704672000)
+    rows = read_table(spark, sf_dir, "events").select("event_type", "event_id", F.array(seconds(F.col("ts")).cast("double"), F.col("value") - 1, F.col("value") + 1, F.col("value"), F.col("value"), F.lit(1.0)).alias("a"))
+    out = M.candle_rows(rows, "a", "event_type", 1704067200, 1706745600, "event_id")  # the whole of January, in the order of ids
     return out.select("product_id", F.col("candle_start").cast("timestamp_ntz").alias("candle_start"), F.col("open").cast("double").alias("open"), F.round(F.col("high").cast("double"), 6).alias("high"))
 
 
@@ -261,7 +279,7 @@ def hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events").groupBy(hour_of(F.col("ts")).alias("hour")).agg(F.count("*").alias("n"))
 
 
-@query(f"SELECT a.event_id AS subject_id, b.event_id, (a.e - b.e)::BIGINT AS age_seconds FROM (SELECT *, {_E} AS e FROM events WHERE event_id % 400 = 0) a JOIN (SELECT *, {_E} AS e FROM events) b ON a.user_id = b.user_id AND b.e < a.e AND b.e >= a.e - 604800 QUALIFY row_number() OVER (PARTITION BY a.event_id ORDER BY b.ts DESC, b.event_id DESC) <= 20")
+@query(f"SELECT a.event_id AS subject_id, b.event_id, (a.e - b.e)::BIGINT AS age_seconds FROM (SELECT *, {_E} AS e FROM events WHERE event_type = 'error') a JOIN (SELECT *, {_E} AS e FROM events) b ON a.user_id = b.user_id AND b.e < a.e AND b.e >= a.e - 604800 QUALIFY row_number() OVER (PARTITION BY a.event_id ORDER BY b.ts DESC, b.event_id DESC) <= 20")
 def evidence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "events")
-    return Fe.evidence(rows, "user_id", "ts", "event_id", F.col("event_id") % 400 == 0, 604800).select("subject_id", "event_id", "age_seconds")
+    return Fe.evidence(rows, "user_id", "ts", "event_id", F.col("event_type") == "error", 604800).select("subject_id", "event_id", "age_seconds")

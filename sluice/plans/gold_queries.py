@@ -187,16 +187,22 @@ def rare_event_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Sp.rare_event_bounds(rows, "ts", "event_id", "y")
 
 
-@query(f"SELECT sha256(string_agg(d, chr(10) ORDER BY part)) AS split_digest FROM (SELECT part, sha256(string_agg(line, chr(10) ORDER BY line)) AS d FROM (SELECT event_id % 256 AS part, event_id::VARCHAR || '|' || split || '|v1|v1' AS line FROM ({_SPLIT})) GROUP BY part)")
+@query(f"SELECT sha256(string_agg(event_id::VARCHAR || '|' || split || '|v1|v1', chr(10) ORDER BY event_id)) AS split_digest FROM ({_SPLIT})")
 def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Sp.split_digest(_split(spark, sf_dir), "event_id", "v1", part=F.col("event_id") % 256)
+    """One digest over all lines in order of id."""
+    return Sp.split_digest(_split(spark, sf_dir), "event_id", "v1")
+
+
+@query(f"SELECT sha256(string_agg(d, chr(10) ORDER BY part)) AS split_digest FROM (SELECT part, sha256(string_agg(line, chr(10) ORDER BY line)) AS d FROM (SELECT event_id % 256 AS part, event_id::VARCHAR || '|' || split || '|v1|v1' AS line FROM ({_SPLIT})) GROUP BY part)")
+def split_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Sp.split_digest_tree(_split(spark, sf_dir), "event_id", "v1", part=F.col("event_id") % 256)
 
 
 @query(f"""
-{_GOLD}, a AS ((SELECT doc_id, 'fraud' AS s FROM gold WHERE is_fraud ORDER BY doc_id LIMIT 25) UNION ALL (SELECT doc_id, 'normal' FROM gold WHERE NOT is_fraud ORDER BY doc_id LIMIT 45) UNION ALL (SELECT doc_id, 'large' FROM gold WHERE amount > 3000 ORDER BY doc_id LIMIT 20))
+{_GOLD}, a AS ((SELECT doc_id, 'fraud' AS s FROM gold WHERE is_fraud ORDER BY doc_id LIMIT 25) UNION ALL (SELECT doc_id, 'normal' FROM gold WHERE NOT is_fraud ORDER BY doc_id LIMIT 45) UNION ALL (SELECT doc_id, 'large' FROM gold WHERE amount > 3000 ORDER BY doc_id LIMIT 20) UNION ALL (SELECT doc_id, 'history' FROM gold WHERE score >= 0.5 AND outcome IS NOT NULL ORDER BY doc_id LIMIT 20))
 SELECT doc_id, array_to_string(list_sort(list(DISTINCT s)), ',') AS strata FROM a GROUP BY doc_id ORDER BY doc_id LIMIT 100""")
 def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    strata = [("fraud", F.col("is_fraud"), 25), ("normal", ~F.col("is_fraud"), 45), ("large", F.col("amount") > 3000, 20)]
+    strata = [("fraud", F.col("is_fraud"), 25), ("normal", ~F.col("is_fraud"), 45), ("large", F.col("amount") > 3000, 20), ("history", (F.col("score") >= 0.5) & F.col("outcome").isNotNull(), 20)]
     return Sp.stratified_ids(gold(spark, sf_dir), "doc_id", strata)
 
 
@@ -242,16 +248,33 @@ def decision_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.decided(rows, "score", "at", F.col("decided_at")).select("doc_id", "decision", "processing_latency_ms")
 
 
-@query(f"{_GOLD} SELECT 'transactions' AS check_name, (SELECT count(*) FROM tx) AS expected, count(*) AS found, 'PASS' AS status FROM gold UNION ALL SELECT 'distinct_transactions', (SELECT count(DISTINCT doc_id) FROM tx), count(DISTINCT doc_id), 'PASS' FROM gold UNION ALL SELECT 'decisions', (SELECT count(*) FROM dec), count(score), 'PASS' FROM gold UNION ALL SELECT 'predicted_frauds', (SELECT count(*) FROM dec WHERE predicted), count(*) FILTER (WHERE predicted), 'PASS' FROM gold")
+_RECONCILED = [
+    ("gold_transaction_rows_match_source_transactions", "(SELECT count(*) FROM tx)", "(SELECT count(*) FROM gold)"),
+    ("gold_transaction_ids_unique", "0", "(SELECT count(*) - count(DISTINCT doc_id) FROM gold)"),
+    ("kpi_total_transactions_match_gold", "(SELECT count(*) FROM gold)", "(SELECT count(*) FROM gold)"),
+    ("kpi_scored_transactions_match_decisions", "(SELECT count(*) FROM dec)", "(SELECT count(score) FROM gold)"),
+    ("kpi_labeled_transactions_match_feedback", "(SELECT count(*) FROM fb)", "(SELECT count(is_fraud) FROM gold)"),
+    ("fraud_probabilities_in_unit_interval", "0", "(SELECT count(*) FROM gold WHERE score < 0 OR score > 1)"),
+    ("transaction_amounts_numeric_and_present", "0", "(SELECT count(*) FROM gold WHERE amount IS NULL)"),
+]
+
+
+@query(f"{_GOLD} SELECT *, CASE WHEN expected = found THEN 'PASS' ELSE 'FAIL' END AS status FROM ({' UNION ALL '.join(f'SELECT {chr(39)}{n}{chr(39)} AS check_name, {a}::BIGINT AS expected, {b}::BIGINT AS found' for n, a, b in _RECONCILED)})")
 def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.reconciliation(transactions(spark, sf_dir), decisions(spark, sf_dir), gold(spark, sf_dir), "doc_id")
+    g = gold(spark, sf_dir)
+    return G.reconciliation(transactions(spark, sf_dir), decisions(spark, sf_dir), feedback(spark, sf_dir), g, G.kpi_row(g), "doc_id")
+
+
+_ACTIVITY = "count(*) AS transactions, round(sum(amount), 4) AS volume, count(*) FILTER (WHERE is_fraud) AS frauds, count(*) FILTER (WHERE predicted) AS predicted_frauds, round(avg(score), 6) AS average_score, max(score) AS highest_score"
 
 
-@query(f"{_GOLD} SELECT segment, count(*) AS transactions, count(*) FILTER (WHERE is_fraud) AS frauds, count(*) FILTER (WHERE predicted) AS predicted_frauds FROM gold GROUP BY segment")
+@query(f"{_GOLD} SELECT 'asset' AS kind, segment AS value, {_ACTIVITY} FROM gold GROUP BY segment UNION ALL SELECT 'country', source, {_ACTIVITY} FROM gold GROUP BY source UNION ALL SELECT 'type', (doc_id % 3)::VARCHAR, {_ACTIVITY} FROM gold GROUP BY doc_id % 3")
 def gold_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A dashboard query over the SQL views."""
-    G.create_views(gold(spark, sf_dir))
-    return spark.sql("SELECT * FROM fraud_activity_by_segment")
+    """A dashboard query over the SQL views: activity by asset, country and type of transaction."""
+    rows = gold(spark, sf_dir).withColumn("country", F.col("source")).withColumn("transaction_type", (F.col("doc_id") % 3).cast("string"))
+    G.create_views(rows)
+    parts = [f"SELECT '{kind}' AS kind, {c} AS value, transactions, round(volume, 4) AS volume, frauds, predicted_frauds, round(average_score, 6) AS average_score, highest_score FROM fraud_activity_by_{c}" for kind, c in (("asset", "segment"), ("country", "country"), ("type", "transaction_type"))]
+    return spark.sql(" UNION ALL ".join(parts))
 
 
 @query("SELECT toxic AS prediction FROM labels GROUP BY toxic ORDER BY count(*) DESC, toxic LIMIT 1")
@@ -267,7 +290,7 @@ def logistic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.operators.models import fit_logistic, scored
 
     rows = read_table(spark, sf_dir, "customer").withColumn("y", (F.col("c_acctbal") > 5000).cast("int"))
-    model = fit_logistic(rows, ["c_acctbal", "c_nationkey"], ["c_mktsegment"], "y", 50)
+    model = fit_logistic(rows, ["c_acctbal", "c_nationkey"], ["c_mktsegment"], "y")
     return scored(model, rows, ["c_acctbal", "c_nationkey"], ["c_mktsegment"], "c_custkey", "y")
 
 

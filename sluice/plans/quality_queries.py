@@ -116,13 +116,15 @@ def dq_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.overall(Q.checks(("keys", Q.duplicate_keys(t("lineitem"), "l_orderkey", "l_linenumber")), ("parents", Q.orphans(t("orders"), "o_custkey", t("customer"), "c_custkey").agg(F.count("*").alias("n")))))
 
 
-@query("SELECT l.doc_id, l.toxic FROM labels l JOIN documents d USING (doc_id) WHERE d.n_chars < 500 * l.quality")
+@query("""
+SELECT l.doc_id, l.toxic, CASE WHEN o.o_orderkey IS NULL THEN 'no_transaction' ELSE 'before_transaction' END AS reason
+FROM (SELECT *, doc_id * 3 AS k, TIMESTAMP '1995-01-01' + INTERVAL (doc_id % 900) DAY AS labelled_at FROM labels) l LEFT JOIN orders o ON o.o_orderkey = l.k
+WHERE o.o_orderkey IS NULL OR l.labelled_at < o.o_orderdate""")
 def dq_label_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels that lie before their subject (positions stand for times): the subject is there and its position is smaller."""
-    labels = read_table(spark, sf_dir, "labels").withColumn("at", 500 * F.col("quality"))
-    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_d"), "n_chars")
-    joined = labels.join(docs, F.col("doc_id") == F.col("_d"), "left")
-    return joined.filter(P.out_of_order(F.col("at"), F.col("n_chars"))).select("doc_id", "toxic")
+    """Labels (of orders) without their order, or that lie before it."""
+    at = (F.lit("1995-01-01").cast("timestamp_ntz") + F.make_dt_interval((F.col("doc_id") % 900).cast("int"))).cast("timestamp_ntz")
+    labels = read_table(spark, sf_dir, "labels").withColumn("o_orderkey", F.col("doc_id") * 3).withColumn("labelled_at", at)
+    return Q.label_timing(labels, read_table(spark, sf_dir, "orders"), "o_orderkey", "labelled_at", "o_orderdate").select("doc_id", "toxic", "reason")
 
 
 _EPOCH_SQL = "SELECT event_id, CASE event_id % 4 WHEN 0 THEN epoch_us(ts) // 1000000 WHEN 1 THEN epoch_us(ts) // 1000 WHEN 2 THEN epoch_us(ts) ELSE epoch_us(ts) * 1000 END AS raw, ts, event_id % 4 AS k FROM events"
@@ -149,10 +151,15 @@ def normalize_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("c_custkey", Ty.clean_string(F.concat(F.lit("  "), "c_name", F.lit(" ")), "upper").alias("name"), Ty.clean_string(blank).alias("segment"), F.array_join(tags, ",").alias("tags"))
 
 
-@query("SELECT o_orderkey, sha256(concat_ws('|', o_orderkey::VARCHAR, o_custkey::VARCHAR, coalesce(nullif(o_orderstatus, 'P'), '\\N'), epoch_us(o_orderdate)::VARCHAR)) AS row_hash FROM orders")
+def _hash_sql(*values: str) -> str:
+    return "sha256(concat_ws('|', " + ", ".join(f"coalesce(length({v})::VARCHAR || ':' || {v}, '-')" for v in values) + "))"
+
+
+@query(f"SELECT o_orderkey, {_hash_sql('o_orderkey::VARCHAR', 'o_custkey::VARCHAR', 'status', 'priority', 'epoch_us(o_orderdate)::VARCHAR')} AS row_hash FROM (SELECT *, nullif(o_orderstatus, 'P') AS status, o_orderstatus || '|' || o_orderpriority AS priority FROM orders)")
 def row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "orders").withColumn("status", F.nullif("o_orderstatus", F.lit("P"))).withColumn("us", Ty.micros(F.col("o_orderdate")))
-    return rows.select("o_orderkey", Ty.row_hash(["o_orderkey", "o_custkey", "status", "us"]).alias("row_hash"))
+    rows = rows.withColumn("priority", F.concat_ws("|", "o_orderstatus", "o_orderpriority"))  # a separator inside a value
+    return rows.select("o_orderkey", Ty.row_hash(["o_orderkey", "o_custkey", "status", "priority", "us"]).alias("row_hash"))
 
 
 @query("SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS DECIMAL(20,8)) AS DOUBLE) AS price, TRY_CAST(l_returnflag AS DOUBLE) AS lost, l_returnflag IS NOT NULL AND TRY_CAST(l_returnflag AS DOUBLE) IS NULL AS conversion_failed, l_shipdate::DATE::VARCHAR AS ship_date, (l_shipdate::DATE <> DATE '1999-01-01') AS date_differs FROM lineitem")
@@ -248,11 +255,11 @@ def profile_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(read_table(spark, sf_dir, "lineitem"), list(_NUMS)).withColumns({c: F.round(c, 6) for c in ("mean", "deviation")})
 
 
-@query(" UNION ALL ".join(f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS n FROM lineitem GROUP BY {c}" for c in ("l_returnflag", "l_linestatus")))
+@query("SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value NULLS LAST) AS place FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, nullif({c}, 'R') AS value, count(*) AS n FROM lineitem GROUP BY ALL" for c in ("l_returnflag", "l_linestatus")) + ")")
 def profile_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.operators.metrics import profile_categorical as profile
 
-    return profile(read_table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"])
+    return profile(read_table(spark, sf_dir, "lineitem").withColumn("l_returnflag", F.nullif("l_returnflag", F.lit("R"))), ["l_returnflag", "l_linestatus"])
 
 
 @query("SELECT event_id, TRY_CAST(json_extract_string(CASE WHEN event_id % 10 = 0 THEN 'not json' ELSE props END, '$.k') AS DOUBLE) AS k, event_id % 10 <> 0 AS parsed_json_valid, sha256(CASE WHEN event_id % 10 = 0 THEN 'not json' ELSE props END) AS payload_sha256 FROM (SELECT * FROM events WHERE event_id % 10 <> 0) UNION ALL SELECT event_id, NULL, false, sha256('not json') FROM events WHERE event_id % 10 = 0")
@@ -295,16 +302,9 @@ def dq_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.incomplete_metadata(rows, "_run", "props")
 
 
-@query("SELECT event_id FROM events WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR > ts AND event_id % 100 = 0")
+@query("SELECT event_id FROM events WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR > ts")
 def dq_future_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events that would use the candle they are in, which ends after them."""
-    rows = read_table(spark, sf_dir, "events").filter("event_id % 100 = 0").withColumn("end", (Ty.hour_of(F.col("ts")) + F.expr("interval 1 hour")).cast("timestamp_ntz"))
-    return Q.from_the_future(rows, "end", "ts").select("event_id")
-
-
-@query("SELECT event_id FROM events WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR > ts")
-def dq_future_candles_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The check of dq_future_candles over every event."""
     rows = read_table(spark, sf_dir, "events").withColumn("end", (Ty.hour_of(F.col("ts")) + F.expr("interval 1 hour")).cast("timestamp_ntz"))
     return Q.from_the_future(rows, "end", "ts").select("event_id")
 

@@ -43,14 +43,23 @@ def kinds(topic: Column, names: dict[str, str]) -> Column:
     return out
 
 
-def append_new(rows: DataFrame, target: str, keys: list[str]) -> None:
-    """Appends to a Parquet table the rows whose keys it lacks, one a key: a replayed batch adds nothing."""
+def append_new(rows: DataFrame, target: str, keys: list[str], within: str = "offset") -> int:
+    """Appends to a Parquet table the rows whose keys it lacks, one a key: a replayed batch adds nothing.  Gives the batch's rows.
+
+    Only the part of the table whose `within`, a column that grows as rows come, lies between the batch's ends is read:
+    the bounds reach the scan, which skips all files (and row groups) outside them.
+    """
     spark = rows.sparkSession
+    n, low, high = rows.agg(F.count("*"), F.min(within), F.max(within)).head()
+    if not n:
+        return 0
     new = rows.dropDuplicates(keys)
     path = spark._jvm.org.apache.hadoop.fs.Path(target)
     if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        new = new.join(spark.read.schema(rows.schema).parquet(target).select(*keys), keys, "left_anti")
+        known = spark.read.schema(rows.schema).parquet(target).filter(F.col(within).between(low, high)).select(*keys)
+        new = new.join(known, keys, "left_anti")
     new.write.mode("append").parquet(target)
+    return n
 
 
 def fan_out(stream: DataFrame, targets: dict[str, str], checkpoint: str, **trigger) -> StreamingQuery:

@@ -36,7 +36,7 @@ def test_query_gives_the_rows_of_its_sql(spark, duck, name):
 
 def test_future_candles_are_looked_for_in_all_events(spark, duck):
     want = duck.execute("SELECT count(*) FROM events WHERE ts IS NOT NULL").fetchone()[0]
-    assert catalog.QUERIES["dq_future_candles_all"](spark, DATA).count() == want
+    assert catalog.QUERIES["dq_future_candles"](spark, DATA).count() == want
 
 
 def test_model_queries_tell_classes_apart(spark):
@@ -49,9 +49,11 @@ def test_model_queries_tell_classes_apart(spark):
 def test_split_hash_changes_with_the_split(spark):
     from pyspark.sql import functions as F
 
-    from sluice.operators.splits import split_digest
+    from sluice.operators.splits import split_digest, split_digest_tree
 
     rows_ = spark.range(500).select(F.col("id"), F.when(F.col("id") < 300, "train").otherwise("test").alias("split"))
+    tree = split_digest_tree(rows_, "id", "v1").head()[0]
+    assert tree == split_digest_tree(rows_.repartition(7), "id", "v1").head()[0] != split_digest_tree(rows_, "id", "v2").head()[0]
     one = split_digest(rows_, "id", "v1").head()[0]
     assert one == split_digest(rows_.repartition(7), "id", "v1").head()[0]
     assert one != split_digest(rows_, "id", "v2").head()[0]

@@ -50,11 +50,11 @@ SCHEMA = "event_timestamp timestamp, source_timestamp timestamp, ingestion_times
     [
         ({}, []),
         ({"event_timestamp": at(5)}, ["event_timestamp_after_source_timestamp"]),
-        ({"crypto_quantity": 0.0, "transaction_amount_usd": 0.0}, ["crypto_quantity_positive"]),
-        ({"transaction_amount_usd": 20.02}, ["amount_matches_quantity_times_price"]),
-        ({"destination_wallet_id": "w1"}, ["source_equals_destination_wallet"]),
-        ({"transaction_type": "DEPOSIT", "source_wallet_id": None, "destination_wallet_id": None}, ["deposit_without_destination_wallet"]),
-        ({"source_wallet_id": None, "destination_wallet_id": None}, ["outgoing_without_source_wallet", "outgoing_without_destination_wallet"]),
+        ({"crypto_quantity": 0.0, "transaction_amount_usd": 0.0}, ["crypto_quantity_not_positive"]),
+        ({"transaction_amount_usd": 20.02}, ["transaction_amount_mismatch_quantity_times_price"]),
+        ({"destination_wallet_id": "w1"}, ["source_and_destination_wallet_identical"]),
+        ({"transaction_type": "DEPOSIT", "source_wallet_id": None, "destination_wallet_id": None}, ["deposit_missing_destination_wallet_id"]),
+        ({"source_wallet_id": None, "destination_wallet_id": None}, ["outgoing_transaction_missing_source_wallet_id", "outgoing_transaction_missing_destination_wallet_id"]),
     ],
 )
 def test_transaction_rules(spark, changed, reasons):
@@ -65,9 +65,9 @@ def test_transaction_rules(spark, changed, reasons):
 
 def test_label_and_candle_rules(spark):
     labels = spark.createDataFrame([(at(0), at(1), at(2), at(0), True, None, "CLEARED")], "event_timestamp timestamp, source_timestamp timestamp, ingestion_timestamp timestamp, label_timestamp timestamp, is_fraud boolean, fraud_type string, investigation_status string")
-    assert list(Q.with_reasons(labels, Q.label_rules()).head()[Q.REASONS]) == ["fraud_without_type", "cleared_but_fraud"]
+    assert list(Q.with_reasons(labels, Q.label_rules()).head()[Q.REASONS]) == ["fraud_type_required_for_fraud", "cleared_status_requires_is_fraud_false"]
     candles = spark.createDataFrame([(1.0, 3.0, 2.0, 2.5, -1.0, 60, at(0), at(61))], "open_price_usd double, high_price_usd double, low_price_usd double, close_price_usd double, volume double, granularity_seconds int, candle_start_timestamp timestamp, candle_end_timestamp timestamp")
-    assert list(Q.with_reasons(candles, Q.candle_rules()).head()[Q.REASONS]) == ["volume_not_negative", "end_is_start_plus_granularity", "low_is_lowest"]
+    assert list(Q.with_reasons(candles, Q.candle_rules()).head()[Q.REASONS]) == ["volume_negative", "candle_end_not_start_plus_60_seconds", "low_price_above_ohlc_values"]
 
 
 def test_bad_parents_take_their_children_along(spark):
@@ -178,7 +178,7 @@ def test_rescue_and_schema_checks(spark, tmp_path):
 
 
 def test_names_of_the_future_are_found():
-    assert P.leaking_columns(["amount", "is_fraud", "label_time"]) == ["is_fraud", "label_time"]
+    assert P.leaking_columns(["amount", "is_fraud", "label_time", "decision_count", "label_timestamp"]) == ["is_fraud", "label_timestamp"]
     assert P.is_indicator_name("is_new") and not P.is_indicator_name("amount")
     assert Q.failed_paths({"a": {"b": False, "c": True}, "d": False}) == ["a.b", "d"]
     assert M.request_windows(0, 40000, 60, 300) == [(0, 18000), (18000, 36000), (36000, 40000)]
@@ -186,7 +186,7 @@ def test_names_of_the_future_are_found():
 
 def test_master_rules_and_run_log(spark, tmp_path):
     rows = spark.createDataFrame([(at(5), at(1), -1.0, 1.0)], "created_at timestamp, updated_at timestamp, normal_transaction_amount_usd double, normal_transaction_frequency_per_day double")
-    assert list(Q.with_reasons(rows, Q.master_rules("accounts")).head()[Q.REASONS]) == ["updated_before_created", "normal_amount_not_negative"]
+    assert list(Q.with_reasons(rows, Q.master_rules("accounts")).head()[Q.REASONS]) == ["updated_at_before_created_at", "normal_transaction_amount_usd_negative"]
     path = str(tmp_path / "log")
     sinks.log_run(spark, path, "r1", "t", 5, "append")
     sinks.log_run(spark, path, "r2", "t", 8, "append")
