@@ -8,6 +8,7 @@ each distinct word of a slice once.
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
 import gc
@@ -132,25 +133,21 @@ _HELD: dict[tuple, object] = {}
 
 
 @functools.cache
-def _c_library():
-    """The C library of a worker, told once to give freed arrays back to the system; None where it cannot."""
-    try:
+def _thrifty() -> None:
+    """Has a worker, once, give freed arrays back to the system where its C library can."""
+    with contextlib.suppress(OSError, AttributeError):
         c = ctypes.CDLL(None)
         for option, value in ((-3, 4 << 20), (-1, 16 << 20), (-8, 1)):  # least size of a mapping of its own, most free memory at the top, arenas
             c.mallopt(option, value)
-        c.malloc_trim(0)
-    except (OSError, AttributeError):
-        return None
-    pa.set_memory_pool(pa.system_memory_pool())
-    return c
+        pa.set_memory_pool(pa.system_memory_pool())
 
 
 def let_go() -> None:
-    """Gives what a worker does not need any more back to the system."""
+    """Gives what a process does not need any more back to the system."""
     gc.collect()
     pa.default_memory_pool().release_unused()
-    if c := _c_library():
-        c.malloc_trim(0)
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def held(kind: tuple, make):
@@ -165,7 +162,7 @@ def held(kind: tuple, make):
 
 def _begun(keeps: bool) -> None:
     """Before a task or a group; keeps: whether what the worker holds may be of use for it."""
-    _c_library()
+    _thrifty()
     if not keeps and _HELD:
         _HELD.clear()
         let_go()

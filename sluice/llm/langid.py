@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.batches import arrow_map, coded, held, remainder, table, text_slices
+from sluice.llm.batches import arrow_map, coded, held, let_go, remainder, table, text_slices
 from sluice.llm.samples import sampled
 
 SAMPLE_DOCS, ROUNDS, LONGEST, MARK = 6000, 3, 16, "▁"
@@ -219,7 +219,10 @@ def fitted(docs: DataFrame, learn: DataFrame, path: str, bound: int = SAMPLE_DOC
     counts: dict[str, dict[str, int]] = defaultdict(dict)
     for lang, run, n in arrow_map(own.select("lang", "text"), _run_counts, "lang string, run string, n long").groupBy("lang", "run").agg(F.sum("n").alias("n")).toLocalIterator():
         counts[lang][run] = n
-    return LanguageModel.fitted(counts, vocabulary(path)) if counts else None
+    model = LanguageModel.fitted(counts, vocabulary(path)) if counts else None
+    del counts
+    let_go()
+    return model
 
 
 def _predicting(spark: SparkSession, model: LanguageModel):

@@ -22,7 +22,8 @@ search ends after SEARCH fillings at the latest (packing is NP-hard); `Plan`
 tells whether its number of sequences is proven to be the least.
 
 Every piece finds its place from its rank among pieces of its length.  Ranks
-are dealt over parts of about PART pieces with their counts summed before, and
+are dealt over parts of PART pieces at least, as many as they are long when
+there are many, with their counts summed before, and
 places are joined by length and hundreds of ranks, so a length that a third of
 all pieces have is no single task's.
 
@@ -35,6 +36,7 @@ doc_id; an empty table gives no rows.  Other columns are never looked at.
 from __future__ import annotations
 
 import json
+import math
 import unicodedata
 import zlib
 from bisect import bisect_right
@@ -50,7 +52,7 @@ from pyspark.sql import functions as F
 from sluice.llm.batches import RunCache, arrow_map, coded, flattened, gathered, held, table, text_slices
 from sluice.llm.scratch import Scratch
 
-CAPACITY, END_ID, PART, RANKS = 4096, 1, 1 << 16, 512
+CAPACITY, END_ID, PART, RANKS = 4096, 1, 512, 512
 #: Sequences that are packed anew where the bound is not met, and fillings looked at for that.
 TAIL, SEARCH = 64, 2000
 #: Signs that the tokenizer always parts from letters before them.
@@ -366,7 +368,7 @@ def placed(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     slots = spark.createDataFrame(pa.table(columns, names=["length", "_first", "_times", "_sequence", "offset"]))
     near = lambda rank: F.floor(rank / RANKS)
     slots = slots.withColumn("_near", F.explode(F.sequence(near(F.col("_first")), near(F.col("_first") + F.col("_times") - 1))))
-    parts = spark.createDataFrame(pa.table([np.array(list(counts), np.int64), np.array([-(-n // PART) for n in counts.values()], np.int64)], names=["length", "_parts"]))
+    parts = spark.createDataFrame(pa.table([np.array(list(counts), np.int64), np.array([min(-(-n // PART), math.isqrt(n) + 1) for n in counts.values()], np.int64)], names=["length", "_parts"]))
     dealt = rows.join(F.broadcast(parts), "length").withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece"), F.col("_parts")))  # `capacity` rows
     sums = dealt.groupBy("length", "_part").agg(F.count("*").alias("_n"))
     before = sums.select("length", "_part", (F.sum("_n").over(Window.partitionBy("length").orderBy("_part")) - F.col("_n")).alias("_before"))

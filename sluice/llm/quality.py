@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.batches import arrow_map, held, remainder, table, text_slices, words
+from sluice.llm.batches import arrow_map, held, let_go, remainder, table, text_slices, words
 from sluice.llm.samples import sampled
 
 SAMPLE_DOCS, BUCKETS, FACTORS, BINS, ROUNDS = 8000, 1 << 17, 8, 16, 6
@@ -178,7 +178,11 @@ def fitted(docs: DataFrame, labelled: DataFrame, bound: int = SAMPLE_DOCS) -> Ma
     lens, stats, y = lens[order], stats[order], y[order]
     edges = np.nan_to_num(np.nanquantile(np.where(np.isnan(stats).all(0), 0, stats), np.arange(1, BINS) / BINS, axis=0).T)
     machine = Machine.empty(edges)
-    return machine.fit(*machine.active(lens, feature.astype(np.int64), weight.astype(float), stats), y)
+    del rows
+    machine = machine.fit(*machine.active(lens, feature.astype(np.int64), weight.astype(float), stats), y)
+    del feature, weight
+    let_go()
+    return machine
 
 
 def _scoring(spark: SparkSession, machine: Machine):
