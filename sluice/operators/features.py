@@ -172,3 +172,91 @@ def evidence(rows: DataFrame, key: str, ts: str, id_: str, subject: Column, span
     prior = e.join(own, (e[key] == own["_k"]) & (e["_of"] == own["_bucket"]) & (F.col("_e") < F.col("_t")) & (F.col("_e") >= F.col("_t") - span))
     newest = Window.partitionBy("subject_id").orderBy(F.col(ts).desc(), F.col(id_).desc())
     return prior.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") <= most).select("subject_id", *rows.columns, (F.col("_t") - F.col("_e")).alias("age_seconds"))
+
+
+#: Inputs of the models, by family.
+MODEL_INPUTS = {
+    "current": ("asset", "transaction_type", "country", "transaction_amount_usd", "crypto_quantity", "market_price_usd", "transaction_hour_utc", "transaction_day_of_week_utc", "is_weekend_utc", "is_night_transaction_utc"),
+    "account": ("account_age_days", "account_profile_available", "customer_risk_tier", "normal_transaction_amount_usd", "normal_transaction_amount_available", "amount_to_normal_ratio", "amount_above_normal_usd", "transaction_country_mismatch_home_country"),
+    "history": ("prior_tx_count_5m", "prior_tx_count_1h", "prior_tx_count_24h", "prior_tx_amount_sum_1h", "prior_tx_amount_sum_24h", "prior_tx_amount_avg_24h", "prior_tx_amount_max_24h", "has_prior_tx_24h", "seconds_since_previous_tx", "has_previous_transaction"),
+    "authentication": ("failed_auth_count_10m", "failed_auth_count_1h", "successful_auth_count_1h", "recent_auth_failure_flag_10m", "seconds_since_last_successful_auth", "has_previous_successful_auth"),
+    "device": ("device_failed_auth_count_10m", "device_successful_auth_count_1h", "device_distinct_account_count_1h", "device_profile_available", "device_age_hours", "device_age_days", "is_new_device_24h"),
+    "wallet": ("source_wallet_applicable", "destination_wallet_applicable", "destination_wallet_first_seen_available", "destination_wallet_age_hours", "is_new_destination_wallet", "prior_destination_wallet_tx_count", "prior_source_wallet_tx_count"),
+    "market": ("market_data_freshness_seconds", "latest_market_close_usd", "market_return_5m", "market_return_1h", "market_volatility_1h", "market_volume_sum_1h", "market_data_available"),
+}
+
+
+def account_history(transactions: DataFrame, logins: DataFrame) -> DataFrame:
+    """Transactions with what their account did before: payments and logins in one timeline, so one exchange and one sort."""
+    rows = timeline(transactions, logins, "account_id", "feature_timestamp", ["login_success"]).withColumn("_e", epoch("feature_timestamp"))
+    w = {n: before("account_id", "_e", s) for n, s in (("5m", 300), ("10m", 600), ("1h", HOUR), ("24h", DAY), ("ever", None))}
+    paid = F.when(F.col("_subject"), 1)
+    amount = F.when(F.col("_subject"), F.col("transaction_amount_usd"))
+    failed, good = (F.when(~F.col("_subject") & (F.col("login_success") == x), 1) for x in (False, True))
+    at = lambda c: F.max(F.when(c.isNotNull(), F.col("_e"))).over(w["ever"])
+    out = rows.select(
+        "*",
+        *(F.count(paid).over(w[n]).alias(f"prior_tx_count_{n}") for n in ("5m", "1h", "24h")),
+        *(F.coalesce(F.sum(amount).over(w[n]), F.lit(0.0)).alias(f"prior_tx_amount_sum_{n}") for n in ("1h", "24h")),
+        F.avg(amount).over(w["24h"]).alias("prior_tx_amount_avg_24h"),
+        F.max(amount).over(w["24h"]).alias("prior_tx_amount_max_24h"),
+        at(paid).alias("_paid"),
+        *(F.count(failed).over(w[n]).alias(f"failed_auth_count_{n}") for n in ("10m", "1h")),
+        F.count(good).over(w["1h"]).alias("successful_auth_count_1h"),
+        at(good).alias("_logged"),
+    ).filter("_subject")
+    extra = {
+        "has_prior_tx_24h": flag(F.col("prior_tx_count_24h") > 0),
+        "seconds_since_previous_tx": F.col("_e") - F.col("_paid"),
+        "has_previous_transaction": flag(F.col("_paid").isNotNull()),
+        "recent_auth_failure_flag_10m": flag(F.col("failed_auth_count_10m") > 0),
+        "seconds_since_last_successful_auth": F.col("_e") - F.col("_logged"),
+        "has_previous_successful_auth": flag(F.col("_logged").isNotNull()),
+    }
+    return out.withColumns(extra).drop("_e", "_subject", "login_success", "_paid", "_logged")
+
+
+def wallet_history(rows: DataFrame) -> DataFrame:
+    """Strictly prior uses of both wallets.  A transaction without one is a key of its own, so missing wallets are no partition."""
+    e = rows.withColumn("_e", epoch("feature_timestamp"))
+    for side in ("destination", "source"):
+        wallet = F.col(f"{side}_wallet_id").cast("string")
+        key = F.coalesce(F.concat(F.lit("w"), wallet), F.concat(F.lit("none"), F.col("transaction_id").cast("string")))
+        e = e.withColumn("_w", key)
+        uses = F.count(F.lit(1)).over(before("_w", "_e", None))
+        e = e.select("*", F.when(wallet.isNotNull(), uses).otherwise(0).cast("long").alias(f"prior_{side}_wallet_tx_count"), flag(wallet.isNotNull()).alias(f"{side}_wallet_applicable")).drop("_w")
+    new = F.when(F.col("destination_wallet_id").isNotNull(), flag(F.col("prior_destination_wallet_tx_count") == 0))
+    return e.withColumn("is_new_destination_wallet", new).drop("_e")
+
+
+def feature_rows(transactions: DataFrame, accounts: DataFrame, devices: DataFrame, wallets: DataFrame, logins: DataFrame, states: DataFrame, products: dict[str, str]) -> DataFrame:
+    """Transactions with all inputs of the models.
+
+    transactions: transaction_id, account_id, device_id, source_wallet_id, destination_wallet_id, feature_timestamp, asset,
+    transaction_type, country, transaction_amount_usd, crypto_quantity, market_price_usd; accounts: account_id, created_at,
+    updated_at, risk_tier, normal_amount, home_country; devices and wallets: id and first_seen_at; logins: account_id,
+    device_id, feature_timestamp, login_success; states: product, candle_end, close, return_short, return_long, volatility,
+    volume_sum; products: of an asset.
+    """
+    from sluice.functions.typing import mapped
+    from sluice.operators.market import as_of
+
+    rows = account_history(transactions, logins.select("account_id", "feature_timestamp", "login_success"))
+    rows = device_authentications(rows, logins.select("account_id", "device_id", "feature_timestamp", "login_success"), "device_id", "feature_timestamp", "account_id", "login_success")
+    rows = wallet_history(rows)
+    rows = calendar_features(rows, "feature_timestamp")
+    rows = profile_features(rows, accounts, "account_id", "feature_timestamp", "transaction_amount_usd")
+    rows = first_seen_features(rows, devices, "device_id", "feature_timestamp", "device")
+    rows = first_seen_features(rows, wallets.withColumnRenamed("wallet_id", "destination_wallet_id"), "destination_wallet_id", "feature_timestamp", "destination_wallet")
+    rows = rows.withColumn("market_product_id", mapped(F.col("asset"), products))
+    rows = as_of(rows, states, "market_product_id", "feature_timestamp", "product", "candle_end", ["close", "return_short", "return_long", "volatility", "volume_sum"])
+    names = {
+        "hour_utc": "transaction_hour_utc", "day_of_week_utc": "transaction_day_of_week_utc", "is_night_utc": "is_night_transaction_utc", "country_mismatch": "transaction_country_mismatch_home_country",
+        "device_failed_auth_short": "device_failed_auth_count_10m", "device_successful_auth_long": "device_successful_auth_count_1h", "device_distinct_accounts": "device_distinct_account_count_1h",
+        "destination_wallet_profile_available": "destination_wallet_first_seen_available", "close": "latest_market_close_usd", "return_short": "market_return_5m", "return_long": "market_return_1h",
+        "volatility": "market_volatility_1h", "volume_sum": "market_volume_sum_1h", "freshness_seconds": "market_data_freshness_seconds",
+    }
+    rows = rows.withColumnsRenamed(names)
+    inputs = [c for family in MODEL_INPUTS.values() for c in family]
+    identity = ("transaction_id", "account_id", "device_id", "source_wallet_id", "destination_wallet_id", "feature_timestamp", "market_product_id")
+    return rows.select(*identity, *inputs)

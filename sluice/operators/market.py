@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.functions.typing import flag, hour_of, seconds
+from sluice.functions.typing import flag, seconds
 
 
-def candles(trades: DataFrame, product: str, ts: str, price: str, tie: str) -> DataFrame:
-    """Hourly open, high, low, close, volume and count; the first and last trade by time and then id."""
+def candles(trades: DataFrame, product: str, ts: str, price: str, tie: str, every: str = "hour") -> DataFrame:
+    """Open, high, low, close, volume and count of every hour (or minute); the first and last trade by time and then id."""
     at = F.struct(ts, tie)
-    rows = trades.groupBy(F.col(product).alias("product"), hour_of(F.col(ts)).alias("candle_start"))
+    rows = trades.groupBy(F.col(product).alias("product"), F.date_trunc(every, ts).cast("timestamp_ntz").alias("candle_start"))
     out = rows.agg(F.min_by(price, at).alias("open"), F.max(price).alias("high"), F.min(price).alias("low"), F.max_by(price, at).alias("close"), F.sum(price).alias("volume"), F.count("*").alias("n_trades"))
-    return out.withColumn("candle_end", (F.col("candle_start") + F.expr("interval 1 hour")).cast("timestamp_ntz"))
+    return out.withColumn("candle_end", (F.col("candle_start") + F.expr(f"interval 1 {every}")).cast("timestamp_ntz"))
 
 
 def market_state(rows: DataFrame, short: int, long: int, span: int) -> DataFrame:

@@ -283,3 +283,69 @@ def hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def evidence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "events")
     return Fe.evidence(rows, "user_id", "ts", "event_id", F.col("event_type") == "error", 604800).select("subject_id", "event_id", "age_seconds")
+
+
+# All inputs of the models.  Purchases are transactions, signups and errors logins that succeed and fail, the key of the
+# properties is the device.  Time runs a hundred times as fast, so that windows of minutes and hours hold something.
+_FAST = "1704067200 + (epoch_us(ts) // 1000000 - 1704067200) // 100"
+_INPUT_SQL = f"""
+WITH e AS (SELECT *, {_FAST} AS t, json_extract_string(props, '$.k') AS k FROM events),
+tx AS (SELECT event_id AS transaction_id, user_id AS account_id, k AS device_id, t, make_timestamp(t * 1000000) AS ts, CASE WHEN event_id % 2 = 0 THEN 'BTC' ELSE 'ETH' END AS asset,
+ CASE event_id % 3 WHEN 0 THEN 'DEPOSIT' WHEN 1 THEN 'WITHDRAWAL' ELSE 'TRANSFER' END AS transaction_type, CASE WHEN event_id % 3 <> 0 THEN user_id % 50 END AS source_wallet_id, CASE WHEN event_id % 11 <> 0 THEN event_id % 40 END AS destination_wallet_id,
+ event_id % 5 AS country, value AS transaction_amount_usd, value / 10 AS crypto_quantity, 10.0::DOUBLE AS market_price_usd FROM e WHERE event_type = 'purchase'),
+lg AS (SELECT user_id AS account_id, k AS device_id, t, event_type = 'signup' AS ok FROM e WHERE event_type IN ('signup', 'error')),
+h AS (SELECT transaction_id, count(*) OVER a AS prior_tx_count_5m, count(*) OVER b AS prior_tx_count_1h, count(*) OVER c AS prior_tx_count_24h, coalesce(sum(transaction_amount_usd) OVER b, 0) AS prior_tx_amount_sum_1h, coalesce(sum(transaction_amount_usd) OVER c, 0) AS prior_tx_amount_sum_24h,
+ avg(transaction_amount_usd) OVER c AS prior_tx_amount_avg_24h, max(transaction_amount_usd) OVER c AS prior_tx_amount_max_24h, (count(*) OVER c > 0)::INT AS has_prior_tx_24h, t - max(t) OVER p AS seconds_since_previous_tx, (max(t) OVER p IS NOT NULL)::INT AS has_previous_transaction FROM tx
+ WINDOW a AS (PARTITION BY account_id ORDER BY t RANGE BETWEEN 300 PRECEDING AND 1 PRECEDING), b AS (PARTITION BY account_id ORDER BY t RANGE BETWEEN 3600 PRECEDING AND 1 PRECEDING), c AS (PARTITION BY account_id ORDER BY t RANGE BETWEEN 86400 PRECEDING AND 1 PRECEDING), p AS (PARTITION BY account_id ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+au AS (SELECT x.transaction_id, count(*) FILTER (WHERE NOT ok AND l.t >= x.t - 600) AS failed_auth_count_10m, count(*) FILTER (WHERE NOT ok AND l.t >= x.t - 3600) AS failed_auth_count_1h, count(*) FILTER (WHERE ok AND l.t >= x.t - 3600) AS successful_auth_count_1h, min(x.t) - max(l.t) FILTER (WHERE ok) AS seconds_since_last_successful_auth
+ FROM tx x LEFT JOIN lg l ON l.account_id = x.account_id AND l.t < x.t GROUP BY 1),
+dv AS (SELECT x.transaction_id, count(*) FILTER (WHERE NOT ok AND l.t >= x.t - 600) AS device_failed_auth_count_10m, count(*) FILTER (WHERE ok) AS device_successful_auth_count_1h, count(DISTINCT l.account_id) AS device_distinct_account_count_1h FROM tx x LEFT JOIN lg l ON l.device_id = x.device_id AND l.t < x.t AND l.t >= x.t - 3600 GROUP BY 1),
+wl AS (SELECT transaction_id, CASE WHEN destination_wallet_id IS NOT NULL THEN count(*) OVER (PARTITION BY destination_wallet_id ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) ELSE 0 END AS prior_destination_wallet_tx_count, CASE WHEN source_wallet_id IS NOT NULL THEN count(*) OVER (PARTITION BY source_wallet_id ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) ELSE 0 END AS prior_source_wallet_tx_count FROM tx),
+ac AS (SELECT c_custkey, 1704067200 + (c_custkey % 30) * 600 AS created, CASE WHEN c_custkey % 5 <> 0 THEN 1704067200 + (c_custkey % 30) * 600 + (c_custkey % 40) * 300 END AS updated, c_mktsegment, c_acctbal, c_nationkey % 5 AS home FROM customer),
+cd AS (SELECT event_type AS product, t // 60 * 60 + 60 AS candle_end, arg_max(value, (t, event_id)) AS close, sum(value) AS volume FROM e GROUP BY 1, 2),
+st0 AS (SELECT *, ln(close / lag(close) OVER (PARTITION BY product ORDER BY candle_end)) AS lr, last_value(close) OVER (PARTITION BY product ORDER BY candle_end RANGE BETWEEN UNBOUNDED PRECEDING AND 300 PRECEDING) AS b5, last_value(close) OVER (PARTITION BY product ORDER BY candle_end RANGE BETWEEN UNBOUNDED PRECEDING AND 3600 PRECEDING) AS b60 FROM cd),
+st AS (SELECT product, candle_end, close, close / b5 - 1 AS r5, close / b60 - 1 AS r60, stddev_samp(lr) OVER w AS vol, sum(volume) OVER w AS vs FROM st0 WINDOW w AS (PARTITION BY product ORDER BY candle_end RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW)),
+mk AS (SELECT x.transaction_id, x.t - s.candle_end AS market_data_freshness_seconds, s.* FROM (SELECT *, CASE asset WHEN 'BTC' THEN 'purchase' ELSE 'view' END AS p FROM tx) x ASOF LEFT JOIN st s ON x.p = s.product AND x.t >= s.candle_end),
+dt AS (SELECT *, 1704067200 + (device_id::INT % 20) * 900 AS df, 1704067200 + (destination_wallet_id % 30) * 600 AS wf FROM tx)
+SELECT x.transaction_id, x.asset, x.transaction_type, x.country, x.transaction_amount_usd, x.crypto_quantity, x.market_price_usd, hour(x.ts) AS transaction_hour_utc, isodow(x.ts) AS transaction_day_of_week_utc, (isodow(x.ts) >= 6)::INT AS is_weekend_utc, (hour(x.ts) <= 5)::INT AS is_night_transaction_utc,
+ CASE WHEN created <= x.t THEN (x.t - created) // 86400 END AS account_age_days, coalesce(ok, false)::INT AS account_profile_available, CASE WHEN ok THEN c_mktsegment END AS customer_risk_tier, CASE WHEN ok THEN c_acctbal END AS normal_transaction_amount_usd, coalesce(ok AND c_acctbal > 0, false)::INT AS normal_transaction_amount_available,
+ round(CASE WHEN ok AND c_acctbal > 0 THEN x.transaction_amount_usd / c_acctbal END, 6) AS amount_to_normal_ratio, round(CASE WHEN ok AND c_acctbal > 0 THEN x.transaction_amount_usd - c_acctbal END, 6) AS amount_above_normal_usd, CASE WHEN ok THEN (x.country <> home)::INT END AS transaction_country_mismatch_home_country,
+ prior_tx_count_5m, prior_tx_count_1h, prior_tx_count_24h, round(prior_tx_amount_sum_1h, 6) AS prior_tx_amount_sum_1h, round(prior_tx_amount_sum_24h, 6) AS prior_tx_amount_sum_24h, round(prior_tx_amount_avg_24h, 6) AS prior_tx_amount_avg_24h, prior_tx_amount_max_24h, has_prior_tx_24h, seconds_since_previous_tx, has_previous_transaction,
+ failed_auth_count_10m, failed_auth_count_1h, successful_auth_count_1h, (failed_auth_count_10m > 0)::INT AS recent_auth_failure_flag_10m, seconds_since_last_successful_auth, (seconds_since_last_successful_auth IS NOT NULL)::INT AS has_previous_successful_auth, device_failed_auth_count_10m, device_successful_auth_count_1h, device_distinct_account_count_1h,
+ (df <= x.t)::INT AS device_profile_available, round(CASE WHEN df <= x.t THEN (x.t - df) / 3600 END, 4) AS device_age_hours, round(CASE WHEN df <= x.t THEN (x.t - df) / 3600 / 24 END, 3) AS device_age_days, CASE WHEN df <= x.t THEN ((x.t - df) / 3600 <= 24)::INT END AS is_new_device_24h,
+ (x.source_wallet_id IS NOT NULL)::INT AS source_wallet_applicable, (x.destination_wallet_id IS NOT NULL)::INT AS destination_wallet_applicable, coalesce(wf <= x.t, false)::INT AS destination_wallet_first_seen_available, round(CASE WHEN wf <= x.t THEN (x.t - wf) / 3600 END, 4) AS destination_wallet_age_hours,
+ CASE WHEN x.destination_wallet_id IS NOT NULL THEN (prior_destination_wallet_tx_count = 0)::INT END AS is_new_destination_wallet, prior_destination_wallet_tx_count, prior_source_wallet_tx_count,
+ market_data_freshness_seconds, close AS latest_market_close_usd, round(r5, 6) AS market_return_5m, round(r60, 6) AS market_return_1h, round(vol, 6) AS market_volatility_1h, round(vs, 6) AS market_volume_sum_1h, (close IS NOT NULL)::INT AS market_data_available
+FROM dt x JOIN h USING (transaction_id) JOIN au USING (transaction_id) JOIN dv USING (transaction_id) JOIN wl USING (transaction_id) JOIN mk USING (transaction_id)
+LEFT JOIN (SELECT transaction_id, ac.*, created <= t AND (updated IS NULL OR updated <= t) AS ok FROM tx JOIN ac ON c_custkey = account_id) p USING (transaction_id)"""
+_ROUNDED = {3: ("device_age_days",), 4: ("device_age_hours", "destination_wallet_age_hours"), 6: ("amount_to_normal_ratio", "amount_above_normal_usd", "prior_tx_amount_sum_1h", "prior_tx_amount_sum_24h", "prior_tx_amount_avg_24h", "market_return_5m", "market_return_1h", "market_volatility_1h", "market_volume_sum_1h")}
+
+
+def input_tables(spark: SparkSession, sf_dir: str) -> dict:
+    """The tables that the inputs are made from."""
+    base = 1704067200
+    at = lambda s: F.timestamp_seconds(s)
+    e = read_table(spark, sf_dir, "events").withColumn("feature_timestamp", at(base + F.floor((seconds(F.col("ts")) - base) / 100))).withColumn("k", F.get_json_object("props", "$.k"))
+    i = F.col("event_id")
+    kind = F.when(i % 3 == 0, "DEPOSIT").when(i % 3 == 1, "WITHDRAWAL").otherwise("TRANSFER")
+    tx = e.filter("event_type = 'purchase'").select(i.alias("transaction_id"), F.col("user_id").alias("account_id"), F.col("k").alias("device_id"), F.when(i % 3 != 0, F.col("user_id") % 50).alias("source_wallet_id"), F.when(i % 11 != 0, i % 40).alias("destination_wallet_id"), "feature_timestamp", F.when(i % 2 == 0, "BTC").otherwise("ETH").alias("asset"), kind.alias("transaction_type"), (i % 5).alias("country"), F.col("value").alias("transaction_amount_usd"), (F.col("value") / 10).alias("crypto_quantity"), F.lit(10.0).alias("market_price_usd"))
+    logins = e.filter(F.col("event_type").isin("signup", "error")).select(F.col("user_id").alias("account_id"), F.col("k").alias("device_id"), "feature_timestamp", (F.col("event_type") == "signup").alias("login_success"))
+    c = F.col("c_custkey")
+    created = base + c % 30 * 600
+    accounts = read_table(spark, sf_dir, "customer").select(c.alias("account_id"), at(created).alias("created_at"), F.when(c % 5 != 0, at(created + c % 40 * 300)).alias("updated_at"), F.col("c_mktsegment").alias("risk_tier"), F.col("c_acctbal").alias("normal_amount"), (F.col("c_nationkey") % 5).alias("home_country"))
+    devices = spark.range(100).select(F.col("id").cast("string").alias("device_id"), at(base + F.col("id") % 20 * 900).alias("first_seen_at"))
+    wallets = spark.range(40).select(F.col("id").alias("wallet_id"), at(base + F.col("id") % 30 * 600).alias("first_seen_at"))
+    candles = M.candles(e, "event_type", "feature_timestamp", "value", "event_id", "minute")
+    return {"transactions": tx, "accounts": accounts, "devices": devices, "wallets": wallets, "logins": logins, "states": M.market_state(candles, 300, 3600, 3600), "products": {"BTC": "purchase", "ETH": "view"}}
+
+
+#: Whole numbers that may be null, as doubles for comparing.
+_NULLABLE = ("account_age_days", "transaction_country_mismatch_home_country", "seconds_since_previous_tx", "seconds_since_last_successful_auth", "is_new_device_24h", "is_new_destination_wallet", "market_data_freshness_seconds")
+
+
+@query(f"SELECT * REPLACE ({', '.join(f'{c}::DOUBLE AS {c}' for c in _NULLABLE)}) FROM ({_INPUT_SQL})")
+def model_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 55 inputs of the models, of every transaction."""
+    rows = Fe.feature_rows(**input_tables(spark, sf_dir))
+    rows = rows.withColumns({c: F.round(c, n) for n, cs in _ROUNDED.items() for c in cs} | {c: F.col(c).cast("double") for c in _NULLABLE})
+    return rows.select("transaction_id", *(c for family in Fe.MODEL_INPUTS.values() for c in family))
