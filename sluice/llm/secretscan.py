@@ -5,8 +5,11 @@ or :, whatever its length and signs (a quoted one whole, with its spaces), every
 key of a known form (JWTs whole, with their dots) and every long run of key-like
 characters with a digit is a candidate, however many a word holds: an
 assignment, URL or pair of credentials gives each of its parts, judged by the
-text before it.  Its features are length, character classes and transitions between them, how much
-of it dictionary words cover, words of its path, and the words beside it.  A
+text before it.  Its features are length, character classes, how likely its transitions from
+character to character are in words, how much of it dictionary words cover, words of its path, and
+the words beside it.  The dictionary is the most frequent DICTIONARY_WORDS words of a public
+vocabulary (those of LEAST_WORD letters or more), and transitions are counted in them, in lower
+case, upper case and with a capital.  A
 random forest (MLlib) trained from labelled findings turns them into a
 probability; its trees become one SQL expression, so texts are scored in
 place, row by row, without a shuffle.  Private-key blocks are findings as they
@@ -20,19 +23,27 @@ by rule from numbers, the same every time.
 Nulls, empty and long texts: null and empty texts have no findings; long texts
 are read whole.  A null path has no path words; a null id stays null.  A secret
 that comes several times in a text is one finding with its first place and its
-number of occurrences; one that could be a word of prose counts only behind its
-key word, and is redacted only there; repeated rows are scanned each; an empty table gives no
-rows.  Other columns are never looked at.
+number of occurrences, those inside longer secrets not counted; longer secrets are redacted first; one that
+could be a word of prose counts only behind its key word, and is redacted only there; of equal secrets the
+best score counts; repeated rows are scanned each; an empty table gives no rows.  Other columns are never
+looked at.
 """
 
 from __future__ import annotations
 
+import functools
+import json
+import math
+from collections import Counter
+
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.batches import table
 
-LEAST, THRESHOLD, TREES, DEPTH, EXAMPLES = 12, 0.5, 24, 6, 6000
+DICTIONARY_WORDS, LEAST_WORD = 4000, 4
+LEAST, THRESHOLD, TREES, DEPTH, EXAMPLES = 12, 0.5, 24, 6, 8000
 #: A text without this has no candidate, and its words are not looked at.
 JWT = r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)*"
 #: Signs of equality are padding only where no value follows.
@@ -45,7 +56,6 @@ BLOCK = r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?(?:-----END [A-Z ]*PRIVATE K
 KEY_WORDS = ("token", "secret", "password", "passwd", "pwd", "passphrase", "apikey", "api_key", "api-key", "access_key", "access-key", "private_key", "credential", "bearer", "authorization", "auth")
 PUBLIC_WORDS = ("commit", "sha1", "sha256", "md5", "checksum", "digest", "etag", "hash", "uuid", "guid", "revision", "order", "invoice", "version", "card", "phone", "serial")
 PLACE_WORDS = ("example", "sample", "dummy", "changeme", "placeholder", "your", "here", "xxxx", "test", "todo", "insert", "replace")
-DICTIONARY = ("about", "access", "account", "admin", "after", "and", "api", "build", "cache", "change", "class", "client", "code", "config", "data", "date", "default", "demo", "dev", "document", "error", "event", "example", "file", "for", "function", "group", "hash", "here", "home", "html", "http", "image", "index", "input", "item", "java", "key", "lib", "list", "local", "log", "main", "manager", "map", "message", "model", "module", "name", "new", "node", "number", "object", "order", "output", "page", "path", "pass", "password", "private", "process", "public", "query", "release", "report", "request", "response", "sample", "secret", "server", "service", "session", "set", "source", "state", "status", "string", "system", "table", "test", "the", "time", "token", "type", "update", "user", "util", "value", "version", "view", "web", "word", "your")
 PREFIX = r"^(AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk_live_|sk-|AIza|glpat-|eyJ)"
 
 #: Stand around every candidate of a text while it is cut, and behind a key word; texts' own become line ends.
@@ -58,6 +68,56 @@ KEYED = rf"""({NAME}")([^"\n]+)(?=")|({NAME}')([^'\n]+)(?=')|({NAME}["'`]?)({VAL
 CANDIDATE = rf"{KEYED}|({CORE})"
 
 
+#: Symbols that transitions are told by: no letter or digit, letters, any digit.
+LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SYMBOLS = len(LETTERS) + 2
+
+
+def dictionary(path: str | None = None, most: int = DICTIONARY_WORDS) -> list[str]:
+    """The most frequent whole words of a vocabulary file (their numbers are in order of frequency)."""
+    with open(path or public_tokenizers.path("word_bpe_49k.json")) as f:
+        model = json.load(f)["model"]
+    end = model["end_of_word_suffix"]
+    words = ((i, w.removesuffix(end)) for w, i in model["vocab"].items() if w.endswith(end))
+    return [w for _, w in sorted((i, w) for i, w in words if w.isascii() and w.isalpha() and len(w) >= LEAST_WORD)[:most]]
+
+
+def pattern(words: list[str]) -> str:
+    """A pattern of the longest word at a place, as a tree: what words begin with is tried once."""
+    tree: dict = {}
+    for w in words:
+        node = tree
+        for c in w:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def written(node: dict) -> str:
+        ways = [c + written(rest) for c, rest in sorted(node.items()) if c]
+        if not ways:
+            return ""
+        return f"(?:{'|'.join(ways)})" + ("?" if "" in node else "")
+
+    return written(tree)
+
+
+def transitions(words: list[str], least: float = 0.1) -> list[float]:
+    """Log-probability of each symbol behind each other, by how often it comes in words."""
+    symbol = lambda c: LETTERS.index(c) + 1
+    counts: Counter = Counter()
+    for word in words:
+        for w in (word, word.upper(), word.capitalize()):
+            counts.update(zip(map(symbol, w), map(symbol, w[1:])))
+    rows = [[counts[a, b] + least for b in range(SYMBOLS)] for a in range(SYMBOLS)]
+    return [round(math.log(x / sum(row)), 4) for row in rows for x in row]
+
+
+@functools.cache
+def lexicon(path: str | None = None) -> tuple[str, str]:
+    """(the dictionary's pattern, the transitions as a SQL array)."""
+    words = dictionary(path)
+    return pattern(words), f"array({', '.join(f'{x}D' for x in transitions(words))})"
+
+
 def _any(words: tuple[str, ...]) -> str:
     return "|".join(words)
 
@@ -68,15 +128,13 @@ FEATURES = {
     "digits": "regexp_count(c.core, '[0-9]') / length(c.core)",
     "uppers": "regexp_count(c.core, '[A-Z]') / length(c.core)",
     "signs": "regexp_count(c.core, '[+/_=-]') / length(c.core)",
-    "turns": "regexp_count(c.core, '(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])') / length(c.core)",
-    "cases": "regexp_count(c.core, '(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])') / length(c.core)",
-    "vowels": "regexp_count(lower(c.core), '(?<=[aeiou])(?=[b-df-hj-np-tv-z])') / length(c.core)",
-    "runs": "regexp_count(c.core, '(.)(?=\\\\1)') / length(c.core)",
+    "transitions": "aggregate(c.steps, 0D, (n, x) -> n + x) / greatest(1, size(c.steps))",
+    "rarest": "coalesce(array_min(c.steps), 0D)",
     "distinct": "size(array_distinct(split(c.core, ''))) / length(c.core)",
     "hex": "cast(c.core rlike '^[0-9a-fA-F]+$' as int)",
     "numeric": "cast(c.core rlike '^[0-9-]+$' as int)",
     "prefix": f"cast(c.core rlike '{PREFIX}' as int)",
-    "covered": f"1 - length(regexp_replace(lower(c.core), '{_any(sorted(DICTIONARY, key=len, reverse=True))}', '')) / length(c.core)",
+    "covered": "1 - length(regexp_replace(lower(c.core), '{words}', '')) / length(c.core)",
     "place": f"cast(lower(c.core) rlike '{_any(PLACE_WORDS)}' as int)",
     "own_key": f"cast(lower(c.word) rlike '({_any(KEY_WORDS)})[^a-z0-9]*[=:]' as int)",
     "key_before": f"cast(lower(concat_ws(' ', c.before2, c.before)) rlike '{_any(KEY_WORDS)}' as int)",
@@ -107,8 +165,11 @@ def behind(c: str = "c") -> str:
     return f"IF({c}.lead = '' OR length({c}.core) >= {LEAST} OR (length({c}.core) >= 8 AND {c}.core rlike '[A-Za-z]' AND {c}.core rlike '[^A-Za-z]'), '', {c}.lead)"
 
 
-def candidates(docs: DataFrame, text: str = "text", path: str | None = "source") -> DataFrame:
-    """docs with _candidates, an array of structs with core, the words beside it, and features f (array<double>)."""
+def candidates(docs: DataFrame, text: str = "text", path: str | None = "source", vocabulary: str | None = None) -> DataFrame:
+    """docs with _candidates, an array of structs with core, the words beside it, and features f (array<double>).  vocabulary: file of the dictionary."""
+    words, table_ = lexicon(vocabulary)
+    symbol = lambda x: f"IF({x} >= '0' AND {x} <= '9', {SYMBOLS - 1}, instr('{LETTERS}', {x}))"
+    steps = f"transform(sequence(2, greatest(length(n.core), 2)), i -> IF(i > length(n.core), 0D, get({table_}, {symbol('substr(n.core, i - 1, 1)')} * {SYMBOLS} + {symbol('substr(n.core, i, 1)')})))"
     where = f"`{path}`" if path else "cast(null as string)"
     quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
     marked = F.regexp_replace(F.translate(F.col(text), EDGE + LEAD, "\n\n"), CANDIDATE, f"{EDGE}$1$3$5{LEAD}$2$4$6$7{EDGE}")
@@ -116,8 +177,8 @@ def candidates(docs: DataFrame, text: str = "text", path: str | None = "source")
     near = once(cut, "_near", F.expr(f"""transform(filter(sequence(1, size(_parts) - 1), i -> i % 2 = 1), i -> named_struct('lead', substring_index(_parts[i], '{LEAD}', 1), 'core', substring_index(_parts[i], '{LEAD}', -1),
         'left', split(concat(IF(i > 1, replace(right(_parts[i - 2], {NEAR}), '{LEAD}', ''), ''), right(_parts[i - 1], {NEAR}), substring_index(_parts[i], '{LEAD}', 1)), {quoted(CUT)}),
         'right', split(concat(left(_parts[i + 1], {NEAR}), replace(left(coalesce(get(_parts, i + 2), ''), {NEAR}), '{LEAD}', '')), {quoted(CUT)})))"""))
-    found = once(near, "_found", F.expr(f"transform(_near, n -> named_struct('lead', n.lead, 'core', n.core, 'word', concat(element_at(n.left, -1), n.core), 'before', get(n.left, size(n.left) - 2), 'before2', get(n.left, size(n.left) - 3), 'tail', n.right[0], 'after', get(n.right, 1), 'path', {where}))"))
-    features = ", ".join(f"cast({x} as double)" for x in FEATURES.values())
+    found = once(near, "_found", F.expr(f"transform(_near, n -> named_struct('lead', n.lead, 'core', n.core, 'word', concat(element_at(n.left, -1), n.core), 'before', get(n.left, size(n.left) - 2), 'before2', get(n.left, size(n.left) - 3), 'tail', n.right[0], 'after', get(n.right, 1), 'path', {where}, 'steps', {steps}))"))
+    features = ", ".join(f"cast({x} as double)" for x in FEATURES.values()).replace("{words}", words)
     return once(found, "_candidates", F.expr(f"transform(_found, c -> named_struct('core', c.core, 'lead', {behind()}, 'f', array({features})))")).drop("_parts", "_near", "_found")
 
 
@@ -125,6 +186,8 @@ def example_findings(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
     """text, path, label, secret: findings made by rule, about half of them secrets; secret is null where all candidates have the label."""
     rows = spark.range(n).select(F.col("id"), F.sha2(F.concat(F.lit("finding "), F.col("id").cast("string")), 256).alias("h"), F.sha2(F.concat(F.lit("beside "), F.col("id").cast("string")), 256).alias("g"))
     word = lambda a, n: f"translate(substr(g, {a}, {n}), '0123456789abcdef', 'aeioustnrlmdcphg')"
+    common = ", ".join(f"'{w}'" for w in dictionary(most=400))
+    real = lambda a: f"element_at(array({common}), cast(1 + conv(substr(g, {a}, 4), 16, 10) % 400 as int))"
     letters = "translate(upper(h), '0123456789ABCDEF', 'QZ2R4K7MAXBJCWEP')"
     mixed = "translate(base64(unhex(h)), '+/=', 'xY9')"
     made = [  # label, text; a tuple of (before, secret, after) is a secret among other candidates
@@ -164,6 +227,9 @@ def example_findings(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
         (1, f"concat(element_at(array('password=', 'pwd: ', 'secret='), cast(1 + id % 3 as int)), {word(1, 4)}, id % 1000)"),
         (1, f"concat('password=', {word(1, 4)}, {word(9, 3)})"),
         (1, f"concat('passphrase = \"', {word(1, 6)}, ' ', {word(9, 5)}, ' ', {word(18, 7)}, ' ', {word(27, 4)}, '\"')"),
+        (1, f"concat('passphrase = \"', {real(1)}, ' ', {real(6)}, ' ', {real(11)}, ' ', {real(16)}, '\"')"),
+        (1, f"concat(element_at(array('password=', 'passwd: '), cast(1 + id % 2 as int)), {real(1)}, {real(6)}, {real(11)}, {real(16)})"),
+        (0, f"concat('the ', element_at(array('secret: ', 'password: ', 'token: '), cast(1 + id % 3 as int)), {real(1)}, ' ', {real(6)})"),
         (1, f"concat('sk_live_', {word(1, 8)}, {word(9, 8)})"),
         (1, f"concat(element_at(array('xoxb-', 'glpat-', 'sk-', 'gho_'), cast(1 + id % 4 as int)), {word(1, 8)}, {word(9, 8)})"),
         (0, f"concat(element_at(array('the secret: ', 'password: ', 'a token: '), cast(1 + id % 3 as int)), {word(1, 5)})"),
@@ -171,6 +237,7 @@ def example_findings(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
         (0, f"concat(element_at(array('password=', 'token: ', 'secret = '), cast(1 + id % 3 as int)), element_at(array('${{', '$', '{{{{'), cast(1 + id % 3 as int)), upper({word(1, 6)}), '}}')"),
         (0, f"concat('token = get_', {word(1, 5)}, '(', {word(9, 4)}, ')')"),
         (0, "concat(element_at(array('max_tokens=', 'tokens: '), cast(1 + id % 2 as int)), id % 9999)"),
+        (0, "concat(element_at(array('token_ttl=', 'secret_version: ', 'auth_timeout = ', 'n_tokens='), cast(1 + id % 4 as int)), conv(substr(h, 1, 3), 16, 10))"),
         (0, "concat(element_at(array('password=', 'password: \"', 'secret='), cast(1 + id % 3 as int)), element_at(array('changeme', 'your_password', 'example', 'xxxxxxxx'), cast(1 + id % 4 as int)))"),
         (0, f"concat('sk-', {word(1, 3)})"),
         (0, "concat('https://www.', " + word(2, 6) + ", '.com/', " + word(12, 5) + ", '/', id % 9999, '/', " + word(20, 7) + ", '?page=', id % 99)"),
@@ -236,7 +303,11 @@ def learnt(spark: SparkSession, labelled: DataFrame | None = None) -> str:
 def findings(docs: DataFrame, labelled: DataFrame | None = None, path: str | None = "source") -> DataFrame:
     """A row per document and secret: doc_id, rule, start (from 0), length, occurrences, secret_sha256, score."""
     own = docs.select("doc_id", "text", *([path] if path else []))
-    rows = with_secrets(own, learnt(docs.sparkSession, labelled), path=path).filter("size(_secrets) > 0").select("doc_id", "text", F.explode("_secrets").alias("s"))
+    rows = with_secrets(own, learnt(docs.sparkSession, labelled), path=path).filter("size(_secrets) > 0").select("doc_id", F.col("text").alias("_whole"), "_secrets", F.explode("_secrets").alias("s"))
+    # what is inside a longer secret is no place of a shorter one
+    longer = "filter(_secrets, o -> length(o.secret) > length(s.secret) AND contains(o.secret, s.secret))"
+    blank = f"aggregate({longer}, _whole, (t, o) -> aggregate(o.leads, t, (u, l) -> replace(u, concat(l, o.secret), concat(l, repeat('{EDGE}', length(o.secret))))))"
+    rows = rows.withColumn("text", F.expr(blank))
     places = F.expr("aggregate(s.leads, 0L, (n, l) -> n + (length(text) - length(replace(text, concat(l, s.secret), ''))) div length(concat(l, s.secret)))")
     first = F.expr("array_min(transform(s.leads, l -> instr(text, concat(l, s.secret)) + length(l)))") - 1
     return rows.select("doc_id", F.col("s.rule").alias("rule"), first.cast("long").alias("start"), F.length("s.secret").cast("long").alias("length"), places.cast("long").alias("occurrences"), F.sha2(F.col("s.secret"), 256).alias("secret_sha256"), F.col("s.score").alias("score"))

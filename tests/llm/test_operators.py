@@ -333,6 +333,62 @@ def test_values_behind_key_words_are_candidates_whatever_their_form(spark):
     assert [r.c for r in only] == [long]
 
 
+def test_secrets_that_contain_each_other(spark):
+    long = hashlib.sha256(b"s").hexdigest()[:40]
+    text = f'token = "{long[:24]}" and secret = "{long}" and then password={long[:24]} now'
+    rows = spark.createDataFrame([(1, text, "a")], "doc_id long, text string, source string")
+    out = {r.length: r for r in secretscan.findings(rows).collect()}
+    assert sorted(out) == [24, 40]
+    assert (out[24].start, out[24].occurrences) == (9, 2) and (out[40].start, out[40].occurrences) == (text.index(long), 1)
+    assert secretscan.redacted(rows).head().text == 'token = "[SECRET]" and secret = "[SECRET]" and then password=[SECRET] now'
+
+
+def test_findings_against_a_scan_by_hand(spark):
+    """Places, numbers and digests of findings by string methods, over texts with several secrets each."""
+    r = random.Random(18)
+    key = lambda n: "".join(r.choice("abcdef0123456789") for _ in range(n))
+    words = ["river", "stone", "walks", "under", "trees", "light"]
+    texts, planted = [], []
+    for _ in range(60):
+        own = [key(r.choice([24, 32, 40])) for _ in range(r.randint(0, 3))]
+        parts = [" ".join(r.choice(words) for _ in range(6))]
+        for k in own:
+            parts += [f'{r.choice(["token", "secret", "api_key"])} = "{k}"' for _ in range(r.randint(1, 3))] + [r.choice(words)]
+        texts.append(" ".join(parts))
+        planted.append(set(own))
+    rows = spark.createDataFrame([(i, t, "src") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = {(x.doc_id, x.secret_sha256): (x.start, x.length, x.occurrences) for x in secretscan.findings(rows).collect()}
+    want = {(i, hashlib.sha256(k.encode()).hexdigest()): (t.index(k), len(k), t.count(k)) for i, (t, ks) in enumerate(zip(texts, planted)) for k in ks}
+    assert got == want
+    for x in secretscan.redacted(rows).collect():
+        want_text = texts[x.doc_id]
+        for k in planted[x.doc_id]:
+            want_text = want_text.replace(k, "[SECRET]")
+        assert x.text == want_text
+
+
+def test_forest_on_findings_that_it_has_not_seen(spark):
+    labelled = secretscan.example_findings(spark).withColumn("n", F.expr("crc32(text) % 4")).cache()
+    score = secretscan.learnt(spark, labelled.filter("n > 0"))
+    rows = labelled.filter("n = 0")
+    own = F.when(F.col("secret").isNull() | (F.col("secret") == F.col("c.core")), F.col("label")).otherwise(0.0)
+    out = secretscan.candidates(rows, path="path").select("*", F.explode("_candidates").alias("c")).select(own.alias("y"), (F.expr(score) >= secretscan.THRESHOLD).alias("p"))
+    n = {(r.y, r.p): r["count"] for r in out.groupBy("y", "p").count().collect()}
+    precision, recall = n[1.0, True] / (n[1.0, True] + n.get((0.0, True), 0)), n[1.0, True] / (n[1.0, True] + n.get((1.0, False), 0))
+    assert sum(n.values()) > 1000 and precision > 0.97 and recall > 0.97
+    labelled.unpersist()
+
+
+def test_dictionary_and_transitions():
+    words = secretscan.dictionary(most=300)
+    found = __import__("re").compile(secretscan.pattern(words))
+    assert len(words) == 300 and all(found.fullmatch(w) for w in words) and not found.fullmatch("zzzz")
+    steps = secretscan.transitions(words)
+    a, h, z = (secretscan.LETTERS.index(c) + 1 for c in "thz")
+    assert steps[a * secretscan.SYMBOLS + h] > steps[a * secretscan.SYMBOLS + z]
+    assert sum(math.exp(x) for x in steps[a * secretscan.SYMBOLS : (a + 1) * secretscan.SYMBOLS]) == pytest.approx(1, abs=1e-2)
+
+
 def near_corpus(seed=9):
     r = random.Random(seed)
     words = ["".join(r.choice("abcdefghij") for _ in range(4)) for _ in range(400)]
