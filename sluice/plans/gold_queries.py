@@ -236,10 +236,11 @@ def alert_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.alerts(_decision_events(spark, sf_dir)).select("transaction_id", "probability", "message")
 
 
-@query(f"WITH {_DEC} SELECT count(*) AS decisions, count(*) FILTER (WHERE predicted) AS flagged, count(*) FILTER (WHERE predicted AND score >= 0.9) AS high FROM dec")
+@query(f"WITH {_DEC} SELECT count(*) AS decisions, count(*) FILTER (WHERE predicted) AS flagged, count(*) FILTER (WHERE predicted AND score >= 0.9) AS high FROM dec WHERE decided_at >= TIMESTAMP '2024-01-05'")
 def decision_payload_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.to_json(F.struct(F.col("predicted").alias("predicted_fraud"), F.col("score").alias("risk_score")))
-    return S.payload_counts(decisions(spark, sf_dir).select(payload.alias("p")), "p", 0.9)
+    rows = decisions(spark, sf_dir).select("decided_at", payload.alias("p"))
+    return S.payload_counts(rows, "p", 0.9, ("decided_at", F.lit("2024-01-05").cast("timestamp_ntz")))
 
 
 @query(f"WITH {_DEC} SELECT doc_id, CASE WHEN predicted THEN 'REVIEW' ELSE 'ALLOW' END AS decision, 60000.0::DOUBLE AS processing_latency_ms FROM dec")

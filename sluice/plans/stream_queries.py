@@ -26,6 +26,9 @@ def query(sql: str | None = None):
     return add
 
 
+TOPICS = ["signup", "purchase", "error", "view", "click"]
+
+
 def _landing(rows: DataFrame, name: str) -> str:
     path = shared_path(rows.sparkSession, name)
     rows.write.parquet(path)
@@ -54,16 +57,107 @@ def _broker_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("_n").select(*(F.col(f.name).cast(f.dataType) for f in BROKER_SCHEMA))
 
 
-@query("SELECT event_type AS topic, event_id AS \"offset\", event_id % 50 <> 0 AS parsed_json_valid FROM events WHERE event_type IN ('purchase', 'view')")
+@query("SELECT event_type AS topic, event_id AS \"offset\", event_id % 50 <> 0 AS parsed_json_valid FROM events")
 def foreach_batch_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fan-out to a table per topic; repeated offsets, within a run and in a replay, add nothing."""
-    source = _landing(_broker_rows(spark, sf_dir), "topic")
-    targets = {t: shared_path(spark, f"topic-{t}") for t in ("purchase", "view")}
+    """Fan-out to a table for each of five topics; repeated offsets, within a run and in a replay, add nothing."""
+    source, root = _landing(_broker_rows(spark, sf_dir), "topic"), shared_path(spark, "topics")
     for _ in range(2):  # the second run has a checkpoint of its own: a full replay
         stream = P.parsed(spark.readStream.schema(BROKER_SCHEMA).parquet(source))
-        P.fan_out(stream, targets, shared_path(spark, "checkpoint")).awaitTermination()
-    rows = [spark.read.parquet(t).select("topic", "offset", "parsed_json_valid") for t in targets.values()]
-    return rows[0].unionByName(rows[1])
+        P.fan_out(stream, root, TOPICS, shared_path(spark, "checkpoint")).awaitTermination()
+    rows = None
+    for topic in TOPICS:
+        own = P.topic_table(spark, root, topic).select("topic", "offset", "parsed_json_valid")
+        rows = own if rows is None else rows.unionByName(own)
+    return rows
+
+
+@query("SELECT event_type AS topic, (count(*) + count(*) FILTER (WHERE event_id % 10 = 0))::BIGINT AS n FROM events GROUP BY 1")
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each topic as the stream itself counted them, from its progress."""
+    source = _landing(_broker_rows(spark, sf_dir), "topic")
+    stream = P.observed(spark.readStream.schema(BROKER_SCHEMA).parquet(source), "inputs", F.col("topic"), TOPICS)
+    query = stream.writeStream.foreachBatch(lambda rows, _: rows.write.format("noop").mode("overwrite").save()).option("checkpointLocation", shared_path(spark, "checkpoint")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    totals = P.observed_totals(query.recentProgress, "inputs")
+    return spark.createDataFrame([(t, int(totals[t])) for t in TOPICS], "topic string, n long")
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def stream_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream on a clock, polled until it has read everything and stopped then; every batch's progress counts once."""
+    rows = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    source, target, n = _landing(rows, "landing"), shared_path(spark, "target"), rows.count()
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    query = stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", shared_path(spark, "checkpoint")).trigger(processingTime="200 milliseconds").start()
+    P.run_until(query, lambda seen: sum(p["numInputRows"] for p in seen) >= n, 120)
+    return spark.read.schema(rows.schema).parquet(target)
+
+
+_MESSAGES_SQL = """SELECT event_id, CASE event_type WHEN 'purchase' THEN 'transaction' WHEN 'signup' THEN 'authentication' ELSE 'market' END AS event_kind, ts AS event_timestamp, CASE WHEN event_type = 'purchase' THEN event_id::VARCHAR END AS transaction_id,
+ CASE WHEN event_type IN ('purchase', 'signup') THEN user_id::VARCHAR END AS account_id, CASE WHEN event_type = 'purchase' THEN 10.0 WHEN event_type = 'view' THEN value END::DOUBLE AS market_price_usd, coalesce(event_type = 'signup' AND value > 50, false) AS login_success FROM events WHERE event_type IN ('purchase', 'signup', 'view')"""
+
+
+@query(_MESSAGES_SQL)
+def typed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of three topics as typed events; those of other topics are dropped."""
+    e, kind = read_table(spark, sf_dir, "events"), F.col("event_type")
+    paid, login = kind == "purchase", kind == "signup"
+    body = F.to_json(
+        F.struct(
+            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_timestamp"),
+            F.when(paid, F.col("event_id").cast("string")).alias("transaction_id"),
+            F.when(paid | login, F.col("user_id").cast("string")).alias("account_id"),
+            F.when(paid, F.lit(10.0)).alias("market_price_usd"),
+            F.when(kind == "view", F.col("value")).alias("price_usd"),
+            F.when(login, F.col("value") > 50).alias("login_success"),
+        )
+    )
+    rows = e.select(F.lit(b"k").alias("key"), body.cast("binary").alias("value"), kind.alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"))
+    out = P.typed_events(rows, {"purchase": "transaction", "signup": "authentication", "view": "market"})
+    return out.select(F.col("offset").alias("event_id"), "event_kind", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"), "transaction_id", "account_id", "market_price_usd", F.coalesce("login_success", F.lit(False)).alias("login_success"))
+
+
+@query("SELECT event_id::VARCHAR AS key, event_id, event_type FROM events")
+def broker_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows as messages, key and JSON, and read again."""
+    rows = P.broker_messages(read_table(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
+    return rows.select("key", F.get_json_object("value", "$.event_id").cast("long").alias("event_id"), F.get_json_object("value", "$.event_type").alias("event_type"))
+
+
+@query("SELECT event_id, user_id, event_type AS kind, '{\"value\":\"' || user_id || '\"}' AS rescued, 'run-1' AS run_id FROM events")
+def bronze_contract_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental ingestion into a contract: a column that it lacks is kept as JSON, and its partition column makes folders."""
+    from pyspark.sql import types as T
+
+    rows = read_table(spark, sf_dir, "events").select("event_id", "user_id", F.col("event_type").alias("kind"), F.col("user_id").alias("value"))
+    contract = T.StructType.fromDDL("event_id bigint, user_id bigint, kind string")
+    source, target, checkpoint = _landing(rows, "landing"), shared_path(spark, "bronze"), shared_path(spark, "checkpoint")
+    for run in ("run-1", "run-2"):
+        P.ingest_files(spark, source, rows.schema, target, checkpoint, run, contract=contract, partitions=("kind",))
+    return spark.read.parquet(target).select("event_id", "user_id", "kind", F.col("_rescued").alias("rescued"), F.col("_run_id").alias("run_id"))
+
+
+@query("SELECT event_id::VARCHAR AS transaction_id, true AS consistent, true AS as_in_batch, 3 AS feature_count, true AS input_contract_ok, 24 AS fields FROM events WHERE event_type = 'purchase' AND event_id % 50 <> 0")
+def stream_model_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fitted model in a stream: 24-field decisions, map only, equal to the model's batch scores."""
+    from sluice.operators import models
+    from sluice.operators.scoring import decision_events
+
+    numeric, categorical = ["amount", "minute"], ["weekday"]
+    features = lambda rows, at: rows.withColumn("minute", F.minute(at).cast("double")).withColumn("weekday", F.date_format(at, "E"))
+    batch = features(read_table(spark, sf_dir, "events").filter("event_type = 'purchase'").withColumn("amount", F.col("value")), "ts")
+    model = models.fit_logistic(batch.withColumn("y", (F.col("value") > 40).cast("int")), numeric, categorical, "y", 20)
+    source, target = _landing(_broker_rows(spark, sf_dir).dropDuplicates(["topic", "offset"]), "topic"), shared_path(spark, "decisions")
+    stream = P.parsed(spark.readStream.schema(BROKER_SCHEMA).parquet(source)).filter("parsed_json_valid AND event_type = 'fraud_decision'")
+    rows = features(stream.select("transaction_id", "asset", F.lit("US").alias("country"), "amount", F.col("amount").alias("transaction_amount_usd"), "event_at"), "event_at")
+    keep = ["transaction_id", "asset", "country", "transaction_amount_usd", "event_at"]
+    score = lambda df: decision_events(models.scored(model, df, numeric, categorical, *keep), "score", "event_at", F.current_timestamp(), numeric + categorical, numeric + categorical)
+    P.score_stream(rows, score, lambda df, _: df.write.mode("append").parquet(target), shared_path(spark, "checkpoint")).awaitTermination()
+    out = spark.read.parquet(target)
+    again = models.scored(model, batch, numeric, categorical, "event_id").select(F.col("event_id").cast("string").alias("transaction_id"), "score")
+    consistent = (F.col("predicted_fraud") == (F.col("fraud_probability") >= F.col("fraud_threshold"))) & ((F.col("decision") == "REVIEW") == F.col("predicted_fraud"))
+    joined = out.join(again, "transaction_id")
+    return joined.select("transaction_id", consistent.alias("consistent"), (F.abs(F.col("score") - F.col("fraud_probability")) < 1e-9).alias("as_in_batch"), "feature_count", "input_contract_ok", F.lit(len(out.columns)).alias("fields"))
 
 
 @query("SELECT event_id::VARCHAR AS event_id, value > 20 AS predicted, CASE WHEN value > 20 THEN 'REVIEW' ELSE 'ALLOW' END AS decision FROM events WHERE event_type = 'purchase' AND event_id % 50 <> 0")
