@@ -9,8 +9,12 @@ from the root, nodes are first `outside`, then `main`, then `cut`, and never
 go back; the likeliest such labelling of the whole tree is found exactly by
 dynamic programming, so no choice contradicts that of an ancestor.
 
-The trees are learnt from `example_pages`: pages made by rule in many layouts
-with known main parts, the same every time, PAGES of them.
+The trees are learnt from `example_pages`: pages made by rule in many layouts,
+the same every time, PAGES of them.  The rule that makes a page also says which
+element is its main part and which branches inside it are not of it (adverts,
+side bars, forms, comments, menus), with or without names that tell; labels
+come from there, not from names.  Headings are main text, and so is a header
+element inside the main part; the page's own header is not.
 
 Text: character references are decoded, white space in a block becomes one
 space, blocks are trimmed and joined in page order by one line end; a line
@@ -256,7 +260,7 @@ class Boosted:
 
 
 def example_pages(n: int = PAGES, seed: int = 23) -> list[str]:
-    """Pages made by rule; the main part's element has a data-main attribute."""
+    """Pages made by rule; the main part's element has a data-main attribute, and branches in it that are not main a data-cut one."""
     rng = np.random.default_rng(seed)
     pick = lambda xs: xs[int(rng.integers(len(xs)))]
     word = lambda: "".join(pick("aeioustnrlmdcphgbvéüñ") for _ in range(int(rng.integers(1, 10))))
@@ -273,6 +277,9 @@ def example_pages(n: int = PAGES, seed: int = 23) -> list[str]:
         body = pick([f"<ul>{links(int(rng.integers(2, 9)))}</ul>", links(5, "span"), f"<ol>{links(4)}</ol>"])
         return pick([f"<nav>{body}</nav>", f"<div class='{pick(['menu', 'navbar', 'main-nav', 'breadcrumbs'])}'>{body}</div>", f"<div id='navigation'>{body}</div>", f"<header>{body}<p>{prose(6)}</p></header>", f"<div role='navigation'>{body}</div>"])
 
+    def links_only() -> str:
+        return f"<div{pick(['', ' class=' + word(), ' id=' + word()])}><p>{word()}</p><ul>{links(int(rng.integers(3, 8)))}</ul></div>"
+
     def advert() -> str:
         return pick(["<div class='{}'>{}</div>", "<aside class='{}'><p>{}</p></aside>", "<section id='{}'>{}</section>"]).format(pick(["ad", "ads top", "sponsored", "advert-box", "promo", "banner"]), prose(int(pick([8, 20, 60]))))
 
@@ -298,8 +305,10 @@ def example_pages(n: int = PAGES, seed: int = 23) -> list[str]:
 
     def main() -> str:
         head = pick(["<h1>{0}</h1>", "<h1>{0}</h1>", "<h1>{0}</h1>", "", "<header><h1>{0}</h1></header>"]).format(prose(14))
-        body = head + "".join(paragraph() for _ in range(int(pick([1, 1, 2, 4, 8, 16]))))
-        body += pick(["", "", "", advert(), side(), form(), comments()])
+        parts = [paragraph() for _ in range(int(pick([1, 1, 2, 4, 8, 16])))]
+        for other in [f() for f in (advert, side, form, comments, links_only) if rng.random() < 0.15]:
+            parts.insert(int(rng.integers(len(parts) // 2, len(parts) + 1)), re.sub(r"^<(\w+)", r"<\1 data-cut", other))
+        body = head + "".join(parts)
         return pick(["<article data-main>{0}</article>"] * 5 + ["<main data-main>{0}</main>", "<div data-main class='content'>{0}</div>", "<div data-main class='post-body entry'>{0}</div>", "<div data-main id='story'>{0}</div>", "<section data-main class='article-text'>{0}</section>", "<div data-main>{0}</div>", "<main><article data-main>{0}</article></main>", "<div class='page-content'><div data-main class='text'>{0}</div></div>"]).format(body)
 
     pages = []
@@ -319,23 +328,23 @@ def fitted(pages: int = PAGES) -> Boosted:
     xs, ys = [], []
     for source in example_pages(pages):
         page = Page(source)
-        at = _main_node(source)
-        label = [0] * len(page.tag)
-        for i in range(len(page.tag)):
-            p = page.parent[i]
-            if i == at:
-                label[i] = 1
-            elif p >= 0 and label[p]:
-                label[i] = int(not (page.marks[i] & 0b11111 or page.tag[i] in ("aside", "nav", "form", "footer")))
         xs.append(page.features())
-        ys += label
+        ys += example_labels(source, page)
     return Boosted.fitted(np.concatenate(xs), np.array(ys, float))
 
 
-def _main_node(source: str) -> int:
-    """The number of the element with data-main."""
-    cut = source.find(" data-main")
-    return len(Page(source[: source.find(">", cut) + 1]).tag) - 1 if cut >= 0 else -1
+def _nodes(source: str, attribute: str) -> set[int]:
+    """The numbers of the elements with an attribute."""
+    return {len(Page(source[: source.find(">", m.start()) + 1]).tag) - 1 for m in re.finditer(f" {attribute}", source)}
+
+
+def example_labels(source: str, page: Page) -> list[int]:
+    """Of each node of an example page, whether it is main text: below the main part and not below a branch that is cut."""
+    main, cut = _nodes(source, "data-main"), _nodes(source, "data-cut")
+    label = [0] * len(page.tag)
+    for i, p in enumerate(page.parent):
+        label[i] = int(i in main or (p >= 0 and label[p] and i not in cut))
+    return label
 
 
 def extracted(pages: DataFrame, model: Boosted | None = None) -> DataFrame:
