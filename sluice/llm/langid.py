@@ -30,8 +30,9 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.batches import arrow_map, coded, held, let_go, remainder, table, text_slices
+from sluice.llm.batches import arrow_map, coded, held, remainder, table, text_slices
 from sluice.llm.samples import sampled
+from sluice.llm.scratch import settled
 
 SAMPLE_DOCS, ROUNDS, LONGEST, MARK = 6000, 3, 16, "▁"
 #: The probability of a character that the vocabulary lacks; words over LONG letters are scaled at each step.
@@ -64,8 +65,8 @@ class Lattices:
         self.n = n = len(words[0])
         get = vocab.get
         self.spans = [(i, j) for j in range(1, n + 1) for i in range(max(0, j - LONGEST), j)]
-        flat = [get(w[i:j], -1) if j - i > 1 else get(w[i], 0) for w in words for i, j in self.spans]
-        self.pieces = np.array(flat, np.int32).reshape(len(words), len(self.spans))
+        flat = (get(w[i:j], -1) if j - i > 1 else get(w[i], 0) for w in words for i, j in self.spans)
+        self.pieces = np.fromiter(flat, np.int32, len(words) * len(self.spans)).reshape(len(words), len(self.spans))
         self.used = np.flatnonzero((self.pieces >= 0).any(0))
 
     def forward(self, p: np.ndarray) -> np.ndarray:
@@ -91,7 +92,7 @@ class Lattices:
             np.add.at(out, self.pieces[:, k], scale * a[:, i] * p[self.pieces[:, k]] * RAISE ** (j - i) * b[:, j])
 
 
-def _by_length(words: list[str], most: int = 20_000) -> list[tuple[list[int], list[str]]]:
+def _by_length(words: list[str], most: int = 5000) -> list[tuple[list[int], list[str]]]:
     groups: dict[int, list[int]] = defaultdict(list)
     for i, w in enumerate(words):
         groups[len(w)].append(i)
@@ -221,7 +222,7 @@ def fitted(docs: DataFrame, learn: DataFrame, path: str, bound: int = SAMPLE_DOC
         counts[lang][run] = n
     model = LanguageModel.fitted(counts, vocabulary(path)) if counts else None
     del counts
-    let_go()
+    settled(docs.sparkSession)
     return model
 
 

@@ -180,21 +180,25 @@ SIGNED, SETS = "node long, size int, bands array<long>", "node long, shingles ar
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """node, root of each node of the links (a, b): root is the smallest node that links lead to.
 
-    A step gives each node the smallest root next to it and then its root's
-    root, so a chain halves; a round is two steps, and rounds end when the
-    second changes nothing.  links: is read several times.
+    A round gives each node the smallest root next to it, twice, and then its
+    root's root, so a chain more than halves; rounds end when one changes
+    nothing.  links: is read several times.
     """
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    own = both.select("a").distinct().select("a", F.col("a").alias("b"))  # a node is next to itself, too
+    near = scratch.kept(both.unionByName(own), "near")
 
     def step(roots: DataFrame) -> DataFrame:
-        near = both.join(roots.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        low = roots.join(near, "node").select("node", "root", F.least("root", "near").alias("low"))
-        up = roots.select(F.col("node").alias("low"), F.col("root").alias("over"))
-        return low.join(up, "low", "left").select("node", F.col("root").alias("before"), F.least("low", F.coalesce("over", "low")).alias("root"))
+        seen = near.join(roots.select(F.col("node").alias("b"), "root"), "b")
+        return seen.groupBy(F.col("a").alias("node")).agg(F.min("root").alias("root"), F.min(F.when(F.col("a") == F.col("b"), F.col("root"))).alias("before"))
 
-    roots = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("root"))
+    roots = near.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
     while True:
-        new = scratch.kept(step(step(roots).select("node", "root")), "roots")
+        low = step(roots).select("node", "root", "before")
+        next_ = step(low.select("node", "root")).select("node", "root")
+        up = next_.select(F.col("node").alias("root"), F.col("root").alias("over"))
+        jumped = next_.join(up, "root", "left").select("node", F.coalesce("over", "root").alias("root"))
+        new = scratch.kept(jumped.join(low.select("node", "before"), "node"), "roots")
         if new.filter("root != before").limit(1).count() == 0:
             return new.select("node", "root")
         roots = new.select("node", "root")

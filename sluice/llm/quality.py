@@ -32,8 +32,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.batches import arrow_map, held, let_go, remainder, table, text_slices, words
+from sluice.llm.batches import arrow_map, gathered, held, let_go, remainder, table, text_slices, words
 from sluice.llm.samples import sampled
+from sluice.llm.scratch import settled
 
 SAMPLE_DOCS, BUCKETS, FACTORS, BINS, ROUNDS = 8000, 1 << 17, 8, 16, 6
 #: Byte classes that structure is told by.
@@ -101,7 +102,7 @@ class Machine:
         bins = np.column_stack([np.where(np.isnan(s), BINS, np.searchsorted(e, s, "right")) for e, s in zip(self.edges, stats.T)])
         extra = BUCKETS + np.arange(m) * (BINS + 1) + bins
         start = np.concatenate([[0], np.cumsum(lens + m)])
-        at, value = np.zeros(start[-1], np.int64), np.full(start[-1], 1 / np.sqrt(m))
+        at, value = np.zeros(start[-1], np.int32), np.full(start[-1], 1 / np.sqrt(m), np.float32)
         mine = np.ones(start[-1], bool)
         mine[(start[1:, None] - m + np.arange(m)).ravel()] = False
         at[mine], value[mine] = feature, weight
@@ -172,15 +173,15 @@ def fitted(docs: DataFrame, labelled: DataFrame, bound: int = SAMPLE_DOCS) -> Ma
     order = np.lexsort((feature[np.minimum(np.cumsum(lens) - lens, max(0, len(feature) - 1))] if len(feature) else lens, stats[:, -2], y))  # whatever order the rows came in
     if len(feature):
         first = np.cumsum(lens) - lens
-        picked = np.concatenate([np.arange(first[d], first[d] + lens[d]) for d in order])
-        feature, weight = feature[picked], weight[picked]
-        del picked
+        feature, weight = (gathered(first[order], lens[order], x) for x in (feature, weight))
     lens, stats, y = lens[order], stats[order], y[order]
     edges = np.nan_to_num(np.nanquantile(np.where(np.isnan(stats).all(0), 0, stats), np.arange(1, BINS) / BINS, axis=0).T)
     machine = Machine.empty(edges)
-    del rows
-    machine = machine.fit(*machine.active(lens, feature.astype(np.int64), weight.astype(float), stats), y)
-    del feature, weight
+    active = machine.active(lens, feature, weight, stats)
+    del rows, feature, weight
+    settled(docs.sparkSession)
+    machine = machine.fit(*active, y)
+    del active
     let_go()
     return machine
 

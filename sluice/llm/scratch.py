@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.llm.batches import let_go
+
 #: Files of a written table a core.
 FILES = 4
 
@@ -59,6 +60,7 @@ class Scratch:
         """The operator's result, written beside the folder, which goes: nothing but the result stays."""
         out = kept(rows, name)
         dropped(self.spark, self.path)
+        settled(self.spark)
         return out
 
 
@@ -69,6 +71,6 @@ def dropped(spark: SparkSession, path: str) -> None:
 
 
 def settled(spark: SparkSession) -> None:
-    """Has Spark free the shuffle files of plans that are done with now, not at its next periodic collection."""
-    gc.collect()
+    """Has the driver free the shuffle files of plans that are done with, and give freed memory back, now, not at its next periodic collection."""
+    let_go()
     spark._jvm.System.gc()

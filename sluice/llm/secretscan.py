@@ -41,6 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.batches import table
+from sluice.llm.scratch import settled
 
 DICTIONARY_WORDS, LEAST_WORD = 4000, 4
 LEAST, THRESHOLD, TREES, DEPTH, EXAMPLES = 12, 0.5, 24, 6, 8000
@@ -297,7 +298,9 @@ def with_secrets(docs: DataFrame, score: str, threshold: float = THRESHOLD, path
 
 def learnt(spark: SparkSession, labelled: DataFrame | None = None) -> str:
     """The forest of labelled findings, or of the examples, as SQL."""
-    return forest_sql(forest(example_findings(spark) if labelled is None else labelled))
+    score = forest_sql(forest(example_findings(spark) if labelled is None else labelled))
+    settled(spark)
+    return score
 
 
 def findings(docs: DataFrame, labelled: DataFrame | None = None, path: str | None = "source") -> DataFrame:
