@@ -214,3 +214,66 @@ def test_offsets_and_alert_stream(spark, tmp_path):
 
     assert offset_deltas({"sources": [{"startOffset": '{"t": {"0": 5}}', "endOffset": '{"t": {"0": 9, "1": 2}}'}]}) == {"t": 6}
     assert offset_deltas({"sources": [{"startOffset": None, "endOffset": {"t": {"0": 3}}}]}) == {"t": 3}
+
+
+def test_row_hashes_of_unlike_rows_differ(spark):
+    rows = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), (None, "c"), ("\\N", "c"), ("-", "c"), ("1:a", "c"), ("a", "c")], "a string, b string")
+    assert rows.select(Ty.row_hash(["a", "b"])).distinct().count() == 7
+
+
+def test_parity_counts_keys_of_one_side(spark):
+    left = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, None)], "k int, x double")
+    right = spark.createDataFrame([(1, 1.0), (3, None), (4, 4.0)], "k int, x double")
+    r = Me.parity(left, right, "k", ["x"]).head()
+    assert (r.exact, r.tolerance, r.mismatch, r.left_only, r.right_only, r.status) == (2, 0, 2, 1, 1, "MISMATCH")
+    families = Me.parity_families(Me.parity(left, right, "k", ["x"]), {"f": ["x", "y"]}).collect()
+    assert {(r.feature, r.static_status) for r in families} == {("x", "MAJOR-MISMATCH"), ("y", "NOT-VERIFIABLE")}
+
+
+def test_as_of_carries_states_over_hours(spark):
+    states = spark.createDataFrame([("p", at(0), 1.0), ("p", at(3 * 3600), 2.0), (None, at(0), 9.0)], "product string, candle_end timestamp, close double")
+    rows = spark.createDataFrame([(1, "p", at(2 * 3600 + 5)), (2, "p", at(3 * 3600)), (3, "p", at(90 * 3600)), (4, "p", at(-1)), (5, None, at(7200))], "id int, product_id string, ts timestamp")
+    join = lambda **k: M.as_of(rows, states, "product_id", "ts", "product", "candle_end", ["close"], **k)
+    assert {r.id: r.close for r in join().collect()} == {1: 1.0, 2: 2.0, 3: 2.0, 4: None, 5: 9.0}
+    with pytest.raises(Exception, match="no state at or before"):
+        join(required=True).collect()
+
+
+def test_distinct_accounts_of_a_busy_device(spark):
+    import random
+
+    r = random.Random(3)
+    data = [(i, "d", r.choice("abcde"), at(r.randrange(4000))) for i in range(300)] + [(300, None, "a", at(5))]
+    rows = spark.createDataFrame(data, "id int, device string, account string, ts timestamp")
+    out = {x.id: (x.prior_events, x.distinct_accounts) for x in Fe.shared_entity(rows, "device", "ts", "account", 600).collect()}
+    for i, d, _, t in data:
+        prior = [x for x in data if x[1] is not None and x[1] == d and t - timedelta(seconds=600) <= x[3] < t]
+        assert out[i] == (len(prior), len({x[2] for x in prior}))
+
+
+def test_a_failed_write_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_partitioned(spark.range(3).withColumn("d", F.lit(1)), path, "d")
+    bad = spark.range(2).select(F.when(F.col("id") < 5, F.raise_error(F.lit("stop"))).cast("long").alias("id"), F.lit(1).alias("d"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.write_partitioned(bad, path, "d")
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_scores_that_crowd_near_zero(spark):
+    rows = spark.range(4000).select(F.expr("cast(id % 7 = 0 as int)").alias("y"), (F.col("id") / 1e7).alias("s"))
+    parts = Me._ordered_sums(rows, "y", "s").count()
+    assert parts == 4000
+    assert Me.roc_auc(rows, "y", "s").head()[0] == pytest.approx(0.5, abs=0.02)
+
+
+def test_batches_are_appended_once(spark, tmp_path):
+    from sluice.streaming.pipelines import append_new
+
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", 0, i, "x") for i in (1, 2, 2, 3)], "topic string, partition int, offset long, v string")
+    keys = ["topic", "partition", "offset"]
+    assert append_new(rows, path, keys, by=("topic",)) == 4
+    append_new(rows.filter("offset > 1").unionByName(rows.filter("offset = 3").withColumn("offset", F.lit(9).cast("long"))), path, keys, by=("topic",))
+    assert sorted(r[0] for r in spark.read.parquet(path).select("offset").collect()) == [1, 2, 3, 9]
+    assert append_new(rows.limit(0), path, keys) == 0
