@@ -185,4 +185,5 @@ def nearest(vectors: DataFrame, asking, k: int = 20, shard_rows: int = SHARD_ROW
 
 
 def op4_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of each vector whose id is divisible by 20, among all others."""
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)

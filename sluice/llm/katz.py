@@ -390,6 +390,7 @@ def scored(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, parts: int | None
 
 
 def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document by the model of those outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
     held = remainder(F.col("doc_id"), 10) == 0
     return scored(docs.select("doc_id", "text", F.coalesce(held, F.lit(True)).alias("held")))

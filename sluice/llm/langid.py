@@ -1,6 +1,7 @@
 """Language identification by unigrams with marginalised segmentation.
 
-Every language has a probability for every piece of a fixed public vocabulary.
+Every language has a probability for every piece of a fixed public vocabulary
+that can occur in lower case (pieces with capitals never match).
 A word's probability is the sum over all its segmentations into pieces, which
 the forward algorithm gives without listing them; a text's is the product over
 its words (runs of letters behind a begin mark, in lower case).  The piece
@@ -99,6 +100,34 @@ def _by_length(words: list[str], most: int = 5000) -> list[tuple[list[int], list
     return [(at[a : a + most], [words[i] for i in at[a : a + most]]) for _, at in sorted(groups.items()) for a in range(0, len(at), most)]
 
 
+class LongWord:
+    """The lattice of a word that is too long for plain products: sums are logarithms."""
+
+    def __init__(self, word: str, vocab: dict[str, int]):
+        get = vocab.get
+        self.n = len(word)
+        self.pieces = np.full((self.n + 1, LONGEST), -1)  # by end and length - 1
+        for j in range(1, self.n + 1):
+            for back in range(1, min(LONGEST, j) + 1):
+                self.pieces[j, back - 1] = get(word[j - back : j], 0 if back == 1 else -1)
+
+    def expected(self, p: np.ndarray, weight: float, out: np.ndarray) -> None:
+        """Adds the expected number of times that each piece is used."""
+        log = np.where(self.pieces >= 0, np.log(np.maximum(p[self.pieces], 1e-300)), -np.inf)
+        a, b = np.full(self.n + 1, -np.inf), np.full(self.n + 1, -np.inf)
+        a[0] = b[self.n] = 0
+        for j in range(1, self.n + 1):
+            k = min(LONGEST, j)
+            a[j] = np.logaddexp.reduce(a[j - 1 :: -1][:k] + log[j, :k])
+        for j in range(self.n, 0, -1):
+            k = min(LONGEST, j)
+            b[j - k : j] = np.logaddexp(b[j - k : j], (b[j] + log[j, :k])[::-1])
+        for j in range(1, self.n + 1):
+            k = min(LONGEST, j)
+            use = np.flatnonzero(self.pieces[j, :k] >= 0)
+            np.add.at(out, self.pieces[j, use], weight * np.exp(a[j - 1 - use] + log[j, use] + b[j] - a[self.n]))
+
+
 class LanguageModel:
     """Piece probabilities by language, and texts' scores under them."""
 
@@ -111,7 +140,8 @@ class LanguageModel:
     def fitted(cls, counts: dict[str, dict[str, int]], vocab: dict[str, int]) -> LanguageModel:
         """counts: of runs of letters by language."""
         languages, size = sorted(counts), len(vocab) + 2
-        words = sorted({w for c in counts.values() for w in c if len(w) < LONG})
+        every = sorted({w for c in counts.values() for w in c})
+        words, long_ = [w for w in every if len(w) < LONG], [(w, LongWord(MARK + w, vocab)) for w in every if len(w) >= LONG]
         groups = [(at, Lattices([MARK + w for w in ws], vocab)) for at, ws in _by_length(words)]
         weight = {x: np.array([counts[x].get(w, 0) for w in words], float) for x in languages}
         p = np.zeros((len(languages), size))
@@ -120,6 +150,8 @@ class LanguageModel:
             n = sum(w[at] for w in weight.values())
             for k in lattice.used:
                 np.add.at(flat, lattice.pieces[:, k], n)
+        for w, lattice in long_:
+            np.add.at(flat, lattice.pieces[lattice.pieces >= 0], sum(c.get(w, 0) for c in counts.values()))
         flat[0] = flat[-1] = 0
         p[:] = (flat + 0.1) / (flat + 0.1).sum()
         for _ in range(ROUNDS):
@@ -134,6 +166,9 @@ class LanguageModel:
                         part.n, part.spans, part.pieces = lattice.n, lattice.spans, lattice.pieces[some]
                         part.used = np.flatnonzero((part.pieces >= 0).any(0))
                         part.expected(p[x], w[some], own)
+                for w, lattice in long_:
+                    if n := counts[languages[x]].get(w):
+                        lattice.expected(p[x], n, own)
             used[:, 0] = used[:, -1] = 0
             shared = used.sum(0) / max(1.0, used.sum())
             p = (used + 5 * shared + 1e-3) / (used + 5 * shared + 1e-3).sum(1, keepdims=True)
@@ -274,4 +309,5 @@ def identified(docs: DataFrame, path: str, bound: int = SAMPLE_DOCS, folds: int
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from those outside the held-out fold."""
     return identified(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

@@ -368,4 +368,5 @@ def extracted(pages: DataFrame, model: Boosted | None = None) -> DataFrame:
 
 
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
     return extracted(table(spark, sf_dir, "pages"))

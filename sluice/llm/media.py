@@ -10,7 +10,8 @@ an array coded by time.
 
 Nulls, empty and long texts: a null text counts as empty; an empty text has a
 payload of 64 zero bytes and a fingerprint without pairs; long texts are read
-whole.  Repeated rows give repeated results; an empty table gives none.  Other
+whole, their frames in parts.  Of equally strong bins of a band the lowest is
+its peak, and of equal frames in a row the first.  Repeated rows give repeated results; an empty table gives none.  Other
 columns of the input are never looked at.
 """
 
@@ -29,6 +30,8 @@ from sluice.llm.batches import arrow_map, table, text_slices
 
 #: Fixed values of the stored form and of the transform.
 RATE, FRAME, HOP, BANDS, FAN, REACH = 8000, 512, 256, 4, 3, 63
+#: Frames that are transformed at once.
+FRAMES = 8192
 SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_peaks long, fingerprint array<long>"
 _WINDOW = np.hanning(FRAME).astype(np.float32)
 
@@ -54,27 +57,42 @@ def wav_samples(media: bytes) -> bytes:
         return f.readframes(f.getnframes())
 
 
-def stft(samples: bytes) -> np.ndarray:
-    """Magnitudes, one row a frame; the last frame is filled with silence."""
-    x = np.frombuffer(samples, np.uint8).astype(np.float32) - 128
-    n = max(1, -(-(len(x) - FRAME) // HOP) + 1)
-    x = np.pad(x, (0, (n - 1) * HOP + FRAME - len(x)))
+def n_frames(samples: bytes) -> int:
+    """Frames of samples; the last is filled with silence."""
+    return max(1, -(-(len(samples) - FRAME) // HOP) + 1)
+
+
+def stft(samples: bytes, first: int = 0, end: int | None = None) -> np.ndarray:
+    """Magnitudes of the frames from first to end, one row a frame."""
+    end = n_frames(samples) if end is None else end
+    x = np.frombuffer(samples, np.uint8)[first * HOP : (end - 1) * HOP + FRAME].astype(np.float32) - 128
+    x = np.pad(x, (0, (end - first - 1) * HOP + FRAME - len(x)))
     frames = np.lib.stride_tricks.sliding_window_view(x, FRAME)[::HOP]
     return np.abs(np.fft.rfft(frames * _WINDOW, axis=1)[:, 1:])
 
 
-def peaks(spectrum: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(frame, bin) of the peaks, by time and then by bin."""
-    bands = spectrum.reshape(len(spectrum), BANDS, -1)
-    best, top = bands.argmax(2), bands.max(2)
-    edge = np.pad(top, ((1, 1), (0, 0)), constant_values=-1)
-    t, b = np.nonzero((top > edge[:-2]) & (top >= edge[2:]) & (top > 0))
-    return t, best[t, b] + b * bands.shape[2]
+def peaks(samples: bytes, together: int = FRAMES) -> tuple[np.ndarray, np.ndarray]:
+    """(frame, bin) of the peaks, by time and then by bin.
+
+    `together` frames are transformed at once, and one on either side of them, so memory does not grow with the text.
+    """
+    n, found = n_frames(samples), []
+    for first in range(0, n, together):
+        end = min(n, first + together)
+        low, high = max(0, first - 1), min(n, end + 1)
+        bands = stft(samples, low, high).reshape(high - low, BANDS, -1)
+        best, top = bands.argmax(2), bands.max(2)
+        edge = np.pad(top, ((1, 1), (0, 0)), constant_values=-1)
+        t, b = np.nonzero((top > edge[:-2]) & (top >= edge[2:]) & (top > 0))
+        own = (t >= first - low) & (t < end - low)
+        t, b = t[own], b[own]
+        found.append((t + low, best[t, b] + b * bands.shape[2]))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def fingerprint(samples: bytes) -> np.ndarray:
     """time << 32 | first bin << 20 | second bin << 8 | distance, in order of time."""
-    t, f = peaks(stft(samples))
+    t, f = peaks(samples)
     codes = []
     for step in range(1, FAN + 1):
         dt = t[step:] - t[:-step]
@@ -104,4 +122,5 @@ def media_columns(docs: DataFrame) -> DataFrame:
 
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Media columns of every document, its stored form's digests and its fingerprint."""
     return media_columns(table(spark, sf_dir, "documents"))

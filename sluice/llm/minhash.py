@@ -359,4 +359,5 @@ def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the class of its text and its near-duplicate group."""
     return grouped(table(spark, sf_dir, "documents"))

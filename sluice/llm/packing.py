@@ -385,4 +385,5 @@ def packed(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their places in sequences of 4096 tokens."""
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

@@ -161,4 +161,5 @@ def piece_digests(docs: DataFrame, path: str) -> DataFrame:
 
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's piece ids and of the text decoded from them."""
     return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

@@ -15,8 +15,9 @@ model has (BUCKETS + statistics x bins) x (FACTORS + 1) numbers.
 Nulls, empty and long texts: a null text counts as empty; an empty text has a
 score from its statistics; long texts are read whole.  A null n_chars has a
 bin of its own; a null id or label is not learnt from; contrary labels of one
-id count as the smaller.  Without any labels every score is 0.5.  Repeated
-rows give repeated results; an empty table gives no rows.  Other columns are
+id count as the smaller.  Without any labels every score is 0.5.  With labels of
+one kind only every score is 0.5, too.  Repeated rows give repeated results; an
+empty table gives no rows.  Other columns are
 never looked at.
 """
 
@@ -234,4 +235,5 @@ def classified(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_DOCS, fol
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of every document, learnt from labels outside the held-out fold."""
     return classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

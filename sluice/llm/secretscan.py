@@ -327,4 +327,5 @@ def redacted(docs: DataFrame, labelled: DataFrame | None = None, mark: str = "[S
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: kind, place, number and digest."""
     return findings(table(spark, sf_dir, "documents"))

@@ -54,6 +54,41 @@ def test_stft_is_the_fourier_transform_of_frames():
     assert (np.diff(codes >> 32) >= 0).all() and ((codes & 255) <= media.REACH).all()
 
 
+def test_fingerprints_by_hand():
+    """Peaks and pairs by loops over frames and bands, whatever number of frames is transformed at once."""
+    r = random.Random(20)
+    for size in (64, 512, 700, 5000, 9001):
+        x = bytes(r.choice(b"abc efg.") if r.random() < 0.9 else r.randrange(256) for _ in range(size))
+        spectrum = media.stft(x)
+        width = spectrum.shape[1] // media.BANDS
+        top = [[max(row[b * width : (b + 1) * width]) for b in range(media.BANDS)] for row in spectrum.tolist()]
+        found = []
+        for t, row in enumerate(spectrum.tolist()):
+            for b in range(media.BANDS):
+                before, after = (top[k][b] if 0 <= k < len(top) else -1 for k in (t - 1, t + 1))
+                if top[t][b] > before and top[t][b] >= after and top[t][b] > 0:
+                    found.append((t, row.index(top[t][b], b * width)))
+        for together in (1, 3, 8192):
+            t, f = media.peaks(x, together)
+            assert list(zip(t.tolist(), f.tolist())) == found
+        codes = sorted((t << 32) | (f << 20) | (g << 8) | (u - t) for i, (t, f) in enumerate(found) for u, g in found[i + 1 : i + 1 + media.FAN] if u - t <= media.REACH)
+        assert media.fingerprint(x).tolist() == codes
+
+
+def test_labels_of_one_kind_give_even_scores(spark):
+    docs = spark.createDataFrame([(i, f"text {i}", 6) for i in range(9)], "doc_id long, text string, n_chars long")
+    labels = spark.createDataFrame([(i, 1) for i in range(9)], "doc_id long, quality int")
+    assert {r.score for r in quality.classified(docs, labels).collect()} == {0.5}
+
+
+def test_long_documents_are_cut_at_the_capacity(spark):
+    texts = ["word " * 10_000, "word " * 4095, "word " * 4096, "a"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = packing.packed(rows, WORD).collect()
+    assert sorted((r.doc_id, r.piece, r.start, r.length) for r in out) == [(0, 0, 0, 4096), (0, 1, 4096, 4096), (0, 2, 8192, 1809), (1, 0, 0, 4096), (2, 0, 0, 4096), (2, 1, 4096, 1), (3, 0, 0, 2)]
+    assert len({r.sequence_id for r in out}) == 5
+
+
 def test_factorisation_identity():
     rng = np.random.default_rng(3)
     m = quality.Machine(np.sort(rng.normal(size=(2, quality.BINS - 1))), 0.3, rng.normal(size=quality.BUCKETS + 2 * (quality.BINS + 1)), rng.normal(size=(quality.BUCKETS + 2 * (quality.BINS + 1), 4)))
@@ -546,6 +581,16 @@ def test_forward_sums_all_segmentations():
         assert model._long("▁" + word)[0] == pytest.approx(math.log(total("▁" + word)))
 
 
+def test_long_words_are_learnt_like_others():
+    vocab = {"▁": 1, "▁a": 2, "a": 3, "b": 4, "ab": 5, "▁ab": 6, "ba": 7}
+    p = np.array([1e-7, 0.1, 0.2, 0.1, 0.2, 0.15, 0.1, 0.15, 0.0])
+    for word in ("ab", "aba", "bbaab", "azb" * 7):
+        plain, long_ = np.zeros(9), np.zeros(9)
+        langid.Lattices(["▁" + word], vocab).expected(p, np.array([3.0]), plain)
+        langid.LongWord("▁" + word, vocab).expected(p, 3.0, long_)
+        assert long_ == pytest.approx(plain)
+
+
 def test_languages_of_held_out_documents(spark):
     r = random.Random(13)
     parts = {"en": ["th", "ing", "er", "on", "wh"], "de": ["sch", "ung", "ein", "ber", "ß"], "fr": ["eau", "ment", "é", "que", "oi"]}
