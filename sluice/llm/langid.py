@@ -41,6 +41,7 @@ UNKNOWN, LONG = 1e-7, 40
 #: Each piece's probability is raised by this per letter, so that no word underflows; taken off again at the end.
 RAISE = 50.0
 CACHED = 600_000
+FAR, JUDGED = 2.5, 20
 RUN = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
@@ -131,10 +132,11 @@ class LongWord:
 class LanguageModel:
     """Piece probabilities by language, and texts' scores under them."""
 
-    def __init__(self, languages: list[str], vocab: dict[str, int], p: np.ndarray):
+    def __init__(self, languages: list[str], vocab: dict[str, int], p: np.ndarray, usual: np.ndarray | None = None):
         self.languages, self.vocab, self.p = languages, vocab, p  # p: language x (piece, ..., 0)
+        self.usual = np.tile([0.0, np.inf], (len(languages), 1)) if usual is None else usual  # log probability a letter of a language's words: mean, deviation
         self.number: dict[str, int] = {}
-        self.rows = np.zeros((0, len(languages) + 1))
+        self.rows, self.fits = np.zeros((0, len(languages) + 1)), np.zeros((0, len(languages)), np.int32)
 
     @classmethod
     def fitted(cls, counts: dict[str, dict[str, int]], vocab: dict[str, int]) -> LanguageModel:
@@ -173,19 +175,27 @@ class LanguageModel:
             shared = used.sum(0) / max(1.0, used.sum())
             p = (used + 5 * shared + 1e-3) / (used + 5 * shared + 1e-3).sum(1, keepdims=True)
         p[:, 0], p[:, -1] = UNKNOWN, 0
-        return cls(languages, vocab, p)
-
-    def word_scores(self, words: list[str]) -> np.ndarray:
-        """log probability of runs of letters, a column a language."""
-        out = np.zeros((len(words), len(self.languages)))
+        model = cls(languages, vocab, p)
+        for x, lang in enumerate(languages):
+            own = sorted(counts[lang])
+            letters = np.array([counts[lang][w] * len(w) for w in own], float)
+            each = model.word_scores(own, x)[:, 0] / [len(w) for w in own]
+            mean = (letters * each).sum() / letters.sum()
+            model.usual[x] = mean, np.sqrt((letters * (each - mean) ** 2).sum() / letters.sum())
+        return model
+
+    def word_scores(self, words: list[str], only: int | None = None) -> np.ndarray:
+        """log probability of runs of letters, a column a language (or only one's)."""
+        wanted = range(len(self.languages)) if only is None else [only]
+        out = np.zeros((len(words), len(wanted)))
         for at, ws in _by_length(words):
             if len(ws[0]) < LONG:
                 lattice = Lattices([MARK + w for w in ws], self.vocab)
-                for x, p in enumerate(self.p):
-                    out[at, x] = np.log(lattice.forward(p)[:, -1]) - lattice.n * np.log(RAISE)
+                for column, x in enumerate(wanted):
+                    out[at, column] = np.log(lattice.forward(self.p[x])[:, -1]) - lattice.n * np.log(RAISE)
             else:
                 for i, w in zip(at, ws):
-                    out[i] = self._long(MARK + w)
+                    out[i] = self._long(MARK + w)[list(wanted)]
         return out
 
     def _long(self, word: str) -> np.ndarray:
@@ -202,7 +212,7 @@ class LanguageModel:
         return log
 
     def _known(self, distinct: list[str]) -> np.ndarray:
-        """Row numbers of words; a row is log probabilities and the number of runs."""
+        """Row numbers of words; a row is log probabilities and the number of runs, and of fits the number of runs as likely as in each language."""
         if len(self.number) + len(distinct) > CACHED:
             self.number.clear()
         new = [w for w in distinct if w not in self.number]
@@ -212,23 +222,32 @@ class LanguageModel:
             single = sorted(set(flat))
             where = dict(zip(single, range(len(single))))
             scores = self.word_scores(single)
-            rows = np.zeros((len(new), len(self.languages) + 1))
-            of = np.repeat(np.arange(len(new)), [len(rs) for rs in own])
-            np.add.at(rows, of, np.column_stack([scores[[where[r] for r in flat]], np.ones(len(flat))]) if flat else np.zeros((0, rows.shape[1])))
+            fit = (scores / np.maximum([[len(r)] for r in single] or 1, 1) >= self.usual[:, 0] - FAR * self.usual[:, 1]).astype(np.int32)
+            rows, fits = np.zeros((len(new), len(self.languages) + 1)), np.zeros((len(new), len(self.languages)), np.int32)
+            of, at = np.repeat(np.arange(len(new)), [len(rs) for rs in own]), [where[r] for r in flat]
+            np.add.at(rows, of, np.column_stack([scores[at], np.ones(len(flat))]) if flat else np.zeros((0, rows.shape[1])))
+            np.add.at(fits, of, fit[at] if flat else np.zeros((0, fits.shape[1]), np.int32))
             n = len(self.number)
-            self.rows = np.concatenate([self.rows[:n], rows])
+            self.rows, self.fits = np.concatenate([self.rows[:n], rows]), np.concatenate([self.fits[:n], fits])
             self.number.update(zip(new, range(n, n + len(new))))
         return np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
 
-    def text_scores(self, text: pa.Array) -> tuple[list[str], np.ndarray]:
-        """(language, score) of each text."""
+    def text_scores(self, text: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(language, score, whether half of the words or more are as likely as that language's usually are) of each text.
+
+        The score compares the learnt languages only; how likely words are does not, so it tells texts that are in none
+        of them.  A word is unusual if its log probability a letter is FAR deviations below the language's mean; texts
+        of fewer than JUDGED words, of which a key or a name is a large part, are usual.
+        """
         start, code, distinct = coded(pc.split_pattern(pc.replace_substring(text, "\n", " "), " "))
         rows = self._known(distinct)[code]
         total = np.add.reduceat(self.rows[rows], start[:-1], axis=0) if len(rows) else np.zeros((len(text), len(self.languages) + 1))
+        fits = np.add.reduceat(self.fits[rows], start[:-1], axis=0) if len(rows) else np.zeros((len(text), len(self.languages)))
         logs, n = total[:, :-1], total[:, -1]
         best = logs.argmax(1)
         score = 1 / np.exp(logs - logs.max(1, keepdims=True)).sum(1)
-        return [self.languages[b] if k else "und" for b, k in zip(best, n)], np.where(n > 0, score, 0.0)
+        usual = (n > 0) & ((n < JUDGED) | (fits[np.arange(len(best)), best] >= n / 2))
+        return [self.languages[b] if k else "und" for b, k in zip(best, n)], np.where(n > 0, score, 0.0), usual
 
 
 def _run_counts(batches):
@@ -263,7 +282,7 @@ def fitted(docs: DataFrame, learn: DataFrame, path: str, bound: int = SAMPLE_DOC
 
 def _predicting(spark: SparkSession, model: LanguageModel):
     """A function that runs on executors: languages and scores of the rows of a batch, slice by slice."""
-    shared, name = spark.sparkContext.broadcast((model.languages, model.vocab, model.p)), uuid.uuid4().hex  # as large as the vocabulary times the languages
+    shared, name = spark.sparkContext.broadcast((model.languages, model.vocab, model.p, model.usual)), uuid.uuid4().hex  # as large as the vocabulary times the languages
 
     def predictions(batch):
         own = held(("languages", name), lambda: LanguageModel(*shared.value))
@@ -281,22 +300,22 @@ def predicted(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 
     def rows(batches):
         for batch in batches:
-            for part, langs, scores in predictions(batch):
+            for part, langs, scores, _ in predictions(batch):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(langs, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"])
 
     return arrow_map(docs.select("doc_id", "text"), rows, "doc_id long, lang_pred string, score double")
 
 
 def selected(docs: DataFrame, model: LanguageModel | None, least: float) -> DataFrame:
-    """The documents, with all their columns, that have a language with a score of `least` or more."""
+    """The documents, with all their columns, that are in a learnt language: words as likely as there, and a score of `least` or more."""
     if model is None:
         return docs
     predictions = _predicting(docs.sparkSession, model)
 
     def rows(batches):
         for batch in batches:
-            for part, langs, scores in predictions(batch):
-                yield part.filter(pa.array([x != "und" and s >= least for x, s in zip(langs, scores)], pa.bool_()))
+            for part, langs, scores, usual in predictions(batch):
+                yield part.filter(pa.array([x != "und" and s >= least and bool(u) for x, s, u in zip(langs, scores, usual)], pa.bool_()))
 
     return arrow_map(docs, rows, docs.schema)
 
