@@ -305,16 +305,65 @@ def boosted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(model, rows, ["c_acctbal", "c_nationkey"], ["c_mktsegment"], "c_custkey", "y")
 
 
-@query()
+def _synthetic(spark: SparkSession):
+    from sluice.sources.synthetic import Plan, Synthetic
+
+    return Synthetic(spark, Plan(accounts=40, logins=400, transactions=2500, days=3))
+
+
+_REPORT = [f"{t}_unique" for t in ("accounts", "devices", "wallets", "transactions", "labels", "logins")]
+_REPORT += [f"transactions_{c}_found" for c in ("account_id", "device_id", "source_wallet_id", "destination_wallet_id")]
+_REPORT += [f"transaction_{n}" for n in ("event_timestamp_after_source_timestamp", "source_timestamp_after_ingestion_timestamp", "crypto_quantity_not_positive", "market_price_usd_not_positive", "transaction_amount_usd_negative", "source_and_destination_wallet_identical", "deposit_missing_destination_wallet_id", "outgoing_transaction_missing_source_wallet_id", "outgoing_transaction_missing_destination_wallet_id", "transaction_amount_mismatch_quantity_times_price")]
+_REPORT += ["labels_after_transactions", "no_label_columns", "fraud_share"]
+
+
+@query(f"SELECT unnest({_REPORT}) AS check_name, 0::BIGINT AS failures, 'PASS' AS status")
 def synthetic_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The quality report of a synthetic set; needs no tables."""
-    from sluice.sources.synthetic import Plan, Synthetic, quality_report
+    """The quality report of a synthetic set, which passes; needs no tables."""
+    from sluice.sources.synthetic import quality_report
 
-    s = Synthetic(spark, Plan(accounts=40, logins=400, transactions=2500, days=3))
+    s = _synthetic(spark)
     t = s.transactions()
     return quality_report({"accounts": s.accounts(), "devices": s.devices(), "wallets": s.wallets(), "transactions": t, "labels": s.labels(t), "logins": s.logins(t)})
 
 
+@query("SELECT * FROM (VALUES ('transactions', 2500), ('labelled', 20), ('scenarios', 6), ('audit rows without a label but of velocity cases', 0), ('labels of frauds', 20), ('bundles of takeovers without a failed login', 0)) t(name, n)")
+def synthetic_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a synthetic set must hold: frauds by plan, every scenario, audit rows, labels, and logins before takeovers."""
+    from sluice.sources.synthetic import bundles
+
+    s = _synthetic(spark)
+    t = s.transactions()
+    labels, audit = s.labels(t), s.audit(t)
+    taken = bundles(t, s.logins(t), labels).filter("scenario = 'account_takeover'")
+    counts = {
+        "transactions": t,
+        "labelled": t.filter("label_expected"),
+        "scenarios": t.select("scenario").filter("scenario IS NOT NULL").distinct(),
+        "audit rows without a label but of velocity cases": audit.filter("NOT label_expected AND scenario_id <> 'high_transaction_velocity'"),
+        "labels of frauds": labels.filter("is_fraud AND fraud_type IS NOT NULL AND label_timestamp IS NOT NULL"),
+        "bundles of takeovers without a failed login": taken.filter("NOT coalesce(exists(logins, l -> NOT l.login_success), false)"),
+    }
+    rows = [df.agg(F.lit(name).alias("name"), F.count("*").alias("n")) for name, df in counts.items()]
+    return Me.union_all(rows)
+
+
+@query("SELECT m AS model, (SELECT count(*) FROM customer WHERE c_custkey % 10 >= 7) AS scored, true AS in_unit_interval, true AS better_than_chance FROM (SELECT unnest(['logistic', 'boosted']) AS m)")
+def model_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both models, fitted on some accounts and scored on others: rows, range of scores, and whether ROC-AUC is above 0.9."""
+    from sluice.operators.models import fit_boosted, fit_logistic, scored
+
+    numeric, categorical = ["c_acctbal", "c_nationkey"], ["c_mktsegment"]
+    rows = read_table(spark, sf_dir, "customer").withColumn("y", (F.col("c_acctbal") > 5000).cast("int"))
+    train, test = rows.filter("c_custkey % 10 < 7"), rows.filter("c_custkey % 10 >= 7")
+    out = []
+    for name, model in (("logistic", fit_logistic(train, numeric, categorical, "y")), ("boosted", fit_boosted(train, numeric, categorical, "y", trees=10))):
+        s = scored(model, test, numeric, categorical, "c_custkey", "y")
+        sums = s.agg(F.count("*").alias("scored"), (F.min("score") >= 0).alias("_a"), (F.max("score") <= 1).alias("_b"))
+        out.append(sums.crossJoin(Me.roc_auc(s, "y", "score")).select(F.lit(name).alias("model"), "scored", (F.col("_a") & F.col("_b")).alias("in_unit_interval"), (F.col("roc_auc") > 0.9).alias("better_than_chance")))  # one row each
+    return Me.union_all(out)
+
+
 @query("SELECT doc_id, score, predicted FROM (SELECT *, row_number() OVER (PARTITION BY doc_id % 100 ORDER BY decided_at DESC, doc_id DESC) AS n FROM (SELECT doc_id, (n_chars % 100) / 100.0::DOUBLE AS score, (n_chars % 100) / 100.0::DOUBLE >= 0.8 AS predicted, TIMESTAMP '2024-01-01' + INTERVAL (doc_id % 720) HOUR AS decided_at FROM documents WHERE doc_id % 7 <> 0)) WHERE n = 1")
 def latest_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest decision of each transaction (documents by their last two digits)."""

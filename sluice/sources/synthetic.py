@@ -6,6 +6,7 @@ is drawn on the driver.  Row counts are parameters.
 
 from __future__ import annotations
 
+import random
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,14 +14,29 @@ from pyspark.sql import functions as F
 
 from sluice.functions.typing import deterministic_id
 
-#: Scenario: share of frauds, what it does to the amount (least and most factor), label delay in hours (least, most).
+@dataclass(frozen=True)
+class Scenario:
+    """A kind of fraud: its weight among frauds, its payments and what is known of it."""
+
+    weight: float
+    fraud_type: str
+    reasons: tuple[str, ...]
+    factor: tuple[float, float]  # of the account's normal amount
+    delay_hours: tuple[int, int]  # until its label
+    gap_seconds: tuple[int, int] = (0, 0)  # between the payments of a case
+    payments: tuple[int, int] = (1, 1)  # of a case
+    only_last: bool = False  # whether the payments before the last are not labelled
+    version: str = "1.0"
+
+
+#: Scenarios by id.
 SCENARIOS = {
-    "ACCOUNT_TAKEOVER": (0.25, 4.0, 12.0, 12, 72),
-    "HIGH_VELOCITY": (0.20, 0.5, 1.5, 6, 48),
-    "UNUSUAL_AMOUNT": (0.20, 5.0, 15.0, 12, 96),
-    "STRUCTURING": (0.15, 0.3, 0.9, 24, 168),
-    "MULE_ACTIVITY": (0.10, 0.8, 2.0, 24, 168),
-    "SHARED_DEVICE": (0.10, 0.8, 2.5, 12, 96),
+    "account_takeover": Scenario(0.18, "ACCOUNT_TAKEOVER", ("NEW_DEVICE", "NEW_COUNTRY", "FAILED_LOGIN_ACTIVITY", "UNUSUAL_AMOUNT", "NEW_DESTINATION_WALLET"), (4.0, 12.0), (12, 72)),
+    "high_transaction_velocity": Scenario(0.15, "HIGH_TRANSACTION_VELOCITY", ("HIGH_TRANSACTION_VELOCITY",), (0.7, 1.4), (6, 48), (20, 55), (4, 6), True),
+    "unusual_transaction_amount": Scenario(0.17, "UNUSUAL_TRANSACTION_AMOUNT", ("UNUSUAL_AMOUNT", "NEW_DESTINATION_WALLET"), (5.0, 15.0), (12, 96)),
+    "structuring": Scenario(0.20, "STRUCTURING", ("HIGH_TRANSACTION_VELOCITY", "UNUSUAL_AMOUNT"), (0.7, 1.4), (24, 168), (60, 480), (4, 4)),
+    "mule_account_activity": Scenario(0.15, "MULE_ACCOUNT_ACTIVITY", ("NEW_DESTINATION_WALLET",), (1.2, 3.5), (24, 168), (420, 1800)),
+    "shared_suspicious_device": Scenario(0.15, "SHARED_SUSPICIOUS_DEVICE", ("SUSPICIOUS_SHARED_DEVICE", "NEW_DEVICE", "FAILED_LOGIN_ACTIVITY"), (2.0, 6.0), (12, 96)),
 }
 COUNTRIES, ASSETS = ("US", "GB", "DE", "FR", "CA"), ("BTC", "ETH")
 
@@ -99,72 +115,121 @@ class Synthetic:
         return rows.select(F.concat("asset", F.lit("-USD")).alias("product_id"), "asset", F.timestamp_seconds(start).alias("candle_start_timestamp"), F.timestamp_seconds(start + 60).alias("candle_end_timestamp"), F.lit(60).alias("granularity_seconds"), F.col("open").alias("open_price_usd"), F.round(F.greatest("open", "close") * 1.0005, 8).alias("high_price_usd"), F.round(F.least("open", "close") * 0.9995, 8).alias("low_price_usd"), F.col("close").alias("close_price_usd"), F.round(1 + 9 * self.u("volume"), 8).alias("volume"))
 
     def fraud_counts(self) -> dict[str, int]:
-        """Frauds of each scenario: at least one each, the rest by share, what rounding leaves to the largest shares."""
+        """Labelled frauds of each scenario: by weight, at least one each, what is over or missing dealt at random by the seed."""
         total = max(len(SCENARIOS), round(self.plan.transactions * self.plan.fraud_share))
-        out = {k: 1 + int((total - len(SCENARIOS)) * v[0]) for k, v in SCENARIOS.items()}
-        for k in sorted(SCENARIOS, key=lambda k: -SCENARIOS[k][0])[: total - sum(out.values())]:
-            out[k] += 1
+        whole = sum(x.weight for x in SCENARIOS.values())
+        out = {k: max(1, int(total * x.weight / whole)) for k, x in SCENARIOS.items()}
+        dealt = random.Random(self.plan.seed)
+        while sum(out.values()) != total:
+            short = sum(out.values()) < total
+            out[dealt.choice([k for k, n in out.items() if short or n > 1])] += 1 if short else -1
         return out
 
-    def scenario(self, n: Column) -> Column:
-        """The scenario of the n-th transaction; null for normal ones."""
-        out, end = F.lit(None).cast("string"), 0
-        for k, m in self.fraud_counts().items():
-            out = F.when((n >= end) & (n < end + m), k).otherwise(out)
-            end += m
+    def payments(self) -> DataFrame:
+        """A row a payment of a scenario: scenario, execution (case), step, id, account number a, time t, factor, label_expected.
+
+        Velocity cases have payments before the labelled one, structuring ones are sequences of one account, and all
+        mule payments are one case of many accounts.
+        """
+        p, parts = self.plan, []
+        for name, m in self.fraud_counts().items():
+            x = SCENARIOS[name]
+            mule, per = name == "mule_account_activity", 1 if x.only_last else x.payments[1]
+            cases = self.spark.range(1 if mule else -(-m // per)).select(F.col("id").alias("_case"), F.lit(name).alias("scenario"))
+            key = lambda what, *more, n=name: self.u(f"{n} {what}", F.col("_case"), *more)
+            between = lambda u, low, high: low + F.floor(u * (high - low + 1))
+            if mule:
+                steps = F.lit(m)
+            elif x.only_last:
+                steps = between(key("steps"), *x.payments)
+            else:
+                steps = F.least(F.lit(per), m - F.col("_case") * per)  # the last case has what is left
+            rows = cases.withColumn("_steps", steps.cast("int")).withColumn("step", F.explode(F.sequence(F.lit(0), F.col("_steps") - 1)))
+            gap = between(key("gap"), *x.gap_seconds)
+            start = F.lit(p.start).cast("timestamp").cast("long") + 3600 + F.floor(key("time") * (p.days * 86400 - 14400))
+            account = F.pmod(F.floor(key("account") * p.accounts) + (F.col("step") if mule else 0), F.lit(p.accounts))
+            factor = x.factor[0] + (x.factor[1] - x.factor[0]) * key("factor", F.col("step"))
+            last = F.col("step") == F.col("_steps") - 1
+            own = F.xxhash64(F.lit(p.seed), F.lit(name), F.col("_case"), F.col("step"))
+            parts.append(rows.select("scenario", deterministic_id(F.lit("execution"), F.lit(p.seed), F.lit(name), F.col("_case")).alias("execution"), "step", own.alias("id"), account.cast("long").alias("a"), (start + F.col("step") * gap).cast("long").alias("t"), factor.alias("factor"), (last if x.only_last else F.lit(True)).alias("label_expected")))
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
         return out
 
     def transactions(self) -> DataFrame:
         """Amount = quantity x price to 8 digits; types 34 / 46 / 20 percent deposits, withdrawals, transfers; the price is that of the last completed candle."""
         p = self.plan
-        shift = sum(self.fraud_counts().values())
+        frauds = self.payments()
         n = F.col("id")
-        rows = self.spark.range(p.transactions).withColumn("scenario", self.scenario(n))
-        account = F.when(F.col("scenario") == "MULE_ACTIVITY", n % p.accounts).otherwise(F.floor(self.u("account") * p.accounts).cast("long"))
-        rows = rows.withColumn("a", account).withColumn("t", F.when(F.col("scenario") == "HIGH_VELOCITY", F.lit(p.start).cast("timestamp").cast("long") + 86400 + 40 * n).otherwise(self.when("time")))
+        plain = self.spark.range(max(0, p.transactions - frauds.count()))
+        usual = F.exp(0.35 * self.normal("factor"))
+        plain = plain.select("id", F.floor(self.u("account") * p.accounts).cast("long").alias("a"), self.when("time").alias("t"), usual.alias("factor"))
+        rows = frauds.unionByName(plain, allowMissingColumns=True)
         normal = self.accounts().select(F.col("n").alias("a"), F.col("normal_transaction_amount_usd").alias("usual"), "home_country")
         rows = rows.join(normal, "a")
-        low, high = F.lit(1.0), F.lit(1.0)
-        for k, v in SCENARIOS.items():
-            low, high = F.when(F.col("scenario") == k, v[1]).otherwise(low), F.when(F.col("scenario") == k, v[2]).otherwise(high)
-        factor = F.when(F.col("scenario").isNull(), F.exp(0.35 * self.normal("factor"))).otherwise(low + (high - low) * self.u("strength"))
-        kind = F.when(F.col("scenario").isNotNull(), "WITHDRAWAL").when(self.u("kind") < 0.34, "DEPOSIT").when(self.u("kind") < 0.80, "WITHDRAWAL").otherwise("TRANSFER")
-        rows = rows.withColumn("asset", self.pick("asset", ASSETS)).withColumn("wanted", F.greatest(F.col("usual") * factor, F.lit(0.01))).withColumn("kind", kind)
+        kind = F.when(F.col("scenario") == "unusual_transaction_amount", F.when(self.u("kind") < 0.75, "WITHDRAWAL").otherwise("TRANSFER")).when(F.col("scenario").isNotNull(), "WITHDRAWAL").when(self.u("kind") < 0.34, "DEPOSIT").when(self.u("kind") < 0.80, "WITHDRAWAL").otherwise("TRANSFER")
+        same = F.coalesce(F.col("execution"), n.cast("string"))  # a case keeps its asset and wallet
+        asset = F.element_at(F.array(*map(F.lit, ASSETS)), (F.floor(self.u("asset", same) * len(ASSETS)) + 1).cast("int"))
+        rows = rows.withColumn("asset", asset).withColumn("wanted", F.greatest(F.col("usual") * F.col("factor"), F.lit(0.01))).withColumn("kind", kind)
         price = self.candles().select(F.col("asset").alias("_asset"), F.unix_seconds("candle_end_timestamp").alias("_end"), F.col("close_price_usd").alias("price"))
         first = F.lit(p.start).cast("timestamp").cast("long") + 60
         rows = rows.withColumn("_at", F.greatest(F.floor(F.col("t") / 60) * 60, first)).join(price, (F.col("asset") == F.col("_asset")) & (F.col("_at") == F.col("_end")))
         quantity = F.round(F.col("wanted") / F.col("price"), 8)
         customer = self.key("wallet", F.col("a"))
-        shared_wallet = F.col("scenario").isin("MULE_ACTIVITY", "STRUCTURING")
-        external = self.key("wallet", F.when(shared_wallet, F.lit(p.accounts)).otherwise(p.accounts + F.floor(self.u("external") * 140)).cast("long"))
-        device = self.key("device", F.when(F.col("scenario") == "SHARED_DEVICE", F.lit(p.accounts)).otherwise(F.col("a")).cast("long"))
-        foreign = F.col("scenario") == "ACCOUNT_TAKEOVER"
-        country = F.when(foreign, F.when(F.col("home_country") == "US", "GB").otherwise("US")).otherwise(F.col("home_country"))
+        mule = F.coalesce(F.col("scenario") == "mule_account_activity", F.lit(False))
+        external = self.key("wallet", F.when(mule, F.lit(p.accounts)).otherwise(p.accounts + F.floor(self.u("external", same) * 140)).cast("long"))
+        shared = F.coalesce(F.col("scenario").isin("shared_suspicious_device", "account_takeover"), F.lit(False))
+        device = self.key("device", F.when(shared, F.lit(p.accounts)).otherwise(F.col("a")).cast("long"))
+        abroad = F.when(F.col("home_country") == "US", "GB").otherwise("US")
+        country = F.when(shared, abroad).otherwise(F.col("home_country"))
         deposit = F.col("kind") == "DEPOSIT"
         status = F.when(F.col("scenario").isNotNull() | (self.u("status") < 0.9), "COMPLETED").when(self.u("status") < 0.95, "PENDING").otherwise("FAILED")
-        assert shift <= p.transactions
-        return rows.select(self.key("transaction", n).alias("transaction_id"), *self.stamped(F.col("t")), self.key("account", F.col("a")).alias("account_id"), device.alias("device_id"), F.when(~deposit, customer).alias("source_wallet_id"), F.when(deposit, customer).otherwise(external).alias("destination_wallet_id"), "asset", quantity.alias("crypto_quantity"), F.col("price").alias("market_price_usd"), F.round(quantity * F.col("price"), 8).alias("transaction_amount_usd"), F.col("kind").alias("transaction_type"), country.alias("country"), status.alias("transaction_status"), "scenario")
+        return rows.select(self.key("transaction", n).alias("transaction_id"), *self.stamped(F.col("t")), self.key("account", F.col("a")).alias("account_id"), device.alias("device_id"), F.when(~deposit, customer).alias("source_wallet_id"), F.when(deposit, customer).otherwise(external).alias("destination_wallet_id"), "asset", quantity.alias("crypto_quantity"), F.col("price").alias("market_price_usd"), F.round(quantity * F.col("price"), 8).alias("transaction_amount_usd"), F.col("kind").alias("transaction_type"), country.alias("country"), status.alias("transaction_status"), "scenario", "execution", "label_expected")
+
+    def audit(self, transactions: DataFrame) -> DataFrame:
+        """A row a payment of a scenario: case, scenario and version, type, reasons, and whether it is to be labelled."""
+        of = lambda field, kind: F.create_map(*(F.lit(v) for k, x in SCENARIOS.items() for v in (k, getattr(x, field))))[F.col("scenario")].cast(kind)
+        reasons = F.create_map(*(v for k, x in SCENARIOS.items() for v in (F.lit(k), F.array(*map(F.lit, x.reasons)))))[F.col("scenario")]
+        return transactions.filter("scenario IS NOT NULL").select(F.col("execution").alias("scenario_execution_id"), F.col("scenario").alias("scenario_id"), of("version", "string").alias("scenario_version"), of("fraud_type", "string").alias("fraud_type"), reasons.alias("reason_codes"), "transaction_id", "account_id", "event_timestamp", "label_expected")
+
+    def fraud_rows(self, transactions: DataFrame) -> DataFrame:
+        """A row a labelled fraud, with the hours until its label."""
+        low, high = (F.create_map(*(F.lit(v) for k, x in SCENARIOS.items() for v in (k, x.delay_hours[i])))[F.col("scenario_id")] for i in (0, 1))
+        hours = low + (high - low) * self.u("delay", F.col("transaction_id"))
+        return self.audit(transactions).filter("label_expected").select("transaction_id", F.col("event_timestamp").alias("transaction_timestamp"), "scenario_id", "fraud_type", "reason_codes", hours.alias("label_delay_hours"))
 
     def logins(self, transactions: DataFrame | None = None) -> DataFrame:
-        """Normal logins, one in twenty failed; takeovers have two to five failed ones and then a success before them."""
+        """Normal logins, one in twenty failed; takeovers and shared devices have theirs before them."""
         rows = self.spark.range(self.plan.logins).withColumn("a", F.floor(self.u("login account") * self.plan.accounts).cast("long")).withColumn("t", self.when("login time"))
         normal = rows.select(self.key("login", F.col("id")).alias("event_id"), *self.stamped(F.col("t")), self.key("account", F.col("a")).alias("account_id"), self.key("device", F.col("a")).alias("device_id"), (self.u("login") >= 0.05).alias("login_success"))
         if transactions is None:
             return normal
-        taken = transactions.filter("scenario = 'ACCOUNT_TAKEOVER'").withColumn("_i", F.explode(F.sequence(F.lit(0), (2 + F.pmod(F.xxhash64("transaction_id"), F.lit(4))).cast("int"))))
-        t = F.unix_seconds("event_timestamp") - 60 - 30 * F.col("_i")
-        return normal.unionByName(taken.select(deterministic_id(F.lit("takeover"), F.col("transaction_id"), F.col("_i")).alias("event_id"), *self.stamped(t), "account_id", "device_id", (F.col("_i") == 0).alias("login_success")))
+        minute = lambda n: F.unix_seconds("event_timestamp") - 60 * n
+        own = transactions.select("transaction_id", "account_id", "device_id", "event_timestamp", "scenario")
+        id_ = lambda: deterministic_id(F.lit("scenario login"), F.col("transaction_id"), F.col("_i")).alias("event_id")
+        # a takeover: two to five failed logins, a minute apart, then a good one
+        tries = (2 + F.pmod(F.xxhash64("transaction_id"), F.lit(4))).cast("int")
+        taken = own.filter("scenario = 'account_takeover'").withColumn("_n", tries).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n"))))
+        good = F.col("_i") == F.col("_n")
+        taken = taken.select(id_(), *self.stamped(F.when(good, minute(1)).otherwise(minute(F.col("_n") + 4) + 60 * F.col("_i"))), "account_id", "device_id", good.alias("login_success"))
+        # a shared device: three accounts on it, of which the payer's login is good
+        others = self.accounts().select("account_id", "n")
+        number = own.filter("scenario = 'shared_suspicious_device'").join(others, "account_id").withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(2))))
+        who = F.pmod(F.col("n") + F.col("_i"), F.lit(self.plan.accounts))
+        shared = number.select(id_(), *self.stamped(minute(10) + 120 * F.col("_i")), self.key("account", who).alias("account_id"), "device_id", (F.col("_i") == 0).alias("login_success"))
+        return normal.unionByName(taken).unionByName(shared)
 
     def labels(self, transactions: DataFrame) -> DataFrame:
         """A delayed label for every fraud and every other completed transaction: by scenario, or 24 to 168 hours."""
         low, high = F.lit(24), F.lit(168)
-        for k, v in SCENARIOS.items():
-            low, high = F.when(F.col("scenario") == k, v[3]).otherwise(low), F.when(F.col("scenario") == k, v[4]).otherwise(high)
+        for k, x in SCENARIOS.items():
+            low, high = F.when(F.col("scenario") == k, x.delay_hours[0]).otherwise(low), F.when(F.col("scenario") == k, x.delay_hours[1]).otherwise(high)
         delay = F.floor((low + (high - low) * self.u("delay", F.col("transaction_id"))) * 3600)
-        fraud = F.col("scenario").isNotNull()
+        fraud = F.coalesce("label_expected", F.lit(False))
         rows = transactions.filter((F.col("transaction_status") == "COMPLETED") | fraud).withColumn("_t", F.unix_seconds("event_timestamp") + delay.cast("long"))
-        stamped = [c for c in self.stamped(F.col("_t"))]
-        return rows.select(deterministic_id(F.lit("label"), F.col("transaction_id")).alias("event_id"), "transaction_id", *stamped, F.timestamp_seconds("_t").alias("label_timestamp"), fraud.alias("is_fraud"), F.col("scenario").alias("fraud_type"), F.when(fraud, "CONFIRMED_FRAUD").otherwise("CLEARED").alias("investigation_status"))
+        kind = F.create_map(*(F.lit(v) for k, x in SCENARIOS.items() for v in (k, x.fraud_type)))[F.col("scenario")]
+        return rows.select(deterministic_id(F.lit("label"), F.col("transaction_id")).alias("event_id"), "transaction_id", *self.stamped(F.col("_t")), F.timestamp_seconds("_t").alias("label_timestamp"), fraud.alias("is_fraud"), F.when(fraud, kind).alias("fraud_type"), F.when(fraud, "CONFIRMED_FRAUD").otherwise("CLEARED").alias("investigation_status"))
 
 
 def due_labels(pending: DataFrame, now: Column) -> DataFrame:
@@ -184,7 +249,7 @@ def quality_report(data: dict[str, DataFrame], low: float = 0.005, high: float =
     from sluice.functions.predicates import leaking_columns
     from sluice.operators import quality as Q
 
-    t, labels = data["transactions"].drop("scenario"), data["labels"]
+    t, labels = data["transactions"].drop("scenario", "execution", "label_expected"), data["labels"]
     n = lambda df: df.agg(F.count("*").alias("n"))
     share = labels.agg(F.avg(F.col("is_fraud").cast("int")).alias("s")).select(F.when(F.col("s").between(low, high), 0).otherwise(1).alias("n"))
     keys = {"accounts": "account_id", "devices": "device_id", "wallets": "wallet_id", "transactions": "transaction_id", "labels": "event_id", "logins": "event_id"}
