@@ -68,7 +68,7 @@ class Lattices:
         get = vocab.get
         self.spans = [(i, j) for j in range(1, n + 1) for i in range(max(0, j - LONGEST), j)]
         flat = (get(w[i:j], -1) if j - i > 1 else get(w[i], 0) for w in words for i, j in self.spans)
-        self.pieces = np.fromiter(flat, np.int32, len(words) * len(self.spans)).reshape(len(words), len(self.spans))
+        self.pieces = np.fromiter(flat, np.int16 if len(vocab) < 1 << 15 else np.int32, len(words) * len(self.spans)).reshape(len(words), len(self.spans))
         self.used = np.flatnonzero((self.pieces >= 0).any(0))
 
     def forward(self, p: np.ndarray) -> np.ndarray:
@@ -139,21 +139,18 @@ class LanguageModel:
         self.rows, self.fits = np.zeros((0, len(languages) + 1)), np.zeros((0, len(languages)), np.int32)
 
     @classmethod
-    def fitted(cls, counts: dict[str, dict[str, int]], vocab: dict[str, int]) -> LanguageModel:
-        """counts: of runs of letters by language."""
-        languages, size = sorted(counts), len(vocab) + 2
-        every = sorted({w for c in counts.values() for w in c})
-        words, long_ = [w for w in every if len(w) < LONG], [(w, LongWord(MARK + w, vocab)) for w in every if len(w) >= LONG]
-        groups = [(at, Lattices([MARK + w for w in ws], vocab)) for at, ws in _by_length(words)]
-        weight = {x: np.array([counts[x].get(w, 0) for w in words], float) for x in languages}
-        p = np.zeros((len(languages), size))
-        flat = np.zeros(size)
+    def fitted(cls, languages: list[str], words: list[str], counts: np.ndarray, vocab: dict[str, int]) -> LanguageModel:
+        """languages and words: in order; counts: of each language's runs of letters, a column a word."""
+        size = len(vocab) + 2
+        short = [i for i, w in enumerate(words) if len(w) < LONG]
+        long_ = [(i, LongWord(MARK + w, vocab)) for i, w in enumerate(words) if len(w) >= LONG]
+        groups = [(np.array([short[i] for i in at]), Lattices([MARK + w for w in ws], vocab)) for at, ws in _by_length([words[i] for i in short])]
+        p, flat, total = np.zeros((len(languages), size)), np.zeros(size), counts.sum(0)
         for at, lattice in groups:  # at first: how often a piece could be used
-            n = sum(w[at] for w in weight.values())
             for k in lattice.used:
-                np.add.at(flat, lattice.pieces[:, k], n)
-        for w, lattice in long_:
-            np.add.at(flat, lattice.pieces[lattice.pieces >= 0], sum(c.get(w, 0) for c in counts.values()))
+                np.add.at(flat, lattice.pieces[:, k], total[at])
+        for i, lattice in long_:
+            np.add.at(flat, lattice.pieces[lattice.pieces >= 0], total[i])
         flat[0] = flat[-1] = 0
         p[:] = (flat + 0.1) / (flat + 0.1).sum()
         for _ in range(ROUNDS):
@@ -161,25 +158,27 @@ class LanguageModel:
             used = np.zeros_like(p)
             for x, own in enumerate(used):
                 for at, lattice in groups:
-                    w = weight[languages[x]][at]
+                    w = counts[x, at]
                     some = np.flatnonzero(w)
                     if len(some):
                         part = Lattices.__new__(Lattices)
                         part.n, part.spans, part.pieces = lattice.n, lattice.spans, lattice.pieces[some]
                         part.used = np.flatnonzero((part.pieces >= 0).any(0))
                         part.expected(p[x], w[some], own)
-                for w, lattice in long_:
-                    if n := counts[languages[x]].get(w):
-                        lattice.expected(p[x], n, own)
+                for i, lattice in long_:
+                    if counts[x, i]:
+                        lattice.expected(p[x], counts[x, i], own)
             used[:, 0] = used[:, -1] = 0
             shared = used.sum(0) / max(1.0, used.sum())
             p = (used + 5 * shared + 1e-3) / (used + 5 * shared + 1e-3).sum(1, keepdims=True)
         p[:, 0], p[:, -1] = UNKNOWN, 0
+        del groups, long_
         model = cls(languages, vocab, p)
-        for x, lang in enumerate(languages):
-            own = sorted(counts[lang])
-            letters = np.array([counts[lang][w] * len(w) for w in own], float)
-            each = model.word_scores(own, x)[:, 0] / [len(w) for w in own]
+        for x in range(len(languages)):
+            some = np.flatnonzero(counts[x])
+            own = [words[i] for i in some]
+            size_ = np.array([len(w) for w in own], float)
+            letters, each = counts[x, some] * size_, model.word_scores(own, x)[:, 0] / size_
             mean = (letters * each).sum() / letters.sum()
             model.usual[x] = mean, np.sqrt((letters * (each - mean) ** 2).sum() / letters.sum())
         return model
@@ -271,11 +270,17 @@ def fitted(docs: DataFrame, learn: DataFrame, path: str, bound: int = SAMPLE_DOC
     """The model of labelled documents; None without any.  learn: doc_id, lang of those that may be learnt from."""
     sample = sampled(learn, "lang", bound)
     own = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    counts: dict[str, dict[str, int]] = defaultdict(dict)
-    for lang, run, n in arrow_map(own.select("lang", "text"), _run_counts, "lang string, run string, n long").groupBy("lang", "run").agg(F.sum("n").alias("n")).toLocalIterator():
-        counts[lang][run] = n
-    model = LanguageModel.fitted(counts, vocabulary(path)) if counts else None
-    del counts
+    found = arrow_map(own.select("lang", "text"), _run_counts, "lang string, run string, n long").groupBy("lang", "run").agg(F.sum("n").alias("n")).toArrow()
+    if not found.num_rows:
+        return None
+    lang, run = (found.column(c).combine_chunks().dictionary_encode() for c in ("lang", "run"))
+    languages, words = lang.dictionary.to_pylist(), run.dictionary.to_pylist()
+    by_name, by_word = (np.argsort(np.argsort(np.array(x, object))) for x in (languages, words))  # places in order, whatever order rows came in
+    counts = np.zeros((len(languages), len(words)), np.float32)
+    counts[by_name[lang.indices.to_numpy()], by_word[run.indices.to_numpy()]] = found.column("n").to_numpy()
+    del found, lang, run
+    model = LanguageModel.fitted(sorted(languages), sorted(words), counts, vocabulary(path))
+    del counts, words
     settled(docs.sparkSession)
     return model
 
