@@ -137,7 +137,7 @@ def _thrifty() -> None:
     """Has a worker, once, give freed arrays back to the system where its C library can."""
     with contextlib.suppress(OSError, AttributeError):
         c = ctypes.CDLL(None)
-        for option, value in ((-3, 4 << 20), (-1, 16 << 20), (-8, 1)):  # least size of a mapping of its own, most free memory at the top, arenas
+        for option, value in ((-3, 32 << 20), (-1, 64 << 20), (-8, 1)):  # least size of a mapping of its own, most free memory at the top, arenas
             c.mallopt(option, value)
         pa.set_memory_pool(pa.system_memory_pool())
 

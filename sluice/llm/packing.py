@@ -37,7 +37,6 @@ from __future__ import annotations
 
 import json
 import math
-import unicodedata
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -46,6 +45,7 @@ from typing import NamedTuple
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -95,45 +95,41 @@ class WordTokenizer:
         return np.concatenate(lens), np.concatenate(flat)
 
     def _new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(numbers of ids, ids) of words: a sign behind letters is parted from them, so letters are encoded once with any sign."""
-        plain = lambda w: w.isalpha() and (w.isascii() or (unicodedata.is_normalized("NFC", w) and w.lower().isalpha()))
-        known, place, wanted = self.cache.number, {}, []
-        which, sign, others = np.full(len(words), -1), [""] * len(words), []
-        cached = []
-        for i, w in enumerate(words):
-            stem = w[:-1] if w[-1:] in self.signs else w
-            if not plain(stem):
-                others.append(i)
-                continue
-            if stem not in place:
-                place[stem] = len(place)
-                if stem in known:
-                    cached.append((place[stem], known[stem]))
-                else:
-                    wanted.append(stem)
-            which[i] = place[stem]
-            if len(stem) < len(w):
-                sign[i] = w[-1]
-        at, number = np.array(cached, np.int64).reshape(-1, 2).T
-        new_lens, new_flat = self._letters(wanted)
-        other_lens, other_flat = flattened(self._each([words[i] for i in others]))
-        sign_lens, sign_flat = flattened(list(self.signs.values()))
-        flat = np.concatenate([gathered(self.cache.start[number], self.cache.length[number], self.cache.flat), new_flat, other_flat, sign_flat])
-        lens = np.concatenate([self.cache.length[number], new_lens, other_lens, sign_lens, [0]])
+        """(numbers of ids, ids) of words: one sign behind letters is parted from them, so letters are encoded once with any sign."""
+        plain = lambda x: x.to_numpy(zero_copy_only=False)
+        whole = pa.array(words, pa.string())
+        stem = pc.ascii_rtrim(whole, SIGNS)
+        behind = plain(pc.subtract(pc.binary_length(whole), pc.binary_length(stem)))
+        letters = plain(pc.utf8_is_alpha(stem)) & (behind <= 1)
+        wide = np.flatnonzero(letters & ~plain(pc.string_is_ascii(stem)))
+        if len(wide):  # other letters must be as they are when normalised, and stay one letter in lower case
+            some = stem.take(pa.array(wide))
+            letters[wide] = plain(pc.equal(pc.utf8_normalize(some, "NFC"), some)) & ~plain(pc.match_substring(some, "\u0130"))
+        simple, others = np.flatnonzero(letters), np.flatnonzero(~letters)
+        coded_ = stem.take(pa.array(simple)).dictionary_encode()
+        stems, known = coded_.dictionary.to_pylist(), self.cache.number
+        number = np.fromiter((known.get(s, -1) for s in stems), np.int64, len(stems))
+        old, fresh = np.flatnonzero(number >= 0), np.flatnonzero(number < 0)
+        new_lens, new_flat = self._letters([stems[i] for i in fresh.tolist()])
+        other_lens, other_flat = flattened(self._each([words[i] for i in others.tolist()]))
+        sign_lens, sign_flat = flattened([self.signs[x] for x in SIGNS])
+        cached = number[old]
+        flat = np.concatenate([gathered(self.cache.start[cached], self.cache.length[cached], self.cache.flat), new_flat, other_flat, sign_flat])
+        lens = np.concatenate([self.cache.length[cached], new_lens, other_lens, sign_lens, [0]])
         start = np.cumsum(lens) - lens
-        run = np.empty(len(place), np.int64)  # where a stem is among the runs of flat
-        run[at] = np.arange(len(at))
-        run[[place[w] for w in wanted]] = len(at) + np.arange(len(wanted))
-        first = run[which] if len(run) else which.copy()
-        first[others] = len(at) + len(wanted) + np.arange(len(others))
-        where = {x: len(at) + len(wanted) + len(others) + k for k, x in enumerate(self.signs)} | {"": len(lens) - 1}
-        runs = np.column_stack([first, [where[x] for x in sign]]).ravel()
+        run = np.empty(len(stems), np.int64)  # where a stem is among the runs of flat
+        run[old], run[fresh] = np.arange(len(old)), len(old) + np.arange(len(fresh))
+        first, second = np.empty(len(words), np.int64), np.full(len(words), len(lens) - 1)
+        first[simple] = run[coded_.indices.to_numpy(zero_copy_only=False)]
+        first[others] = len(stems) + np.arange(len(others))
+        signed = simple[behind[simple] == 1]
+        which = plain(pc.index_in(pc.utf8_slice_codeunits(whole.take(pa.array(signed)), -1), pa.array(list(SIGNS))))
+        second[signed] = len(stems) + len(others) + which
+        runs = np.column_stack([first, second]).ravel()
         return lens[runs].reshape(-1, 2).sum(1), gathered(start[runs], lens[runs], flat)
 
     def encode_all(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(start of each text's ids and the end, ids)."""
-        import pyarrow.compute as pc
-
         # lower case and line ends are the tokenizer's own first steps, and make fewer distinct words; marks of special tokens are matched before them
         low = pc.if_else(pc.match_substring(text, "<|"), text, pc.ascii_lower(text)) if self.marks else text
         start, code, distinct = coded(pc.split_pattern(pc.replace_substring(low, "\n", " "), " "))

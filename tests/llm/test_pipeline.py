@@ -38,7 +38,7 @@ def ids(rows):
 
 def test_quality_keeps_what_it_predicts_to_be_good(spark, stages):
     before, after = stages["quality_classifier"]
-    docs = spark.createDataFrame(before, ", ".join(("doc_id long", "text string", "lang string", "source string", "n_chars long")))
+    docs = spark.createDataFrame(before, "doc_id long, text string, lang string, source string, n_chars long")
     labels = spark.read.parquet(f"{DATA}/labels.parquet").filter(remainder(F.col("doc_id"), 3) != 1).select("doc_id", F.col("quality").alias("label"))
     machine = quality.fitted(docs, labels)
     good = {r.doc_id for r in quality.scored(docs, machine).collect() if r.score >= 0.5}
@@ -47,7 +47,7 @@ def test_quality_keeps_what_it_predicts_to_be_good(spark, stages):
 
 def test_language_keeps_texts_with_a_language(spark, stages):
     before, after = stages["language_id"]
-    docs = spark.createDataFrame(before, ", ".join(("doc_id long", "text string", "lang string", "source string", "n_chars long")))
+    docs = spark.createDataFrame(before, "doc_id long, text string, lang string, source string, n_chars long")
     learn = docs.filter(remainder(F.col("doc_id"), 5) != 0).select("doc_id", "lang")
     model = langid.fitted(docs, learn, public_tokenizers.path("piece_bpe_32k.model"))
     kept = []
@@ -76,12 +76,16 @@ def test_near_dedup_keeps_the_first_of_each_group(stages):
 
 def test_secret_scan_replaces_findings_only(spark, stages):
     before, after = stages["secret_scan"]
-    docs = spark.createDataFrame(before, ", ".join(("doc_id long", "text string", "lang string", "source string", "n_chars long")))
+    assert ids(after) == ids(before)
+    key = lambda r: hashlib.sha256(str(r.doc_id % 5).encode()).hexdigest()[:40]
+    before = [r if r.doc_id % 3 else type(r)(**r.asDict() | {"text": f'{r.text} token = "{key(r)}" end', "n_chars": 0}) for r in before]
+    docs = spark.createDataFrame(before, "doc_id long, text string, lang string, source string, n_chars long")
+    after = corpus_pipeline.secret_scan(spark, docs, DATA).collect()
     found: dict = {}
     for r in secretscan.findings(docs).collect():
         found.setdefault(r.doc_id, []).append(r)
     new = {r.doc_id: r for r in after}
-    assert sorted(new) == ids(before) and found
+    assert sorted(new) == ids(before) and {r.doc_id for r in before if r.doc_id % 3 == 0} <= set(found)
     for r in before:
         text = r.text
         for f in sorted(found.get(r.doc_id, []), key=lambda f: -f.length):
