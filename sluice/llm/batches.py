@@ -90,7 +90,10 @@ class RunCache:
 
     def __init__(self, limit: int = 300_000):
         self.limit, self.number, self.tick = limit, {}, 0
-        self.used, self.start, self.length, self.last, self.flat = 0, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.used, self.start, self.length, self.last, self.flat = 0, np.zeros(
+            0,
+            np.int64,
+        ), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def _shrink(self) -> None:
         n = len(self.number)
@@ -106,7 +109,10 @@ class RunCache:
         total = int(lens.sum())
         if n + len(new) > len(self.start):
             grow = max(len(self.start) * 3 // 2, n + len(new))
-            self.start, self.length, self.last = (np.resize(x, grow) for x in (self.start, self.length, self.last)) if n else np.zeros((3, grow), np.int64)
+            self.start, self.length, self.last = (np.resize(x, grow) for x in (self.start, self.length, self.last)) if n else np.zeros(
+                (3, grow),
+                np.int64,
+            )
         if self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat[: self.used], np.zeros(max(self.used // 2, total), np.int32)])
         self.start[n : n + len(new)] = self.used + np.cumsum(lens) - lens

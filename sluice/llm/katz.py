@@ -61,7 +61,10 @@ def _pack(*arrays: np.ndarray) -> bytes:
     """Arrays as bytes: each by byte planes, compressed together."""
     head = np.array([len(arrays), *(len(a) for a in arrays)], "<i8").tobytes()
     kinds = "".join(a.dtype.str.ljust(4) for a in arrays).encode()
-    return zstandard.ZstdCompressor(level=1).compress(head + kinds + b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=1).compress(head + kinds + b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(
+        len(a),
+        a.itemsize,
+    ).T.tobytes() for a in arrays))
 
 
 def _unpack(body: bytes) -> list[np.ndarray]:
@@ -181,11 +184,21 @@ def _asking(parts: int, most_tokens: int, order: int):
             lens, held = np.concatenate(block.lens), np.concatenate(block.held)
             learnt = np.repeat(~held, lens + 1)
             ids = np.array([0 if x is None else x for x in block.ids], np.int64)
-            rows = [("text", number, 0, _pack(ids, np.array([x is None for x in block.ids], np.uint8), held.view(np.uint8), _small(lens), _small(tokens)))]
+            rows = [(
+                "text",
+                number,
+                0,
+                _pack(ids, np.array([x is None for x in block.ids], np.uint8), held.view(np.uint8), _small(lens), _small(tokens)),
+            )]
             for n, runs in enumerate(_runs(tokens, hashes, order), 1):
                 own = np.bincount(runs.of[learnt & (runs.of >= 0)], minlength=len(runs.keys))[runs.order]
                 cut = _cuts(runs.keys, parts)
-                rows += [(str(n), number, p, _pack(np.diff(runs.keys[a:b], prepend=np.uint64(0)), _small(own[a:b]))) for p, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
+                rows += [(
+                    str(n),
+                    number,
+                    p,
+                    _pack(np.diff(runs.keys[a:b], prepend=np.uint64(0)), _small(own[a:b])),
+                ) for p, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
             count, block = count + 1, _Block()
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _MESSAGE)], schema=_MESSAGE)
 
@@ -249,7 +262,10 @@ class Singles:
 
     def __init__(self, stats: list[int]):
         self.n, self.v, self.d = stats[0], stats[1], discounts(stats)
-        kept = sum(r * m * d for r, (m, d) in enumerate(zip(stats[2:], self.d[1:]), 1)) + self.n - sum(r * m for r, m in enumerate(stats[2 : 2 + K], 1))
+        kept = sum(r * m * d for r, (m, d) in enumerate(
+            zip(stats[2:], self.d[1:]),
+            1,
+        )) + self.n - sum(r * m for r, m in enumerate(stats[2 : 2 + K], 1))
         self.rest = 1 - kept / self.n if self.n else 1.0
         self.spare = self.rest < 1e-9  # no count was lowered: one more token stands for all others
         if self.spare:
@@ -318,7 +334,12 @@ def _first_round(stats: list[list[int]], parts: int):
         log, weights = evaluated(order - 1, np.arange(len(at)))
         total = lambda x: np.bincount(doc, x, len(lens))
         word = tokens[at]
-        out.append(("docs", block, 0, _pack(ids, null, held, _small(lens), total(counts[0][word] > 0), total(single.base(counts[0])[word]), total(log), *map(_small, weights))))
+        out.append((
+            "docs",
+            block,
+            0,
+            _pack(ids, null, held, _small(lens), total(counts[0][word] > 0), total(single.base(counts[0])[word]), total(log), *map(_small, weights)),
+        ))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _MESSAGE)], schema=_MESSAGE)
 
     return run
@@ -340,7 +361,15 @@ def _weights(key: tuple, rows: pa.Table) -> pa.Table:
 
 
 def _second_round(n: int, order: int):
-    kind = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+    kind = pa.schema([
+        ("doc_id", pa.int64()),
+        ("held_out", pa.bool_()),
+        ("n_tokens", pa.int64()),
+        ("n_known", pa.int64()),
+        ("train_tokens", pa.int64()),
+        ("base_score", pa.float64()),
+        ("score", pa.float64()),
+    ])
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         ids, null, held, lens, known, base, score, *weights = _ordered(rows, "docs")[0]
@@ -348,7 +377,18 @@ def _second_round(n: int, order: int):
             log = np.concatenate([x[0] for x in _ordered(rows, f"weights{k}")])
             score = score + np.bincount(doc, log[history], len(lens))
         held = held.astype(bool) & (null == 0)
-        return pa.Table.from_arrays([pa.array(ids, mask=null.astype(bool)), pa.array(held), pa.array(lens.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(np.full(len(lens), n)), pa.array(base), pa.array(score)], schema=kind)
+        return pa.Table.from_arrays(
+            [
+                pa.array(ids, mask=null.astype(bool)),
+                pa.array(held),
+                pa.array(lens.astype(np.int64)),
+                pa.array(known.astype(np.int64)),
+                pa.array(np.full(len(lens), n)),
+                pa.array(base),
+                pa.array(score),
+            ],
+            schema=kind,
+        )
 
     return run
 
@@ -360,14 +400,20 @@ def scored(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, parts: int | None
     """
     spark = docs.sparkSession
     parts = parts or max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    write = lambda rows, path: in_files(rows).write.option("compression", "none").partitionBy("kind").parquet(path)  # noqa: E731  bodies are compressed already
+    write = lambda rows, path: in_files(rows).write.option(  # noqa: E731  bodies are compressed already
+        "compression",
+        "none",
+    ).partitionBy("kind").parquet(path)
     asked, counts, shares = (new_path(spark, f"katz-{x}") for x in ("asked", "counts", "shares"))
     write(arrow_map(docs.select("doc_id", "text", "held"), _asking(parts, block_tokens, order), MESSAGE), asked)
     ask = lambda *kinds: spark.read.schema(MESSAGE).parquet(asked).filter(F.col("kind").isin(*kinds))
     orders = [str(n) for n in range(1, order + 1)]
     for turn in range(TURNS):
         counted = arrow_groups(ask(*orders).filter(F.col("part") % TURNS == turn).groupBy("kind", "part"), _counted, COUNTED)
-        in_files(counted).write.mode("append").option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0").partitionBy("kind").parquet(counts)
+        in_files(counted).write.mode("append").option("compression", "zstd").option(
+            "parquet.writer.version",
+            "PARQUET_2_0",
+        ).partitionBy("kind").parquet(counts)
         settled(spark)
     count = spark.read.schema(COUNTED).parquet(counts)
     found: dict[str, list[int]] = {}
@@ -384,7 +430,10 @@ def scored(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, parts: int | None
         dropped(spark, done)
     settled(spark)
     share = spark.read.schema(MESSAGE).parquet(shares)
-    histories = ask(*orders[:-1]).withColumn("n", F.col("kind").cast("int") + 1).unionByName(share.filter(F.col("kind").startswith("shares")).withColumn("n", F.substring("kind", 7, 9).cast("int")))
+    histories = ask(*orders[:-1]).withColumn(
+        "n",
+        F.col("kind").cast("int") + 1,
+    ).unionByName(share.filter(F.col("kind").startswith("shares")).withColumn("n", F.substring("kind", 7, 9).cast("int")))
     weights = arrow_groups(histories.groupBy("n", "part"), _weights, MESSAGE)
     return arrow_groups(share.filter("kind = 'docs'").unionByName(weights).groupBy("block"), _second_round(stats[0][0], order), SCORES)
 

@@ -68,7 +68,11 @@ class Lattices:
         get = vocab.get
         self.spans = [(i, j) for j in range(1, n + 1) for i in range(max(0, j - LONGEST), j)]
         flat = (get(w[i:j], -1) if j - i > 1 else get(w[i], 0) for w in words for i, j in self.spans)
-        self.pieces = np.fromiter(flat, np.int16 if len(vocab) < 1 << 15 else np.int32, len(words) * len(self.spans)).reshape(len(words), len(self.spans))
+        self.pieces = np.fromiter(
+            flat,
+            np.int16 if len(vocab) < 1 << 15 else np.int32,
+            len(words) * len(self.spans),
+        ).reshape(len(words), len(self.spans))
         self.used = np.flatnonzero((self.pieces >= 0).any(0))
 
     def forward(self, p: np.ndarray) -> np.ndarray:
@@ -134,7 +138,10 @@ class LanguageModel:
 
     def __init__(self, languages: list[str], vocab: dict[str, int], p: np.ndarray, usual: np.ndarray | None = None):
         self.languages, self.vocab, self.p = languages, vocab, p  # p: language x (piece, ..., 0)
-        self.usual = np.tile([0.0, np.inf], (len(languages), 1)) if usual is None else usual  # log probability a letter of a language's words: mean, deviation
+        self.usual = np.tile(  # log probability a letter of a language's words: mean, deviation
+            [0.0, np.inf],
+            (len(languages), 1),
+        ) if usual is None else usual
         self.number: dict[str, int] = {}
         self.rows, self.fits = np.zeros((0, len(languages) + 1)), np.zeros((0, len(languages)), np.int32)
 
@@ -263,14 +270,24 @@ def _run_counts(batches):
                     if n:
                         for r in own[k]:
                             counts[lang, r] += n
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*((*k, n) for k, n in counts.items())), kind)] if counts else [pa.array([], f.type) for f in kind], schema=kind)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), f.type) for c, f in zip(
+                    zip(*((*k, n) for k, n in counts.items())),
+                    kind,
+                )] if counts else [pa.array([], f.type) for f in kind],
+                schema=kind,
+            )
 
 
 def fitted(docs: DataFrame, learn: DataFrame, path: str, bound: int = SAMPLE_DOCS) -> LanguageModel | None:
     """The model of labelled documents; None without any.  learn: doc_id, lang of those that may be learnt from."""
     sample = sampled(learn, "lang", bound)
     own = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    found = arrow_map(own.select("lang", "text"), _run_counts, "lang string, run string, n long").groupBy("lang", "run").agg(F.sum("n").alias("n")).toArrow()
+    found = arrow_map(
+        own.select("lang", "text"),
+        _run_counts,
+        "lang string, run string, n long",
+    ).groupBy("lang", "run").agg(F.sum("n").alias("n")).toArrow()
     if not found.num_rows:
         return None
     lang, run = (found.column(c).combine_chunks().dictionary_encode() for c in ("lang", "run"))
@@ -287,7 +304,12 @@ def fitted(docs: DataFrame, learn: DataFrame, path: str, bound: int = SAMPLE_DOC
 
 def _predicting(spark: SparkSession, model: LanguageModel):
     """A function that runs on executors: languages and scores of the rows of a batch, slice by slice."""
-    shared, name = spark.sparkContext.broadcast((model.languages, model.vocab, model.p, model.usual)), uuid.uuid4().hex  # as large as the vocabulary times the languages
+    shared, name = spark.sparkContext.broadcast((  # as large as the vocabulary times the languages
+        model.languages,
+        model.vocab,
+        model.p,
+        model.usual,
+    )), uuid.uuid4().hex
 
     def predictions(batch):
         own = held(("languages", name), lambda: LanguageModel(*shared.value))
@@ -306,7 +328,10 @@ def predicted(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     def rows(batches):
         for batch in batches:
             for part, langs, scores, _ in predictions(batch):
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(langs, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").cast(pa.int64()), pa.array(langs, pa.string()), pa.array(scores)],
+                    names=["doc_id", "lang_pred", "score"],
+                )
 
     return arrow_map(docs.select("doc_id", "text"), rows, "doc_id long, lang_pred string, score double")
 

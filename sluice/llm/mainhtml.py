@@ -48,9 +48,43 @@ NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style template noscript title svg math iframe object head".split())
 BLOCKS = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol optgroup option p pre section select summary table tbody td textarea tfoot th thead tr ul".split())
-CLOSES = {"li": ("li", ("ul", "ol", "menu", "dir")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table", "tbody", "thead", "tfoot")), "td": ("td th", ("tr",)), "th": ("td th", ("tr",)), "option": ("option", ("select",)), "tbody": ("tbody thead tfoot tr td th", ("table",)), "tfoot": ("tbody thead tfoot tr td th", ("table",))}
-TAGS = ("nav", "header", "footer", "aside", "form fieldset button select textarea option legend", "article main", "p", "ul ol menu dl", "li dt dd", "h1 h2 h3 h4 h5 h6", "div section", "table tbody tr td th", "blockquote pre figure figcaption")
-MARKS = ("nav navbar navigation menu breadcrumb breadcrumbs tabs toolbar pagination pager toc", "ad ads advert adverts advertisement sponsor sponsored promo banner promotion", "comment comments disqus reply replies respond discussion feedback", "notice cookie cookies consent alert popup modal newsletter subscribe signup gdpr warning overlay", "sidebar side aside widget related recommended share social tags rail", "footer foot bottom copyright legal colophon contentinfo", "header head masthead top logo brand site", "search login form contact", "content article main post entry story body text articlebody prose page")
+CLOSES = {
+    "li": ("li", ("ul", "ol", "menu", "dir")),
+    "dt": ("dt dd", ("dl",)),
+    "dd": ("dt dd", ("dl",)),
+    "tr": ("tr td th", ("table", "tbody", "thead", "tfoot")),
+    "td": ("td th", ("tr",)),
+    "th": ("td th", ("tr",)),
+    "option": ("option", ("select",)),
+    "tbody": ("tbody thead tfoot tr td th", ("table",)),
+    "tfoot": ("tbody thead tfoot tr td th", ("table",)),
+}
+TAGS = (
+    "nav",
+    "header",
+    "footer",
+    "aside",
+    "form fieldset button select textarea option legend",
+    "article main",
+    "p",
+    "ul ol menu dl",
+    "li dt dd",
+    "h1 h2 h3 h4 h5 h6",
+    "div section",
+    "table tbody tr td th",
+    "blockquote pre figure figcaption",
+)
+MARKS = (
+    "nav navbar navigation menu breadcrumb breadcrumbs tabs toolbar pagination pager toc",
+    "ad ads advert adverts advertisement sponsor sponsored promo banner promotion",
+    "comment comments disqus reply replies respond discussion feedback",
+    "notice cookie cookies consent alert popup modal newsletter subscribe signup gdpr warning overlay",
+    "sidebar side aside widget related recommended share social tags rail",
+    "footer foot bottom copyright legal colophon contentinfo",
+    "header head masthead top logo brand site",
+    "search login form contact",
+    "content article main post entry story body text articlebody prose page",
+)
 _TAG = {t: i for i, ts in enumerate(TAGS) for t in ts.split()}
 _MARK = {t: i for i, ts in enumerate(MARKS) for t in ts.split()}
 OUTSIDE, MAIN, CUT = 0, 1, 2
@@ -175,7 +209,26 @@ class Page:
                 count[p] += 1
             k = kids[p] if p >= 0 else 1
             around = below[p] if p >= 0 else page
-            rows.append((tags[i], over_t[i], marks[i], over_m[i], self.depth[i], log1p(own[i]), log1p(below[i]), links[i] / max(1, below[i]), below[i] / nodes[i], below[i] / page, below[i] / max(1, around), k, (seen[p][self.tag[i]] if p >= 0 else 1) / k, log1p(around / k), order[i] / k, i / n, stops[i] / max(1, below[i]), kids[i]))
+            rows.append((
+                tags[i],
+                over_t[i],
+                marks[i],
+                over_m[i],
+                self.depth[i],
+                log1p(own[i]),
+                log1p(below[i]),
+                links[i] / max(1, below[i]),
+                below[i] / nodes[i],
+                below[i] / page,
+                below[i] / max(1, around),
+                k,
+                (seen[p][self.tag[i]] if p >= 0 else 1) / k,
+                log1p(around / k),
+                order[i] / k,
+                i / n,
+                stops[i] / max(1, below[i]),
+                kids[i],
+            ))
         x = np.array(rows, float)
         bits = lambda c, k: (x[:, c].astype(np.int64)[:, None] >> np.arange(k)) & 1
         return np.column_stack([bits(0, len(TAGS)), bits(1, len(TAGS)), bits(2, len(MARKS)), bits(3, len(MARKS)), x[:, 4:]])
@@ -275,33 +328,60 @@ def example_pages(n: int = PAGES, seed: int = 23) -> list[str]:
 
     def menu() -> str:
         body = pick([f"<ul>{links(int(rng.integers(2, 9)))}</ul>", links(5, "span"), f"<ol>{links(4)}</ol>"])
-        return pick([f"<nav>{body}</nav>", f"<div class='{pick(['menu', 'navbar', 'main-nav', 'breadcrumbs'])}'>{body}</div>", f"<div id='navigation'>{body}</div>", f"<header>{body}<p>{prose(6)}</p></header>", f"<div role='navigation'>{body}</div>"])
+        return pick([
+            f"<nav>{body}</nav>",
+            f"<div class='{pick(['menu', 'navbar', 'main-nav', 'breadcrumbs'])}'>{body}</div>",
+            f"<div id='navigation'>{body}</div>",
+            f"<header>{body}<p>{prose(6)}</p></header>",
+            f"<div role='navigation'>{body}</div>",
+        ])
 
     def links_only() -> str:
         return f"<div{pick(['', ' class=' + word(), ' id=' + word()])}><p>{word()}</p><ul>{links(int(rng.integers(3, 8)))}</ul></div>"
 
     def advert() -> str:
-        return pick(["<div class='{}'>{}</div>", "<aside class='{}'><p>{}</p></aside>", "<section id='{}'>{}</section>"]).format(pick(["ad", "ads top", "sponsored", "advert-box", "promo", "banner"]), prose(int(pick([8, 20, 60]))))
+        return pick(["<div class='{}'>{}</div>", "<aside class='{}'><p>{}</p></aside>", "<section id='{}'>{}</section>"]).format(
+            pick(["ad", "ads top", "sponsored", "advert-box", "promo", "banner"]),
+            prose(int(pick([8, 20, 60]))),
+        )
 
     def notice() -> str:
         return f"<div class='{pick(['cookie-banner', 'notice', 'alert', 'newsletter', 'consent popup'])}'><p>{prose(30)}</p>{pick(['', '<button>' + word() + '</button>'])}</div>"
 
     def side() -> str:
-        return pick(["<aside><h3>{0}</h3><ul>{1}</ul><p>{2}</p></aside>", "<div class='sidebar'><h3>{0}</h3><p>{2}</p><ul>{1}</ul></div>", "<div class='related widget'><ul>{1}</ul></div>"]).format(prose(4), links(5), prose(25))
+        return pick(["<aside><h3>{0}</h3><ul>{1}</ul><p>{2}</p></aside>", "<div class='sidebar'><h3>{0}</h3><p>{2}</p><ul>{1}</ul></div>", "<div class='related widget'><ul>{1}</ul></div>"]).format(
+            prose(4),
+            links(5),
+            prose(25),
+        )
 
     def form() -> str:
         return f"<form class='{pick(['search', 'contact', 'x'])}'><label>{word()}</label><input name=q><textarea>{word()}</textarea><select><option>{word()}<option>{word()}</select><button>{word()}</button></form>"
 
     def comments() -> str:
-        each = "".join(pick(["<li><b>{0}</b><p>{1}</p></li>", "<div class='comment'><p>{1}</p></div>", "<article class='comment'><p>{1}</p></article>"]).format(word(), prose(40)) for _ in range(int(rng.integers(1, 6))))
-        return pick(["<section class='comments'><h2>{0}</h2>{1}</section>", "<div id='comments'>{1}</div>", "<ol class='comment-list'>{1}</ol>", "<div class='discussion replies'>{1}</div>"]).format(word(), each)
+        each = "".join(pick(["<li><b>{0}</b><p>{1}</p></li>", "<div class='comment'><p>{1}</p></div>", "<article class='comment'><p>{1}</p></article>"]).format(
+            word(),
+            prose(40),
+        ) for _ in range(int(rng.integers(1, 6))))
+        return pick(["<section class='comments'><h2>{0}</h2>{1}</section>", "<div id='comments'>{1}</div>", "<ol class='comment-list'>{1}</ol>", "<div class='discussion replies'>{1}</div>"]).format(
+            word(),
+            each,
+        )
 
     def foot() -> str:
-        return pick(["<footer>{0}</footer>", "<footer><p>{0}</p></footer>", "<div class='footer'>{0}</div>", "<div id='site-footer'><p>{0}</p></div>"]).format("&copy; " + word() + " &middot; " + prose(int(pick([5, 20, 50]))))
+        return pick([
+            "<footer>{0}</footer>",
+            "<footer><p>{0}</p></footer>",
+            "<div class='footer'>{0}</div>",
+            "<div id='site-footer'><p>{0}</p></div>",
+        ]).format("&copy; " + word() + " &middot; " + prose(int(pick([5, 20, 50]))))
 
     def paragraph() -> str:
         body = prose(int(pick([2, 10, 60, 150])))
-        return pick(["<p>{0}</p>"] * 8 + ["<p><b>{0}<br>", "<p>{0}", "<h2>{0}</h2><p>{1}</p>", "<ul><li>{0}</li><li>{1}</li></ul>", "<blockquote><p>{0}</p></blockquote>", "<pre>{0}</pre>", "<table><tr><td>{0}</td><td>{1}</td></tr></table>", "<div>{0}</div>", "<p>{0} <a href='/x'>{1}</a></p>", "<figure><img src=x><figcaption>{0}</figcaption></figure>"]).format(body, prose(12))
+        return pick(["<p>{0}</p>"] * 8 + ["<p><b>{0}<br>", "<p>{0}", "<h2>{0}</h2><p>{1}</p>", "<ul><li>{0}</li><li>{1}</li></ul>", "<blockquote><p>{0}</p></blockquote>", "<pre>{0}</pre>", "<table><tr><td>{0}</td><td>{1}</td></tr></table>", "<div>{0}</div>", "<p>{0} <a href='/x'>{1}</a></p>", "<figure><img src=x><figcaption>{0}</figcaption></figure>"]).format(
+            body,
+            prose(12),
+        )
 
     def main() -> str:
         head = pick(["<h1>{0}</h1>", "<h1>{0}</h1>", "<h1>{0}</h1>", "", "<header><h1>{0}</h1></header>"]).format(prose(14))
@@ -309,7 +389,16 @@ def example_pages(n: int = PAGES, seed: int = 23) -> list[str]:
         for other in [f() for f in (advert, side, form, comments, links_only) if rng.random() < 0.15]:
             parts.insert(int(rng.integers(len(parts) // 2, len(parts) + 1)), re.sub(r"^<(\w+)", r"<\1 data-cut", other))
         body = head + "".join(parts)
-        return pick(["<article data-main>{0}</article>"] * 5 + ["<main data-main>{0}</main>", "<div data-main class='content'>{0}</div>", "<div data-main class='post-body entry'>{0}</div>", "<div data-main id='story'>{0}</div>", "<section data-main class='article-text'>{0}</section>", "<div data-main>{0}</div>", "<main><article data-main>{0}</article></main>", "<div class='page-content'><div data-main class='text'>{0}</div></div>"]).format(body)
+        return pick(["<article data-main>{0}</article>"] * 5 + [
+            "<main data-main>{0}</main>",
+            "<div data-main class='content'>{0}</div>",
+            "<div data-main class='post-body entry'>{0}</div>",
+            "<div data-main id='story'>{0}</div>",
+            "<section data-main class='article-text'>{0}</section>",
+            "<div data-main>{0}</div>",
+            "<main><article data-main>{0}</article></main>",
+            "<div class='page-content'><div data-main class='text'>{0}</div></div>",
+        ]).format(body)
 
     pages = []
     for _ in range(n):
@@ -362,7 +451,15 @@ def extracted(pages: DataFrame, model: Boosted | None = None) -> DataFrame:
                 features = [p.features() for p in read]
                 chance = np.split(trees(np.concatenate(features)), np.cumsum([len(f) for f in features])[:-1])
                 texts = [p.text(c) for p, c in zip(read, chance)]
-                yield pa.RecordBatch.from_arrays([part.column("page_id").cast(pa.int64()), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], schema=kind)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("page_id").cast(pa.int64()),
+                        part.column("url"),
+                        pa.array(texts, pa.string()),
+                        pa.array([len(t) for t in texts], pa.int64()),
+                    ],
+                    schema=kind,
+                )
 
     return arrow_map(pages.select("page_id", "url", "html"), rows, "page_id long, url string, text string, n_chars long")
 

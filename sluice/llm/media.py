@@ -102,7 +102,17 @@ def fingerprint(samples: bytes) -> np.ndarray:
 
 
 def _rows(batches):
-    kind = pa.schema([("doc_id", pa.int64()), *((n, pa.int64()) for n in ("n_bytes", "payload_bytes")), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string()), ("n_peaks", pa.int64()), ("fingerprint", pa.list_(pa.int64()))])
+    kind = pa.schema([
+        ("doc_id", pa.int64()),
+        *((n, pa.int64()) for n in ("n_bytes", "payload_bytes")),
+        ("payload_sha256", pa.string()),
+        ("tail_crc32", pa.int64()),
+        ("media_bytes", pa.int64()),
+        ("media_sha256", pa.string()),
+        ("feature", pa.string()),
+        ("n_peaks", pa.int64()),
+        ("fingerprint", pa.list_(pa.int64())),
+    ])
     for batch in batches:
         for rows, text in text_slices(batch):
             out = []
@@ -111,9 +121,22 @@ def _rows(batches):
                 media = wav_bytes(payload(data))
                 back = wav_samples(media)
                 codes = fingerprint(back)
-                out.append((len(data), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), f"{len(codes)}:{hashlib.sha256(codes.tobytes()).hexdigest()}", len(np.unique(codes >> 32)), codes))
+                out.append((
+                    len(data),
+                    len(back),
+                    hashlib.sha256(back).hexdigest(),
+                    zlib.crc32(back[-64:]),
+                    len(media),
+                    hashlib.sha256(media).hexdigest(),
+                    f"{len(codes)}:{hashlib.sha256(codes.tobytes()).hexdigest()}",
+                    len(np.unique(codes >> 32)),
+                    codes,
+                ))
             cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id").cast(pa.int64()), *(pa.array(c, f.type) for c, f in zip(cols, list(kind)[1:]))], schema=kind)
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("doc_id").cast(pa.int64()), *(pa.array(c, f.type) for c, f in zip(cols, list(kind)[1:]))],
+                schema=kind,
+            )
 
 
 def media_columns(docs: DataFrame) -> DataFrame:

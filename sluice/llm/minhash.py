@@ -165,7 +165,14 @@ def _signed(batches):
                 for r in range(ROWS):
                     band = _mix(band * _U(0x9E3779B97F4A7C15) + sign[:, r::ROWS])
                 band = _mix(band + np.arange(BANDS, dtype=np.uint64))
-            yield pa.RecordBatch.from_arrays([rows.column("node"), pa.array(size.astype(np.int32)), _lists(np.where(size > 0, BANDS, 0), band[size > 0].reshape(-1).view(np.int64))], names=["node", "size", "bands"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows.column("node"),
+                    pa.array(size.astype(np.int32)),
+                    _lists(np.where(size > 0, BANDS, 0), band[size > 0].reshape(-1).view(np.int64)),
+                ],
+                names=["node", "size", "bands"],
+            )
 
 
 def _sets(batches):
@@ -190,7 +197,10 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
 
     def step(roots: DataFrame) -> DataFrame:
         seen = near.join(roots.select(F.col("node").alias("b"), "root"), "b")
-        return seen.groupBy(F.col("a").alias("node")).agg(F.min("root").alias("root"), F.min(F.when(F.col("a") == F.col("b"), F.col("root"))).alias("before"))
+        return seen.groupBy(F.col("a").alias("node")).agg(
+            F.min("root").alias("root"),
+            F.min(F.when(F.col("a") == F.col("b"), F.col("root"))).alias("before"),
+        )
 
     roots = near.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
     while True:
@@ -231,7 +241,16 @@ def _prefixes(weights: np.ndarray, threshold: float):
             pos = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
             first = pos < most[of]
             at = of[first]
-            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(at)), batch.column("root").take(pa.array(at)), pa.array(size[at].astype(np.int32)), pa.array(flat[order][first].view(np.int64)), pa.array(pos[first].astype(np.int32))], names=["node", "root", "size", "key", "pos"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("node").take(pa.array(at)),
+                    batch.column("root").take(pa.array(at)),
+                    pa.array(size[at].astype(np.int32)),
+                    pa.array(flat[order][first].view(np.int64)),
+                    pa.array(pos[first].astype(np.int32)),
+                ],
+                names=["node", "root", "size", "key", "pos"],
+            )
 
     return rows
 
@@ -268,14 +287,25 @@ def _blocks(threshold: float):
 def _mixed(rooted: DataFrame, by: list[str]) -> DataFrame:
     """Buckets with members of several groups: how many members, how many outside the largest group (r), and that group (major)."""
     shares = rooted.groupBy(*by, "root").agg(F.count("*").alias("_m"))
-    found = shares.groupBy(*by).agg(F.count("*").alias("_roots"), F.sum("_m").alias("n"), F.max("_m").alias("_most"), F.max_by("root", F.struct("_m", "root")).alias("major"))
+    found = shares.groupBy(*by).agg(
+        F.count("*").alias("_roots"),
+        F.sum("_m").alias("n"),
+        F.max("_m").alias("_most"),
+        F.max_by("root", F.struct("_m", "root")).alias("major"),
+    )
     return found.filter("_roots > 1").select(*by, "n", "major", (F.col("n") - F.col("_most")).alias("r"))
 
 
 def _one_by_one(few: DataFrame, by: list[str], threshold: float) -> DataFrame:
     """a, b: the pairs of different groups in buckets of few members; where sets' elements come after pos at most, those that have enough of them."""
     after = F.col("size") - F.col("pos") if "pos" in few.columns else F.col("size")
-    left, right = (few.select(*by, F.col("node").alias(x), F.col("root").alias(f"_{x}"), F.col("size").alias(f"_size_{x}"), after.alias(f"_after_{x}")) for x in "ab")
+    left, right = (few.select(
+        *by,
+        F.col("node").alias(x),
+        F.col("root").alias(f"_{x}"),
+        F.col("size").alias(f"_size_{x}"),
+        after.alias(f"_after_{x}"),
+    ) for x in "ab")
     enough = F.least("_after_a", "_after_b") >= threshold / (1 + threshold) * (F.col("_size_a") + F.col("_size_b")) - 1e-9
     return left.join(right, by).filter("a < b AND _a != _b").filter(_sized("_size_a", "_size_b", threshold) & enough).select("a", "b").distinct()
 
@@ -288,17 +318,40 @@ def _by_prefix(many: DataFrame, sets: DataFrame, threshold: float, scratch: Scra
     counts = np.zeros(SLOTS, np.int64)
     for at, n in own.select(F.explode("shingles").alias("shingle")).groupBy(slot.alias("slot")).count().collect():  # SLOTS rows at most
         counts[at] = n
-    salted = scratch.kept(arrow_map(own, _prefixes(counts, threshold), "node long, root long, size int, key long, pos int").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS))), "prefixes")
-    dealt = salted.select("key", "salt").distinct().join(_mixed(salted, ["key"]), "key")  # a large bucket's salts, each with what there is to know of it
+    salted = scratch.kept(
+        arrow_map(
+            own,
+            _prefixes(counts, threshold),
+            "node long, root long, size int, key long, pos int",
+        ).withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS))),
+        "prefixes",
+    )
+    dealt = salted.select("key", "salt").distinct().join(  # a large bucket's salts, each with what there is to know of it
+        _mixed(salted, ["key"]),
+        "key",
+    )
     open_ = scratch.kept(salted.join(dealt, ["key", "salt"]).drop("salt"), "open")
     near = _one_by_one(open_.filter(F.col("n") <= FEW), ["key"], threshold)
     large = open_.filter(F.col("n") > FEW).withColumn("rest", F.col("root") != F.col("major"))
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     block = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
-    asking = large.filter("rest").select("key", block("r").alias("i"), every("n").alias("j"), "node", "root", "rest", "pos", F.lit(True).alias("asks"))
+    asking = large.filter("rest").select(
+        "key",
+        block("r").alias("i"),
+        every("n").alias("j"),
+        "node",
+        "root",
+        "rest",
+        "pos",
+        F.lit(True).alias("asks"),
+    )
     asked = large.select("key", every("r").alias("i"), block("n").alias("j"), "node", "root", "rest", "pos", F.lit(False).alias("asks"))
-    far = arrow_groups(asking.unionByName(asked).join(own.select("node", "shingles"), "node").groupBy("key", "i", "j"), _blocks(threshold), "a long, b long, similarity double")
+    far = arrow_groups(
+        asking.unionByName(asked).join(own.select("node", "shingles"), "node").groupBy("key", "i", "j"),
+        _blocks(threshold),
+        "a long, b long, similarity double",
+    )
     return _verified(near, own, threshold).unionByName(far)
 
 
@@ -345,7 +398,11 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     classes = scratch.last(texts.select("copy", F.col("node").alias("copy_of")).join(roots, "copy_of", "left"), "classes")
     # ids of a group that share a row's text come by the text's digest; rows without an id have none
     known = F.col("doc_id").isNotNull()
-    return rows.join(classes, "copy", "left").select("doc_id", F.when(known, F.col("copy_of")).alias("copy_of"), F.when(known, F.coalesce("root", "copy_of")).alias("group_id"))
+    return rows.join(classes, "copy", "left").select(
+        "doc_id",
+        F.when(known, F.col("copy_of")).alias("copy_of"),
+        F.when(known, F.coalesce("root", "copy_of")).alias("group_id"),
+    )
 
 
 def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

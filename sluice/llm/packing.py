@@ -154,7 +154,13 @@ def _pieces(path: str, capacity: int, end_id: int):
                 out: list[tuple] = []
                 for doc, a, b in zip(part.column("doc_id").to_pylist(), at.tolist(), at[1:].tolist()):
                     own = np.append(ids[a:b], end_id).astype("<u4")
-                    out += [(doc, k, s, min(capacity, len(own) - s), zlib.crc32(own[s : s + capacity].tobytes())) for k, s in enumerate(range(0, len(own), capacity))]
+                    out += [(
+                        doc,
+                        k,
+                        s,
+                        min(capacity, len(own) - s),
+                        zlib.crc32(own[s : s + capacity].tobytes()),
+                    ) for k, s in enumerate(range(0, len(own), capacity))]
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, kind)], schema=kind)
 
@@ -364,12 +370,18 @@ def placed(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     slots = spark.createDataFrame(pa.table(columns, names=["length", "_first", "_times", "_sequence", "offset"]))
     near = lambda rank: F.floor(rank / RANKS)
     slots = slots.withColumn("_near", F.explode(F.sequence(near(F.col("_first")), near(F.col("_first") + F.col("_times") - 1))))
-    parts = spark.createDataFrame(pa.table([np.array(list(counts), np.int64), np.array([min(-(-n // PART), math.isqrt(n) + 1) for n in counts.values()], np.int64)], names=["length", "_parts"]))
+    parts = spark.createDataFrame(pa.table(
+        [np.array(list(counts), np.int64), np.array([min(-(-n // PART), math.isqrt(n) + 1) for n in counts.values()], np.int64)],
+        names=["length", "_parts"],
+    ))
     dealt = rows.join(F.broadcast(parts), "length").withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece"), F.col("_parts")))  # `capacity` rows
     sums = dealt.groupBy("length", "_part").agg(F.count("*").alias("_n"))
     before = sums.select("length", "_part", (F.sum("_n").over(Window.partitionBy("length").orderBy("_part")) - F.col("_n")).alias("_before"))
     own = Window.partitionBy("length", "_part").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = dealt.withColumn("_rank", F.row_number().over(own) - 1).join(before, ["length", "_part"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
+    ranked = dealt.withColumn("_rank", F.row_number().over(own) - 1).join(before, ["length", "_part"]).withColumn(
+        "_rank",
+        F.col("_rank") + F.col("_before"),
+    )
     found = ranked.withColumn("_near", near(F.col("_rank"))).join(slots, ["length", "_near"]).filter("_rank >= _first AND _rank < _first + _times")
     return found.select(*rows.columns, (F.col("_sequence") + F.col("_rank") - F.col("_first")).alias("sequence_id"), "offset")
 

@@ -105,7 +105,10 @@ class PieceModel:
         """(start of each text's ids and the end, ids, whether the library agrees), without begin and end ids."""
         marked = pc.replace_substring(text, " ", MARK)
         # a space mark before a word is cut off with it; runs of marks are rare and stay with the word behind them
-        odd = pc.or_(pc.match_substring(marked, MARK * 2), pc.or_(pc.starts_with(marked, MARK), pc.ends_with(marked, MARK))).to_numpy(zero_copy_only=False)
+        odd = pc.or_(
+            pc.match_substring(marked, MARK * 2),
+            pc.or_(pc.starts_with(marked, MARK), pc.ends_with(marked, MARK)),
+        ).to_numpy(zero_copy_only=False)
         lists = pc.split_pattern(marked, MARK)
         if odd.any():
             plain = lists.to_pylist()
@@ -143,14 +146,29 @@ def piece_model(path: str) -> PieceModel:
 def _rows(path: str):
     def rows(batches):
         model = piece_model(path)
-        kind = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("agrees", pa.bool_())])
+        kind = pa.schema([
+            ("doc_id", pa.int64()),
+            ("n_tokens", pa.int64()),
+            ("ids_sha256", pa.string()),
+            ("decoded_sha256", pa.string()),
+            ("agrees", pa.bool_()),
+        ])
         for batch in batches:
             for part, text in text_slices(batch):
                 at, ids, agrees = model.encode_all(text)
                 own = [[model.bos, *ids[a:b].tolist(), model.eos] for a, b in zip(at, at[1:])]
                 sha = [hashlib.sha256(np.array(x, "<u4").tobytes()).hexdigest() for x in own]
                 back = [hashlib.sha256(t.encode()).hexdigest() for t in model.library.decode(own)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array([len(x) for x in own], pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string()), pa.array(agrees, pa.bool_())], schema=kind)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id").cast(pa.int64()),
+                        pa.array([len(x) for x in own], pa.int64()),
+                        pa.array(sha, pa.string()),
+                        pa.array(back, pa.string()),
+                        pa.array(agrees, pa.bool_()),
+                    ],
+                    schema=kind,
+                )
 
     return rows
 

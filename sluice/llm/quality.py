@@ -42,7 +42,19 @@ SAMPLE_DOCS, BUCKETS, FACTORS, BINS, ROUNDS = 8000, 1 << 17, 8, 16, 6
 CLASSES = ("upper", "lower", "digit", "space", "line", "stop", "bar", "bang", "sign", "quote", "other", "wide")
 STATS = (*CLASSES, "words", "distinct", "word_bytes", "line_words", "bytes", "stated")
 _CLASS = np.full(256, CLASSES.index("other"), np.uint8)
-for _name, _bytes in (("upper", range(65, 91)), ("lower", range(97, 123)), ("digit", range(48, 58)), ("space", b" \t\x0b\x0c\r"), ("line", b"\n"), ("stop", b".,;:?"), ("bar", b"|"), ("bang", b"!"), ("sign", b"#$%&*@=+<>~^_/\\"), ("quote", b"\"'`()[]{}-"), ("wide", range(128, 256))):
+for _name, _bytes in (
+    ("upper", range(65, 91)),
+    ("lower", range(97, 123)),
+    ("digit", range(48, 58)),
+    ("space", b" \t\x0b\x0c\r"),
+    ("line", b"\n"),
+    ("stop", b".,;:?"),
+    ("bar", b"|"),
+    ("bang", b"!"),
+    ("sign", b"#$%&*@=+<>~^_/\\"),
+    ("quote", b"\"'`()[]{}-"),
+    ("wide", range(128, 256)),
+):
     _CLASS[list(_bytes)] = CLASSES.index(_name)
 
 
@@ -78,7 +90,15 @@ class Features:
         k = len(CLASSES)
         classes = np.bincount(np.repeat(np.arange(n) * k, size) + _CLASS[data], minlength=n * k).reshape(n, k)
         count, total = np.diff(start), np.maximum(size, 1)
-        stats = np.column_stack([classes / total[:, None], np.log1p(count), lens / np.maximum(count, 1), size / np.maximum(count, 1), count / (classes[:, CLASSES.index("line")] + 1), np.log1p(size), np.log1p(np.where(np.isnan(stated), 0, stated))])
+        stats = np.column_stack([
+            classes / total[:, None],
+            np.log1p(count),
+            lens / np.maximum(count, 1),
+            size / np.maximum(count, 1),
+            count / (classes[:, CLASSES.index("line")] + 1),
+            np.log1p(size),
+            np.log1p(np.where(np.isnan(stated), 0, stated)),
+        ])
         stats[np.isnan(stated), -1] = np.nan
         return lens, feature, weight, stats
 
@@ -117,7 +137,17 @@ class Machine:
         square = np.add.reduceat((vx * vx).sum(1), start[:-1])
         return self.w0 + np.add.reduceat(self.w[at] * value, start[:-1]) + 0.5 * ((total * total).sum(1) - square), total
 
-    def fit(self, start: np.ndarray, at: np.ndarray, value: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, rate: float = 0.08, decay: float = 1e-5, seed: int = 7) -> Machine:
+    def fit(
+        self,
+        start: np.ndarray,
+        at: np.ndarray,
+        value: np.ndarray,
+        y: np.ndarray,
+        rounds: int = ROUNDS,
+        rate: float = 0.08,
+        decay: float = 1e-5,
+        seed: int = 7,
+    ) -> Machine:
         rng, g0, gw, gv = np.random.default_rng(seed), 1e-8, np.full(len(self.w), 1e-8), np.full(self.v.shape, 1e-8)
         self.w0 = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
         for _ in range(rounds):
@@ -157,7 +187,15 @@ def _featured(batches):
             lens, feature, weight, stats = make(text, _stated(rows))
             cut = np.concatenate([[0], np.cumsum(lens)])
             lists = lambda x, kind: pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(x, kind))
-            yield pa.RecordBatch.from_arrays([rows.column(rows.schema.get_field_index("label")).cast(pa.int32()), lists(feature, pa.int32()), lists(weight, pa.float32()), pa.array(list(stats), pa.list_(pa.float64()))], names=["label", "feature", "weight", "stats"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows.column(rows.schema.get_field_index("label")).cast(pa.int32()),
+                    lists(feature, pa.int32()),
+                    lists(weight, pa.float32()),
+                    pa.array(list(stats), pa.list_(pa.float64())),
+                ],
+                names=["label", "feature", "weight", "stats"],
+            )
 
 
 def fitted(docs: DataFrame, labelled: DataFrame, bound: int = SAMPLE_DOCS) -> Machine | None:
@@ -171,7 +209,11 @@ def fitted(docs: DataFrame, labelled: DataFrame, bound: int = SAMPLE_DOCS) -> Ma
     feature, weight = (np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in rows.column(k).chunks]) for k in ("feature", "weight"))
     lens = pc.list_value_length(rows.column("feature")).to_numpy().astype(np.int64)
     stats = np.array(rows.column("stats").to_pylist(), float)
-    order = np.lexsort((feature[np.minimum(np.cumsum(lens) - lens, max(0, len(feature) - 1))] if len(feature) else lens, stats[:, -2], y))  # whatever order the rows came in
+    order = np.lexsort((  # whatever order the rows came in
+        feature[np.minimum(np.cumsum(lens) - lens, max(0, len(feature) - 1))] if len(feature) else lens,
+        stats[:, -2],
+        y,
+    ))
     if len(feature):
         first = np.cumsum(lens) - lens
         feature, weight = (gathered(first[order], lens[order], x) for x in (feature, weight))
@@ -189,7 +231,12 @@ def fitted(docs: DataFrame, labelled: DataFrame, bound: int = SAMPLE_DOCS) -> Ma
 
 def _scoring(spark: SparkSession, machine: Machine):
     """A function that runs on executors: scores of the rows of a batch, slice by slice."""
-    shared, name = spark.sparkContext.broadcast((machine.edges, machine.w0, machine.w.astype(np.float32), machine.v.astype(np.float32))), uuid.uuid4().hex
+    shared, name = spark.sparkContext.broadcast((
+        machine.edges,
+        machine.w0,
+        machine.w.astype(np.float32),
+        machine.v.astype(np.float32),
+    )), uuid.uuid4().hex
 
     def scores(batch):
         own, make = held(("quality", name), lambda: (Machine(*shared.value), Features()))
@@ -208,7 +255,10 @@ def scored(docs: DataFrame, machine: Machine | None) -> DataFrame:
     def rows(batches):
         for batch in batches:
             for part, score in scores(batch):
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").cast(pa.int64()), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
+                    names=["doc_id", "score", "predicted"],
+                )
 
     return arrow_map(docs.select("doc_id", "text", "n_chars"), rows, "doc_id long, score double, predicted int")
 

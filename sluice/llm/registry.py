@@ -17,5 +17,16 @@ from sluice.llm.pieces import op9_pieces
 from sluice.llm.quality import op2_quality
 from sluice.llm.secretscan import op6_secrets
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_media, op2_quality, op3_katz, op4_forest, op5_packing, op6_secrets, op7_minhash, op8_html, op9_pieces, op10_language)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_media,
+    op2_quality,
+    op3_katz,
+    op4_forest,
+    op5_packing,
+    op6_secrets,
+    op7_minhash,
+    op8_html,
+    op9_pieces,
+    op10_language,
+)}
 ORACLES: dict[str, str] = {}

@@ -54,8 +54,43 @@ CORE = rf"{JWT}|{SERVICE}{PADDING}|(?:AKIA|ASIA)[0-9A-Z]{{16}}|(?=[A-Za-z+/_-]*[
 CUT = r"""[\s"'`<>(){}\[\]|,;]+"""
 BLOCK = r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?(?:-----END [A-Z ]*PRIVATE KEY-----|$)"
 #: Words by which keys and placeholders are told.
-KEY_WORDS = ("token", "secret", "password", "passwd", "pwd", "passphrase", "apikey", "api_key", "api-key", "access_key", "access-key", "private_key", "credential", "bearer", "authorization", "auth")
-PUBLIC_WORDS = ("commit", "sha1", "sha256", "md5", "checksum", "digest", "etag", "hash", "uuid", "guid", "revision", "order", "invoice", "version", "card", "phone", "serial")
+KEY_WORDS = (
+    "token",
+    "secret",
+    "password",
+    "passwd",
+    "pwd",
+    "passphrase",
+    "apikey",
+    "api_key",
+    "api-key",
+    "access_key",
+    "access-key",
+    "private_key",
+    "credential",
+    "bearer",
+    "authorization",
+    "auth",
+)
+PUBLIC_WORDS = (
+    "commit",
+    "sha1",
+    "sha256",
+    "md5",
+    "checksum",
+    "digest",
+    "etag",
+    "hash",
+    "uuid",
+    "guid",
+    "revision",
+    "order",
+    "invoice",
+    "version",
+    "card",
+    "phone",
+    "serial",
+)
 PLACE_WORDS = ("example", "sample", "dummy", "changeme", "placeholder", "your", "here", "xxxx", "test", "todo", "insert", "replace")
 PREFIX = r"^(AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk_live_|sk-|AIza|glpat-|eyJ)"
 
@@ -174,18 +209,34 @@ def candidates(docs: DataFrame, text: str = "text", path: str | None = "source",
     where = f"`{path}`" if path else "cast(null as string)"
     quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
     marked = F.regexp_replace(F.translate(F.col(text), EDGE + LEAD, "\n\n"), CANDIDATE, f"{EDGE}$1$3$5{LEAD}$2$4$6$7{EDGE}")
-    cut = once(docs, "_parts", F.when(F.col(text).rlike(CANDIDATE), F.split(marked, EDGE)))  # what is between candidates at even places, candidates at odd ones
+    cut = once(  # what is between candidates at even places, candidates at odd ones
+        docs,
+        "_parts",
+        F.when(F.col(text).rlike(CANDIDATE), F.split(marked, EDGE)),
+    )
     near = once(cut, "_near", F.expr(f"""transform(filter(sequence(1, size(_parts) - 1), i -> i % 2 = 1), i -> named_struct('lead', substring_index(_parts[i], '{LEAD}', 1), 'core', substring_index(_parts[i], '{LEAD}', -1),
         'left', split(concat(IF(i > 1, replace(right(_parts[i - 2], {NEAR}), '{LEAD}', ''), ''), right(_parts[i - 1], {NEAR}), substring_index(_parts[i], '{LEAD}', 1)), {quoted(CUT)}),
         'right', split(concat(left(_parts[i + 1], {NEAR}), replace(left(coalesce(get(_parts, i + 2), ''), {NEAR}), '{LEAD}', '')), {quoted(CUT)})))"""))
-    found = once(near, "_found", F.expr(f"transform(_near, n -> named_struct('lead', n.lead, 'core', n.core, 'word', concat(element_at(n.left, -1), n.core), 'before', get(n.left, size(n.left) - 2), 'before2', get(n.left, size(n.left) - 3), 'tail', n.right[0], 'after', get(n.right, 1), 'path', {where}, 'steps', {steps}))"))
+    found = once(
+        near,
+        "_found",
+        F.expr(f"transform(_near, n -> named_struct('lead', n.lead, 'core', n.core, 'word', concat(element_at(n.left, -1), n.core), 'before', get(n.left, size(n.left) - 2), 'before2', get(n.left, size(n.left) - 3), 'tail', n.right[0], 'after', get(n.right, 1), 'path', {where}, 'steps', {steps}))"),
+    )
     features = ", ".join(f"cast({x} as double)" for x in FEATURES.values()).replace("{words}", words)
-    return once(found, "_candidates", F.expr(f"transform(_found, c -> named_struct('core', c.core, 'lead', {behind()}, 'f', array({features})))")).drop("_parts", "_near", "_found")
+    return once(
+        found,
+        "_candidates",
+        F.expr(f"transform(_found, c -> named_struct('core', c.core, 'lead', {behind()}, 'f', array({features})))"),
+    ).drop("_parts", "_near", "_found")
 
 
 def example_findings(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
     """text, path, label, secret: findings made by rule, about half of them secrets; secret is null where all candidates have the label."""
-    rows = spark.range(n).select(F.col("id"), F.sha2(F.concat(F.lit("finding "), F.col("id").cast("string")), 256).alias("h"), F.sha2(F.concat(F.lit("beside "), F.col("id").cast("string")), 256).alias("g"))
+    rows = spark.range(n).select(
+        F.col("id"),
+        F.sha2(F.concat(F.lit("finding "), F.col("id").cast("string")), 256).alias("h"),
+        F.sha2(F.concat(F.lit("beside "), F.col("id").cast("string")), 256).alias("g"),
+    )
     word = lambda a, n: f"translate(substr(g, {a}, {n}), '0123456789abcdef', 'aeioustnrlmdcphg')"
     common = ", ".join(f"'{w}'" for w in dictionary(most=400))
     real = lambda a: f"element_at(array({common}), cast(1 + conv(substr(g, {a}, 4), 16, 10) % 400 as int))"
@@ -219,12 +270,25 @@ def example_findings(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
         (0, f"concat('token = \"session', {word(30, 6)}, id % 9, '\"')"),
         (1, ("concat('OAUTH2_CLIENT_SECRET', element_at(array('=', ': ', '=\"'), cast(1 + id % 3 as int)))", "substr(h, 1, 32)", "''")),
         (1, (f"concat('S3_', upper({word(2, 5)}), '_ACCESS_KEY=')", f"substr({mixed}, 1, 40)", "''")),
-        (1, ("concat('https://h', substr(h, 60, 2), '.io/api/v', id % 9, '/', " + word(2, 5) + ", '/items?token=')", f"concat('ghp_', substr({mixed}, 1, 36))", "'&page=2'")),
+        (
+            1,
+            (
+                "concat('https://h', substr(h, 60, 2), '.io/api/v', id % 9, '/', " + word(2, 5) + ", '/items?token=')",
+                f"concat('ghp_', substr({mixed}, 1, 36))",
+                "'&page=2'",
+            ),
+        ),
         (1, f"concat('AKIA', substr({letters}, 1, 16), ':', substr({mixed}, 1, 40))"),  # both are secrets
         (1, ("concat('client_id=', substr(g, 1, 20), '&client_secret=')", "substr(h, 1, 32)", "''")),
         (1, f"concat('eyJ', substr({mixed}, 1, 18), '.eyJ', substr({mixed}, 9, 30), '.', translate(substr({mixed}, 2, 40), 'xY', '_-'))"),
-        (1, f"concat(element_at(array('password=', 'passwd: ', 'db_password = \"'), cast(1 + id % 3 as int)), {word(1, 7)}, {word(9, 5)}, {word(18, 7)}, {word(27, 6)})"),
-        (1, f"concat(element_at(array('password=', 'pwd=', 'PASSWORD: '), cast(1 + id % 3 as int)), initcap({word(1, 3)}), id % 10, {word(5, 2)}, id % 7, {word(9, 3)}, element_at(array('&', '!', '$', '#', '@'), cast(1 + id % 5 as int)), id % 9)"),
+        (
+            1,
+            f"concat(element_at(array('password=', 'passwd: ', 'db_password = \"'), cast(1 + id % 3 as int)), {word(1, 7)}, {word(9, 5)}, {word(18, 7)}, {word(27, 6)})",
+        ),
+        (
+            1,
+            f"concat(element_at(array('password=', 'pwd=', 'PASSWORD: '), cast(1 + id % 3 as int)), initcap({word(1, 3)}), id % 10, {word(5, 2)}, id % 7, {word(9, 3)}, element_at(array('&', '!', '$', '#', '@'), cast(1 + id % 5 as int)), id % 9)",
+        ),
         (1, f"concat(element_at(array('password=', 'pwd: ', 'secret='), cast(1 + id % 3 as int)), {word(1, 4)}, id % 1000)"),
         (1, f"concat('password=', {word(1, 4)}, {word(9, 3)})"),
         (1, f"concat('passphrase = \"', {word(1, 6)}, ' ', {word(9, 5)}, ' ', {word(18, 7)}, ' ', {word(27, 4)}, '\"')"),
@@ -234,12 +298,24 @@ def example_findings(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
         (1, f"concat('sk_live_', {word(1, 8)}, {word(9, 8)})"),
         (1, f"concat(element_at(array('xoxb-', 'glpat-', 'sk-', 'gho_'), cast(1 + id % 4 as int)), {word(1, 8)}, {word(9, 8)})"),
         (0, f"concat(element_at(array('the secret: ', 'password: ', 'a token: '), cast(1 + id % 3 as int)), {word(1, 5)})"),
-        (0, "concat(element_at(array('token: ', 'password=', 'auth = ', 'secret: '), cast(1 + id % 4 as int)), element_at(array('string', 'true', 'null', 'none', 'required'), cast(1 + id % 5 as int)))"),
-        (0, f"concat(element_at(array('password=', 'token: ', 'secret = '), cast(1 + id % 3 as int)), element_at(array('${{', '$', '{{{{'), cast(1 + id % 3 as int)), upper({word(1, 6)}), '}}')"),
+        (
+            0,
+            "concat(element_at(array('token: ', 'password=', 'auth = ', 'secret: '), cast(1 + id % 4 as int)), element_at(array('string', 'true', 'null', 'none', 'required'), cast(1 + id % 5 as int)))",
+        ),
+        (
+            0,
+            f"concat(element_at(array('password=', 'token: ', 'secret = '), cast(1 + id % 3 as int)), element_at(array('${{', '$', '{{{{'), cast(1 + id % 3 as int)), upper({word(1, 6)}), '}}')",
+        ),
         (0, f"concat('token = get_', {word(1, 5)}, '(', {word(9, 4)}, ')')"),
         (0, "concat(element_at(array('max_tokens=', 'tokens: '), cast(1 + id % 2 as int)), id % 9999)"),
-        (0, "concat(element_at(array('token_ttl=', 'secret_version: ', 'auth_timeout = ', 'n_tokens='), cast(1 + id % 4 as int)), conv(substr(h, 1, 3), 16, 10))"),
-        (0, "concat(element_at(array('password=', 'password: \"', 'secret='), cast(1 + id % 3 as int)), element_at(array('changeme', 'your_password', 'example', 'xxxxxxxx'), cast(1 + id % 4 as int)))"),
+        (
+            0,
+            "concat(element_at(array('token_ttl=', 'secret_version: ', 'auth_timeout = ', 'n_tokens='), cast(1 + id % 4 as int)), conv(substr(h, 1, 3), 16, 10))",
+        ),
+        (
+            0,
+            "concat(element_at(array('password=', 'password: \"', 'secret='), cast(1 + id % 3 as int)), element_at(array('changeme', 'your_password', 'example', 'xxxxxxxx'), cast(1 + id % 4 as int)))",
+        ),
         (0, f"concat('sk-', {word(1, 3)})"),
         (0, "concat('https://www.', " + word(2, 6) + ", '.com/', " + word(12, 5) + ", '/', id % 9999, '/', " + word(20, 7) + ", '?page=', id % 99)"),
         (0, "concat('AKIAEXAMPLE', substr(translate(h, 'abcdef', '314159'), 1, 5), 'KEY')"),
@@ -249,7 +325,12 @@ def example_findings(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
     secret = case(x[1] if isinstance(x, tuple) else "cast(null as string)" for _, x in made)
     label = case("1.0D" if y else "0.0D" for y, _ in made)
     path = "element_at(array('src0', 'web/page', 'tests/unit', 'src/app', 'news', 'readme'), cast(1 + conv(substr(g, 50, 1), 16, 10) as int) % 6 + 1)"
-    return rows.select(F.expr(f"concat({word(1, 5)}, ' ', {word(12, 7)}, ' ', {kinds}, ' ', {word(33, 6)}, '. ', {word(41, 4)})").alias("text"), F.expr(path).alias("path"), F.expr(label).alias("label"), F.expr(secret).alias("secret"))
+    return rows.select(
+        F.expr(f"concat({word(1, 5)}, ' ', {word(12, 7)}, ' ', {kinds}, ' ', {word(33, 6)}, '. ', {word(41, 4)})").alias("text"),
+        F.expr(path).alias("path"),
+        F.expr(label).alias("label"),
+        F.expr(secret).alias("secret"),
+    )
 
 
 def forest(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH):
@@ -257,8 +338,14 @@ def forest(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH):
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.functions import array_to_vector
 
-    own = F.col("label") if "secret" not in labelled.columns else F.when(F.col("secret").isNull() | (F.col("secret") == F.col("c.core")), F.col("label")).otherwise(0.0)
-    rows = candidates(labelled, path="path").select("*", F.explode("_candidates").alias("c")).select(own.alias("label"), array_to_vector("c.f").alias("features"))
+    own = F.col("label") if "secret" not in labelled.columns else F.when(
+        F.col("secret").isNull() | (F.col("secret") == F.col("c.core")),
+        F.col("label"),
+    ).otherwise(0.0)
+    rows = candidates(labelled, path="path").select("*", F.explode("_candidates").alias("c")).select(
+        own.alias("label"),
+        array_to_vector("c.f").alias("features"),
+    )
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=3, featureSubsetStrategy="sqrt", subsamplingRate=0.8).fit(rows)
 
 
@@ -287,12 +374,26 @@ LEADS = "IF(exists(_all, s -> s.secret = x AND s.lead = ''), array(''), array_di
 
 def with_secrets(docs: DataFrame, score: str, threshold: float = THRESHOLD, path: str | None = "source") -> DataFrame:
     """docs with _secrets: array of (secret, rule, score, leads), distinct in a text, in order of place."""
-    scored = once(candidates(docs, path=path), "_scored", F.expr(f"filter(transform(_candidates, c -> named_struct('secret', c.core, 'rule', {rule()}, 'score', {score}, 'lead', c.lead)), s -> s.score >= {threshold}D)"))
-    blocks = F.when(F.col("text").contains("PRIVATE KEY"), F.expr("transform(regexp_extract_all(text, '" + BLOCK.replace("\\", "\\\\") + "', 0), b -> named_struct('secret', b, 'rule', 'private_key', 'score', 1.0D, 'lead', ''))"))
+    scored = once(
+        candidates(docs, path=path),
+        "_scored",
+        F.expr(f"filter(transform(_candidates, c -> named_struct('secret', c.core, 'rule', {rule()}, 'score', {score}, 'lead', c.lead)), s -> s.score >= {threshold}D)"),
+    )
+    blocks = F.when(
+        F.col("text").contains("PRIVATE KEY"),
+        F.expr("transform(regexp_extract_all(text, '" + BLOCK.replace(
+            "\\",
+            "\\\\",
+        ) + "', 0), b -> named_struct('secret', b, 'rule', 'private_key', 'score', 1.0D, 'lead', ''))"),
+    )
     kind = "array<struct<secret:string,rule:string,score:double,lead:string>>"
     all_ = F.concat(F.coalesce(blocks.cast(kind), F.array().cast(kind)), F.coalesce(F.col("_scored").cast(kind), F.array().cast(kind)))
     # the same secret beside different words may have several scores: the best counts
-    named = once(once(scored, "_all", all_), "_secrets", F.expr(f"transform(array_distinct(transform(_all, s -> s.secret)), x -> named_struct('secret', x, 'rule', element_at(filter(_all, s -> s.secret = x), 1).rule, 'score', array_max(transform(filter(_all, s -> s.secret = x), s -> s.score)), 'leads', {LEADS}))"))
+    named = once(
+        once(scored, "_all", all_),
+        "_secrets",
+        F.expr(f"transform(array_distinct(transform(_all, s -> s.secret)), x -> named_struct('secret', x, 'rule', element_at(filter(_all, s -> s.secret = x), 1).rule, 'score', array_max(transform(filter(_all, s -> s.secret = x), s -> s.score)), 'leads', {LEADS}))"),
+    )
     return named.drop("_candidates", "_scored", "_all")
 
 
@@ -306,14 +407,27 @@ def learnt(spark: SparkSession, labelled: DataFrame | None = None) -> str:
 def findings(docs: DataFrame, labelled: DataFrame | None = None, path: str | None = "source") -> DataFrame:
     """A row per document and secret: doc_id, rule, start (from 0), length, occurrences, secret_sha256, score."""
     own = docs.select("doc_id", "text", *([path] if path else []))
-    rows = with_secrets(own, learnt(docs.sparkSession, labelled), path=path).filter("size(_secrets) > 0").select("doc_id", F.col("text").alias("_whole"), "_secrets", F.explode("_secrets").alias("s"))
+    rows = with_secrets(own, learnt(docs.sparkSession, labelled), path=path).filter("size(_secrets) > 0").select(
+        "doc_id",
+        F.col("text").alias("_whole"),
+        "_secrets",
+        F.explode("_secrets").alias("s"),
+    )
     # what is inside a longer secret is no place of a shorter one
     longer = "filter(_secrets, o -> length(o.secret) > length(s.secret) AND contains(o.secret, s.secret))"
     blank = f"aggregate({longer}, _whole, (t, o) -> aggregate(o.leads, t, (u, l) -> replace(u, concat(l, o.secret), concat(l, repeat('{EDGE}', length(o.secret))))))"
     rows = rows.withColumn("text", F.expr(blank))
     places = F.expr("aggregate(s.leads, 0L, (n, l) -> n + (length(text) - length(replace(text, concat(l, s.secret), ''))) div length(concat(l, s.secret)))")
     first = F.expr("array_min(transform(s.leads, l -> instr(text, concat(l, s.secret)) + length(l)))") - 1
-    return rows.select("doc_id", F.col("s.rule").alias("rule"), first.cast("long").alias("start"), F.length("s.secret").cast("long").alias("length"), places.cast("long").alias("occurrences"), F.sha2(F.col("s.secret"), 256).alias("secret_sha256"), F.col("s.score").alias("score"))
+    return rows.select(
+        "doc_id",
+        F.col("s.rule").alias("rule"),
+        first.cast("long").alias("start"),
+        F.length("s.secret").cast("long").alias("length"),
+        places.cast("long").alias("occurrences"),
+        F.sha2(F.col("s.secret"), 256).alias("secret_sha256"),
+        F.col("s.score").alias("score"),
+    )
 
 
 def redacted(docs: DataFrame, labelled: DataFrame | None = None, mark: str = "[SECRET]", path: str | None = "source") -> DataFrame:
@@ -321,8 +435,17 @@ def redacted(docs: DataFrame, labelled: DataFrame | None = None, mark: str = "[S
     own = docs.select(F.struct("*").alias("_row"), "text", *([path] if path else []))  # whatever else docs have stays out of the way
     rows = with_secrets(own, learnt(docs.sparkSession, labelled), path=path)
     changed = F.size("_secrets") > 0
-    out = rows.withColumn("_new", F.when(changed, F.expr(f"aggregate(array_sort(_secrets, (a, b) -> length(b.secret) - length(a.secret)), text, (t, s) -> aggregate(s.leads, t, (u, l) -> replace(u, concat(l, s.secret), concat(l, '{mark}'))))")).otherwise(F.col("text")))
-    new = {"text": F.col("_new"), "n_chars": F.when(changed, F.length("_new").cast("long")).otherwise(F.col("_row.n_chars")) if "n_chars" in docs.columns else None}
+    out = rows.withColumn(
+        "_new",
+        F.when(
+            changed,
+            F.expr(f"aggregate(array_sort(_secrets, (a, b) -> length(b.secret) - length(a.secret)), text, (t, s) -> aggregate(s.leads, t, (u, l) -> replace(u, concat(l, s.secret), concat(l, '{mark}'))))"),
+        ).otherwise(F.col("text")),
+    )
+    new = {
+        "text": F.col("_new"),
+        "n_chars": F.when(changed, F.length("_new").cast("long")).otherwise(F.col("_row.n_chars")) if "n_chars" in docs.columns else None,
+    }
     return out.select(*((new[c] if c in new else F.col("_row")[c]).alias(c) for c in docs.columns))
 
 

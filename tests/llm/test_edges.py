@@ -15,7 +15,19 @@ PROSE = "the quick brown fox jumps over the lazy dog and runs away from here to
 
 def documents(spark, empty=False):
     extra = ("x", 0.5, 1, "c", "w", "r", "h", 3, 4, 5, 6)
-    rows = [(None, "an orphan text", "en", "s", 5), (1, None, None, None, None), (2, "", "en", "s", 0), (3, "   \n\t ", "en", "s", 6), (4, LONG, "en", "s", len(LONG)), (5, PROSE * 4, "en", "s", 100), (6, PROSE * 4, "en", "s", 100), (6, PROSE * 4, "en", "s", 100), (7, PROSE * 3 + "and one more end", "en", "s", 90), (8, "nur ein kleiner Satz über das Wetter", "de", "s", 30), (9, "12345 !!! ###", "de", "s", 10)]
+    rows = [
+        (None, "an orphan text", "en", "s", 5),
+        (1, None, None, None, None),
+        (2, "", "en", "s", 0),
+        (3, "   \n\t ", "en", "s", 6),
+        (4, LONG, "en", "s", len(LONG)),
+        (5, PROSE * 4, "en", "s", 100),
+        (6, PROSE * 4, "en", "s", 100),
+        (6, PROSE * 4, "en", "s", 100),
+        (7, PROSE * 3 + "and one more end", "en", "s", 90),
+        (8, "nur ein kleiner Satz über das Wetter", "de", "s", 30),
+        (9, "12345 !!! ###", "de", "s", 10),
+    ]
     rows += [(20 + i, f"satz nummer {i} ist der {i}te von vielen und die sonne scheint", "de", "s", 50) for i in range(12)]
     rows += [(60 + i, f"sentence number {i} is one of many and the sun shines here", "en", "s", 50) for i in range(12)]
     frame = spark.createDataFrame([r + extra for r in rows], SCHEMA)
@@ -23,13 +35,19 @@ def documents(spark, empty=False):
 
 
 def labels(spark):
-    return spark.createDataFrame([(i, i % 2, 0) for i in range(100)] + [(None, 1, 0), (5, None, None), (21, 0, 0)], "doc_id long, quality int, toxic int")
+    return spark.createDataFrame(
+        [(i, i % 2, 0) for i in range(100)] + [(None, 1, 0), (5, None, None), (21, 0, 0)],
+        "doc_id long, quality int, toxic int",
+    )
 
 
 OPERATORS = {
     "media": lambda s, d: media.media_columns(d),
     "quality": lambda s, d: quality.classified(d, labels(s)),
-    "katz": lambda s, d: katz.scored(d.drop("held").withColumn("held", F.col("doc_id") % 10 == 0).withColumn("held", F.coalesce("held", F.lit(True)))),
+    "katz": lambda s, d: katz.scored(d.drop("held").withColumn("held", F.col("doc_id") % 10 == 0).withColumn(
+        "held",
+        F.coalesce("held", F.lit(True)),
+    )),
     "pieces": lambda s, d: pieces.piece_digests(d, PIECE),
     "minhash": lambda s, d: minhash.grouped(d),
     "language": lambda s, d: langid.identified(d, PIECE),
@@ -52,12 +70,36 @@ def test_empty_tables_give_no_rows(spark, name):
 
 
 def test_empty_pages_and_vectors(spark):
-    pages = spark.createDataFrame([(None, None, None, 1), (1, "u", "", 1), (2, "u", "plain words", 1), (3, "u", "<p>" * 3000 + "deep", 1), (4, "u", "<div class='a", 1), (4, "u", "<article><p>x &amp; y&nbsp;z</p></article>", 1)], "page_id long, url string, html string, text int")
+    pages = spark.createDataFrame(
+        [
+            (None, None, None, 1),
+            (1, "u", "", 1),
+            (2, "u", "plain words", 1),
+            (3, "u", "<p>" * 3000 + "deep", 1),
+            (4, "u", "<div class='a", 1),
+            (4, "u", "<article><p>x &amp; y&nbsp;z</p></article>", 1),
+        ],
+        "page_id long, url string, html string, text int",
+    )
     out = mainhtml.extracted(pages).collect()
     assert len(out) == 6 and all(r.n_chars == len(r.text) for r in out)
     assert sorted(r.text for r in out if r.page_id == 4)[-1] == "x & y z"
     assert mainhtml.extracted(pages.limit(0)).count() == 0
-    vectors = spark.createDataFrame([(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (20, [1.0, 0.0]), (21, [1.0, 0.0]), (22, [0.5, 0.5]), (None, [1.0, 1.0]), (40, [1.0, 2.0, 3.0])], "vec_id long, embedding array<double>")
+    vectors = spark.createDataFrame(
+        [
+            (1, None),
+            (2, []),
+            (3, [0.0, 0.0]),
+            (4, [1.0, None]),
+            (5, [float("nan"), 1.0]),
+            (20, [1.0, 0.0]),
+            (21, [1.0, 0.0]),
+            (22, [0.5, 0.5]),
+            (None, [1.0, 1.0]),
+            (40, [1.0, 2.0, 3.0]),
+        ],
+        "vec_id long, embedding array<double>",
+    )
     out = [tuple(r) for r in forest.nearest(vectors, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()]
     assert out == [(20, 1, 21, 1.0), (20, 2, 22, 0.5)]
     assert forest.nearest(vectors.limit(0), F.col("vec_id") % 20 == 0).count() == 0
@@ -80,7 +122,10 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark, tmp_path):
 
 
 def test_redaction_with_clashing_columns(spark):
-    docs = documents(spark).withColumn("text", F.when(F.col("doc_id") == 8, "see password=b7db7aa4a5fcc783 now").otherwise(F.col("text"))).withColumn("_secrets", F.lit("mine"))
+    docs = documents(spark).withColumn(
+        "text",
+        F.when(F.col("doc_id") == 8, "see password=b7db7aa4a5fcc783 now").otherwise(F.col("text")),
+    ).withColumn("_secrets", F.lit("mine"))
     out = {r.doc_id: r for r in secretscan.redacted(docs).collect()}
     assert out[8].text == "see password=[SECRET] now" and out[8].n_chars == len(out[8].text) and out[8]._secrets == "mine"
     assert out[4].text == LONG

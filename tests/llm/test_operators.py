@@ -71,7 +71,10 @@ def test_fingerprints_by_hand():
         for together in (1, 3, 8192):
             t, f = media.peaks(x, together)
             assert list(zip(t.tolist(), f.tolist())) == found
-        codes = sorted((t << 32) | (f << 20) | (g << 8) | (u - t) for i, (t, f) in enumerate(found) for u, g in found[i + 1 : i + 1 + media.FAN] if u - t <= media.REACH)
+        codes = sorted((t << 32) | (f << 20) | (g << 8) | (u - t) for i, (
+            t,
+            f,
+        ) in enumerate(found) for u, g in found[i + 1 : i + 1 + media.FAN] if u - t <= media.REACH)
         assert media.fingerprint(x).tolist() == codes
 
 
@@ -85,13 +88,26 @@ def test_long_documents_are_cut_at_the_capacity(spark):
     texts = ["word " * 10_000, "word " * 4095, "word " * 4096, "a"]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     out = packing.packed(rows, WORD).collect()
-    assert sorted((r.doc_id, r.piece, r.start, r.length) for r in out) == [(0, 0, 0, 4096), (0, 1, 4096, 4096), (0, 2, 8192, 1809), (1, 0, 0, 4096), (2, 0, 0, 4096), (2, 1, 4096, 1), (3, 0, 0, 2)]
+    assert sorted((r.doc_id, r.piece, r.start, r.length) for r in out) == [
+        (0, 0, 0, 4096),
+        (0, 1, 4096, 4096),
+        (0, 2, 8192, 1809),
+        (1, 0, 0, 4096),
+        (2, 0, 0, 4096),
+        (2, 1, 4096, 1),
+        (3, 0, 0, 2),
+    ]
     assert len({r.sequence_id for r in out}) == 5
 
 
 def test_factorisation_identity():
     rng = np.random.default_rng(3)
-    m = quality.Machine(np.sort(rng.normal(size=(2, quality.BINS - 1))), 0.3, rng.normal(size=quality.BUCKETS + 2 * (quality.BINS + 1)), rng.normal(size=(quality.BUCKETS + 2 * (quality.BINS + 1), 4)))
+    m = quality.Machine(
+        np.sort(rng.normal(size=(2, quality.BINS - 1))),
+        0.3,
+        rng.normal(size=quality.BUCKETS + 2 * (quality.BINS + 1)),
+        rng.normal(size=(quality.BUCKETS + 2 * (quality.BINS + 1), 4)),
+    )
     at, value = np.array([5, 9, 77, 1003]), rng.normal(size=4)
     margin, _ = m.margins(np.array([0, 4]), at, value)
     pairs = sum(m.v[at[i]] @ m.v[at[j]] * value[i] * value[j] for i, j in itertools.combinations(range(4), 2))
@@ -143,7 +159,12 @@ def katz_by_hand(train, texts, order):
     for t in texts:
         ws = ["<s>", *t.lower().split(), "</s>"]
         logs = [math.log10(p(tuple(ws[max(0, i - order + 1) : i]), ws[i])) for i in range(1, len(ws))]
-        out.append((len(ws) - 1, sum(count[1][w,] > 0 for w in ws[1:]), sum(math.log10((count[1][w,] + 0.1) / (single.n + 0.1 * (single.v + 1))) for w in ws[1:]), sum(logs)))
+        out.append((
+            len(ws) - 1,
+            sum(count[1][w,] > 0 for w in ws[1:]),
+            sum(math.log10((count[1][w,] + 0.1) / (single.n + 0.1 * (single.v + 1))) for w in ws[1:]),
+            sum(logs),
+        ))
     return out, [w for w, in count[1]], p, list(after)
 
 
@@ -151,7 +172,11 @@ def katz_by_hand(train, texts, order):
 def test_katz_against_the_definition(spark, order, block):
     texts = [*corpus(5), "unseen words only here", "", "A a\xa0b\x1fc d"]
     held = [i % 10 == 0 or i >= 120 for i in range(len(texts))]
-    want, words, p, histories = katz_by_hand([t for t, h in zip(texts, held) if not h], texts[:-1], order)  # the last is cut at other spaces by str.split
+    want, words, p, histories = katz_by_hand(  # the last is cut at other spaces by str.split
+        [t for t, h in zip(texts, held) if not h],
+        texts[:-1],
+        order,
+    )
     rows = spark.createDataFrame(list(zip(range(len(texts)), texts, held)), "doc_id long, text string, held boolean")
     out = {r.doc_id: r for r in katz.scored(rows, block_tokens=block, parts=5, order=order).collect()}
     for i, (n, known, base, score) in enumerate(want):
@@ -229,7 +254,13 @@ def test_candidates_are_few_in_clustered_vectors():
 def test_packing_is_gapless_exact_and_near_the_bound(spark):
     from tokenizers import Tokenizer
 
-    texts = [*corpus(7, 300), "", "W" * 3000, "ÉCOLE İstanbul ΣΑΣ ﬁ 3½ don't O'RE <|endoftext|> x", "a, a. École, École. İ, ΣΑΣ. ﬁ; e\u0301, 漢字! ǅ? ... , don't. x2, ª: ᾳ. ﷽, a,b. a., नमस्ते, \u0345."]
+    texts = [
+        *corpus(7, 300),
+        "",
+        "W" * 3000,
+        "ÉCOLE İstanbul ΣΑΣ ﬁ 3½ don't O'RE <|endoftext|> x",
+        "a, a. École, École. İ, ΣΑΣ. ﬁ; e\u0301, 漢字! ǅ? ... , don't. x2, ª: ᾳ. ﷽, a,b. a., नमस्ते, \u0345.",
+    ]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     capacity = 64
     out = packing.packed(rows, WORD, capacity).collect()
@@ -284,11 +315,17 @@ def test_fillings_that_are_left_out_are_dominated():
     r = random.Random(14)
     for _ in range(40):
         counts, room, most = Counter(r.randint(1, 12) for _ in range(8)), r.randint(8, 24), r.randint(0, 6)
-        every = {tuple(sorted(c, reverse=True)) for k in range(9) for c in itertools.combinations(sorted(counts.elements()), k) if room - most <= sum(c) <= room}
+        every = {tuple(sorted(c, reverse=True)) for k in range(9) for c in itertools.combinations(
+            sorted(counts.elements()),
+            k,
+        ) if room - most <= sum(c) <= room}
 
         def dominated(filling):
             rest = counts - Counter(filling)
-            return any(sum(s) <= x <= sum(s) + room - sum(filling) and s != (x,) for x in rest for k in range(1, len(filling) + 1) for s in itertools.combinations(filling, k))  # noqa: B023
+            return any(sum(s) <= x <= sum(s) + room - sum(filling) and s != (x,) for x in rest for k in range(  # noqa: B023
+                1,
+                len(filling) + 1,
+            ) for s in itertools.combinations(filling, k))
 
         found = [(w, f) for w, f in packing.undominated(counts, room, most) if f is not None]
         assert [w for w, _ in found] == sorted(w for w, _ in found) and all(sum(f) == room - w for w, f in found)
@@ -364,7 +401,10 @@ def test_values_behind_key_words_are_candidates_whatever_their_form(spark):
     for r in secretscan.findings(rows).collect():
         assert hashlib.sha256(texts[r.doc_id][0][r.start : r.start + r.length].encode()).hexdigest() == r.secret_sha256 and r.occurrences == 1
     long = "aB3." * 20000 + "z"
-    only = secretscan.candidates(spark.createDataFrame([(f"password={long} x",)], "text string"), path=None).select(F.explode("_candidates.core").alias("c")).collect()
+    only = secretscan.candidates(
+        spark.createDataFrame([(f"password={long} x",)], "text string"),
+        path=None,
+    ).select(F.explode("_candidates.core").alias("c")).collect()
     assert [r.c for r in only] == [long]
 
 
@@ -393,7 +433,10 @@ def test_findings_against_a_scan_by_hand(spark):
         planted.append(set(own))
     rows = spark.createDataFrame([(i, t, "src") for i, t in enumerate(texts)], "doc_id long, text string, source string")
     got = {(x.doc_id, x.secret_sha256): (x.start, x.length, x.occurrences) for x in secretscan.findings(rows).collect()}
-    want = {(i, hashlib.sha256(k.encode()).hexdigest()): (t.index(k), len(k), t.count(k)) for i, (t, ks) in enumerate(zip(texts, planted)) for k in ks}
+    want = {(
+        i,
+        hashlib.sha256(k.encode()).hexdigest(),
+    ): (t.index(k), len(k), t.count(k)) for i, (t, ks) in enumerate(zip(texts, planted)) for k in ks}
     assert got == want
     for x in secretscan.redacted(rows).collect():
         want_text = texts[x.doc_id]
@@ -407,7 +450,10 @@ def test_forest_on_findings_that_it_has_not_seen(spark):
     score = secretscan.learnt(spark, labelled.filter("n > 0"))
     rows = labelled.filter("n = 0")
     own = F.when(F.col("secret").isNull() | (F.col("secret") == F.col("c.core")), F.col("label")).otherwise(0.0)
-    out = secretscan.candidates(rows, path="path").select("*", F.explode("_candidates").alias("c")).select(own.alias("y"), (F.expr(score) >= secretscan.THRESHOLD).alias("p"))
+    out = secretscan.candidates(rows, path="path").select("*", F.explode("_candidates").alias("c")).select(
+        own.alias("y"),
+        (F.expr(score) >= secretscan.THRESHOLD).alias("p"),
+    )
     n = {(r.y, r.p): r["count"] for r in out.groupBy("y", "p").count().collect()}
     precision, recall = n[1.0, True] / (n[1.0, True] + n.get((0.0, True), 0)), n[1.0, True] / (n[1.0, True] + n.get((1.0, False), 0))
     assert sum(n.values()) > 1000 and precision > 0.97 and recall > 0.97
@@ -511,7 +557,12 @@ def test_main_text_of_unseen_layouts():
     assert np.mean(hits) > 0.93
 
 
-LOREM = ["The river rose in the night, and by morning the lower fields were under water.", "Nobody in the village had seen it so high, not even the old ferryman, who said little.", "By noon the boats were out, and the first of the cattle had been brought up the hill.", "In the evening the rain stopped at last; the bells rang twice, and people went home."]
+LOREM = [
+    "The river rose in the night, and by morning the lower fields were under water.",
+    "Nobody in the village had seen it so high, not even the old ferryman, who said little.",
+    "By noon the boats were out, and the first of the cattle had been brought up the hill.",
+    "In the evening the rain stopped at last; the bells rang twice, and people went home.",
+]
 PAGES = [  # layouts that no rule makes, and their main text
     (
         f"""<html><body><header class="masthead"><a href="/">The Daily Page</a><p>News since 1911</p></header><nav><a href="/a">Home</a> <a href="/b">World</a></nav>
@@ -552,14 +603,39 @@ def test_decoding_is_the_best_of_all_labellings():
     for _ in range(20):
         p = r.uniform(0.05, 0.95, len(page.tag))
         score = lambda ls: sum(np.log(q if x == mainhtml.MAIN else 1 - q) for x, q in zip(ls, p))  # noqa: B023, E731
-        legal = [ls for ls in itertools.product(range(3), repeat=len(p)) if ls[0] != mainhtml.CUT and all(q < 0 or ls[i] >= ls[q] and not (ls[q] == mainhtml.OUTSIDE and ls[i] == mainhtml.CUT) for i, q in enumerate(page.parent))]
+        legal = [ls for ls in itertools.product(
+            range(3),
+            repeat=len(p),
+        ) if ls[0] != mainhtml.CUT and all(q < 0 or ls[i] >= ls[q] and not (ls[q] == mainhtml.OUTSIDE and ls[i] == mainhtml.CUT) for i, q in enumerate(page.parent))]
         assert score(page.decoded(p)) == pytest.approx(max(map(score, legal)))
 
 
 def test_pieces_like_the_library():
     model = pieces.piece_model(PIECE)
     r = random.Random(12)
-    parts = ["a", "b", "▁", " ", "  ", "é", "\n", "\t", "①", "\x00", "the", "ing", "漢", "́", " " * 9, "</s>", "<0x41>", "<unk>", "　", "1234", "http://x.y"]
+    parts = [
+        "a",
+        "b",
+        "▁",
+        " ",
+        "  ",
+        "é",
+        "\n",
+        "\t",
+        "①",
+        "\x00",
+        "the",
+        "ing",
+        "漢",
+        "́",
+        " " * 9,
+        "</s>",
+        "<0x41>",
+        "<unk>",
+        "　",
+        "1234",
+        "http://x.y",
+    ]
     texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 40))) for _ in range(1500)]
     at, ids, agrees = model.encode_all(pa.array(texts))
     assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == model.library.encode(texts)
@@ -605,7 +681,11 @@ def test_texts_in_no_learnt_language_go(spark):
 def test_languages_of_held_out_documents(spark):
     r = random.Random(13)
     parts = {"en": ["th", "ing", "er", "on", "wh"], "de": ["sch", "ung", "ein", "ber", "ß"], "fr": ["eau", "ment", "é", "que", "oi"]}
-    rows = [(i, " ".join("".join(r.choice(parts[x]) for _ in range(r.randint(1, 3))) for _ in range(12)), x) for i, x in ((i, ("en", "de", "fr")[i % 3]) for i in range(240))]
+    rows = [(
+        i,
+        " ".join("".join(r.choice(parts[x]) for _ in range(r.randint(1, 3))) for _ in range(12)),
+        x,
+    ) for i, x in ((i, ("en", "de", "fr")[i % 3]) for i in range(240))]
     docs = spark.createDataFrame([*rows, (900, "12 34", "en"), (901, None, "de")], "doc_id long, text string, lang string")
     out = {x.doc_id: x for x in langid.identified(docs, PIECE).collect()}
     assert all(out[i].lang_pred == x for i, _, x in rows if out[i].held_out)
