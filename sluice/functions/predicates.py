@@ -108,7 +108,17 @@ def is_alert(kind: Column, predicted: Column, probability: Column, score: Column
 #: Fixed terms that a feature's name must not have.
 LEAKING_TERMS = ("is_fraud", "target", "fraud_type", "fraud_label", "label_timestamp", "label_source", "investigation_status")
 #: Columns that a live row must have to be learnt from.
-LIVE_INPUTS = ("transaction_id", "account_id", "device_id", "event_timestamp", "asset", "transaction_type", "country", "transaction_amount_usd", "is_fraud")
+LIVE_INPUTS = (
+    "transaction_id",
+    "account_id",
+    "device_id",
+    "event_timestamp",
+    "asset",
+    "transaction_type",
+    "country",
+    "transaction_amount_usd",
+    "is_fraud",
+)
 
 
 def leaking_columns(columns: list[str], forbidden: tuple[str, ...] = LEAKING_TERMS) -> list[str]:

@@ -34,7 +34,10 @@ def epoch_unit(c: Column) -> Column:
 def epoch_to_timestamp(c: Column) -> Column:
     """A UTC timestamp from an epoch of any unit; nanoseconds are floored to microseconds."""
     unit, n = epoch_unit(c), c.cast("long")
-    return F.when(unit == "ns", F.timestamp_micros(F.floor(n / F.lit(1000).cast("decimal(20,0)")).cast("long"))).when(unit == "us", F.timestamp_micros(n)).when(unit == "ms", F.timestamp_millis(n)).when(unit == "s", F.timestamp_seconds(n))
+    return F.when(
+        unit == "ns",
+        F.timestamp_micros(F.floor(n / F.lit(1000).cast("decimal(20,0)")).cast("long")),
+    ).when(unit == "us", F.timestamp_micros(n)).when(unit == "ms", F.timestamp_millis(n)).when(unit == "s", F.timestamp_seconds(n))
 
 
 def observed_unit(rows: DataFrame, column: str) -> DataFrame:
@@ -125,7 +128,14 @@ def minute_of(ts: Column) -> Column:
 def deterministic_id(*parts: Column) -> Column:
     """An id in the form of a UUID from the parts' hash."""
     h = F.sha2(F.concat_ws(":", *(p.cast("string") for p in parts)), 256)
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(F.lit("8"), F.substring(h, 18, 3)), F.substring(h, 21, 12))
+    return F.concat_ws(
+        "-",
+        F.substring(h, 1, 8),
+        F.substring(h, 9, 4),
+        F.concat(F.lit("5"), F.substring(h, 14, 3)),
+        F.concat(F.lit("8"), F.substring(h, 18, 3)),
+        F.substring(h, 21, 12),
+    )
 
 
 #: The namespace of names that are URLs.
@@ -136,7 +146,14 @@ def uuid5(name: Column, namespace: str = URL_NAMESPACE) -> Column:
     """The name-based UUID (version 5) of a name in a namespace (32 hex digits)."""
     h = F.substring(F.sha1(F.concat(F.unhex(F.lit(namespace)), F.encode(name, "UTF-8"))), 1, 32)
     variant = F.lower(F.hex(F.conv(F.substring(h, 17, 1), 16, 10).cast("int").bitwiseAND(3).bitwiseOR(8)))
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
+    return F.concat_ws(
+        "-",
+        F.substring(h, 1, 8),
+        F.substring(h, 9, 4),
+        F.concat(F.lit("5"), F.substring(h, 14, 3)),
+        F.concat(variant, F.substring(h, 18, 3)),
+        F.substring(h, 21, 12),
+    )
 
 
 def model_columns(categorical: list[str], numeric: list[str]) -> list[Column]:

@@ -30,7 +30,13 @@ def before(key: str, order: str, span: int | None, unit: str = "s", inclusive: b
 def calendar_features(rows: DataFrame, ts: str) -> DataFrame:
     """Hour, ISO weekday, weekend and night (0 to 5) flags, in UTC."""
     hour, day = F.hour(ts), iso_weekday(F.col(ts))
-    return rows.select("*", hour.cast("int").alias("hour_utc"), day.cast("int").alias("day_of_week_utc"), flag(day >= 6).alias("is_weekend_utc"), flag(hour <= 5).alias("is_night_utc"))
+    return rows.select(
+        "*",
+        hour.cast("int").alias("hour_utc"),
+        day.cast("int").alias("day_of_week_utc"),
+        flag(day >= 6).alias("is_weekend_utc"),
+        flag(hour <= 5).alias("is_night_utc"),
+    )
 
 
 def velocity(rows: DataFrame, key: str, ts: str, amount: str, spans: dict[str, int], unit: str = "s") -> DataFrame:
@@ -44,7 +50,15 @@ def velocity(rows: DataFrame, key: str, ts: str, amount: str, spans: dict[str, i
     w = before(key, "_e", spans[longest], unit)
     last = F.max("_e").over(before(key, "_e", None, unit))
     columns += [F.avg(amount).over(w).alias(f"prior_avg_{longest}"), F.max(amount).over(w).alias(f"prior_max_{longest}"), last.alias("_last")]
-    return e.select("*", *columns).select(*rows.columns, *(c for name in spans for c in (f"prior_count_{name}", f"prior_sum_{name}")), f"prior_avg_{longest}", f"prior_max_{longest}", flag(F.col(f"prior_count_{longest}") > 0).alias(f"has_prior_{longest}"), (F.col("_e") - F.col("_last")).alias("seconds_since_previous" if unit == "s" else "micros_since_previous"), flag(F.col("_last").isNotNull()).alias("has_previous"))
+    return e.select("*", *columns).select(
+        *rows.columns,
+        *(c for name in spans for c in (f"prior_count_{name}", f"prior_sum_{name}")),
+        f"prior_avg_{longest}",
+        f"prior_max_{longest}",
+        flag(F.col(f"prior_count_{longest}") > 0).alias(f"has_prior_{longest}"),
+        (F.col("_e") - F.col("_last")).alias("seconds_since_previous" if unit == "s" else "micros_since_previous"),
+        flag(F.col("_last").isNotNull()).alias("has_previous"),
+    )
 
 
 def timeline(subjects: DataFrame, others: DataFrame, key: str, ts: str, extra: list[str]) -> DataFrame:
@@ -60,8 +74,22 @@ def authentication_features(subjects: DataFrame, logins: DataFrame, key: str, ts
     near, far, ever = (before(key, "_e", s) for s in (short, long, None))
     failed, good = F.when(~F.col("_subject") & ~F.col(success), 1), F.when(~F.col("_subject") & F.col(success), 1)
     last = F.max(F.when(good.isNotNull(), F.col("_e"))).over(ever)
-    out = rows.select("*", F.count(failed).over(near).alias("failed_auth_short"), F.count(failed).over(far).alias("failed_auth_long"), F.count(good).over(far).alias("successful_auth_long"), last.alias("_last"))
-    return out.filter("_subject").select(*subjects.columns, "failed_auth_short", "failed_auth_long", "successful_auth_long", flag(F.col("failed_auth_short") > 0).alias("recent_auth_failure"), (F.col("_e") - F.col("_last")).alias("seconds_since_last_success"), flag(F.col("_last").isNotNull()).alias("has_previous_success"))
+    out = rows.select(
+        "*",
+        F.count(failed).over(near).alias("failed_auth_short"),
+        F.count(failed).over(far).alias("failed_auth_long"),
+        F.count(good).over(far).alias("successful_auth_long"),
+        last.alias("_last"),
+    )
+    return out.filter("_subject").select(
+        *subjects.columns,
+        "failed_auth_short",
+        "failed_auth_long",
+        "successful_auth_long",
+        flag(F.col("failed_auth_short") > 0).alias("recent_auth_failure"),
+        (F.col("_e") - F.col("_last")).alias("seconds_since_last_success"),
+        flag(F.col("_last").isNotNull()).alias("has_previous_success"),
+    )
 
 
 def with_distinct(rows: DataFrame, key: str, who: str, span: int, counted: Column, name: str) -> DataFrame:
@@ -73,7 +101,10 @@ def with_distinct(rows: DataFrame, key: str, who: str, span: int, counted: Colum
     seen = rows.filter(counted & F.col(who).isNotNull() & F.col(key).isNotNull()).select(F.col(key), "_e", F.col(who).alias("_who")).distinct()
     again = F.lead("_e").over(Window.partitionBy(key, "_who").orderBy("_e"))
     spans = seen.select(key, "_e", F.least(F.coalesce(again, F.col("_e") + span), F.col("_e") + span).alias("_end"))
-    points = spans.select(key, F.explode(F.array(F.struct(F.col("_e"), F.lit(1).alias(name)), F.struct(F.col("_end").alias("_e"), F.lit(-1).alias(name)))).alias("_p")).select(key, "_p.*")
+    points = spans.select(
+        key,
+        F.explode(F.array(F.struct(F.col("_e"), F.lit(1).alias(name)), F.struct(F.col("_end").alias("_e"), F.lit(-1).alias(name)))).alias("_p"),
+    ).select(key, "_p.*")
     return rows.withColumn(name, F.lit(0)).unionByName(points.withColumn("_real", F.lit(False)), allowMissingColumns=True)
 
 
@@ -81,11 +112,24 @@ def shared_entity(rows: DataFrame, key: str, ts: str, who: str, span: int = HOUR
     """Prior events on an entity (a device) in a span and how many different ones (accounts) they are of.  Rows without a key are one entity's, of nobody."""
     every = with_distinct(rows.withColumn("_e", epoch(ts)).withColumn("_real", F.lit(True)), key, who, span, F.lit(True), "_change")
     real = F.when(F.col("_real"), 1)
-    out = every.select("*", F.count(real).over(before(key, "_e", span)).alias("prior_events"), F.coalesce(F.sum("_change").over(before(key, "_e", None)), F.lit(0)).cast("long").alias("distinct_accounts"))
+    out = every.select(
+        "*",
+        F.count(real).over(before(key, "_e", span)).alias("prior_events"),
+        F.coalesce(F.sum("_change").over(before(key, "_e", None)), F.lit(0)).cast("long").alias("distinct_accounts"),
+    )
     return out.filter("_real").drop("_e", "_real", "_change")
 
 
-def device_authentications(subjects: DataFrame, logins: DataFrame, key: str, ts: str, who: str, success: str, short: int = 600, long: int = HOUR) -> DataFrame:
+def device_authentications(
+    subjects: DataFrame,
+    logins: DataFrame,
+    key: str,
+    ts: str,
+    who: str,
+    success: str,
+    short: int = 600,
+    long: int = HOUR,
+) -> DataFrame:
     """For each subject: failed logins (short), successful ones (long) and different accounts that logged in (long) on its device before."""
     rows = timeline(subjects, logins.withColumn("_login_of", F.col(who)), key, ts, [success, "_login_of"])  # subjects' own accounts don't count
     rows = rows.withColumn("_e", epoch(ts)).withColumn("_real", F.lit(True))
@@ -93,8 +137,18 @@ def device_authentications(subjects: DataFrame, logins: DataFrame, key: str, ts:
     login = F.coalesce(F.col("_real") & ~F.col("_subject"), F.lit(False))
     failed, good = F.when(login & ~F.col(success), 1), F.when(login & F.col(success), 1)
     near, far, ever = (before(key, "_e", s) for s in (short, long, None))
-    out = every.select("*", F.count(failed).over(near).alias("device_failed_auth_short"), F.count(good).over(far).alias("device_successful_auth_long"), F.coalesce(F.sum("_change").over(ever), F.lit(0)).cast("long").alias("device_distinct_accounts"))
-    return out.filter("_real AND _subject").select(*subjects.columns, "device_failed_auth_short", "device_successful_auth_long", "device_distinct_accounts")
+    out = every.select(
+        "*",
+        F.count(failed).over(near).alias("device_failed_auth_short"),
+        F.count(good).over(far).alias("device_successful_auth_long"),
+        F.coalesce(F.sum("_change").over(ever), F.lit(0)).cast("long").alias("device_distinct_accounts"),
+    )
+    return out.filter("_real AND _subject").select(
+        *subjects.columns,
+        "device_failed_auth_short",
+        "device_successful_auth_long",
+        "device_distinct_accounts",
+    )
 
 
 def counterparty_history(rows: DataFrame, party: str, ts: str, name: str) -> DataFrame:
@@ -102,7 +156,11 @@ def counterparty_history(rows: DataFrame, party: str, ts: str, name: str) -> Dat
     e = rows.withColumn("_e", epoch(ts))
     have = e.filter(F.col(party).isNotNull()).select("*", F.count(F.lit(1)).over(before(party, "_e", None)).alias(f"prior_{name}_count"))
     have = have.withColumn(f"is_new_{name}", flag(F.col(f"prior_{name}_count") == 0))
-    none = e.filter(F.col(party).isNull()).select("*", F.lit(0).cast("long").alias(f"prior_{name}_count"), F.lit(None).cast("int").alias(f"is_new_{name}"))
+    none = e.filter(F.col(party).isNull()).select(
+        "*",
+        F.lit(0).cast("long").alias(f"prior_{name}_count"),
+        F.lit(None).cast("int").alias(f"is_new_{name}"),
+    )
     return have.unionByName(none).withColumn(f"{name}_applicable", flag(F.col(party).isNotNull())).drop("_e")
 
 
@@ -127,7 +185,10 @@ def profile_features(rows: DataFrame, profiles: DataFrame, key: str, ts: str, am
         flag(normal).alias("normal_transaction_amount_available"),
         F.when(normal, F.col(amount) / F.col("normal_amount")).alias("amount_to_normal_ratio"),
         F.when(normal, F.col(amount) - F.col("normal_amount")).alias("amount_above_normal_usd"),
-        F.when(ok & F.col("country").isNotNull() & F.col("home_country").isNotNull(), (F.col("country") != F.col("home_country")).cast("int")).alias("country_mismatch"),
+        F.when(
+            ok & F.col("country").isNotNull() & F.col("home_country").isNotNull(),
+            (F.col("country") != F.col("home_country")).cast("int"),
+        ).alias("country_mismatch"),
     )
 
 
@@ -137,7 +198,13 @@ def first_seen_features(rows: DataFrame, seen: DataFrame, key: str, ts: str, nam
     t, first = epoch(ts), seconds(F.col("first_seen_at"))
     out = rows.join(s, rows[key] == s["_key"], "left")
     hours = F.when(first <= t, (t - first) / HOUR)
-    return out.select(*rows.columns, flag(first <= t).alias(f"{name}_profile_available"), hours.alias(f"{name}_age_hours"), (hours / 24).alias(f"{name}_age_days"), F.when(first <= t, (hours <= 24).cast("int")).alias(f"is_new_{name}_24h"))
+    return out.select(
+        *rows.columns,
+        flag(first <= t).alias(f"{name}_profile_available"),
+        hours.alias(f"{name}_age_hours"),
+        (hours / 24).alias(f"{name}_age_days"),
+        F.when(first <= t, (hours <= 24).cast("int")).alias(f"is_new_{name}_24h"),
+    )
 
 
 def history_for(rows: DataFrame, subjects: DataFrame, keys: dict[str, str], ts: str, start: Column, end: Column) -> DataFrame:
@@ -157,32 +224,108 @@ def prior_pairs(rows: DataFrame, key: str, ts: str, span: int, bucket: int | Non
     Times are cut into buckets of the span's length, and a bucket meets itself and the one before, so the join is an equi join.
     """
     size = bucket or span
-    e = rows.select(F.monotonically_increasing_id().alias("_row") if "_row" not in rows.columns else "_row", "*").withColumn("_e", epoch(ts)) if "_row" not in rows.columns else rows.withColumn("_e", epoch(ts))
+    e = rows.select(
+        F.monotonically_increasing_id().alias("_row") if "_row" not in rows.columns else "_row",
+        "*",
+    ).withColumn("_e", epoch(ts)) if "_row" not in rows.columns else rows.withColumn("_e", epoch(ts))
     left = e.withColumn("_bucket", F.explode(F.array(*(F.floor(F.col("_e") / size) - i for i in range(span // size + 2)))))
     right = e.select(F.col(key).alias("_k"), F.col("_e").alias("_h"), F.floor(F.col("_e") / size).alias("_b"))
     hit = (F.col("_h") >= F.col("_e") - span) & (F.col("_h") < F.col("_e"))
-    return left.join(right, (left[key] == right["_k"]) & (left["_bucket"] == right["_b"]) & hit, "left").groupBy(*e.columns).agg(F.count("_h").alias("prior_pairs")).drop("_e")
+    return left.join(
+        right,
+        (left[key] == right["_k"]) & (left["_bucket"] == right["_b"]) & hit,
+        "left",
+    ).groupBy(*e.columns).agg(F.count("_h").alias("prior_pairs")).drop("_e")
 
 
 def evidence(rows: DataFrame, key: str, ts: str, id_: str, subject: Column, span: int, most: int = 20) -> DataFrame:
     """For chosen subjects their newest prior events in a span, at most `most` each: what their features were made from."""
     own = rows.filter(subject).select(F.col(key).alias("_k"), F.col(id_).alias("subject_id"), epoch(ts).alias("_t"))
-    own = own.withColumn("_bucket", F.explode(F.array(F.floor(F.col("_t") / span), F.floor(F.col("_t") / span) - 1)))  # times in buckets of the span, so the join is an equi join
+    own = own.withColumn(  # times in buckets of the span, so the join is an equi join
+        "_bucket",
+        F.explode(F.array(F.floor(F.col("_t") / span), F.floor(F.col("_t") / span) - 1)),
+    )
     e = rows.withColumn("_e", epoch(ts)).withColumn("_of", F.floor(F.col("_e") / span))
     prior = e.join(own, (e[key] == own["_k"]) & (e["_of"] == own["_bucket"]) & (F.col("_e") < F.col("_t")) & (F.col("_e") >= F.col("_t") - span))
     newest = Window.partitionBy("subject_id").orderBy(F.col(ts).desc(), F.col(id_).desc())
-    return prior.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") <= most).select("subject_id", *rows.columns, (F.col("_t") - F.col("_e")).alias("age_seconds"))
+    return prior.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") <= most).select(
+        "subject_id",
+        *rows.columns,
+        (F.col("_t") - F.col("_e")).alias("age_seconds"),
+    )
 
 
 #: Inputs of the models, by family.
 MODEL_INPUTS = {
-    "current": ("asset", "transaction_type", "country", "transaction_amount_usd", "crypto_quantity", "market_price_usd", "transaction_hour_utc", "transaction_day_of_week_utc", "is_weekend_utc", "is_night_transaction_utc"),
-    "account": ("account_age_days", "account_profile_available", "customer_risk_tier", "normal_transaction_amount_usd", "normal_transaction_amount_available", "amount_to_normal_ratio", "amount_above_normal_usd", "transaction_country_mismatch_home_country"),
-    "history": ("prior_tx_count_5m", "prior_tx_count_1h", "prior_tx_count_24h", "prior_tx_amount_sum_1h", "prior_tx_amount_sum_24h", "prior_tx_amount_avg_24h", "prior_tx_amount_max_24h", "has_prior_tx_24h", "seconds_since_previous_tx", "has_previous_transaction"),
-    "authentication": ("failed_auth_count_10m", "failed_auth_count_1h", "successful_auth_count_1h", "recent_auth_failure_flag_10m", "seconds_since_last_successful_auth", "has_previous_successful_auth"),
-    "device": ("device_failed_auth_count_10m", "device_successful_auth_count_1h", "device_distinct_account_count_1h", "device_profile_available", "device_age_hours", "device_age_days", "is_new_device_24h"),
-    "wallet": ("source_wallet_applicable", "destination_wallet_applicable", "destination_wallet_first_seen_available", "destination_wallet_age_hours", "is_new_destination_wallet", "prior_destination_wallet_tx_count", "prior_source_wallet_tx_count"),
-    "market": ("market_data_freshness_seconds", "latest_market_close_usd", "market_return_5m", "market_return_1h", "market_volatility_1h", "market_volume_sum_1h", "market_data_available"),
+    "current": (
+        "asset",
+        "transaction_type",
+        "country",
+        "transaction_amount_usd",
+        "crypto_quantity",
+        "market_price_usd",
+        "transaction_hour_utc",
+        "transaction_day_of_week_utc",
+        "is_weekend_utc",
+        "is_night_transaction_utc",
+    ),
+    "account": (
+        "account_age_days",
+        "account_profile_available",
+        "customer_risk_tier",
+        "normal_transaction_amount_usd",
+        "normal_transaction_amount_available",
+        "amount_to_normal_ratio",
+        "amount_above_normal_usd",
+        "transaction_country_mismatch_home_country",
+    ),
+    "history": (
+        "prior_tx_count_5m",
+        "prior_tx_count_1h",
+        "prior_tx_count_24h",
+        "prior_tx_amount_sum_1h",
+        "prior_tx_amount_sum_24h",
+        "prior_tx_amount_avg_24h",
+        "prior_tx_amount_max_24h",
+        "has_prior_tx_24h",
+        "seconds_since_previous_tx",
+        "has_previous_transaction",
+    ),
+    "authentication": (
+        "failed_auth_count_10m",
+        "failed_auth_count_1h",
+        "successful_auth_count_1h",
+        "recent_auth_failure_flag_10m",
+        "seconds_since_last_successful_auth",
+        "has_previous_successful_auth",
+    ),
+    "device": (
+        "device_failed_auth_count_10m",
+        "device_successful_auth_count_1h",
+        "device_distinct_account_count_1h",
+        "device_profile_available",
+        "device_age_hours",
+        "device_age_days",
+        "is_new_device_24h",
+    ),
+    "wallet": (
+        "source_wallet_applicable",
+        "destination_wallet_applicable",
+        "destination_wallet_first_seen_available",
+        "destination_wallet_age_hours",
+        "is_new_destination_wallet",
+        "prior_destination_wallet_tx_count",
+        "prior_source_wallet_tx_count",
+    ),
+    "market": (
+        "market_data_freshness_seconds",
+        "latest_market_close_usd",
+        "market_return_5m",
+        "market_return_1h",
+        "market_volatility_1h",
+        "market_volume_sum_1h",
+        "market_data_available",
+    ),
 }
 
 
@@ -224,12 +367,24 @@ def wallet_history(rows: DataFrame) -> DataFrame:
         key = F.coalesce(F.concat(F.lit("w"), wallet), F.concat(F.lit("none"), F.col("transaction_id").cast("string")))
         e = e.withColumn("_w", key)
         uses = F.count(F.lit(1)).over(before("_w", "_e", None))
-        e = e.select("*", F.when(wallet.isNotNull(), uses).otherwise(0).cast("long").alias(f"prior_{side}_wallet_tx_count"), flag(wallet.isNotNull()).alias(f"{side}_wallet_applicable")).drop("_w")
+        e = e.select(
+            "*",
+            F.when(wallet.isNotNull(), uses).otherwise(0).cast("long").alias(f"prior_{side}_wallet_tx_count"),
+            flag(wallet.isNotNull()).alias(f"{side}_wallet_applicable"),
+        ).drop("_w")
     new = F.when(F.col("destination_wallet_id").isNotNull(), flag(F.col("prior_destination_wallet_tx_count") == 0))
     return e.withColumn("is_new_destination_wallet", new).drop("_e")
 
 
-def feature_rows(transactions: DataFrame, accounts: DataFrame, devices: DataFrame, wallets: DataFrame, logins: DataFrame, states: DataFrame, products: dict[str, str]) -> DataFrame:
+def feature_rows(
+    transactions: DataFrame,
+    accounts: DataFrame,
+    devices: DataFrame,
+    wallets: DataFrame,
+    logins: DataFrame,
+    states: DataFrame,
+    products: dict[str, str],
+) -> DataFrame:
     """Transactions with all inputs of the models.
 
     transactions: transaction_id, account_id, device_id, source_wallet_id, destination_wallet_id, feature_timestamp, asset,
@@ -242,14 +397,35 @@ def feature_rows(transactions: DataFrame, accounts: DataFrame, devices: DataFram
     from sluice.operators.market import as_of
 
     rows = account_history(transactions, logins.select("account_id", "feature_timestamp", "login_success"))
-    rows = device_authentications(rows, logins.select("account_id", "device_id", "feature_timestamp", "login_success"), "device_id", "feature_timestamp", "account_id", "login_success")
+    rows = device_authentications(
+        rows,
+        logins.select("account_id", "device_id", "feature_timestamp", "login_success"),
+        "device_id",
+        "feature_timestamp",
+        "account_id",
+        "login_success",
+    )
     rows = wallet_history(rows)
     rows = calendar_features(rows, "feature_timestamp")
     rows = profile_features(rows, accounts, "account_id", "feature_timestamp", "transaction_amount_usd")
     rows = first_seen_features(rows, devices, "device_id", "feature_timestamp", "device")
-    rows = first_seen_features(rows, wallets.withColumnRenamed("wallet_id", "destination_wallet_id"), "destination_wallet_id", "feature_timestamp", "destination_wallet")
+    rows = first_seen_features(
+        rows,
+        wallets.withColumnRenamed("wallet_id", "destination_wallet_id"),
+        "destination_wallet_id",
+        "feature_timestamp",
+        "destination_wallet",
+    )
     rows = rows.withColumn("market_product_id", mapped(F.col("asset"), products))
-    rows = as_of(rows, states, "market_product_id", "feature_timestamp", "product", "candle_end", ["close", "return_short", "return_long", "volatility", "volume_sum"])
+    rows = as_of(
+        rows,
+        states,
+        "market_product_id",
+        "feature_timestamp",
+        "product",
+        "candle_end",
+        ["close", "return_short", "return_long", "volatility", "volume_sum"],
+    )
     names = {
         "hour_utc": "transaction_hour_utc", "day_of_week_utc": "transaction_day_of_week_utc", "is_night_utc": "is_night_transaction_utc", "country_mismatch": "transaction_country_mismatch_home_country",
         "device_failed_auth_short": "device_failed_auth_count_10m", "device_successful_auth_long": "device_successful_auth_count_1h", "device_distinct_accounts": "device_distinct_account_count_1h",

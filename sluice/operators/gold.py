@@ -25,7 +25,12 @@ def feedback(decisions: DataFrame, labels: DataFrame, key: str, decided: str, la
     d = decisions.filter(F.col("predicted").isNotNull())
     joined = d.join(labels.filter(F.col("is_fraud").isNotNull()), key)
     delay = F.unix_seconds(F.col(labelled).cast("timestamp")) - F.unix_seconds(F.col(decided).cast("timestamp"))
-    return joined.select("*", outcome(F.col("is_fraud"), F.col("predicted")).alias("outcome"), delay.alias("label_delay_seconds"), (F.col(labelled) > F.col(decided)).alias("label_after_decision"))
+    return joined.select(
+        "*",
+        outcome(F.col("is_fraud"), F.col("predicted")).alias("outcome"),
+        delay.alias("label_delay_seconds"),
+        (F.col(labelled) > F.col(decided)).alias("label_after_decision"),
+    )
 
 
 def gold_decisions(transactions: DataFrame, decisions: DataFrame, feedback_rows: DataFrame, key: str) -> DataFrame:
@@ -37,21 +42,53 @@ def kpi_row(gold: DataFrame, amount: str = "amount") -> DataFrame:
     """One row of counts, values and rates; rates are null where undefined."""
     n = lambda c: F.count(F.when(c, 1))
     fraud, predicted, out = F.col("is_fraud"), F.col("predicted"), F.col("outcome")
-    sums = gold.agg(F.count("*").alias("transactions"), n(F.col("score").isNotNull()).alias("scored"), n(fraud.isNotNull()).alias("labelled"), n(fraud).alias("frauds"), n(predicted).alias("predicted_frauds"), *(n(out == x).alias(x.lower()) for x in ("TP", "FP", "TN", "FN")), F.sum(amount).alias("volume"), F.sum(F.when(fraud, F.col(amount))).alias("fraud_volume"), F.avg("score").alias("average_score"), F.max("score").alias("highest_score"))
+    sums = gold.agg(
+        F.count("*").alias("transactions"),
+        n(F.col("score").isNotNull()).alias("scored"),
+        n(fraud.isNotNull()).alias("labelled"),
+        n(fraud).alias("frauds"),
+        n(predicted).alias("predicted_frauds"),
+        *(n(out == x).alias(x.lower()) for x in ("TP", "FP", "TN", "FN")),
+        F.sum(amount).alias("volume"),
+        F.sum(F.when(fraud, F.col(amount))).alias("fraud_volume"),
+        F.avg("score").alias("average_score"),
+        F.max("score").alias("highest_score"),
+    )
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return sums.select("*", ratio(tp, tp + fp).alias("precision"), ratio(tp, tp + fn).alias("recall"), ratio(2 * tp, 2 * tp + fp + fn).alias("f1"), ratio(F.col("frauds"), F.col("labelled")).alias("fraud_rate"))
+    return sums.select(
+        "*",
+        ratio(tp, tp + fp).alias("precision"),
+        ratio(tp, tp + fn).alias("recall"),
+        ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        ratio(F.col("frauds"), F.col("labelled")).alias("fraud_rate"),
+    )
 
 
 def hourly_series(gold: DataFrame, ts: str, amount: str = "amount") -> DataFrame:
     """Counts, volumes and scores of each hour."""
     n = lambda c: F.count(F.when(c, 1))
-    return gold.groupBy(hour_of(F.col(ts)).alias("hour")).agg(F.count("*").alias("transactions"), F.sum(amount).alias("volume"), n(F.col("score").isNotNull()).alias("scored"), n(F.col("is_fraud")).alias("frauds"), n(F.col("predicted")).alias("predicted_frauds"), F.avg("score").alias("average_score"), F.max("score").alias("highest_score"), F.sum(F.when(F.col("is_fraud"), F.col(amount)).otherwise(0.0)).alias("fraud_volume"))
+    return gold.groupBy(hour_of(F.col(ts)).alias("hour")).agg(
+        F.count("*").alias("transactions"),
+        F.sum(amount).alias("volume"),
+        n(F.col("score").isNotNull()).alias("scored"),
+        n(F.col("is_fraud")).alias("frauds"),
+        n(F.col("predicted")).alias("predicted_frauds"),
+        F.avg("score").alias("average_score"),
+        F.max("score").alias("highest_score"),
+        F.sum(F.when(F.col("is_fraud"), F.col(amount)).otherwise(0.0)).alias("fraud_volume"),
+    )
 
 
 def by_segment(gold: DataFrame, segment: str, amount: str = "amount") -> DataFrame:
     """Activity of each value of a column."""
     n = lambda c: F.count(F.when(c, 1))
-    return gold.groupBy(segment).agg(F.count("*").alias("transactions"), F.sum(amount).alias("volume"), n(F.col("is_fraud")).alias("frauds"), n(F.col("predicted")).alias("predicted_frauds"), F.avg("score").alias("average_score"))
+    return gold.groupBy(segment).agg(
+        F.count("*").alias("transactions"),
+        F.sum(amount).alias("volume"),
+        n(F.col("is_fraud")).alias("frauds"),
+        n(F.col("predicted")).alias("predicted_frauds"),
+        F.avg("score").alias("average_score"),
+    )
 
 
 def probability_band(score: Column) -> Column:
@@ -64,7 +101,10 @@ def probability_band(score: Column) -> Column:
 
 def by_band(gold: DataFrame) -> DataFrame:
     """Rows and frauds of each band."""
-    return gold.groupBy(probability_band(F.col("score")).alias("band")).agg(F.count("*").alias("n"), F.count(F.when(F.col("is_fraud"), 1)).alias("frauds"))
+    return gold.groupBy(probability_band(F.col("score")).alias("band")).agg(
+        F.count("*").alias("n"),
+        F.count(F.when(F.col("is_fraud"), 1)).alias("frauds"),
+    )
 
 
 def confusion_counts(gold: DataFrame) -> DataFrame:
@@ -77,13 +117,31 @@ def top_risks(gold: DataFrame, key: str, n: int = 100, *then: str) -> DataFrame:
     return gold.filter("score IS NOT NULL").orderBy(F.col("score").desc(), *(F.col(c).desc() for c in then), key).limit(n)
 
 
-def reconciliation(transactions: DataFrame, decisions: DataFrame, feedback_rows: DataFrame, gold: DataFrame, kpi: DataFrame, key: str, amount: str = "amount") -> DataFrame:
+def reconciliation(
+    transactions: DataFrame,
+    decisions: DataFrame,
+    feedback_rows: DataFrame,
+    gold: DataFrame,
+    kpi: DataFrame,
+    key: str,
+    amount: str = "amount",
+) -> DataFrame:
     """Seven checks between sources, the gold table and its KPI row, as rows of name, expected, found and status; each frame is read once."""
     n = lambda df, name: df.agg(F.count("*").alias(name))
     wrong = F.col("score").isNotNull() & ((F.col("score") < 0) | (F.col("score") > 1))
-    of_gold = gold.agg(F.count("*").alias("_gold"), F.count_distinct(key).alias("_keys"), F.count(F.when(wrong, 1)).alias("_wrong"), F.count(F.when(F.col(amount).isNull(), 1)).alias("_null"))
+    of_gold = gold.agg(
+        F.count("*").alias("_gold"),
+        F.count_distinct(key).alias("_keys"),
+        F.count(F.when(wrong, 1)).alias("_wrong"),
+        F.count(F.when(F.col(amount).isNull(), 1)).alias("_null"),
+    )
     one = of_gold
-    for other in (n(transactions, "_tx"), n(decisions, "_dec"), n(feedback_rows, "_fb"), kpi.select(F.col("transactions").alias("_all"), F.col("scored").alias("_scored"), F.col("labelled").alias("_labelled"))):
+    for other in (
+        n(transactions, "_tx"),
+        n(decisions, "_dec"),
+        n(feedback_rows, "_fb"),
+        kpi.select(F.col("transactions").alias("_all"), F.col("scored").alias("_scored"), F.col("labelled").alias("_labelled")),
+    ):
         one = one.crossJoin(other)  # one row each
     zero = F.lit(0).cast("long")
     checks = (
@@ -95,7 +153,11 @@ def reconciliation(transactions: DataFrame, decisions: DataFrame, feedback_rows:
         ("fraud_probabilities_in_unit_interval", zero, F.col("_wrong")),
         ("transaction_amounts_numeric_and_present", zero, F.col("_null")),
     )
-    rows = one.select(F.explode(F.array(*(F.struct(F.lit(name).alias("check_name"), a.alias("expected"), b.alias("found")) for name, a, b in checks))).alias("_c")).select("_c.*")
+    rows = one.select(F.explode(F.array(*(F.struct(
+        F.lit(name).alias("check_name"),
+        a.alias("expected"),
+        b.alias("found"),
+    ) for name, a, b in checks))).alias("_c")).select("_c.*")
     return rows.withColumn("status", F.when(F.col("expected") == F.col("found"), "PASS").otherwise("FAIL"))
 
 

@@ -20,7 +20,10 @@ def latest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 def older(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The rows that `latest` leaves out, with a reason to be quarantined."""
-    return ranked(rows, keys, order).filter("_rank > 1").withColumn("quarantine_reason", F.lit("duplicate_business_key_non_latest")).drop("_rank", "_group_size")
+    return ranked(rows, keys, order).filter("_rank > 1").withColumn(
+        "quarantine_reason",
+        F.lit("duplicate_business_key_non_latest"),
+    ).drop("_rank", "_group_size")
 
 
 def newest_by(*columns: str, then: tuple[str, ...] = ()) -> list[Column]:
@@ -45,4 +48,7 @@ def label_multiplicity(labels: DataFrame, key: str) -> DataFrame:
 def merge_training_rows(history: DataFrame, live: DataFrame, key: str, order: list[str]) -> DataFrame:
     """History and live rows, one a transaction: live before history, then newest by `order`."""
     rows = history.withColumn("_live", F.lit(0)).unionByName(live.withColumn("_live", F.lit(1)), allowMissingColumns=True)
-    return latest(rows, [key], [F.col("_live").desc(), *newest_by(*order)]).withColumn("source", F.when(F.col("_live") == 1, "live").otherwise("history")).drop("_live")
+    return latest(rows, [key], [F.col("_live").desc(), *newest_by(*order)]).withColumn(
+        "source",
+        F.when(F.col("_live") == 1, "live").otherwise("history"),
+    ).drop("_live")

@@ -51,7 +51,12 @@ def registered(registry: DataFrame, name: str, metrics: dict[str, float]) -> Dat
     """A registry (name, version, alias, metric values) with one more version of a model; aliases stay where they are."""
     version = registry.filter(F.col("name") == name).agg((F.coalesce(F.max("version"), F.lit(0)) + 1).cast("int").alias("version"))
     values = F.create_map(*(F.lit(x) for kv in metrics.items() for x in kv)).cast("map<string,double>")
-    return registry.unionByName(version.select(F.lit(name).alias("name"), "version", F.lit(None).cast("string").alias("alias"), values.alias("metrics")))
+    return registry.unionByName(version.select(
+        F.lit(name).alias("name"),
+        "version",
+        F.lit(None).cast("string").alias("alias"),
+        values.alias("metrics"),
+    ))
 
 
 def aliased(registry: DataFrame, name: str, version: int, alias: str) -> DataFrame:
@@ -64,13 +69,28 @@ def aliased(registry: DataFrame, name: str, version: int, alias: str) -> DataFra
 def fit_logistic(rows: DataFrame, numeric: list[str], categorical: list[str], label: str, iterations: int = 1000) -> PipelineModel:
     """Balanced logistic regression behind the preprocessing; fitted on the given rows only."""
     data = balanced(cleaned(rows, numeric, categorical, label), label)
-    return Pipeline(stages=[*preprocessing(numeric, categorical), LogisticRegression(labelCol=label, weightCol="_weight", maxIter=iterations)]).fit(data)
-
-
-def fit_boosted(rows: DataFrame, numeric: list[str], categorical: list[str], label: str, trees: int = 200, depth: int = 3, rate: float = 0.05, subsample: float = 0.85) -> PipelineModel:
+    return Pipeline(stages=[
+        *preprocessing(numeric, categorical),
+        LogisticRegression(labelCol=label, weightCol="_weight", maxIter=iterations),
+    ]).fit(data)
+
+
+def fit_boosted(
+    rows: DataFrame,
+    numeric: list[str],
+    categorical: list[str],
+    label: str,
+    trees: int = 200,
+    depth: int = 3,
+    rate: float = 0.05,
+    subsample: float = 0.85,
+) -> PipelineModel:
     """Boosted trees with positives weighted by negatives / positives."""
     data = positive_weighted(cleaned(rows, numeric, categorical, label), label)
-    return Pipeline(stages=[*preprocessing(numeric, categorical), GBTClassifier(labelCol=label, weightCol="_weight", maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=subsample, seed=7)]).fit(data)
+    return Pipeline(stages=[
+        *preprocessing(numeric, categorical),
+        GBTClassifier(labelCol=label, weightCol="_weight", maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=subsample, seed=7),
+    ]).fit(data)
 
 
 def scored(model: PipelineModel, rows: DataFrame, numeric: list[str], categorical: list[str], *keep: str) -> DataFrame:

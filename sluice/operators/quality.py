@@ -89,7 +89,10 @@ def missing_parent(rows: DataFrame, column: str, parents: DataFrame, key: str, r
     keys = keys.select(F.col(key).alias("_parent")).filter("_parent IS NOT NULL").distinct()
     joined = rows.join(keys, rows[column] == keys["_parent"], "left")
     bad = F.col(column).isNotNull() & F.col("_parent").isNull()
-    return with_reasons(joined.withColumn(REASONS, F.col(REASONS) if REASONS in rows.columns else F.array().cast("array<string>")), [Rule(reason, bad)]).drop("_parent")
+    return with_reasons(
+        joined.withColumn(REASONS, F.col(REASONS) if REASONS in rows.columns else F.array().cast("array<string>")),
+        [Rule(reason, bad)],
+    ).drop("_parent")
 
 
 def null_keys(rows: DataFrame, *keys: str) -> DataFrame:
@@ -115,7 +118,10 @@ def orphans(rows: DataFrame, column: str, parents: DataFrame, key: str) -> DataF
 
 def checks(*named: tuple[str, DataFrame]) -> DataFrame:
     """A row per check: its name, its number of failures (column n of a one-row frame), PASS or FAIL."""
-    rows = reduce(DataFrame.unionByName, (df.select(F.lit(name).alias("check_name"), F.col("n").cast("long").alias("failures")) for name, df in named))
+    rows = reduce(
+        DataFrame.unionByName,
+        (df.select(F.lit(name).alias("check_name"), F.col("n").cast("long").alias("failures")) for name, df in named),
+    )
     return rows.withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL"))
 
 
@@ -137,12 +143,27 @@ def transformation_matrix(before: T.StructType, after: T.StructType, rules: Tabl
     """For each column of the result: type before and after, what was done, and the kinds of rules that it is under."""
     old = {f.name: f.dataType.simpleString() for f in before}
     own = rules or TableRules()
-    kinds = {"required": own.required, "uuid_format": own.uuids, "country_code": own.countries, "ip_address": own.addresses, "approved_values": [*(own.allowed or {}), *(own.allowed_elements or {})], "array_size": own.sizes or {}, "unique_items": own.unique_items, "conversion": own.conversions or {}}
+    kinds = {
+        "required": own.required,
+        "uuid_format": own.uuids,
+        "country_code": own.countries,
+        "ip_address": own.addresses,
+        "approved_values": [*(own.allowed or {}), *(own.allowed_elements or {})],
+        "array_size": own.sizes or {},
+        "unique_items": own.unique_items,
+        "conversion": own.conversions or {},
+    }
     out = []
     for f in after:
         kind = f.dataType.simpleString()
         change = "added" if f.name not in old else "kept" if old[f.name] == kind else "converted"
-        out.append({"column": f.name, "from": old.get(f.name), "to": kind, "change": change, "rules": ";".join(k for k, names in kinds.items() if f.name in names)})
+        out.append({
+            "column": f.name,
+            "from": old.get(f.name),
+            "to": kind,
+            "change": change,
+            "rules": ";".join(k for k, names in kinds.items() if f.name in names),
+        })
     return out
 
 
@@ -159,7 +180,10 @@ def json_problems(rows: DataFrame, column: str, required: dict[str, str], option
     unknown = F.transform(F.array_sort(F.filter(F.map_keys("_record"), lambda k: ~k.isin(*fields))), lambda k: F.concat(k, F.lit("_unexpected")))
     found = F.concat(F.array_compact(F.array(*missing, *mistyped)), unknown if closed else F.array().cast("array<string>"))
     bad = F.array(F.lit("not_a_record"))
-    return rows.withColumn("_record", record).withColumn("_problems", F.when(F.col("_record").isNull() | (F.size("_record") == 0) & ~F.trim(F.col(column)).rlike(r"^\{\s*\}$"), bad).otherwise(found)).drop("_record")
+    return rows.withColumn("_record", record).withColumn(
+        "_problems",
+        F.when(F.col("_record").isNull() | (F.size("_record") == 0) & ~F.trim(F.col(column)).rlike(r"^\{\s*\}$"), bad).otherwise(found),
+    ).drop("_record")
 
 
 def schema_checks(rows: DataFrame, expected: T.StructType) -> DataFrame:
@@ -190,7 +214,10 @@ def label_timing(labels: DataFrame, transactions: DataFrame, key: str, labelled:
 
 def gaps(rows: DataFrame, key: str, ts: str, step: str) -> DataFrame:
     """Points of each key's regular grid, from its first to its last, that have no row."""
-    grid = rows.groupBy(key).agg(F.min(ts).alias("_a"), F.max(ts).alias("_b")).select(key, F.explode(F.expr(f"sequence(_a, _b, interval {step})")).alias(ts))
+    grid = rows.groupBy(key).agg(F.min(ts).alias("_a"), F.max(ts).alias("_b")).select(
+        key,
+        F.explode(F.expr(f"sequence(_a, _b, interval {step})")).alias(ts),
+    )
     return grid.join(rows.select(key, ts), [key, ts], "left_anti")
 
 
@@ -212,7 +239,10 @@ def transaction_rules(tolerance: float = 0.01) -> list[Rule]:
         Rule("deposit_missing_destination_wallet_id", (kind == "DEPOSIT") & target.isNull()),
         Rule("outgoing_transaction_missing_source_wallet_id", kind.isin("WITHDRAWAL", "TRANSFER") & source.isNull()),
         Rule("outgoing_transaction_missing_destination_wallet_id", kind.isin("WITHDRAWAL", "TRANSFER") & target.isNull()),
-        Rule("transaction_amount_mismatch_quantity_times_price", F.coalesce(F.abs(c("transaction_amount_usd") - (c("crypto_quantity") * c("market_price_usd")).cast("decimal(20,8)")) > tolerance, false)),
+        Rule(
+            "transaction_amount_mismatch_quantity_times_price",
+            F.coalesce(F.abs(c("transaction_amount_usd") - (c("crypto_quantity") * c("market_price_usd")).cast("decimal(20,8)")) > tolerance, false),
+        ),
     ]
 
 
@@ -263,7 +293,11 @@ def master_rules(table: str) -> list[Rule]:
     """accounts: updates and amounts; devices: last seen after first; wallets have none beyond the generic ones."""
     c, false = F.col, F.lit(False)
     if table == "accounts":
-        return [Rule("updated_at_before_created_at", P.out_of_order(c("created_at"), c("updated_at"))), Rule("normal_transaction_amount_usd_negative", F.coalesce(c("normal_transaction_amount_usd") < 0, false)), Rule("normal_transaction_frequency_per_day_negative", F.coalesce(c("normal_transaction_frequency_per_day") < 0, false))]
+        return [
+            Rule("updated_at_before_created_at", P.out_of_order(c("created_at"), c("updated_at"))),
+            Rule("normal_transaction_amount_usd_negative", F.coalesce(c("normal_transaction_amount_usd") < 0, false)),
+            Rule("normal_transaction_frequency_per_day_negative", F.coalesce(c("normal_transaction_frequency_per_day") < 0, false)),
+        ]
     if table == "devices":
         return [Rule("last_seen_at_before_first_seen_at", P.out_of_order(c("first_seen_at"), c("last_seen_at")))]
     return []
@@ -289,7 +323,10 @@ def cascade(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     if "labels" in out:
         paid = good("transactions").select(F.col("transaction_id").alias("_id"), F.col("event_timestamp").alias("_at"))
         joined = out["labels"].join(paid, F.col("transaction_id") == F.col("_id"), "left")
-        rules = [Rule("transaction_not_found", F.col("transaction_id").isNotNull() & F.col("_id").isNull()), Rule("label_before_transaction", P.out_of_order(F.col("_at"), F.col("label_timestamp")))]
+        rules = [
+            Rule("transaction_not_found", F.col("transaction_id").isNotNull() & F.col("_id").isNull()),
+            Rule("label_before_transaction", P.out_of_order(F.col("_at"), F.col("label_timestamp"))),
+        ]
         out["labels"] = with_reasons(joined, rules).drop("_id", "_at")
     return out
 

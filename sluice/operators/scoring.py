@@ -29,15 +29,42 @@ def reason_codes(predicted: Column, columns: list[str]) -> Column:
     return F.when(predicted, F.array_compact(F.array(*own)) if own else none).otherwise(none)
 
 
-def decided(rows: DataFrame, probability: str, event: str, clock: Column, threshold: float = THRESHOLD, model: str = "model", version: str = "1") -> DataFrame:
+def decided(
+    rows: DataFrame,
+    probability: str,
+    event: str,
+    clock: Column,
+    threshold: float = THRESHOLD,
+    model: str = "model",
+    version: str = "1",
+) -> DataFrame:
     """Adds the flag, REVIEW or ALLOW, reason codes, model and latency (never below 0 ms)."""
     p = F.col(probability)
     predicted = p >= threshold
     latency = F.greatest((F.unix_micros(clock.cast("timestamp")) - F.unix_micros(F.col(event).cast("timestamp"))) / 1000.0, F.lit(0.0))
-    return rows.select("*", predicted.alias("predicted"), F.when(predicted, "REVIEW").otherwise("ALLOW").alias("decision"), reason_codes(predicted, rows.columns).alias("reason_codes"), F.lit(model).alias("model_name"), F.lit(version).alias("model_version"), latency.alias("processing_latency_ms"))
-
-
-def decision_events(rows: DataFrame, probability: str, event: str, clock: Column, features: list[str], expected: list[str], threshold: float = THRESHOLD, model: str = "model", version: str = "1", policy: str = "1.0") -> DataFrame:
+    return rows.select(
+        "*",
+        predicted.alias("predicted"),
+        F.when(predicted, "REVIEW").otherwise("ALLOW").alias("decision"),
+        reason_codes(predicted, rows.columns).alias("reason_codes"),
+        F.lit(model).alias("model_name"),
+        F.lit(version).alias("model_version"),
+        latency.alias("processing_latency_ms"),
+    )
+
+
+def decision_events(
+    rows: DataFrame,
+    probability: str,
+    event: str,
+    clock: Column,
+    features: list[str],
+    expected: list[str],
+    threshold: float = THRESHOLD,
+    model: str = "model",
+    version: str = "1",
+    policy: str = "1.0",
+) -> DataFrame:
     """The decision message of each scored transaction, 24 fields.
 
     rows: transaction_id, asset, country, transaction_amount_usd, the probability and the features; features: those the
@@ -75,13 +102,34 @@ def alerts(events: DataFrame, threshold: float = THRESHOLD, title: str = "High-r
     """
     p = F.coalesce("fraud_probability", "risk_score")
     hit = events.filter(is_alert(F.col("event_type"), F.col("predicted"), F.col("fraud_probability"), F.col("risk_score"), threshold))
-    out = hit.select(F.lit(title).alias("title"), F.coalesce("transaction_id", "event_id").alias("transaction_id"), p.alias("probability"), F.lit(threshold).alias("threshold"), F.coalesce("decision", F.lit("REVIEW")).alias("decision"))
-    return out.withColumn("message", F.format_string("%s: transaction %s scored %.4f (threshold %.2f), decision %s", "title", F.col("transaction_id").cast("string"), "probability", "threshold", "decision"))
+    out = hit.select(
+        F.lit(title).alias("title"),
+        F.coalesce("transaction_id", "event_id").alias("transaction_id"),
+        p.alias("probability"),
+        F.lit(threshold).alias("threshold"),
+        F.coalesce("decision", F.lit("REVIEW")).alias("decision"),
+    )
+    return out.withColumn(
+        "message",
+        F.format_string(
+            "%s: transaction %s scored %.4f (threshold %.2f), decision %s",
+            "title",
+            F.col("transaction_id").cast("string"),
+            "probability",
+            "threshold",
+            "decision",
+        ),
+    )
 
 
 def test_alert(rows: DataFrame) -> DataFrame:
     """One alert that is plainly a test."""
-    return rows.sparkSession.range(1).select(F.lit("TEST ALERT").alias("title"), F.lit("test-transaction").alias("transaction_id"), F.lit(1.0).alias("probability"), F.lit(True).alias("is_test"))
+    return rows.sparkSession.range(1).select(
+        F.lit("TEST ALERT").alias("title"),
+        F.lit("test-transaction").alias("transaction_id"),
+        F.lit(1.0).alias("probability"),
+        F.lit(True).alias("is_test"),
+    )
 
 
 def payload_counts(payloads: DataFrame, column: str, threshold: float = THRESHOLD, since: tuple[str, Column] | None = None) -> DataFrame:
@@ -90,4 +138,8 @@ def payload_counts(payloads: DataFrame, column: str, threshold: float = THRESHOL
         payloads = payloads.filter(F.col(since[0]) >= since[1])
     d = payloads.select(F.from_json(column, "struct<predicted_fraud:boolean,fraud_probability:double,risk_score:double>").alias("d"))
     p = F.coalesce("d.fraud_probability", "d.risk_score")
-    return d.agg(F.count("*").alias("decisions"), F.count(F.when(F.col("d.predicted_fraud"), 1)).alias("flagged"), F.count(F.when(F.col("d.predicted_fraud") & (p >= threshold), 1)).alias("high"))
+    return d.agg(
+        F.count("*").alias("decisions"),
+        F.count(F.when(F.col("d.predicted_fraud"), 1)).alias("flagged"),
+        F.count(F.when(F.col("d.predicted_fraud") & (p >= threshold), 1)).alias("high"),
+    )

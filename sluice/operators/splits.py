@@ -14,10 +14,18 @@ def positioned(rows: DataFrame, ts: str, tie: str) -> DataFrame:
     """Adds _position from 1 in order of (ts, tie), and _total."""
     part = rows.withColumn("_part", F.to_date(F.col(ts)))
     counts = part.groupBy("_part").agg(F.count("*").alias("_n"))  # a row a day
-    before = counts.select("_part", (F.sum("_n").over(Window.orderBy(F.col("_part").asc_nulls_first())) - F.col("_n")).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_total"))
+    before = counts.select(
+        "_part",
+        (F.sum("_n").over(Window.orderBy(F.col("_part").asc_nulls_first())) - F.col("_n")).alias("_before"),
+        F.sum("_n").over(Window.partitionBy()).alias("_total"),
+    )
     rank = F.row_number().over(Window.partitionBy("_part").orderBy(ts, tie))
     ranked = part.withColumn("_rank", rank)
-    return ranked.join(F.broadcast(before), ranked["_part"].eqNullSafe(before["_part"])).select(*rows.columns, (F.col("_rank") + F.col("_before")).alias("_position"), "_total")
+    return ranked.join(F.broadcast(before), ranked["_part"].eqNullSafe(before["_part"])).select(
+        *rows.columns,
+        (F.col("_rank") + F.col("_before")).alias("_position"),
+        "_total",
+    )
 
 
 def chronological_split(rows: DataFrame, ts: str, tie: str, train: float = 0.70, validation: float = 0.15) -> DataFrame:
@@ -25,10 +33,21 @@ def chronological_split(rows: DataFrame, ts: str, tie: str, train: float = 0.70,
     p = positioned(rows, ts, tie)
     first = F.floor(F.col("_total") * F.lit(train).cast("decimal(5,4)"))
     second = F.floor(F.col("_total") * (F.lit(train).cast("decimal(5,4)") + F.lit(validation).cast("decimal(5,4)")))
-    return p.withColumn("split", F.when(F.col("_position") <= first, "train").when(F.col("_position") <= second, "validation").otherwise("test")).drop("_position", "_total")
-
-
-def rare_event_bounds(rows: DataFrame, ts: str, tie: str, label: str, least: tuple[float, float, float] = (0.60, 0.10, 0.10), events: int = 3, wanted: tuple[float, float] = (0.70, 0.15)) -> DataFrame:
+    return p.withColumn(
+        "split",
+        F.when(F.col("_position") <= first, "train").when(F.col("_position") <= second, "validation").otherwise("test"),
+    ).drop("_position", "_total")
+
+
+def rare_event_bounds(
+    rows: DataFrame,
+    ts: str,
+    tie: str,
+    label: str,
+    least: tuple[float, float, float] = (0.60, 0.10, 0.10),
+    events: int = 3,
+    wanted: tuple[float, float] = (0.70, 0.15),
+) -> DataFrame:
     """train_end and validation_end (positions) of the rare-event split; no row if no split has enough events.
 
     The test part starts as late as it can with `events` events in it and in a validation part before it and at least
@@ -43,7 +62,10 @@ def rare_event_bounds(rows: DataFrame, ts: str, tie: str, label: str, least: tup
     ranked = events_at.orderBy(F.col("_position").desc()).limit(events).agg(F.min("_position").alias("_test_event"), F.count("*").alias("_late"))
     one = total.crossJoin(ranked)  # one row each
     share = lambda x: F.ceil(F.col("_total") * F.lit(x).cast("decimal(5,4)"))
-    end = one.filter(F.col("_late") == events).select("_total", F.least(F.col("_test_event") - 1, F.col("_total") - share(least[2])).alias("validation_end"))
+    end = one.filter(F.col("_late") == events).select(
+        "_total",
+        F.least(F.col("_test_event") - 1, F.col("_total") - share(least[2])).alias("validation_end"),
+    )
     valid = events_at.crossJoin(F.broadcast(end)).filter("_position <= validation_end")  # one row of bounds
     third = valid.orderBy(F.col("_position").desc()).limit(events).agg(F.min("_position").alias("_valid_event"), F.count("*").alias("_found"))
     bounds = end.crossJoin(third).filter(F.col("_found") == events)
@@ -52,24 +74,48 @@ def rare_event_bounds(rows: DataFrame, ts: str, tie: str, label: str, least: tup
     n = F.col("_total").cast("double")
     # the sum of distances falls, is flat between two corners, and rises: the best end is a bound or beside a corner
     corners = [low, high, *(f(x) for x in (n * wanted[0], F.col("validation_end") - n * wanted[1]) for f in (F.floor, F.ceil))]
-    grid = bounds.filter(high >= low).select("_total", "validation_end", F.explode(F.array(*(F.least(F.greatest(x, low), high).cast("long") for x in corners))).alias("train_end"))
+    grid = bounds.filter(high >= low).select(
+        "_total",
+        "validation_end",
+        F.explode(F.array(*(F.least(F.greatest(x, low), high).cast("long") for x in corners))).alias("train_end"),
+    )
     distance = F.abs(F.col("train_end") / n - wanted[0]) + F.abs((F.col("validation_end") - F.col("train_end")) / n - wanted[1]) + F.abs((F.col("_total") - F.col("validation_end")) / n - (1 - wanted[0] - wanted[1]))
-    return grid.select(F.col("train_end").cast("long").alias("train_end"), F.col("validation_end").cast("long").alias("validation_end"), F.round(distance, 9).alias("distance")).orderBy("distance", "train_end").limit(1)
+    return grid.select(
+        F.col("train_end").cast("long").alias("train_end"),
+        F.col("validation_end").cast("long").alias("validation_end"),
+        F.round(distance, 9).alias("distance"),
+    ).orderBy("distance", "train_end").limit(1)
 
 
 def split_stats(rows: DataFrame, ts: str, label: str, *entities: str) -> DataFrame:
     """Rows, events, event rate, time bounds and distinct entities of each split."""
     y = F.col(label).cast("int")
-    return rows.groupBy("split").agg(F.count("*").alias("n"), F.sum(y).cast("long").alias("events"), F.avg(y).alias("event_rate"), F.min(ts).alias("first_at"), F.max(ts).alias("last_at"), *(F.count_distinct(e).alias(f"distinct_{e}") for e in entities))
+    return rows.groupBy("split").agg(
+        F.count("*").alias("n"),
+        F.sum(y).cast("long").alias("events"),
+        F.avg(y).alias("event_rate"),
+        F.min(ts).alias("first_at"),
+        F.max(ts).alias("last_at"),
+        *(F.count_distinct(e).alias(f"distinct_{e}") for e in entities),
+    )
 
 
 def split_integrity(rows: DataFrame, key: str, ts: str, label: str) -> DataFrame:
     """Checks of a split: no key in two parts, all rows in one, parts in order of time, both classes everywhere."""
-    overlap = rows.groupBy(key).agg(F.count_distinct("split").alias("_n")).filter("_n > 1").agg(F.count("*").alias("n")).select(F.lit("overlap").alias("check_name"), "n")
+    overlap = rows.groupBy(key).agg(F.count_distinct("split").alias("_n")).filter("_n > 1").agg(F.count("*").alias("n")).select(
+        F.lit("overlap").alias("check_name"),
+        "n",
+    )
     uncovered = rows.filter(F.col("split").isNull()).agg(F.count("*").alias("n")).select(F.lit("uncovered").alias("check_name"), "n")
     at = lambda f, s: f(F.when(F.col("split") == s, F.col(ts)))
-    order = rows.agg(((at(F.max, "train") > at(F.min, "validation")).cast("int") + (at(F.max, "validation") > at(F.min, "test")).cast("int")).cast("long").alias("n")).select(F.lit("out_of_order").alias("check_name"), "n")
-    classes = rows.groupBy("split").agg(F.count_distinct(label).alias("_n")).filter("_n < 2").agg(F.count("*").alias("n")).select(F.lit("one_class").alias("check_name"), "n")
+    order = rows.agg(((at(F.max, "train") > at(F.min, "validation")).cast("int") + (at(F.max, "validation") > at(F.min, "test")).cast("int")).cast("long").alias("n")).select(
+        F.lit("out_of_order").alias("check_name"),
+        "n",
+    )
+    classes = rows.groupBy("split").agg(F.count_distinct(label).alias("_n")).filter("_n < 2").agg(F.count("*").alias("n")).select(
+        F.lit("one_class").alias("check_name"),
+        "n",
+    )
     return overlap.unionByName(uncovered).unionByName(order).unionByName(classes)
 
 
@@ -109,7 +155,10 @@ def split_digest_tree(rows: DataFrame, key: str, version: str, feature_version:
     line = split_lines(key, version, feature_version)
     part = F.pmod(F.crc32(F.col(key).cast("string")), F.lit(256)) if part is None else part
     own = rows.groupBy(part.alias("_part")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("_d"))
-    return own.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_part", "_d"))), lambda x: x["_d"]), "\n"), 256).alias("split_digest"))
+    return own.agg(F.sha2(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_part", "_d"))), lambda x: x["_d"]), "\n"),
+        256,
+    ).alias("split_digest"))
 
 
 def stratified_ids(rows: DataFrame, key: str, strata: list[tuple[str, Column, int]], most: int = 100) -> DataFrame:

@@ -39,7 +39,13 @@ def _rounded(rows: DataFrame, *columns: str) -> DataFrame:
 
 @query("SELECT event_id, hour(ts)::INT AS hour_utc, isodow(ts)::INT AS day_of_week_utc, (isodow(ts) >= 6)::INT AS is_weekend_utc, (hour(ts) <= 5)::INT AS is_night_utc FROM events")
 def calendar_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Fe.calendar_features(read_table(spark, sf_dir, "events"), "ts").select("event_id", "hour_utc", "day_of_week_utc", "is_weekend_utc", "is_night_utc")
+    return Fe.calendar_features(read_table(spark, sf_dir, "events"), "ts").select(
+        "event_id",
+        "hour_utc",
+        "day_of_week_utc",
+        "is_weekend_utc",
+        "is_night_utc",
+    )
 
 
 def _velocity_sql(e: str, key: str, value: str, idcol: str, source: str, scale: int = 1, out: str = "seconds_since_previous") -> str:
@@ -52,7 +58,15 @@ def _velocity(rows: DataFrame, key: str, ts: str, value: str, idcol: str, unit:
     out = Fe.velocity(rows, key, ts, value, SPANS, unit)
     since = "seconds_since_previous" if unit == "s" else "micros_since_previous"
     cols = [f"prior_{a}_{n}" for n in SPANS for a in ("count", "sum")]
-    return _rounded(out, *(f"prior_sum_{n}" for n in SPANS), "prior_avg_7d").select(F.col(idcol).alias("id"), *cols, "prior_avg_7d", "prior_max_7d", "has_prior_7d", F.col(since).cast("double").alias(since), "has_previous")
+    return _rounded(out, *(f"prior_sum_{n}" for n in SPANS), "prior_avg_7d").select(
+        F.col(idcol).alias("id"),
+        *cols,
+        "prior_avg_7d",
+        "prior_max_7d",
+        "has_prior_7d",
+        F.col(since).cast("double").alias(since),
+        "has_previous",
+    )
 
 
 @query(_velocity_sql(_E, "user_id", "value", "event_id", "events"))
@@ -87,7 +101,15 @@ def _auth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_AUTH_SQL)
 def auth_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _auth(spark, sf_dir).select("event_id", "failed_auth_short", "failed_auth_long", "successful_auth_long", "recent_auth_failure", "seconds_since_last_success", "has_previous_success")
+    return _auth(spark, sf_dir).select(
+        "event_id",
+        "failed_auth_short",
+        "failed_auth_long",
+        "successful_auth_long",
+        "recent_auth_failure",
+        "seconds_since_last_success",
+        "has_previous_success",
+    )
 
 
 @query(f"SELECT event_id, count(*) OVER w AS prior_events, count(DISTINCT user_id) OVER w AS distinct_accounts FROM (SELECT event_id, user_id, json_extract_string(props, '$.k') AS k, {_E} AS e FROM events) WINDOW w AS (PARTITION BY k ORDER BY e RANGE BETWEEN 86400 PRECEDING AND 1 PRECEDING)")
@@ -104,7 +126,13 @@ def wallet_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").distinct()
     rows = lines.join(read_table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     rows = rows.select("l_orderkey", "l_suppkey", F.when(F.col("l_suppkey") % 10 != 0, F.col("l_suppkey")).alias("s"), "o_orderdate")
-    return Fe.counterparty_history(rows, "s", "o_orderdate", "wallet").select("l_orderkey", "l_suppkey", "prior_wallet_count", F.col("is_new_wallet").cast("double").alias("is_new_wallet"), "wallet_applicable")
+    return Fe.counterparty_history(rows, "s", "o_orderdate", "wallet").select(
+        "l_orderkey",
+        "l_suppkey",
+        "prior_wallet_count",
+        F.col("is_new_wallet").cast("double").alias("is_new_wallet"),
+        "wallet_applicable",
+    )
 
 
 _PROFILE = "SELECT c_custkey, TIMESTAMP '2024-01-01' + INTERVAL (c_custkey % 30) DAY AS created_at, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE TIMESTAMP '2024-01-02' + INTERVAL (c_custkey % 40) DAY END AS updated_at, c_mktsegment AS risk_tier, c_acctbal AS normal_amount, c_nationkey % 5 AS home_country FROM customer"
@@ -113,7 +141,14 @@ _PROFILE = "SELECT c_custkey, TIMESTAMP '2024-01-01' + INTERVAL (c_custkey % 30)
 def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = lambda start, n: (F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(n.cast("int"))).cast("timestamp_ntz")
     k = F.col("c_custkey")
-    return read_table(spark, sf_dir, "customer").select(k.alias("user_id"), day("2024-01-01", k % 30).alias("created_at"), F.when(k % 5 != 0, day("2024-01-02", k % 40)).alias("updated_at"), F.col("c_mktsegment").alias("risk_tier"), F.col("c_acctbal").alias("normal_amount"), (F.col("c_nationkey") % 5).alias("home_country"))
+    return read_table(spark, sf_dir, "customer").select(
+        k.alias("user_id"),
+        day("2024-01-01", k % 30).alias("created_at"),
+        F.when(k % 5 != 0, day("2024-01-02", k % 40)).alias("updated_at"),
+        F.col("c_mktsegment").alias("risk_tier"),
+        F.col("c_acctbal").alias("normal_amount"),
+        (F.col("c_nationkey") % 5).alias("home_country"),
+    )
 
 
 _PROFILE_SQL = f"""
@@ -128,7 +163,11 @@ FROM (SELECT e.*, p.*, coalesce(created_at <= t AND (updated_at IS NULL OR updat
 def profile_gating(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "events").withColumn("country", F.col("event_id") % 5)
     out = Fe.profile_features(rows, _profiles(spark, sf_dir), "user_id", "ts", "value")
-    out = _rounded(out, "amount_to_normal_ratio", "amount_above_normal_usd").withColumns({c: F.col(c).cast("double") for c in ("account_age_days", "country_mismatch")})
+    out = _rounded(
+        out,
+        "amount_to_normal_ratio",
+        "amount_above_normal_usd",
+    ).withColumns({c: F.col(c).cast("double") for c in ("account_age_days", "country_mismatch")})
     return out.drop("ts", "user_id", "event_type", "value", "props", "country")
 
 
@@ -139,7 +178,13 @@ FROM (SELECT *, date_trunc('second', ts) AS t FROM events) LEFT JOIN p ON c_cust
 def first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = _profiles(spark, sf_dir).select("user_id", F.col("created_at").alias("first_seen_at"))
     out = Fe.first_seen_features(read_table(spark, sf_dir, "events"), seen, "user_id", "ts", "device")
-    return out.select("event_id", "device_profile_available", F.round("device_age_hours", 4).alias("device_age_hours"), F.round("device_age_days", 3).alias("device_age_days"), F.col("is_new_device_24h").cast("double").alias("is_new_device_24h"))
+    return out.select(
+        "event_id",
+        "device_profile_available",
+        F.round("device_age_hours", 4).alias("device_age_hours"),
+        F.round("device_age_days", 3).alias("device_age_days"),
+        F.col("is_new_device_24h").cast("double").alias("is_new_device_24h"),
+    )
 
 
 _CANDLES = "SELECT event_type AS product, date_trunc('hour', ts) AS candle_start, arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, (ts, event_id)) AS close, sum(value) AS volume, count(*) AS n_trades, date_trunc('hour', ts) + INTERVAL 1 HOUR AS candle_end FROM events GROUP BY 1, 2"
@@ -168,7 +213,12 @@ def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT product, candle_end, round(log_return, 6) AS log_return, round(return_short, 6) AS return_short, round(return_long, 6) AS return_long FROM ({_STATE})")
 def market_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_states(spark, sf_dir).select("product", "candle_end", "log_return", "return_short", "return_long"), "log_return", "return_short", "return_long")
+    return _rounded(
+        _states(spark, sf_dir).select("product", "candle_end", "log_return", "return_short", "return_long"),
+        "log_return",
+        "return_short",
+        "return_long",
+    )
 
 
 @query(f"SELECT product, candle_end, round(volatility, 6) AS volatility, round(volume_sum, 6) AS volume_sum FROM ({_STATE})")
@@ -187,7 +237,19 @@ def gap_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.gaps(_candles(spark, sf_dir).select("product", "candle_start"), "product", "candle_start", "1 hour")
 
 
-FEATURES = ["prior_count_1h", "prior_sum_24h", "prior_count_7d", "failed_auth_long", "successful_auth_long", "amount_to_normal_ratio", "country_mismatch", "is_new_device_24h", "distinct_accounts", "close", "volatility"]
+FEATURES = [
+    "prior_count_1h",
+    "prior_sum_24h",
+    "prior_count_7d",
+    "failed_auth_long",
+    "successful_auth_long",
+    "amount_to_normal_ratio",
+    "country_mismatch",
+    "is_new_device_24h",
+    "distinct_accounts",
+    "close",
+    "volatility",
+]
 _FEATURE_SQL = f"""
 WITH v AS ({_velocity_sql(_E, "user_id", "value", "event_id", "events")}), a AS ({_AUTH_SQL}), p AS ({_PROFILE_SQL}),
 d AS ({ORACLES["first_seen"]}), s AS ({ORACLES["device_shared_accounts"]}), c AS ({_STATE}),
@@ -202,7 +264,15 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = Fe.velocity(e, "user_id", "ts", "value", SPANS)
     logins = rows.filter(F.col("event_type").isin("signup", "error")).withColumn("success", F.col("event_type") == "signup")
     rows = Fe.shared_entity(rows.withColumn("k", F.get_json_object("props", "$.k")), "k", "ts", "user_id", 86400)
-    rows = Fe.authentication_features(rows.filter("event_type = 'purchase'"), logins.select("user_id", "ts", "success"), "user_id", "ts", "success", 86400, 604800)
+    rows = Fe.authentication_features(
+        rows.filter("event_type = 'purchase'"),
+        logins.select("user_id", "ts", "success"),
+        "user_id",
+        "ts",
+        "success",
+        86400,
+        604800,
+    )
     profiles = _profiles(spark, sf_dir)
     rows = Fe.profile_features(rows.withColumn("country", F.col("event_id") % 5), profiles, "user_id", "ts", "value")
     rows = Fe.first_seen_features(rows, profiles.select("user_id", F.col("created_at").alias("first_seen_at")), "user_id", "ts", "device")
@@ -222,10 +292,22 @@ def leakage_selfjoin_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "events").select(F.col("event_id").alias("_row"), "user_id", "ts", "value")
     w = Fe.velocity(rows, "user_id", "ts", "value", {"24h": 86400}).select("_row", F.col("prior_count_24h").alias("window_count"))
     pairs = Fe.prior_pairs(rows, "user_id", "ts", 86400)
-    return pairs.join(w, "_row").select(F.col("_row").alias("event_id"), "prior_pairs", "window_count", (F.col("prior_pairs") == F.col("window_count")).alias("equal"))
+    return pairs.join(w, "_row").select(
+        F.col("_row").alias("event_id"),
+        "prior_pairs",
+        "window_count",
+        (F.col("prior_pairs") == F.col("window_count")).alias("equal"),
+    )
 
 
-_REASONS = {"NEW_DEVICE": "is_new_device_24h >= 1", "NEW_COUNTRY": "country_mismatch >= 1", "HIGH_TRANSACTION_VELOCITY": "prior_count_1h >= 3", "UNUSUAL_AMOUNT": "amount_to_normal_ratio >= 4.0", "HIGH_MARKET_VOLATILITY": "volatility >= 0.02", "SUSPICIOUS_SHARED_DEVICE": "distinct_accounts >= 3"}
+_REASONS = {
+    "NEW_DEVICE": "is_new_device_24h >= 1",
+    "NEW_COUNTRY": "country_mismatch >= 1",
+    "HIGH_TRANSACTION_VELOCITY": "prior_count_1h >= 3",
+    "UNUSUAL_AMOUNT": "amount_to_normal_ratio >= 4.0",
+    "HIGH_MARKET_VOLATILITY": "volatility >= 0.02",
+    "SUSPICIOUS_SHARED_DEVICE": "distinct_accounts >= 3",
+}
 
 
 @query(f"SELECT event_id, CASE WHEN event_id % 3 = 0 THEN concat_ws(';', {', '.join(f'CASE WHEN {c} THEN {k!r} END' for k, c in _REASONS.items())}) ELSE '' END AS reasons FROM ({_FEATURE_SQL})")
@@ -261,17 +343,37 @@ def parity_by_family(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT count(*) AS n, sum(price_usd * size)::DOUBLE AS turnover FROM (SELECT CAST(value AS DECIMAL(20,8)) AS price_usd, CAST(event_id AS DECIMAL(20,8)) AS size FROM events WHERE value > 0 AND event_id > 0)")
 def market_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trade = F.struct(F.col("event_id").cast("string").alias("trade_id"), F.lit("BTC-USD").alias("product_id"), F.col("value").cast("string").alias("price"), F.col("event_id").cast("string").alias("size"), F.lit("buy").alias("side"), F.lit("2024-01-01T00:00:00.123456Z").alias("time"))
-    message = F.to_json(F.struct(F.lit("market_trades").alias("channel"), F.col("event_id").alias("sequence_num"), F.array(F.struct(F.lit("update").alias("type"), F.array(trade).alias("trades"))).alias("events")))
+    trade = F.struct(
+        F.col("event_id").cast("string").alias("trade_id"),
+        F.lit("BTC-USD").alias("product_id"),
+        F.col("value").cast("string").alias("price"),
+        F.col("event_id").cast("string").alias("size"),
+        F.lit("buy").alias("side"),
+        F.lit("2024-01-01T00:00:00.123456Z").alias("time"),
+    )
+    message = F.to_json(F.struct(
+        F.lit("market_trades").alias("channel"),
+        F.col("event_id").alias("sequence_num"),
+        F.array(F.struct(F.lit("update").alias("type"), F.array(trade).alias("trades"))).alias("events"),
+    ))
     rows = M.trade_rows(read_table(spark, sf_dir, "events").select(message.alias("m")), "m")
     return rows.agg(F.count("*").alias("n"), F.sum(F.col("price_usd") * F.col("size")).cast("double").alias("turnover"))
 
 
 @query(f"SELECT event_type AS product_id, make_timestamp(({_E}) * 1000000) AS candle_start, value AS open, round(value + 1, 6) AS high FROM events WHERE {_E} >= 1704067200 AND {_E} < 1706745600 QUALIFY row_number() OVER (PARTITION BY event_type, {_E} ORDER BY event_id DESC) = 1")
 def candle_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_table(spark, sf_dir, "events").select("event_type", "event_id", F.array(seconds(F.col("ts")).cast("double"), F.col("value") - 1, F.col("value") + 1, F.col("value"), F.col("value"), F.lit(1.0)).alias("a"))
+    rows = read_table(spark, sf_dir, "events").select(
+        "event_type",
+        "event_id",
+        F.array(seconds(F.col("ts")).cast("double"), F.col("value") - 1, F.col("value") + 1, F.col("value"), F.col("value"), F.lit(1.0)).alias("a"),
+    )
     out = M.candle_rows(rows, "a", "event_type", 1704067200, 1706745600, "event_id")  # the whole of January, in the order of ids
-    return out.select("product_id", F.col("candle_start").cast("timestamp_ntz").alias("candle_start"), F.col("open").cast("double").alias("open"), F.round(F.col("high").cast("double"), 6).alias("high"))
+    return out.select(
+        "product_id",
+        F.col("candle_start").cast("timestamp_ntz").alias("candle_start"),
+        F.col("open").cast("double").alias("open"),
+        F.round(F.col("high").cast("double"), 6).alias("high"),
+    )
 
 
 @query("SELECT date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY 1")
@@ -318,29 +420,87 @@ SELECT x.transaction_id, x.asset, x.transaction_type, x.country, x.transaction_a
  market_data_freshness_seconds, close AS latest_market_close_usd, round(r5, 6) AS market_return_5m, round(r60, 6) AS market_return_1h, round(vol, 6) AS market_volatility_1h, round(vs, 6) AS market_volume_sum_1h, (close IS NOT NULL)::INT AS market_data_available
 FROM dt x JOIN h USING (transaction_id) JOIN au USING (transaction_id) JOIN dv USING (transaction_id) JOIN wl USING (transaction_id) JOIN mk USING (transaction_id)
 LEFT JOIN (SELECT transaction_id, ac.*, created <= t AND (updated IS NULL OR updated <= t) AS ok FROM tx JOIN ac ON c_custkey = account_id) p USING (transaction_id)"""
-_ROUNDED = {3: ("device_age_days",), 4: ("device_age_hours", "destination_wallet_age_hours"), 6: ("amount_to_normal_ratio", "amount_above_normal_usd", "prior_tx_amount_sum_1h", "prior_tx_amount_sum_24h", "prior_tx_amount_avg_24h", "market_return_5m", "market_return_1h", "market_volatility_1h", "market_volume_sum_1h")}
+_ROUNDED = {
+    3: ("device_age_days",),
+    4: ("device_age_hours", "destination_wallet_age_hours"),
+    6: (
+        "amount_to_normal_ratio",
+        "amount_above_normal_usd",
+        "prior_tx_amount_sum_1h",
+        "prior_tx_amount_sum_24h",
+        "prior_tx_amount_avg_24h",
+        "market_return_5m",
+        "market_return_1h",
+        "market_volatility_1h",
+        "market_volume_sum_1h",
+    ),
+}
 
 
 def input_tables(spark: SparkSession, sf_dir: str) -> dict:
     """The tables that the inputs are made from."""
     base = 1704067200
     at = lambda s: F.timestamp_seconds(s)
-    e = read_table(spark, sf_dir, "events").withColumn("feature_timestamp", at(base + F.floor((seconds(F.col("ts")) - base) / 100))).withColumn("k", F.get_json_object("props", "$.k"))
+    e = read_table(spark, sf_dir, "events").withColumn(
+        "feature_timestamp",
+        at(base + F.floor((seconds(F.col("ts")) - base) / 100)),
+    ).withColumn("k", F.get_json_object("props", "$.k"))
     i = F.col("event_id")
     kind = F.when(i % 3 == 0, "DEPOSIT").when(i % 3 == 1, "WITHDRAWAL").otherwise("TRANSFER")
-    tx = e.filter("event_type = 'purchase'").select(i.alias("transaction_id"), F.col("user_id").alias("account_id"), F.col("k").alias("device_id"), F.when(i % 3 != 0, F.col("user_id") % 50).alias("source_wallet_id"), F.when(i % 11 != 0, i % 40).alias("destination_wallet_id"), "feature_timestamp", F.when(i % 2 == 0, "BTC").otherwise("ETH").alias("asset"), kind.alias("transaction_type"), (i % 5).alias("country"), F.col("value").alias("transaction_amount_usd"), (F.col("value") / 10).alias("crypto_quantity"), F.lit(10.0).alias("market_price_usd"))
-    logins = e.filter(F.col("event_type").isin("signup", "error")).select(F.col("user_id").alias("account_id"), F.col("k").alias("device_id"), "feature_timestamp", (F.col("event_type") == "signup").alias("login_success"))
+    tx = e.filter("event_type = 'purchase'").select(
+        i.alias("transaction_id"),
+        F.col("user_id").alias("account_id"),
+        F.col("k").alias("device_id"),
+        F.when(i % 3 != 0, F.col("user_id") % 50).alias("source_wallet_id"),
+        F.when(i % 11 != 0, i % 40).alias("destination_wallet_id"),
+        "feature_timestamp",
+        F.when(i % 2 == 0, "BTC").otherwise("ETH").alias("asset"),
+        kind.alias("transaction_type"),
+        (i % 5).alias("country"),
+        F.col("value").alias("transaction_amount_usd"),
+        (F.col("value") / 10).alias("crypto_quantity"),
+        F.lit(10.0).alias("market_price_usd"),
+    )
+    logins = e.filter(F.col("event_type").isin("signup", "error")).select(
+        F.col("user_id").alias("account_id"),
+        F.col("k").alias("device_id"),
+        "feature_timestamp",
+        (F.col("event_type") == "signup").alias("login_success"),
+    )
     c = F.col("c_custkey")
     created = base + c % 30 * 600
-    accounts = read_table(spark, sf_dir, "customer").select(c.alias("account_id"), at(created).alias("created_at"), F.when(c % 5 != 0, at(created + c % 40 * 300)).alias("updated_at"), F.col("c_mktsegment").alias("risk_tier"), F.col("c_acctbal").alias("normal_amount"), (F.col("c_nationkey") % 5).alias("home_country"))
+    accounts = read_table(spark, sf_dir, "customer").select(
+        c.alias("account_id"),
+        at(created).alias("created_at"),
+        F.when(c % 5 != 0, at(created + c % 40 * 300)).alias("updated_at"),
+        F.col("c_mktsegment").alias("risk_tier"),
+        F.col("c_acctbal").alias("normal_amount"),
+        (F.col("c_nationkey") % 5).alias("home_country"),
+    )
     devices = spark.range(100).select(F.col("id").cast("string").alias("device_id"), at(base + F.col("id") % 20 * 900).alias("first_seen_at"))
     wallets = spark.range(40).select(F.col("id").alias("wallet_id"), at(base + F.col("id") % 30 * 600).alias("first_seen_at"))
     candles = M.candles(e, "event_type", "feature_timestamp", "value", "event_id", "minute")
-    return {"transactions": tx, "accounts": accounts, "devices": devices, "wallets": wallets, "logins": logins, "states": M.market_state(candles, 300, 3600, 3600), "products": {"BTC": "purchase", "ETH": "view"}}
+    return {
+        "transactions": tx,
+        "accounts": accounts,
+        "devices": devices,
+        "wallets": wallets,
+        "logins": logins,
+        "states": M.market_state(candles, 300, 3600, 3600),
+        "products": {"BTC": "purchase", "ETH": "view"},
+    }
 
 
 #: Whole numbers that may be null, as doubles for comparing.
-_NULLABLE = ("account_age_days", "transaction_country_mismatch_home_country", "seconds_since_previous_tx", "seconds_since_last_successful_auth", "is_new_device_24h", "is_new_destination_wallet", "market_data_freshness_seconds")
+_NULLABLE = (
+    "account_age_days",
+    "transaction_country_mismatch_home_country",
+    "seconds_since_previous_tx",
+    "seconds_since_last_successful_auth",
+    "is_new_device_24h",
+    "is_new_destination_wallet",
+    "market_data_freshness_seconds",
+)
 
 
 @query(f"SELECT * REPLACE ({', '.join(f'{c}::DOUBLE AS {c}' for c in _NULLABLE)}) FROM ({_INPUT_SQL})")

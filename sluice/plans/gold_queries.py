@@ -42,17 +42,32 @@ def _time(k=None):
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("segment"), "source", F.col("n_chars").cast("double").alias("amount"), _time().alias("paid_at"))
+    return read_table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.col("lang").alias("segment"),
+        "source",
+        F.col("n_chars").cast("double").alias("amount"),
+        _time().alias("paid_at"),
+    )
 
 
 def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = (F.col("n_chars") % 100) / F.lit(100.0)
-    return read_table(spark, sf_dir, "documents").filter("doc_id % 7 <> 0").select("doc_id", score.alias("score"), (score >= 0.8).alias("predicted"), (_time() + F.expr("interval 1 minute")).cast("timestamp_ntz").alias("decided_at"))
+    return read_table(spark, sf_dir, "documents").filter("doc_id % 7 <> 0").select(
+        "doc_id",
+        score.alias("score"),
+        (score >= 0.8).alias("predicted"),
+        (_time() + F.expr("interval 1 minute")).cast("timestamp_ntz").alias("decided_at"),
+    )
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     delay = F.make_dt_interval(F.lit(0), (F.col("doc_id") % 48).cast("int"))
-    return read_table(spark, sf_dir, "labels").select("doc_id", (F.col("toxic") == 1).alias("is_fraud"), (_time() + delay).cast("timestamp_ntz").alias("labelled_at"))
+    return read_table(spark, sf_dir, "labels").select(
+        "doc_id",
+        (F.col("toxic") == 1).alias("is_fraud"),
+        (_time() + delay).cast("timestamp_ntz").alias("labelled_at"),
+    )
 
 
 def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +96,13 @@ _RATES = 'round(tp / nullif(tp + fp, 0), 6) AS "precision", round(tp / nullif(tp
 @query(f"{_GOLD} SELECT *, {_RATES}, round(frauds / nullif(labelled, 0), 6) AS fraud_rate FROM (SELECT {_KPI} FROM gold)")
 def gold_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = G.kpi_row(gold(spark, sf_dir))
-    return out.withColumns({c: F.round(c, 6) for c in ("average_score", "precision", "recall", "f1", "fraud_rate")} | {c: F.round(c, 4) for c in ("volume", "fraud_volume")})
+    return out.withColumns({c: F.round(c, 6) for c in (
+        "average_score",
+        "precision",
+        "recall",
+        "f1",
+        "fraud_rate",
+    )} | {c: F.round(c, 4) for c in ("volume", "fraud_volume")})
 
 
 @query(f"{_GOLD} SELECT date_trunc('hour', paid_at) AS hour, count(*) AS transactions, round(sum(amount), 4) AS volume, count(score) AS scored, count(*) FILTER (WHERE is_fraud) AS frauds, count(*) FILTER (WHERE predicted) AS predicted_frauds, round(avg(score), 6) AS average_score, max(score) AS highest_score, round(coalesce(sum(amount) FILTER (WHERE is_fraud), 0.0), 4) AS fraud_volume FROM gold GROUP BY 1")
@@ -107,7 +128,11 @@ _RATE_NAMES = ("precision", "recall", "f1", "specificity", "false_positive_rate"
 
 @query(f"WITH {_DEC}, {_LAB}, {_FB} SELECT *, {_ALL_RATES} FROM (SELECT {_COUNTS} FROM fb)")
 def classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Me.classification_metrics(feedback(spark, sf_dir), F.col("is_fraud"), F.col("predicted")).withColumns({c: F.round(c, 6) for c in _RATE_NAMES})
+    return Me.classification_metrics(
+        feedback(spark, sf_dir),
+        F.col("is_fraud"),
+        F.col("predicted"),
+    ).withColumns({c: F.round(c, 6) for c in _RATE_NAMES})
 
 
 @query(f"{_GOLD} SELECT *, {_ALL_RATES} FROM (SELECT segment, {_COUNTS} FROM gold WHERE outcome IS NOT NULL GROUP BY segment)")
@@ -202,13 +227,21 @@ def split_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 {_GOLD}, a AS ((SELECT doc_id, 'fraud' AS s FROM gold WHERE is_fraud ORDER BY doc_id LIMIT 25) UNION ALL (SELECT doc_id, 'normal' FROM gold WHERE NOT is_fraud ORDER BY doc_id LIMIT 45) UNION ALL (SELECT doc_id, 'large' FROM gold WHERE amount > 3000 ORDER BY doc_id LIMIT 20) UNION ALL (SELECT doc_id, 'history' FROM gold WHERE score >= 0.5 AND outcome IS NOT NULL ORDER BY doc_id LIMIT 20))
 SELECT doc_id, array_to_string(list_sort(list(DISTINCT s)), ',') AS strata FROM a GROUP BY doc_id ORDER BY doc_id LIMIT 100""")
 def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    strata = [("fraud", F.col("is_fraud"), 25), ("normal", ~F.col("is_fraud"), 45), ("large", F.col("amount") > 3000, 20), ("history", (F.col("score") >= 0.5) & F.col("outcome").isNotNull(), 20)]
+    strata = [
+        ("fraud", F.col("is_fraud"), 25),
+        ("normal", ~F.col("is_fraud"), 45),
+        ("large", F.col("amount") > 3000, 20),
+        ("history", (F.col("score") >= 0.5) & F.col("outcome").isNotNull(), 20),
+    ]
     return Sp.stratified_ids(gold(spark, sf_dir), "doc_id", strata)
 
 
 @query("SELECT l.doc_id, d.lang, l.quality, l.toxic FROM labels l JOIN documents d USING (doc_id)")
 def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents").select("doc_id", "lang").join(read_table(spark, sf_dir, "labels"), "doc_id").select("doc_id", "lang", "quality", "toxic")
+    return read_table(spark, sf_dir, "documents").select("doc_id", "lang").join(
+        read_table(spark, sf_dir, "labels"),
+        "doc_id",
+    ).select("doc_id", "lang", "quality", "toxic")
 
 
 @query("SELECT doc_id, y, CASE WHEN live THEN 'live' ELSE 'history' END AS source FROM (SELECT doc_id, toxic AS y, false AS live FROM labels UNION ALL SELECT doc_id, 1 - toxic, true FROM labels WHERE doc_id % 3 = 0) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY live DESC) = 1")
@@ -228,7 +261,15 @@ def retrain_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _decision_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = decisions(spark, sf_dir)
     k = F.col("doc_id")
-    return d.select(F.when(k % 5 == 0, "fraud_label").otherwise("fraud_decision").alias("event_type"), F.when(k % 11 != 0, F.col("predicted")).alias("predicted"), F.when(k % 2 == 0, F.col("score")).alias("fraud_probability"), F.col("score").alias("risk_score"), F.when(k % 4 != 0, k).alias("transaction_id"), k.alias("event_id"), F.lit(None).cast("string").alias("decision"))
+    return d.select(
+        F.when(k % 5 == 0, "fraud_label").otherwise("fraud_decision").alias("event_type"),
+        F.when(k % 11 != 0, F.col("predicted")).alias("predicted"),
+        F.when(k % 2 == 0, F.col("score")).alias("fraud_probability"),
+        F.col("score").alias("risk_score"),
+        F.when(k % 4 != 0, k).alias("transaction_id"),
+        k.alias("event_id"),
+        F.lit(None).cast("string").alias("decision"),
+    )
 
 
 @query(f"WITH {_DEC} SELECT doc_id AS transaction_id, score AS probability, printf('%s: transaction %s scored %.4f (threshold %.2f), decision %s', 'High-risk transaction', doc_id::VARCHAR, score, 0.8, 'REVIEW') AS message FROM dec WHERE doc_id % 5 <> 0 AND doc_id % 11 <> 0 AND predicted AND score >= 0.8")
@@ -274,7 +315,11 @@ def gold_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dashboard query over the SQL views: activity by asset, country and type of transaction."""
     rows = gold(spark, sf_dir).withColumn("country", F.col("source")).withColumn("transaction_type", (F.col("doc_id") % 3).cast("string"))
     G.create_views(rows)
-    parts = [f"SELECT '{kind}' AS kind, {c} AS value, transactions, round(volume, 4) AS volume, frauds, predicted_frauds, round(average_score, 6) AS average_score, highest_score FROM fraud_activity_by_{c}" for kind, c in (("asset", "segment"), ("country", "country"), ("type", "transaction_type"))]
+    parts = [f"SELECT '{kind}' AS kind, {c} AS value, transactions, round(volume, 4) AS volume, frauds, predicted_frauds, round(average_score, 6) AS average_score, highest_score FROM fraud_activity_by_{c}" for kind, c in (
+        ("asset", "segment"),
+        ("country", "country"),
+        ("type", "transaction_type"),
+    )]
     return spark.sql(" UNION ALL ".join(parts))
 
 
@@ -313,7 +358,18 @@ def _synthetic(spark: SparkSession):
 
 _REPORT = [f"{t}_unique" for t in ("accounts", "devices", "wallets", "transactions", "labels", "logins")]
 _REPORT += [f"transactions_{c}_found" for c in ("account_id", "device_id", "source_wallet_id", "destination_wallet_id")]
-_REPORT += [f"transaction_{n}" for n in ("event_timestamp_after_source_timestamp", "source_timestamp_after_ingestion_timestamp", "crypto_quantity_not_positive", "market_price_usd_not_positive", "transaction_amount_usd_negative", "source_and_destination_wallet_identical", "deposit_missing_destination_wallet_id", "outgoing_transaction_missing_source_wallet_id", "outgoing_transaction_missing_destination_wallet_id", "transaction_amount_mismatch_quantity_times_price")]
+_REPORT += [f"transaction_{n}" for n in (
+    "event_timestamp_after_source_timestamp",
+    "source_timestamp_after_ingestion_timestamp",
+    "crypto_quantity_not_positive",
+    "market_price_usd_not_positive",
+    "transaction_amount_usd_negative",
+    "source_and_destination_wallet_identical",
+    "deposit_missing_destination_wallet_id",
+    "outgoing_transaction_missing_source_wallet_id",
+    "outgoing_transaction_missing_destination_wallet_id",
+    "transaction_amount_mismatch_quantity_times_price",
+)]
 _REPORT += ["labels_after_transactions", "no_label_columns", "fraud_share"]
 
 
@@ -324,7 +380,14 @@ def synthetic_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     s = _synthetic(spark)
     t = s.transactions()
-    return quality_report({"accounts": s.accounts(), "devices": s.devices(), "wallets": s.wallets(), "transactions": t, "labels": s.labels(t), "logins": s.logins(t)})
+    return quality_report({
+        "accounts": s.accounts(),
+        "devices": s.devices(),
+        "wallets": s.wallets(),
+        "transactions": t,
+        "labels": s.labels(t),
+        "logins": s.logins(t),
+    })
 
 
 @query("SELECT * FROM (VALUES ('transactions', 2500), ('labelled', 20), ('scenarios', 6), ('audit rows without a label but of velocity cases', 0), ('labels of frauds', 20), ('bundles of takeovers without a failed login', 0)) t(name, n)")
@@ -357,10 +420,18 @@ def model_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "customer").withColumn("y", (F.col("c_acctbal") > 5000).cast("int"))
     train, test = rows.filter("c_custkey % 10 < 7"), rows.filter("c_custkey % 10 >= 7")
     out = []
-    for name, model in (("logistic", fit_logistic(train, numeric, categorical, "y")), ("boosted", fit_boosted(train, numeric, categorical, "y", trees=10))):
+    for name, model in (
+        ("logistic", fit_logistic(train, numeric, categorical, "y")),
+        ("boosted", fit_boosted(train, numeric, categorical, "y", trees=10)),
+    ):
         s = scored(model, test, numeric, categorical, "c_custkey", "y")
         sums = s.agg(F.count("*").alias("scored"), (F.min("score") >= 0).alias("_a"), (F.max("score") <= 1).alias("_b"))
-        out.append(sums.crossJoin(Me.roc_auc(s, "y", "score")).select(F.lit(name).alias("model"), "scored", (F.col("_a") & F.col("_b")).alias("in_unit_interval"), (F.col("roc_auc") > 0.9).alias("better_than_chance")))  # one row each
+        out.append(sums.crossJoin(Me.roc_auc(s, "y", "score")).select(  # one row each
+            F.lit(name).alias("model"),
+            "scored",
+            (F.col("_a") & F.col("_b")).alias("in_unit_interval"),
+            (F.col("roc_auc") > 0.9).alias("better_than_chance"),
+        ))
     return Me.union_all(out)
 
 

@@ -40,7 +40,10 @@ def dq_reason_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _order_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "orders").withColumn("priority", F.nullif("o_orderpriority", F.lit("5-LOW")))
     rules = Q.TableRules(required=("priority",), allowed={"o_orderstatus": ["F", "O"]}).rules(rows)
-    rules += [Q.Rule("price_range", F.col("o_totalprice") > 400000), Q.Rule("date_order", P.out_of_order(F.col("o_orderdate"), F.lit("1997-12-31 23:59:59").cast("timestamp_ntz")))]
+    rules += [
+        Q.Rule("price_range", F.col("o_totalprice") > 400000),
+        Q.Rule("date_order", P.out_of_order(F.col("o_orderdate"), F.lit("1997-12-31 23:59:59").cast("timestamp_ntz"))),
+    ]
     return Q.with_reasons(rows, rules)
 
 
@@ -55,7 +58,10 @@ def dq_reason_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT count(*) FILTER (WHERE ok) AS valid, count(*) FILTER (WHERE NOT ok) AS quarantined FROM (SELECT NOT (o_orderpriority = '5-LOW' OR o_orderstatus NOT IN ('F', 'O') OR o_totalprice > 400000 OR o_orderdate >= TIMESTAMP '1998-01-01') AS ok FROM orders)")
 def dq_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _order_reasons(spark, sf_dir)
-    return Q.valid_rows(rows).select(F.lit(1).alias("v")).unionByName(Q.quarantined_rows(rows).select(F.lit(0).alias("v"))).agg(F.count(F.when(F.col("v") == 1, 1)).alias("valid"), F.count(F.when(F.col("v") == 0, 1)).alias("quarantined"))
+    return Q.valid_rows(rows).select(F.lit(1).alias("v")).unionByName(Q.quarantined_rows(rows).select(F.lit(0).alias("v"))).agg(
+        F.count(F.when(F.col("v") == 1, 1)).alias("valid"),
+        F.count(F.when(F.col("v") == 0, 1)).alias("quarantined"),
+    )
 
 
 @query("SELECT coalesce(sum(n - 1), 0)::BIGINT AS n FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)")
@@ -86,7 +92,11 @@ def dq_fk_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = Q.missing_parent(t("customer"), "c_nationkey", t("nation"), "n_nationkey", "nation_not_found", F.col("n_regionkey") != 0)
     orders = Q.missing_parent(t("orders"), "o_custkey", Q.valid_rows(customer), "c_custkey", "customer_not_found")
     lines = Q.missing_parent(t("lineitem"), "l_orderkey", Q.valid_rows(orders), "o_orderkey", "order_not_found")
-    one = lambda name, df: df.agg(F.lit(name).alias("table_name"), F.count("*").alias("n"), F.count(F.when(F.size(Q.REASONS) > 0, 1)).alias("invalid"))
+    one = lambda name, df: df.agg(
+        F.lit(name).alias("table_name"),
+        F.count("*").alias("n"),
+        F.count(F.when(F.size(Q.REASONS) > 0, 1)).alias("invalid"),
+    )
     return one("customer", customer).unionByName(one("orders", orders)).unionByName(one("lineitem", lines))
 
 
@@ -113,7 +123,10 @@ def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT sum(failures)::BIGINT AS failures, CASE WHEN sum(failures) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (SELECT count(*) AS failures FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) UNION ALL SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer))")
 def dq_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lambda n: read_table(spark, sf_dir, n)
-    return Q.overall(Q.checks(("keys", Q.duplicate_keys(t("lineitem"), "l_orderkey", "l_linenumber")), ("parents", Q.orphans(t("orders"), "o_custkey", t("customer"), "c_custkey").agg(F.count("*").alias("n")))))
+    return Q.overall(Q.checks(
+        ("keys", Q.duplicate_keys(t("lineitem"), "l_orderkey", "l_linenumber")),
+        ("parents", Q.orphans(t("orders"), "o_custkey", t("customer"), "c_custkey").agg(F.count("*").alias("n"))),
+    ))
 
 
 @query("""
@@ -148,7 +161,12 @@ def normalize_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "customer")
     blank = F.when(F.col("c_custkey") % 3 == 0, F.lit("   ")).otherwise(F.col("c_mktsegment"))
     tags = Ty.clean_array(F.array(F.concat("c_mktsegment", F.lit(" ")), F.lit(" x")))
-    return rows.select("c_custkey", Ty.clean_string(F.concat(F.lit("  "), "c_name", F.lit(" ")), "upper").alias("name"), Ty.clean_string(blank).alias("segment"), F.array_join(tags, ",").alias("tags"))
+    return rows.select(
+        "c_custkey",
+        Ty.clean_string(F.concat(F.lit("  "), "c_name", F.lit(" ")), "upper").alias("name"),
+        Ty.clean_string(blank).alias("segment"),
+        F.array_join(tags, ",").alias("tags"),
+    )
 
 
 def _hash_sql(*values: str) -> str:
@@ -157,7 +175,10 @@ def _hash_sql(*values: str) -> str:
 
 @query(f"SELECT o_orderkey, {_hash_sql('o_orderkey::VARCHAR', 'o_custkey::VARCHAR', 'status', 'priority', 'epoch_us(o_orderdate)::VARCHAR')} AS row_hash FROM (SELECT *, nullif(o_orderstatus, 'P') AS status, o_orderstatus || '|' || o_orderpriority AS priority FROM orders)")
 def row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_table(spark, sf_dir, "orders").withColumn("status", F.nullif("o_orderstatus", F.lit("P"))).withColumn("us", Ty.micros(F.col("o_orderdate")))
+    rows = read_table(spark, sf_dir, "orders").withColumn(
+        "status",
+        F.nullif("o_orderstatus", F.lit("P")),
+    ).withColumn("us", Ty.micros(F.col("o_orderdate")))
     rows = rows.withColumn("priority", F.concat_ws("|", "o_orderstatus", "o_orderpriority"))  # a separator inside a value
     return rows.select("o_orderkey", Ty.row_hash(["o_orderkey", "o_custkey", "status", "priority", "us"]).alias("row_hash"))
 
@@ -166,7 +187,15 @@ def row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def typed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sinks.exact_decimals(read_table(spark, sf_dir, "lineitem").withColumn("price", F.col("l_extendedprice")), "price")
     lost = F.col("l_returnflag").try_cast("double")
-    return rows.select("l_orderkey", "l_linenumber", F.col("price").cast("double").alias("price"), lost.alias("lost"), P.lost_in_conversion(F.col("l_returnflag"), lost).alias("conversion_failed"), F.to_date("l_shipdate").cast("string").alias("ship_date"), P.date_differs(F.lit("1999-01-01").cast("date"), F.col("l_shipdate")).alias("date_differs"))
+    return rows.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.col("price").cast("double").alias("price"),
+        lost.alias("lost"),
+        P.lost_in_conversion(F.col("l_returnflag"), lost).alias("conversion_failed"),
+        F.to_date("l_shipdate").cast("string").alias("ship_date"),
+        P.date_differs(F.lit("1999-01-01").cast("date"), F.col("l_shipdate")).alias("date_differs"),
+    )
 
 
 @query("SELECT event_id, user_id, CAST(NULL AS VARCHAR) AS event_type, '{\"event_type\":\"' || event_type || '\",\"value\":\"' || user_id || '\"}' AS rescued FROM events")
@@ -174,13 +203,24 @@ def rescued_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns that a schema lacks or cannot take, kept as JSON."""
     from pyspark.sql import types as T
 
-    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()), T.StructField("event_type", T.IntegerType())])
-    return conform(read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.col("user_id").alias("value")), schema).select("event_id", "user_id", F.col("event_type").cast("string").alias("event_type"), F.col("_rescued").alias("rescued"))
+    schema = T.StructType([
+        T.StructField("event_id", T.LongType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.IntegerType()),
+    ])
+    return conform(
+        read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.col("user_id").alias("value")),
+        schema,
+    ).select("event_id", "user_id", F.col("event_type").cast("string").alias("event_type"), F.col("_rescued").alias("rescued"))
 
 
 @query("SELECT count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-15'")
 def count_since(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rows_since(read_table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "2024-01-15 00:00:00").agg(F.count("*").alias("n"))
+    return rows_since(
+        read_table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")),
+        "ts",
+        "2024-01-15 00:00:00",
+    ).agg(F.count("*").alias("n"))
 
 
 @query("SELECT user_id, event_id, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
@@ -190,7 +230,11 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT user_id, count(*) AS n, 'duplicate_business_key_non_latest' AS quarantine_reason FROM (SELECT user_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) > 1) GROUP BY user_id")
 def dedup_older(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.older(read_table(spark, sf_dir, "events"), ["user_id"], L.newest_by("ts", "event_id")).groupBy("user_id", "quarantine_reason").agg(F.count("*").alias("n"))
+    return L.older(
+        read_table(spark, sf_dir, "events"),
+        ["user_id"],
+        L.newest_by("ts", "event_id"),
+    ).groupBy("user_id", "quarantine_reason").agg(F.count("*").alias("n"))
 
 
 _LABELS_SQL = "SELECT doc_id % 200 AS transaction_id, doc_id AS event_id, toxic = 1 AS is_fraud, CASE WHEN quality = 0 THEN 'INCONCLUSIVE' WHEN toxic = 1 THEN 'CONFIRMED_FRAUD' ELSE 'CLEARED' END AS investigation_status, doc_id % 7 AS label_timestamp FROM labels"
@@ -200,7 +244,15 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "labels")
     status = F.when(F.col("quality") == 0, "INCONCLUSIVE").when(F.col("toxic") == 1, "CONFIRMED_FRAUD").otherwise("CLEARED")
     at = F.col("doc_id") % 7
-    return rows.select((F.col("doc_id") % 200).alias("transaction_id"), F.col("doc_id").alias("event_id"), (F.col("toxic") == 1).alias("is_fraud"), status.alias("investigation_status"), at.alias("label_timestamp"), at.alias("ingestion_timestamp"), at.alias("source_timestamp"))
+    return rows.select(
+        (F.col("doc_id") % 200).alias("transaction_id"),
+        F.col("doc_id").alias("event_id"),
+        (F.col("toxic") == 1).alias("is_fraud"),
+        status.alias("investigation_status"),
+        at.alias("label_timestamp"),
+        at.alias("ingestion_timestamp"),
+        at.alias("source_timestamp"),
+    )
 
 
 @query(f"SELECT transaction_id, event_id, is_fraud, investigation_status FROM ({_LABELS_SQL}) WHERE investigation_status <> 'INCONCLUSIVE' QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY label_timestamp DESC, event_id DESC) = 1")
@@ -219,7 +271,10 @@ _PAIRS_SQL = "t AS (SELECT o_orderkey AS k, o_totalprice AS v FROM orders WHERE
 def _pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     o = read_table(spark, sf_dir, "orders")
     t = o.filter("o_orderkey % 4 <> 0").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"))
-    s = o.filter("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("k"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("v"))
+    s = o.filter("o_orderkey % 2 = 0").select(
+        F.col("o_orderkey").alias("k"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("v"),
+    )
     digest = lambda df: df.withColumn("h", Ty.row_hash(["v"]))
     return digest(t), digest(s)
 
@@ -255,34 +310,64 @@ def profile_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(read_table(spark, sf_dir, "lineitem"), list(_NUMS)).withColumns({c: F.round(c, 6) for c in ("mean", "deviation")})
 
 
-@query("SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value NULLS LAST) AS place FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, nullif({c}, 'R') AS value, count(*) AS n FROM lineitem GROUP BY ALL" for c in ("l_returnflag", "l_linestatus")) + ")")
+@query("SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value NULLS LAST) AS place FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, nullif({c}, 'R') AS value, count(*) AS n FROM lineitem GROUP BY ALL" for c in (
+    "l_returnflag",
+    "l_linestatus",
+)) + ")")
 def profile_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.operators.metrics import profile_categorical as profile
 
-    return profile(read_table(spark, sf_dir, "lineitem").withColumn("l_returnflag", F.nullif("l_returnflag", F.lit("R"))), ["l_returnflag", "l_linestatus"])
+    return profile(
+        read_table(spark, sf_dir, "lineitem").withColumn("l_returnflag", F.nullif("l_returnflag", F.lit("R"))),
+        ["l_returnflag", "l_linestatus"],
+    )
 
 
 @query("SELECT event_id, TRY_CAST(json_extract_string(CASE WHEN event_id % 10 = 0 THEN 'not json' ELSE props END, '$.k') AS DOUBLE) AS k, event_id % 10 <> 0 AS parsed_json_valid, sha256(CASE WHEN event_id % 10 = 0 THEN 'not json' ELSE props END) AS payload_sha256 FROM (SELECT * FROM events WHERE event_id % 10 <> 0) UNION ALL SELECT event_id, NULL, false, sha256('not json') FROM events WHERE event_id % 10 = 0")
 def json_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.when(F.col("event_id") % 10 == 0, F.lit("not json")).otherwise(F.col("props"))
     rows = read_table(spark, sf_dir, "events").withColumn("raw", raw).withColumn("d", F.from_json("raw", "struct<k:bigint>"))
-    return rows.select("event_id", F.col("d.k").cast("double").alias("k"), F.col("d.k").isNotNull().alias("parsed_json_valid"), Ty.payload_hash(F.col("raw")).alias("payload_sha256"))
+    return rows.select(
+        "event_id",
+        F.col("d.k").cast("double").alias("k"),
+        F.col("d.k").isNotNull().alias("parsed_json_valid"),
+        Ty.payload_hash(F.col("raw")).alias("payload_sha256"),
+    )
 
 
 @query("SELECT event_id, CASE event_type WHEN 'purchase' THEN 'BTC-USD' WHEN 'view' THEN 'ETH-USD' END AS product, coalesce(CASE WHEN value > 50 THEN value END, 0.0) AS amount, TIMESTAMP '1970-01-01' + INTERVAL (epoch_us(ts) // 60000000) MINUTE AS minute FROM events")
 def mapped_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "events")
-    return rows.select("event_id", Ty.mapped(F.col("event_type"), {"purchase": "BTC-USD", "view": "ETH-USD"}).alias("product"), Ty.first_present(F.when(F.col("value") > 50, F.col("value")), F.lit(0.0)).alias("amount"), Ty.minute_of(F.col("ts")).alias("minute"))
+    return rows.select(
+        "event_id",
+        Ty.mapped(F.col("event_type"), {"purchase": "BTC-USD", "view": "ETH-USD"}).alias("product"),
+        Ty.first_present(F.when(F.col("value") > 50, F.col("value")), F.lit(0.0)).alias("amount"),
+        Ty.minute_of(F.col("ts")).alias("minute"),
+    )
 
 
 @query("SELECT event_id, CASE WHEN event_type IN ('view') THEN true ELSE false END AS flagged, CASE WHEN event_type = 'purchase' THEN 1 WHEN event_type = 'error' THEN 0 END::DOUBLE AS target FROM events")
 def target_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     text = F.when(kind == "purchase", " TRUE ").when(kind == "error", "0").otherwise("maybe")
-    return read_table(spark, sf_dir, "events").select("event_id", Ty.as_bool(F.when(kind == "view", "Yes").otherwise("no")).alias("flagged"), Ty.normal_target(text).cast("double").alias("target"))
+    return read_table(spark, sf_dir, "events").select(
+        "event_id",
+        Ty.as_bool(F.when(kind == "view", "Yes").otherwise("no")).alias("flagged"),
+        Ty.normal_target(text).cast("double").alias("target"),
+    )
 
 
-_LINKS = (("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey"), ("lineitem", "l_partkey", "part", "p_partkey"), ("customer", "c_nationkey", "nation", "n_nationkey"), ("nation", "n_regionkey", "region", "r_regionkey"), ("supplier", "s_nationkey", "nation", "n_nationkey"), ("events", "user_id", "customer", "c_custkey"), ("labels", "doc_id", "documents", "doc_id"))
+_LINKS = (
+    ("orders", "o_custkey", "customer", "c_custkey"),
+    ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ("lineitem", "l_partkey", "part", "p_partkey"),
+    ("customer", "c_nationkey", "nation", "n_nationkey"),
+    ("nation", "n_regionkey", "region", "r_regionkey"),
+    ("supplier", "s_nationkey", "nation", "n_nationkey"),
+    ("events", "user_id", "customer", "c_custkey"),
+    ("labels", "doc_id", "documents", "doc_id"),
+)
 
 
 @query(" UNION ALL ".join(f"SELECT '{t}.{c}->{p}.{k}' AS check_name, count(*) AS failures, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM {t} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {k} FROM {p})" for t, c, p, k in _LINKS))

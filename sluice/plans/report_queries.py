@@ -32,7 +32,12 @@ def query(sql: str | None = None):
 
 
 _SEGMENT = "SELECT '{name}' AS segment_name, {value} AS segment_value, count(*) AS row_count, count(*) FILTER (WHERE is_fraud) AS fraud_count, round(avg(score), 6) AS average_probability, count(*) FILTER (WHERE predicted) AS high_risk_count, round(count(*) FILTER (WHERE is_fraud AND predicted) / nullif(count(*) FILTER (WHERE predicted), 0), 6) AS fraud_precision, round(count(*) FILTER (WHERE is_fraud AND predicted) / nullif(count(*) FILTER (WHERE is_fraud), 0), 6) AS fraud_recall FROM gold WHERE outcome IS NOT NULL GROUP BY ALL"
-_SEGMENTS = {"asset": "segment", "transaction_type": "(doc_id % 3)::VARCHAR", "customer_risk_tier": "coalesce(nullif(source, 'src1'), '__MISSING__')", "cold_start_status": "CASE WHEN doc_id % 4 = 0 THEN 'cold_start' ELSE 'existing_history' END"}
+_SEGMENTS = {
+    "asset": "segment",
+    "transaction_type": "(doc_id % 3)::VARCHAR",
+    "customer_risk_tier": "coalesce(nullif(source, 'src1'), '__MISSING__')",
+    "cold_start_status": "CASE WHEN doc_id % 4 = 0 THEN 'cold_start' ELSE 'existing_history' END",
+}
 
 
 @query(f"{Gq._GOLD} " + " UNION ALL ".join(_SEGMENT.format(name=n, value=v) for n, v in _SEGMENTS.items()))
@@ -40,7 +45,12 @@ def segment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics by asset, type, risk tier and cold start, in one pass over the rows."""
     rows = Gq.gold(spark, sf_dir).filter("outcome IS NOT NULL")
     previous = F.when(F.col("doc_id") % 8 != 0, (F.col("doc_id") % 4).cast("int"))
-    segments = {"asset": F.col("segment"), "transaction_type": F.col("doc_id") % 3, "customer_risk_tier": F.nullif("source", F.lit("src1")), "cold_start_status": Me.cold_start(previous)}
+    segments = {
+        "asset": F.col("segment"),
+        "transaction_type": F.col("doc_id") % 3,
+        "customer_risk_tier": F.nullif("source", F.lit("src1")),
+        "cold_start_status": Me.cold_start(previous),
+    }
     out = Me.segment_metrics(rows, segments, F.col("is_fraud"), F.col("predicted"), F.col("score"))
     return out.withColumns({c: F.round(c, 6) for c in ("average_probability", "fraud_precision", "fraud_recall")})
 
@@ -50,7 +60,12 @@ SELECT name, fp FROM c WHERE recall >= 0.2 ORDER BY fp, pr_auc DESC NULLS LAST,
 def model_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of the models with enough recall the one with fewest false positives, then by PR-AUC and precision."""
     rows = read_table(spark, sf_dir, "labels").groupBy(F.concat(F.lit("model"), F.col("doc_id") % 5).alias("name"))
-    candidates = rows.agg(F.avg("quality").alias("recall"), F.count(F.when(F.col("toxic") == 1, 1)).alias("fp"), F.avg("toxic").alias("pr_auc"), F.avg("quality").alias("precision"))
+    candidates = rows.agg(
+        F.avg("quality").alias("recall"),
+        F.count(F.when(F.col("toxic") == 1, 1)).alias("fp"),
+        F.avg("toxic").alias("pr_auc"),
+        F.avg("quality").alias("precision"),
+    )
     return Me.chosen_model(candidates, 0.2).select("name", "fp")
 
 
@@ -73,7 +88,10 @@ UNION ALL SELECT 'scenario:' || (doc_id % 6), count(*) FROM labels WHERE toxic =
 @query(_DISTRIBUTION)
 def fraud_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shares of frauds among all and completed transactions, and rows of each scenario."""
-    paid = read_table(spark, sf_dir, "documents").withColumn("transaction_status", F.when(F.col("doc_id") % 10 == 0, "PENDING").otherwise("COMPLETED"))
+    paid = read_table(spark, sf_dir, "documents").withColumn(
+        "transaction_status",
+        F.when(F.col("doc_id") % 10 == 0, "PENDING").otherwise("COMPLETED"),
+    )
     labels = read_table(spark, sf_dir, "labels").withColumn("is_fraud", F.col("toxic") == 1)
     audit = labels.select("doc_id", (F.col("doc_id") % 6).cast("string").alias("scenario_id"), F.col("is_fraud").alias("label_expected"))
     return Me.fraud_distribution(paid, labels, audit, "doc_id").withColumn("value", F.round("value", 9))
@@ -98,7 +116,10 @@ def sink_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import types as T
 
     back = scan(spark, path, T.StructType.fromDDL("event_id bigint, amount decimal(20,1), event_date date"), path)
-    return back.groupBy(F.col("event_date").cast("string").alias("event_date")).agg(F.count("*").alias("n"), F.round(F.sum("amount").cast("double"), 4).alias("total"))
+    return back.groupBy(F.col("event_date").cast("string").alias("event_date")).agg(
+        F.count("*").alias("n"),
+        F.round(F.sum("amount").cast("double"), 4).alias("total"),
+    )
 
 
 @query("SELECT 'orders' AS table_name, count(*) AS n_rows, 1 AS files, '' AS partitions FROM orders UNION ALL SELECT 'customer', count(*), 1, '' FROM customer")

@@ -53,7 +53,11 @@ _TIMES_SQL = "{ts} AS event_timestamp, {ts} + INTERVAL ({k} % 19 - 1) SECOND AS
 def _times(ts: str, k: str) -> list[Column]:
     """Event, source and ingestion time, out of order in some rows."""
     key, at = F.col(k), F.col(ts)
-    return [at.alias("event_timestamp"), _shifted(at, key % 19 - 1).alias("source_timestamp"), _shifted(at, key % 19 - 1 + key % 23 - 1).alias("ingestion_timestamp")]
+    return [
+        at.alias("event_timestamp"),
+        _shifted(at, key % 19 - 1).alias("source_timestamp"),
+        _shifted(at, key % 19 - 1 + key % 23 - 1).alias("ingestion_timestamp"),
+    ]
 
 
 _TX_SQL = f"""SELECT o_orderkey AS transaction_id, o_custkey AS account_id, o_orderkey % 12 AS device_id, {_TIMES_SQL.format(ts='o_orderdate', k='o_orderkey')},
@@ -139,9 +143,19 @@ _LABELS_SQL = f"""SELECT doc_id, {_TIMES_SQL.format(ts="(TIMESTAMP '2024-01-01'
 
 def _fraud_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("doc_id")
-    rows = read_table(spark, sf_dir, "labels").withColumn("at", (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(hours=k.cast("int"))).cast("timestamp_ntz"))
+    rows = read_table(spark, sf_dir, "labels").withColumn(
+        "at",
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(hours=k.cast("int"))).cast("timestamp_ntz"),
+    )
     status = F.when(k % 3 == 0, "CONFIRMED_FRAUD").when(k % 3 == 1, "CLEARED").otherwise("INCONCLUSIVE")
-    return rows.select("doc_id", *_times("at", "doc_id"), _shifted(F.col("at"), (k % 4 == 0).cast("int")).alias("label_timestamp"), F.when(k % 9 != 0, F.col("toxic") == 1).alias("is_fraud"), F.when(k % 5 < 2, "STRUCTURING").alias("fraud_type"), status.alias("investigation_status"))
+    return rows.select(
+        "doc_id",
+        *_times("at", "doc_id"),
+        _shifted(F.col("at"), (k % 4 == 0).cast("int")).alias("label_timestamp"),
+        F.when(k % 9 != 0, F.col("toxic") == 1).alias("is_fraud"),
+        F.when(k % 5 < 2, "STRUCTURING").alias("fraud_type"),
+        status.alias("investigation_status"),
+    )
 
 
 @query(f"SELECT doc_id, {_reasons_sql(_LABEL_RULES)} FROM ({_LABELS_SQL})")
@@ -171,14 +185,24 @@ def dq_authentication_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT c_custkey, {_reasons_sql({'updated_at_before_created_at': 'c_custkey % 6 = 0', 'normal_transaction_amount_usd_negative': 'c_acctbal < 0', 'normal_transaction_frequency_per_day_negative': 'c_custkey % 10 = 0'})} FROM customer")
 def dq_account_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, at = F.col("c_custkey"), F.lit("2024-01-01").cast("timestamp_ntz")
-    rows = read_table(spark, sf_dir, "customer").select("c_custkey", at.alias("created_at"), F.when(k % 4 != 1, _shifted(at, F.when(k % 6 == 0, -1).otherwise(5))).alias("updated_at"), F.col("c_acctbal").alias("normal_transaction_amount_usd"), F.when(k % 10 == 0, -0.5).otherwise(1.0).alias("normal_transaction_frequency_per_day"))
+    rows = read_table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        at.alias("created_at"),
+        F.when(k % 4 != 1, _shifted(at, F.when(k % 6 == 0, -1).otherwise(5))).alias("updated_at"),
+        F.col("c_acctbal").alias("normal_transaction_amount_usd"),
+        F.when(k % 10 == 0, -0.5).otherwise(1.0).alias("normal_transaction_frequency_per_day"),
+    )
     return _reasons(rows, Q.master_rules("accounts"), "c_custkey")
 
 
 @query(f"SELECT s_suppkey, {_reasons_sql({'last_seen_at_before_first_seen_at': 's_suppkey % 3 = 0'})} FROM supplier")
 def dq_device_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = F.lit("2024-01-01").cast("timestamp_ntz")
-    rows = read_table(spark, sf_dir, "supplier").select("s_suppkey", at.alias("first_seen_at"), _shifted(at, F.when(F.col("s_suppkey") % 3 == 0, -1).otherwise(0)).alias("last_seen_at"))
+    rows = read_table(spark, sf_dir, "supplier").select(
+        "s_suppkey",
+        at.alias("first_seen_at"),
+        _shifted(at, F.when(F.col("s_suppkey") % 3 == 0, -1).otherwise(0)).alias("last_seen_at"),
+    )
     return _reasons(rows, Q.master_rules("devices"), "s_suppkey")
 
 
@@ -197,9 +221,23 @@ def dq_wallet_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     uuid = Ty.uuid5(k.cast("string"))
     some = lambda *xs: F.array(*map(F.lit, xs))
-    assets = F.when(k % 5 == 0, F.array().cast("array<string>")).when(k % 5 == 3, some("BTC", "ETH", "BTC")).when(k % 5 == 4, some("BTC", "DOGE")).otherwise(some("ETH"))
-    rows = read_table(spark, sf_dir, "part").select("p_partkey", F.when(k % 9 == 0, F.concat(F.lit("x"), uuid)).otherwise(uuid).alias("wallet_uuid"), F.when(F.col("p_size") % 7 == 0, "BANK").otherwise("CUSTOMER").alias("wallet_type"), assets.alias("supported_assets"))
-    rules = Q.TableRules(uuids=("wallet_uuid",), allowed={"wallet_type": ["CUSTOMER", "EXTERNAL"]}, allowed_elements={"supported_assets": ["BTC", "ETH"]}, sizes={"supported_assets": (1, 2)}, unique_items=("supported_assets",))
+    assets = F.when(
+        k % 5 == 0,
+        F.array().cast("array<string>"),
+    ).when(k % 5 == 3, some("BTC", "ETH", "BTC")).when(k % 5 == 4, some("BTC", "DOGE")).otherwise(some("ETH"))
+    rows = read_table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.when(k % 9 == 0, F.concat(F.lit("x"), uuid)).otherwise(uuid).alias("wallet_uuid"),
+        F.when(F.col("p_size") % 7 == 0, "BANK").otherwise("CUSTOMER").alias("wallet_type"),
+        assets.alias("supported_assets"),
+    )
+    rules = Q.TableRules(
+        uuids=("wallet_uuid",),
+        allowed={"wallet_type": ["CUSTOMER", "EXTERNAL"]},
+        allowed_elements={"supported_assets": ["BTC", "ETH"]},
+        sizes={"supported_assets": (1, 2)},
+        unique_items=("supported_assets",),
+    )
     return _reasons(rows, rules.rules(rows), "p_partkey")
 
 
@@ -222,12 +260,27 @@ def dq_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.array().cast("array<string>")
     t = lambda n: read_table(spark, sf_dir, n)
     accounts = Q.with_reasons(t("customer").select(F.col("c_custkey").alias("account_id"), "c_acctbal"), [Q.Rule("balance", F.col("c_acctbal") < 0)])
-    devices = t("supplier").select(F.col("s_suppkey").alias("device_id"), F.when(F.col("s_suppkey") % 5 != 0, F.col("s_suppkey") * 3).alias("primary_account_id"), none.alias(Q.REASONS))
+    devices = t("supplier").select(
+        F.col("s_suppkey").alias("device_id"),
+        F.when(F.col("s_suppkey") % 5 != 0, F.col("s_suppkey") * 3).alias("primary_account_id"),
+        none.alias(Q.REASONS),
+    )
     k = F.col("p_partkey")
-    wallets = t("part").select(k.alias("wallet_id"), F.when(k % 4 != 0, k).alias("owner_account_id"), F.when(F.col("p_size") % 2 == 0, "CUSTOMER").otherwise("EXTERNAL").alias("wallet_type"), none.alias(Q.REASONS))
+    wallets = t("part").select(
+        k.alias("wallet_id"),
+        F.when(k % 4 != 0, k).alias("owner_account_id"),
+        F.when(F.col("p_size") % 2 == 0, "CUSTOMER").otherwise("EXTERNAL").alias("wallet_type"),
+        none.alias(Q.REASONS),
+    )
     at = (F.lit("1995-01-01").cast("timestamp_ntz") + F.make_dt_interval((F.col("doc_id") % 900).cast("int"))).cast("timestamp_ntz")
     labels = t("labels").select((F.col("doc_id") * 2).alias("transaction_id"), at.alias("label_timestamp"), none.alias(Q.REASONS))
-    out = Q.cascade({"accounts": accounts, "devices": devices, "wallets": wallets, "transactions": _transactions(spark, sf_dir).withColumn(Q.REASONS, none), "labels": labels})
+    out = Q.cascade({
+        "accounts": accounts,
+        "devices": devices,
+        "wallets": wallets,
+        "transactions": _transactions(spark, sf_dir).withColumn(Q.REASONS, none),
+        "labels": labels,
+    })
     counts = [Q.reason_counts(out[n]).select(F.lit(n).alias("table_name"), "reason", "n") for n in ("devices", "wallets", "transactions", "labels")]
     return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
 
@@ -252,16 +305,29 @@ def dq_transformation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     after = rows.select("o_orderkey", F.lit("F").alias("status"), F.col("o_totalprice").cast("decimal(20,8)").alias("o_totalprice"))
     rules = Q.TableRules(required=("o_orderkey",), allowed={"status": ["F"]}, conversions={"o_totalprice": ("raw_price", "decimal")})
-    return spark.createDataFrame(Q.transformation_matrix(rows.schema, after.schema, rules), "column string, from string, to string, change string, rules string")
+    return spark.createDataFrame(
+        Q.transformation_matrix(rows.schema, after.schema, rules),
+        "column string, from string, to string, change string, rules string",
+    )
 
 
 @query("SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'event_id_missing' WHEN 1 THEN 'amount_not_double' WHEN 2 THEN 'zzz_unexpected' WHEN 3 THEN 'not_a_record' ELSE '' END AS problems FROM events")
 def dq_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON records against a contract: required and optional fields, types, nothing else."""
     k = F.col("event_id")
-    body = F.to_json(F.struct(F.when(k % 6 != 0, k.cast("string")).alias("event_id"), F.when(k % 6 == 1, F.lit("many")).otherwise(F.col("value").cast("string")).alias("amount"), F.when(k % 6 == 2, F.lit(1)).alias("zzz"), F.when(k % 6 == 5, F.lit("note")).alias("note")))
+    body = F.to_json(F.struct(
+        F.when(k % 6 != 0, k.cast("string")).alias("event_id"),
+        F.when(k % 6 == 1, F.lit("many")).otherwise(F.col("value").cast("string")).alias("amount"),
+        F.when(k % 6 == 2, F.lit(1)).alias("zzz"),
+        F.when(k % 6 == 5, F.lit("note")).alias("note"),
+    ))
     rows = read_table(spark, sf_dir, "events").select("event_id", F.when(k % 6 == 3, F.lit("[1, 2")).otherwise(body).alias("payload"))
-    return Q.json_problems(rows, "payload", {"event_id": "bigint", "amount": "double"}, {"note": "string"}).select("event_id", F.concat_ws(";", "_problems").alias("problems"))
+    return Q.json_problems(
+        rows,
+        "payload",
+        {"event_id": "bigint", "amount": "double"},
+        {"note": "string"},
+    ).select("event_id", F.concat_ws(";", "_problems").alias("problems"))
 
 
 @query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN ts WHEN event_id % 4 = 1 THEN ts + INTERVAL 1 SECOND WHEN event_id % 4 = 2 THEN ts + INTERVAL 2 SECOND ELSE ts + INTERVAL 3 SECOND END AS at, (epoch_us(ts)::HUGEINT * 1000)::VARCHAR AS nanos, date_trunc('minute', ts) AS minute, ts - INTERVAL 2 HOUR AS utc FROM events")
@@ -270,7 +336,13 @@ def time_fallbacks(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, ts = F.col("event_id"), F.col("ts")
     when = lambda n: F.when(k % 4 <= n, _shifted(ts, F.lit(n)))
     at = Ty.event_time(*(when(n) for n in range(3)), _shifted(ts, F.lit(3)))
-    return read_table(spark, sf_dir, "events").select("event_id", at.cast("timestamp_ntz").alias("at"), Ty.nanos(ts).cast("string").alias("nanos"), Ty.minute_of(ts).alias("minute"), Ty.in_utc(ts.cast("timestamp"), "+02:00").cast("timestamp_ntz").alias("utc"))
+    return read_table(spark, sf_dir, "events").select(
+        "event_id",
+        at.cast("timestamp_ntz").alias("at"),
+        Ty.nanos(ts).cast("string").alias("nanos"),
+        Ty.minute_of(ts).alias("minute"),
+        Ty.in_utc(ts.cast("timestamp"), "+02:00").cast("timestamp_ntz").alias("utc"),
+    )
 
 
 _SHA1 = "sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('transaction:7:' || o_orderkey))"
@@ -279,7 +351,10 @@ _SHA1 = "sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('transaction:7
 @query(f"SELECT o_orderkey, h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-' || lower(printf('%x', (('0x' || h[17:17])::INT & 3) | 8)) || h[18:20] || '-' || h[21:32] AS id FROM (SELECT o_orderkey, {_SHA1} AS h FROM orders)")
 def deterministic_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Name-based UUIDs (version 5) of kind, seed and counter."""
-    return read_table(spark, sf_dir, "orders").select("o_orderkey", Ty.uuid5(F.concat_ws(":", F.lit("transaction"), F.lit("7"), F.col("o_orderkey").cast("string"))).alias("id"))
+    return read_table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        Ty.uuid5(F.concat_ws(":", F.lit("transaction"), F.lit("7"), F.col("o_orderkey").cast("string"))).alias("id"),
+    )
 
 
 @query("SELECT event_id, event_id % 5 = 0 AS bad_number, event_id % 6 = 0 AS bad_text, event_id % 7 = 0 AS bad_timestamp, event_id % 3 = 0 OR event_id % 7 = 0 AS key_missing, CASE WHEN event_id % 4 < 2 THEN NULL ELSE value END AS safe FROM events")
@@ -295,7 +370,14 @@ def predicate_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 3 != 0, k).alias("id"),
         odd.alias("x"),
     )
-    return rows.select("event_id", P.bad_timestamp(rows, "n").alias("bad_number"), P.bad_timestamp(rows, "t").alias("bad_text"), P.bad_timestamp(rows, "at").alias("bad_timestamp"), P.any_null("id", "at").alias("key_missing"), Ty.json_safe(F.col("x")).alias("safe"))
+    return rows.select(
+        "event_id",
+        P.bad_timestamp(rows, "n").alias("bad_number"),
+        P.bad_timestamp(rows, "t").alias("bad_text"),
+        P.bad_timestamp(rows, "at").alias("bad_timestamp"),
+        P.any_null("id", "at").alias("key_missing"),
+        Ty.json_safe(F.col("x")).alias("safe"),
+    )
 
 
 @query("SELECT event_id FROM events WHERE event_id % 9 <> 0 AND event_id % 10 <> 0")

@@ -51,9 +51,26 @@ def _broker_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as broker rows: a topic per type, some payloads malformed, every tenth row sent twice."""
     e = read_table(spark, sf_dir, "events")
     k = F.col("event_id")
-    body = F.to_json(F.struct(k.cast("string").alias("event_id"), F.when(F.col("event_type") == "purchase", "fraud_decision").otherwise("market_event").alias("event_type"), k.cast("string").alias("transaction_id"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_timestamp"), F.col("value").alias("amount"), (F.col("value") > 20).alias("predicted_fraud"), F.least(F.col("value") / 100, F.lit(1.0)).alias("risk_score")))
+    body = F.to_json(F.struct(
+        k.cast("string").alias("event_id"),
+        F.when(F.col("event_type") == "purchase", "fraud_decision").otherwise("market_event").alias("event_type"),
+        k.cast("string").alias("transaction_id"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_timestamp"),
+        F.col("value").alias("amount"),
+        (F.col("value") > 20).alias("predicted_fraud"),
+        F.least(F.col("value") / 100, F.lit(1.0)).alias("risk_score"),
+    ))
     value = F.when(k % 50 == 0, F.lit("{broken")).otherwise(body)
-    rows = e.select(k.cast("string").cast("binary").alias("key"), value.cast("binary").alias("value"), F.col("event_type").alias("topic"), (k % 3).cast("int").alias("partition"), k.alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"), F.lit(0).alias("timestampType"), F.explode(F.when(k % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("_n"))
+    rows = e.select(
+        k.cast("string").cast("binary").alias("key"),
+        value.cast("binary").alias("value"),
+        F.col("event_type").alias("topic"),
+        (k % 3).cast("int").alias("partition"),
+        k.alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+        F.explode(F.when(k % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("_n"),
+    )
     return rows.drop("_n").select(*(F.col(f.name).cast(f.dataType) for f in BROKER_SCHEMA))
 
 
@@ -76,7 +93,10 @@ def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of each topic as the stream itself counted them, from its progress."""
     source = _landing(_broker_rows(spark, sf_dir), "topic")
     stream = P.observed(spark.readStream.schema(BROKER_SCHEMA).parquet(source), "inputs", F.col("topic"), TOPICS)
-    query = stream.writeStream.foreachBatch(lambda rows, _: rows.write.format("noop").mode("overwrite").save()).option("checkpointLocation", shared_path(spark, "checkpoint")).trigger(availableNow=True).start()
+    query = stream.writeStream.foreachBatch(lambda rows, _: rows.write.format("noop").mode("overwrite").save()).option(
+        "checkpointLocation",
+        shared_path(spark, "checkpoint"),
+    ).trigger(availableNow=True).start()
     query.awaitTermination()
     totals = P.observed_totals(query.recentProgress, "inputs")
     return spark.createDataFrame([(t, int(totals[t])) for t in TOPICS], "topic string, n long")
@@ -88,7 +108,10 @@ def stream_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     source, target, n = _landing(rows, "landing"), shared_path(spark, "target"), rows.count()
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    query = stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", shared_path(spark, "checkpoint")).trigger(processingTime="200 milliseconds").start()
+    query = stream.writeStream.format("parquet").option("path", target).option(
+        "checkpointLocation",
+        shared_path(spark, "checkpoint"),
+    ).trigger(processingTime="200 milliseconds").start()
     P.run_until(query, lambda seen: sum(p["numInputRows"] for p in seen) >= n, 120)
     return spark.read.schema(rows.schema).parquet(target)
 
@@ -112,16 +135,35 @@ def typed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(login, F.col("value") > 50).alias("login_success"),
         )
     )
-    rows = e.select(F.lit(b"k").alias("key"), body.cast("binary").alias("value"), kind.alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"))
+    rows = e.select(
+        F.lit(b"k").alias("key"),
+        body.cast("binary").alias("value"),
+        kind.alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
     out = P.typed_events(rows, {"purchase": "transaction", "signup": "authentication", "view": "market"})
-    return out.select(F.col("offset").alias("event_id"), "event_kind", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"), "transaction_id", "account_id", "market_price_usd", F.coalesce("login_success", F.lit(False)).alias("login_success"))
+    return out.select(
+        F.col("offset").alias("event_id"),
+        "event_kind",
+        F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
+        "transaction_id",
+        "account_id",
+        "market_price_usd",
+        F.coalesce("login_success", F.lit(False)).alias("login_success"),
+    )
 
 
 @query("SELECT event_id::VARCHAR AS key, event_id, event_type FROM events")
 def broker_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows as messages, key and JSON, and read again."""
     rows = P.broker_messages(read_table(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
-    return rows.select("key", F.get_json_object("value", "$.event_id").cast("long").alias("event_id"), F.get_json_object("value", "$.event_type").alias("event_type"))
+    return rows.select(
+        "key",
+        F.get_json_object("value", "$.event_id").cast("long").alias("event_id"),
+        F.get_json_object("value", "$.event_type").alias("event_type"),
+    )
 
 
 @query("SELECT event_id, user_id, event_type AS kind, '{\"value\":\"' || user_id || '\"}' AS rescued, 'run-1' AS run_id FROM events")
@@ -149,15 +191,32 @@ def stream_model_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = models.fit_logistic(batch.withColumn("y", (F.col("value") > 40).cast("int")), numeric, categorical, "y", 20)
     source, target = _landing(_broker_rows(spark, sf_dir).dropDuplicates(["topic", "offset"]), "topic"), shared_path(spark, "decisions")
     stream = P.parsed(spark.readStream.schema(BROKER_SCHEMA).parquet(source)).filter("parsed_json_valid AND event_type = 'fraud_decision'")
-    rows = features(stream.select("transaction_id", "asset", F.lit("US").alias("country"), "amount", F.col("amount").alias("transaction_amount_usd"), "event_at"), "event_at")
+    rows = features(
+        stream.select("transaction_id", "asset", F.lit("US").alias("country"), "amount", F.col("amount").alias("transaction_amount_usd"), "event_at"),
+        "event_at",
+    )
     keep = ["transaction_id", "asset", "country", "transaction_amount_usd", "event_at"]
-    score = lambda df: decision_events(models.scored(model, df, numeric, categorical, *keep), "score", "event_at", F.current_timestamp(), numeric + categorical, numeric + categorical)
+    score = lambda df: decision_events(
+        models.scored(model, df, numeric, categorical, *keep),
+        "score",
+        "event_at",
+        F.current_timestamp(),
+        numeric + categorical,
+        numeric + categorical,
+    )
     P.score_stream(rows, score, lambda df, _: df.write.mode("append").parquet(target), shared_path(spark, "checkpoint")).awaitTermination()
     out = spark.read.parquet(target)
     again = models.scored(model, batch, numeric, categorical, "event_id").select(F.col("event_id").cast("string").alias("transaction_id"), "score")
     consistent = (F.col("predicted_fraud") == (F.col("fraud_probability") >= F.col("fraud_threshold"))) & ((F.col("decision") == "REVIEW") == F.col("predicted_fraud"))
     joined = out.join(again, "transaction_id")
-    return joined.select("transaction_id", consistent.alias("consistent"), (F.abs(F.col("score") - F.col("fraud_probability")) < 1e-9).alias("as_in_batch"), "feature_count", "input_contract_ok", F.lit(len(out.columns)).alias("fields"))
+    return joined.select(
+        "transaction_id",
+        consistent.alias("consistent"),
+        (F.abs(F.col("score") - F.col("fraud_probability")) < 1e-9).alias("as_in_batch"),
+        "feature_count",
+        "input_contract_ok",
+        F.lit(len(out.columns)).alias("fields"),
+    )
 
 
 @query("SELECT event_id::VARCHAR AS event_id, value > 20 AS predicted, CASE WHEN value > 20 THEN 'REVIEW' ELSE 'ALLOW' END AS decision FROM events WHERE event_type = 'purchase' AND event_id % 50 <> 0")
@@ -168,7 +227,12 @@ def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = _landing(_broker_rows(spark, sf_dir).dropDuplicates(["topic", "offset"]), "topic"), shared_path(spark, "scores")
     stream = P.parsed(spark.readStream.schema(BROKER_SCHEMA).parquet(source)).filter("parsed_json_valid AND event_type = 'fraud_decision'")
     score = lambda rows: decided(rows.drop("predicted"), "p", "event_at", F.current_timestamp(), 0.2000001)
-    P.score_stream(stream.withColumn("p", F.col("amount") / 100), score, lambda rows, _: rows.write.mode("append").parquet(target), shared_path(spark, "checkpoint")).awaitTermination()
+    P.score_stream(
+        stream.withColumn("p", F.col("amount") / 100),
+        score,
+        lambda rows, _: rows.write.mode("append").parquet(target),
+        shared_path(spark, "checkpoint"),
+    ).awaitTermination()
     return spark.read.parquet(target).select("event_id", "predicted", "decision")
 
 
@@ -188,7 +252,10 @@ def stream_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = _landing(rows, "landing"), shared_path(spark, "counts")
     counts = P.windowed_counts(spark.readStream.schema(rows.schema).parquet(source), "ts", "event_type")
     sink = lambda df, _: df.write.mode("overwrite").parquet(target)
-    counts.writeStream.outputMode("complete").foreachBatch(sink).option("checkpointLocation", shared_path(spark, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    counts.writeStream.outputMode("complete").foreachBatch(sink).option(
+        "checkpointLocation",
+        shared_path(spark, "checkpoint"),
+    ).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(target)
 
 

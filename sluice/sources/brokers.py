@@ -7,10 +7,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Columns that every broker row has.
-BROKER_SCHEMA = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType()), T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType()), T.StructField("timestamp", T.TimestampType()), T.StructField("timestampType", T.IntegerType())])
-
-
-def broker_options(servers: str, user: str | None = None, password: str | None = None, sink: bool = False, topic: str | None = None, starting: str = "latest", most_offsets: int | None = None) -> dict[str, str]:
+BROKER_SCHEMA = T.StructType([
+    T.StructField("key", T.BinaryType()),
+    T.StructField("value", T.BinaryType()),
+    T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
+    T.StructField("timestamp", T.TimestampType()),
+    T.StructField("timestampType", T.IntegerType()),
+])
+
+
+def broker_options(
+    servers: str,
+    user: str | None = None,
+    password: str | None = None,
+    sink: bool = False,
+    topic: str | None = None,
+    starting: str = "latest",
+    most_offsets: int | None = None,
+) -> dict[str, str]:
     """Options of a broker source or sink, with SASL when a user is given."""
     out = {"kafka.bootstrap.servers": servers}
     if user is not None:

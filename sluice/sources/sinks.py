@@ -92,7 +92,11 @@ def insert_only(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFr
 
 def changed_rows(source: DataFrame, target: DataFrame, keys: list[str], digest: str) -> DataFrame:
     """Source rows whose key is in the target with another digest."""
-    return source.alias("s").join(target.alias("t"), same_key("s", "t", keys), "inner").filter(~F.col(f"s.{digest}").eqNullSafe(F.col(f"t.{digest}"))).select("s.*")
+    return source.alias("s").join(
+        target.alias("t"),
+        same_key("s", "t", keys),
+        "inner",
+    ).filter(~F.col(f"s.{digest}").eqNullSafe(F.col(f"t.{digest}"))).select("s.*")
 
 
 def logged(rows: DataFrame, path: str, log: str, run_id: str, table: str, write=write_partitioned) -> int:
@@ -111,7 +115,10 @@ def manifest(spark: SparkSession, tables: dict[str, str], run_id: str, version:
     for name, path in tables.items():
         layout = inspect_layout(spark, path)
         rows.append((run_id, version, name, path, spark.read.parquet(path).count(), layout.files, layout.bytes, ",".join(layout.partitions)))
-    return spark.createDataFrame(rows, "run_id string, version string, table_name string, path string, n_rows long, files int, bytes long, partitions string")
+    return spark.createDataFrame(
+        rows,
+        "run_id string, version string, table_name string, path string, n_rows long, files int, bytes long, partitions string",
+    )
 
 
 def freshness(spark: SparkSession, log: str, now: Column | None = None) -> DataFrame:
@@ -123,12 +130,18 @@ def freshness(spark: SparkSession, log: str, now: Column | None = None) -> DataF
 
 def log_run(spark: SparkSession, path: str, run_id: str, table: str, rows: int, operation: str) -> None:
     """Adds a row to the run log, which stands for a table's history."""
-    spark.createDataFrame([(run_id, table, rows, operation)], "run_id string, table_name string, n_rows long, operation string").withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(path)
+    spark.createDataFrame(
+        [(run_id, table, rows, operation)],
+        "run_id string, table_name string, n_rows long, operation string",
+    ).withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(path)
 
 
 def latest_run(spark: SparkSession, path: str) -> DataFrame:
     """The newest log row of each table."""
-    return spark.read.parquet(path).groupBy("table_name").agg(F.max_by(F.struct("run_id", "n_rows", "operation", "logged_at"), "logged_at").alias("_last")).select("table_name", "_last.*")
+    return spark.read.parquet(path).groupBy("table_name").agg(F.max_by(F.struct("run_id", "n_rows", "operation", "logged_at"), "logged_at").alias("_last")).select(
+        "table_name",
+        "_last.*",
+    )
 
 
 def row_deltas(spark: SparkSession, path: str) -> DataFrame:

@@ -82,7 +82,11 @@ def schema_problems(rows: DataFrame, schema: T.StructType) -> dict[str, list[str
     """Columns that are missing, unexpected or of another type."""
     have = {f.name: f.dataType.simpleString() for f in rows.schema}
     want = {f.name: f.dataType.simpleString() for f in schema}
-    return {"missing": sorted(want.keys() - have.keys()), "unexpected": sorted(have.keys() - want.keys()), "mistyped": sorted(c for c in want.keys() & have.keys() if want[c] != have[c])}
+    return {
+        "missing": sorted(want.keys() - have.keys()),
+        "unexpected": sorted(have.keys() - want.keys()),
+        "mistyped": sorted(c for c in want.keys() & have.keys() if want[c] != have[c]),
+    }
 
 
 def snapshot(spark: SparkSession, name: str) -> dict:
@@ -96,7 +100,19 @@ def snapshot(spark: SparkSession, name: str) -> dict:
 
 def row_bytes(schema: T.StructType) -> int:
     """An estimate of a row's size by its types."""
-    sizes = {"string": 64, "double": 8, "bigint": 8, "timestamp": 8, "timestamp_ntz": 8, "float": 4, "int": 4, "date": 4, "smallint": 2, "tinyint": 1, "boolean": 1}
+    sizes = {
+        "string": 64,
+        "double": 8,
+        "bigint": 8,
+        "timestamp": 8,
+        "timestamp_ntz": 8,
+        "float": 4,
+        "int": 4,
+        "date": 4,
+        "smallint": 2,
+        "tinyint": 1,
+        "boolean": 1,
+    }
     return sum(16 if isinstance(f.dataType, T.DecimalType) else sizes.get(f.dataType.simpleString(), 32) for f in schema)
 
 

@@ -18,7 +18,17 @@ COORDINATES = ["topic", "partition", "offset"]
 EVENT_SCHEMA = "struct<event_id:string,event_type:string,transaction_id:string,account_id:string,device_id:string,event_timestamp:string,prediction_timestamp:string,asset:string,amount:double,predicted_fraud:boolean,fraud_probability:double,risk_score:double,is_fraud:boolean>"
 
 
-def ingest_files(spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str, run_id: str, files_per_trigger: int = 100, contract: T.StructType | None = None, partitions: tuple[str, ...] = ()) -> StreamingQuery:
+def ingest_files(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
+    target: str,
+    checkpoint: str,
+    run_id: str,
+    files_per_trigger: int = 100,
+    contract: T.StructType | None = None,
+    partitions: tuple[str, ...] = (),
+) -> StreamingQuery:
     """Reads files that are new since the last run, with ingestion metadata, appends them to a table and stops.
 
     schema: the files'; contract: the table's, where what does not fit goes to the rescued column; partitions: folders of
@@ -34,11 +44,25 @@ def ingest_files(spark: SparkSession, source: str, schema: T.StructType, target:
 
 def parsed(broker: DataFrame) -> DataFrame:
     """Broker rows with raw payload, its hash, the parsed fields and whether the payload was valid; bad ones are kept and flagged."""
-    raw = broker.select(*COORDINATES, F.col("timestamp").alias("broker_timestamp"), F.col("key").cast("string").alias("raw_key"), F.col("value").cast("string").alias("raw_payload"))
+    raw = broker.select(
+        *COORDINATES,
+        F.col("timestamp").alias("broker_timestamp"),
+        F.col("key").cast("string").alias("raw_key"),
+        F.col("value").cast("string").alias("raw_payload"),
+    )
     data = raw.withColumn("_d", F.from_json("raw_payload", EVENT_SCHEMA))
     fields = T.StructType.fromDDL(EVENT_SCHEMA.removeprefix("struct<").removesuffix(">")).fieldNames()
-    out = data.select(*raw.columns, payload_hash(F.col("raw_payload")).alias("payload_sha256"), F.col("_d.event_id").isNotNull().alias("parsed_json_valid"), *(F.col(f"_d.{c}").alias(c) for c in fields if not c.endswith("_timestamp")), *(F.expr(f"try_to_timestamp(_d.{c})").alias(c) for c in fields if c.endswith("_timestamp")))
-    return out.withColumn("event_at", event_time(F.col("prediction_timestamp"), F.col("event_timestamp"), F.col("broker_timestamp"), F.current_timestamp()))
+    out = data.select(
+        *raw.columns,
+        payload_hash(F.col("raw_payload")).alias("payload_sha256"),
+        F.col("_d.event_id").isNotNull().alias("parsed_json_valid"),
+        *(F.col(f"_d.{c}").alias(c) for c in fields if not c.endswith("_timestamp")),
+        *(F.expr(f"try_to_timestamp(_d.{c})").alias(c) for c in fields if c.endswith("_timestamp")),
+    )
+    return out.withColumn(
+        "event_at",
+        event_time(F.col("prediction_timestamp"), F.col("event_timestamp"), F.col("broker_timestamp"), F.current_timestamp()),
+    )
 
 
 #: The payloads of transactions, logins and market messages: what one lacks is null in its messages.
@@ -53,9 +77,30 @@ def typed_events(broker: DataFrame, topics: dict[str, str]) -> DataFrame:
     rows = broker.withColumn("event_kind", kinds(F.col("topic"), topics)).filter("event_kind IS NOT NULL")
     d = rows.withColumn("_d", F.from_json(F.col("value").cast("string"), MESSAGE_SCHEMA))
     times = [F.expr(f"try_to_timestamp(_d.{c})").alias(c) for c in ("event_timestamp", "source_timestamp", "ingestion_timestamp")]
-    plain = ("transaction_id", "account_id", "device_id", "source_wallet_id", "destination_wallet_id", "asset", "transaction_type", "country", "crypto_quantity", "transaction_amount_usd", "product_id", "trade_id", "login_success")
+    plain = (
+        "transaction_id",
+        "account_id",
+        "device_id",
+        "source_wallet_id",
+        "destination_wallet_id",
+        "asset",
+        "transaction_type",
+        "country",
+        "crypto_quantity",
+        "transaction_amount_usd",
+        "product_id",
+        "trade_id",
+        "login_success",
+    )
     price = F.coalesce("_d.market_price_usd", "_d.price_usd").alias("market_price_usd")
-    return d.select("event_kind", *times, *COORDINATES, F.col("timestamp").alias("broker_timestamp"), *(F.col(f"_d.{c}").alias(c) for c in plain), price)
+    return d.select(
+        "event_kind",
+        *times,
+        *COORDINATES,
+        F.col("timestamp").alias("broker_timestamp"),
+        *(F.col(f"_d.{c}").alias(c) for c in plain),
+        price,
+    )
 
 
 def broker_messages(rows: DataFrame, key: str) -> DataFrame:
@@ -127,14 +172,36 @@ def observed_totals(progress: list[dict], name: str) -> dict[str, int]:
     return out
 
 
-def score_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame], sink: Callable[[DataFrame, int], None], checkpoint: str, **trigger) -> StreamingQuery:
+def score_stream(
+    stream: DataFrame,
+    score: Callable[[DataFrame], DataFrame],
+    sink: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    **trigger,
+) -> StreamingQuery:
     """Map-only scoring: no state, no exchange."""
-    return score(stream).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
-
-
-def alert_stream(stream: DataFrame, threshold: float, sink: Callable[[DataFrame, int], None], checkpoint: str, late: str = "1 hour", **trigger) -> StreamingQuery:
+    return score(stream).writeStream.foreachBatch(sink).option(
+        "checkpointLocation",
+        checkpoint,
+    ).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def alert_stream(
+    stream: DataFrame,
+    threshold: float,
+    sink: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    late: str = "1 hour",
+    **trigger,
+) -> StreamingQuery:
     """Alerts of parsed decisions, one an event id within the watermark; bad payloads are no alerts."""
-    hit = stream.filter(F.col("parsed_json_valid") & is_alert(F.col("event_type"), F.col("predicted_fraud"), F.col("fraud_probability"), F.col("risk_score"), threshold))
+    hit = stream.filter(F.col("parsed_json_valid") & is_alert(
+        F.col("event_type"),
+        F.col("predicted_fraud"),
+        F.col("fraud_probability"),
+        F.col("risk_score"),
+        threshold,
+    ))
     single = hit.withWatermark("event_at", late).dropDuplicatesWithinWatermark(["event_id"])
     return single.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
@@ -174,9 +241,18 @@ def run_until(query: StreamingQuery, enough: Callable[[list[dict]], bool], secon
 def windowed_counts(stream: DataFrame, ts: str, by: str, size: str = "1 hour", late: str = "1 hour") -> DataFrame:
     """Tumbling counts with a watermark."""
     at = stream.withColumn("_at", F.col(ts).cast("timestamp")).withWatermark("_at", late)
-    return at.groupBy(F.window("_at", size), by).agg(F.count("*").alias("n")).select(F.col("window.start").cast("timestamp_ntz").alias("start"), by, "n")
+    return at.groupBy(F.window("_at", size), by).agg(F.count("*").alias("n")).select(
+        F.col("window.start").cast("timestamp_ntz").alias("start"),
+        by,
+        "n",
+    )
 
 
 def batch_metrics(rows: DataFrame) -> DataFrame:
     """Rows, first and last offset, and the newest event of each topic of a batch."""
-    return rows.groupBy("topic").agg(F.count("*").alias("n"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"), F.max_by("event_id", F.struct("event_at", "offset")).alias("newest_event"))
+    return rows.groupBy("topic").agg(
+        F.count("*").alias("n"),
+        F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"),
+        F.max_by("event_id", F.struct("event_at", "offset")).alias("newest_event"),
+    )

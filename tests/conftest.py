@@ -13,7 +13,16 @@ def spark(tmp_path_factory):
     from sluice.session import build_session
 
     folder = tmp_path_factory.mktemp("spark")
-    session = build_session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g", "spark.sql.warehouse.dir": str(folder / "warehouse"), "spark.ui.showConsoleProgress": "false"})
+    session = build_session(
+        "tests",
+        "local[4]",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "6g",
+            "spark.sql.warehouse.dir": str(folder / "warehouse"),
+            "spark.ui.showConsoleProgress": "false",
+        },
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -23,7 +23,10 @@ def duck():
 
 def rows(frame):
     frame = frame[sorted(frame.columns)].astype(object)
-    plain = lambda v: "" if v is None or v != v else repr(float(v)) if isinstance(v, (int, float)) or hasattr(v, "dtype") and v.dtype.kind in "iufb" else str(v)
+    plain = lambda v: "" if v is None or v != v else repr(float(v)) if isinstance(
+        v,
+        (int, float),
+    ) or hasattr(v, "dtype") and v.dtype.kind in "iufb" else str(v)
     return sorted(tuple(plain(v) for v in r) for r in frame.itertuples(index=False, name=None))
 
 

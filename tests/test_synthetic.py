@@ -12,7 +12,13 @@ def test_synthetic_set_passes_its_report(spark):
     failed = quality_report(data).filter("status = 'FAIL'").collect()
     assert not failed
     assert t.count() == 2500 and t.filter("label_expected").count() == sum(s.fraud_counts().values()) == 20
-    cases = {r.scenario: r for r in t.filter("scenario IS NOT NULL").groupBy("scenario").agg(F.count("*").alias("n"), F.count(F.when(F.col("label_expected"), 1)).alias("labelled"), F.countDistinct("execution").alias("cases"), F.countDistinct("destination_wallet_id").alias("wallets"), F.countDistinct("account_id").alias("accounts")).collect()}
+    cases = {r.scenario: r for r in t.filter("scenario IS NOT NULL").groupBy("scenario").agg(
+        F.count("*").alias("n"),
+        F.count(F.when(F.col("label_expected"), 1)).alias("labelled"),
+        F.countDistinct("execution").alias("cases"),
+        F.countDistinct("destination_wallet_id").alias("wallets"),
+        F.countDistinct("account_id").alias("accounts"),
+    ).collect()}
     fast, mule, split = (cases[k] for k in ("high_transaction_velocity", "mule_account_activity", "structuring"))
     assert fast.cases == fast.labelled and 4 * fast.cases <= fast.n <= 6 * fast.cases
     assert mule.cases == mule.wallets == 1 and mule.accounts == mule.n == mule.labelled
