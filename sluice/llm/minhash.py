@@ -316,8 +316,8 @@ def _by_prefix(many: DataFrame, sets: DataFrame, threshold: float, scratch: Scra
     own = scratch.kept(sets.join(many.select("node", "root").distinct(), "node"), "own")
     slot = F.pmod("shingle", F.lit(SLOTS)).cast("int")
     counts = np.zeros(SLOTS, np.int64)
-    for at, n in own.select(F.explode("shingles").alias("shingle")).groupBy(slot.alias("slot")).count().collect():  # SLOTS rows at most
-        counts[at] = n
+    found = own.select(F.explode("shingles").alias("shingle")).groupBy(slot.alias("slot")).count().toArrow()  # SLOTS rows at most
+    counts[found.column("slot").to_numpy()] = found.column("count").to_numpy()
     salted = scratch.kept(
         arrow_map(
             own,
@@ -352,7 +352,7 @@ def _by_prefix(many: DataFrame, sets: DataFrame, threshold: float, scratch: Scra
         _blocks(threshold),
         "a long, b long, similarity double",
     )
-    return _verified(near, own, threshold).unionByName(far)
+    return scratch.kept(_verified(near, own, threshold), "near").unionByName(scratch.kept(far, "far"))
 
 
 def links(single: DataFrame, texts: DataFrame, scratch: Scratch, threshold: float = THRESHOLD) -> DataFrame:
@@ -371,14 +371,14 @@ def links(single: DataFrame, texts: DataFrame, scratch: Scratch, threshold: floa
     degree = members.groupBy("node").agg(F.sum("n").alias("degree"))
     leaders = members.join(degree, "node").groupBy(*by).agg(F.max_by(F.struct("node", "size"), F.struct("degree", -F.col("node"))).alias("leader"))
     led = members.join(salts.join(leaders, by), [*by, "salt"]).filter("node != leader.node").filter(_sized("size", "leader.size", threshold))
-    led = led.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
+    led = scratch.kept(led.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct(), "led")
     first = scratch.kept(_verified(led, sets, threshold), "links")
-    rooted = members.drop("n").join(components(first, scratch), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = scratch.kept(members.drop("n").join(components(first, scratch), "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     open_ = scratch.kept(rooted.join(salts.join(_mixed(rooted, by), by), [*by, "salt"]).drop("salt"), "open")
-    second = _verified(_one_by_one(open_.filter(F.col("n") <= FEW), by, threshold), sets, threshold)
+    second = scratch.kept(_verified(_one_by_one(open_.filter(F.col("n") <= FEW), by, threshold), sets, threshold), "second")
     many = open_.filter(F.col("n") > FEW)
     far = _by_prefix(many, sets, threshold, scratch)
-    return scratch.kept(first.unionByName(second).unionByName(far).dropDuplicates(["a", "b"]), "links")
+    return first.unionByName(second).unionByName(far)
 
 
 def grouped(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -11,6 +11,8 @@ from sluice.llm.batches import let_go
 
 #: Files of a written table a core.
 FILES = 4
+#: Tables of an operator after which the driver is cleaned up.
+TABLES = 4
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,7 +41,6 @@ def kept(rows: DataFrame, name: str = "rows") -> DataFrame:
     spark = rows.sparkSession
     path = new_path(spark, name)
     in_files(rows).write.option("compression", "zstd").parquet(path)
-    settled(spark)
     return spark.read.schema(rows.schema).parquet(path)
 
 
@@ -55,13 +56,15 @@ class Scratch:
         self.made += 1
         path = f"{self.path}/{name}-{self.made}"
         in_files(rows).write.option("compression", "zstd").parquet(path)
-        settled(self.spark)  # plans of many stages leave much behind in the driver
+        if self.made % TABLES == 0:  # plans of many stages leave much behind in the driver
+            settled(self.spark)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def last(self, rows: DataFrame, name: str) -> DataFrame:
         """The operator's result, written beside the folder, which goes: nothing but the result stays."""
         out = kept(rows, name)
         dropped(self.spark, self.path)
+        settled(self.spark)
         return out
 
 
