@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import json
 import math
+import unicodedata
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -55,8 +56,8 @@ from sluice.llm.scratch import Scratch
 CAPACITY, END_ID, PART, RANKS = 4096, 1, 512, 512
 #: Sequences that are packed anew where the bound is not met, and fillings looked at for that.
 TAIL, SEARCH = 64, 2000
-#: Signs that the tokenizer always parts from letters before them.
-SIGNS = ".,;:!?"
+#: Signs that the tokenizer always parts from letters before them, and takes together; an apostrophe may be of a word.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -75,7 +76,6 @@ class WordTokenizer:
         suffix, vocabulary = kind["model"].get("end_of_word_suffix"), self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word of letters
         self.ends[[i for w, i in vocabulary.items() if suffix and w.endswith(suffix)]] = True
-        self.signs = {x: self._each([x])[0] for x in SIGNS}
         self.cache = RunCache(700_000)
 
     def _each(self, words: list[str]) -> list[list[int]]:
@@ -95,36 +95,40 @@ class WordTokenizer:
         return np.concatenate(lens), np.concatenate(flat)
 
     def _new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(numbers of ids, ids) of words: one sign behind letters is parted from them, so letters are encoded once with any sign."""
+        """(numbers of ids, ids) of words: signs behind letters are parted from them, so letters are encoded once with any signs."""
         plain = lambda x: x.to_numpy(zero_copy_only=False)
         whole = pa.array(words, pa.string())
         stem = pc.ascii_rtrim(whole, SIGNS)
-        behind = plain(pc.subtract(pc.binary_length(whole), pc.binary_length(stem)))
-        letters = plain(pc.utf8_is_alpha(stem)) & (behind <= 1)
-        wide = np.flatnonzero(letters & ~plain(pc.string_is_ascii(stem)))
-        if len(wide):  # other letters must be as they are when normalised, and stay one letter in lower case
-            some = stem.take(pa.array(wide))
-            letters[wide] = plain(pc.equal(pc.utf8_normalize(some, "NFC"), some)) & ~plain(pc.match_substring(some, "\u0130"))
-        simple, others = np.flatnonzero(letters), np.flatnonzero(~letters)
+        letters = plain(pc.utf8_is_alpha(stem))
+        simple = np.flatnonzero(letters)
         coded_ = stem.take(pa.array(simple)).dictionary_encode()
+        number = coded_.indices.to_numpy(zero_copy_only=False)
         stems, known = coded_.dictionary.to_pylist(), self.cache.number
-        number = np.fromiter((known.get(s, -1) for s in stems), np.int64, len(stems))
-        old, fresh = np.flatnonzero(number >= 0), np.flatnonzero(number < 0)
+        # other letters must be as they are when normalised, and stay one letter in lower case
+        odd = [i for i, w in enumerate(stems) if not w.isascii() and ("\u0130" in w or not unicodedata.is_normalized("NFC", w))]
+        if odd:
+            good = ~np.isin(number, odd)
+            letters[simple[~good]] = False
+            simple, number = simple[good], number[good]
+        others = np.flatnonzero(~letters)
+        of = np.fromiter((known.get(w, -1) for w in stems), np.int64, len(stems))
+        of[odd] = -2
+        old, fresh = np.flatnonzero(of >= 0), np.flatnonzero(of == -1)
         new_lens, new_flat = self._letters([stems[i] for i in fresh.tolist()])
         other_lens, other_flat = flattened(self._each([words[i] for i in others.tolist()]))
-        sign_lens, sign_flat = flattened([self.signs[x] for x in SIGNS])
-        cached = number[old]
-        flat = np.concatenate([gathered(self.cache.start[cached], self.cache.length[cached], self.cache.flat), new_flat, other_flat, sign_flat])
-        lens = np.concatenate([self.cache.length[cached], new_lens, other_lens, sign_lens, [0]])
+        signed = simple[plain(pc.not_equal(whole, stem))[simple]]
+        tails = pc.replace_substring_regex(whole.take(pa.array(signed)), r"^\pL+", "").dictionary_encode()
+        tail_lens, tail_flat = flattened(self._each(tails.dictionary.to_pylist()))
+        cached = of[old]
+        flat = np.concatenate([gathered(self.cache.start[cached], self.cache.length[cached], self.cache.flat), new_flat, other_flat, tail_flat])
+        lens = np.concatenate([self.cache.length[cached], new_lens, other_lens, tail_lens, [0]])
         start = np.cumsum(lens) - lens
         run = np.empty(len(stems), np.int64)  # where a stem is among the runs of flat
         run[old], run[fresh] = np.arange(len(old)), len(old) + np.arange(len(fresh))
         first, second = np.empty(len(words), np.int64), np.full(len(words), len(lens) - 1)
-        first[simple] = run[coded_.indices.to_numpy(zero_copy_only=False)]
-        first[others] = len(stems) + np.arange(len(others))
-        signed = simple[behind[simple] == 1]
-        which = plain(pc.index_in(pc.utf8_slice_codeunits(whole.take(pa.array(signed)), -1), pa.array(list(SIGNS))))
-        second[signed] = len(stems) + len(others) + which
+        first[simple] = run[number]
+        first[others] = len(old) + len(fresh) + np.arange(len(others))
+        second[signed] = len(old) + len(fresh) + len(others) + tails.indices.to_numpy(zero_copy_only=False)
         runs = np.column_stack([first, second]).ravel()
         return lens[runs].reshape(-1, 2).sum(1), gathered(start[runs], lens[runs], flat)
 
