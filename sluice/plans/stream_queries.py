@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.sources.brokers import BROKER_SCHEMA
+from sluice.sources import brokers
+from sluice.sources.brokers import BROKER_SCHEMA, to_messages
 from sluice.sources.folders import shared_path
 from sluice.sources.tables import read_table
 from sluice.streaming import pipelines as P
@@ -156,14 +157,28 @@ def typed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("SELECT event_id::VARCHAR AS key, event_id, event_type FROM events")
-def broker_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows as messages, key and JSON, and read again."""
-    rows = P.broker_messages(read_table(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
-    return rows.select(
-        "key",
-        F.get_json_object("value", "$.event_id").cast("long").alias("event_id"),
-        F.get_json_object("value", "$.event_type").alias("event_type"),
-    )
+def message_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream's rows as messages, key and JSON, written by a sink and read again."""
+    rows = read_table(spark, sf_dir, "events").select("event_id", "event_type")
+    source, target = _landing(rows, "landing"), shared_path(spark, "messages")
+    messages = to_messages(spark.readStream.schema(rows.schema).parquet(source), "event_id")
+    sink = messages.writeStream.format("parquet").option("path", target).option("checkpointLocation", shared_path(spark, "checkpoint"))
+    sink.trigger(availableNow=True).start().awaitTermination()
+    back = spark.read.schema(messages.schema).parquet(target)
+    return back.select("key", F.get_json_object("value", "$.event_id").cast("long").alias("event_id"), F.get_json_object("value", "$.event_type").alias("event_type"))
+
+
+_LOGIN = "org.apache.kafka.common.security.plain.PlainLoginModule required username=\"u\" password=\"p\";"
+_OPTIONS = {"kafka.bootstrap.servers": "h:9093", "kafka.security.protocol": "SASL_SSL", "kafka.sasl.mechanism": "PLAIN", "kafka.sasl.jaas.config": _LOGIN}
+_SOURCE_OPTIONS = _OPTIONS | {"subscribe": "a,b", "startingOffsets": "earliest", "failOnDataLoss": "false", "kafka.group.id": "g", "maxPartitions": "1", "maxOffsetsPerTrigger": "10000"}
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{kind}', '{k}', '{v}')" for kind, o in (("source", _SOURCE_OPTIONS), ("sink", _OPTIONS | {"topic": "d"})) for k, v in o.items()) + ") t(kind, name, value)")
+def broker_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The options of a broker's source and sink."""
+    source = brokers.broker_options("h:9093", "u", "p", topic="a,b", starting="earliest", most_offsets=10000, group="g", most_partitions=1)
+    sink = brokers.broker_options("h:9093", "u", "p", sink=True, topic="d")
+    return spark.createDataFrame([(kind, k, v) for kind, o in (("source", source), ("sink", sink)) for k, v in o.items()], "kind string, name string, value string")
 
 
 @query("SELECT event_id, user_id, event_type AS kind, '{\"value\":\"' || user_id || '\"}' AS rescued, 'run-1' AS run_id FROM events")

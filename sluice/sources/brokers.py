@@ -26,8 +26,10 @@ def broker_options(
     topic: str | None = None,
     starting: str = "latest",
     most_offsets: int | None = None,
+    group: str | None = None,
+    most_partitions: int | None = None,
 ) -> dict[str, str]:
-    """Options of a broker source or sink, with SASL when a user is given."""
+    """Options of a broker source (one or more topics, by commas) or sink, with SASL when a user is given."""
     out = {"kafka.bootstrap.servers": servers}
     if user is not None:
         login = f'org.apache.kafka.common.security.plain.PlainLoginModule required username="{user}" password="{password}";'
@@ -36,8 +38,8 @@ def broker_options(
         out["topic" if sink else "subscribe"] = topic
     if not sink:
         out |= {"startingOffsets": starting, "failOnDataLoss": "false"}
-        if most_offsets:
-            out["maxOffsetsPerTrigger"] = str(most_offsets)
+        extra = {"kafka.group.id": group, "maxPartitions": most_partitions, "maxOffsetsPerTrigger": most_offsets}
+        out |= {k: str(v) for k, v in extra.items() if v}
     return out
 
 

@@ -103,11 +103,6 @@ def typed_events(broker: DataFrame, topics: dict[str, str]) -> DataFrame:
     )
 
 
-def broker_messages(rows: DataFrame, key: str) -> DataFrame:
-    """Rows as a broker takes them: the key and, as JSON, all columns."""
-    return rows.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
-
-
 def kinds(topic: Column, names: dict[str, str]) -> Column:
     """The kind of event of a topic; null for unknown ones."""
     out = F.lit(None).cast("string")
