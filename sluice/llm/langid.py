@@ -41,7 +41,7 @@ UNKNOWN, LONG = 1e-7, 40
 #: Each piece's probability is raised by this per letter, so that no word underflows; taken off again at the end.
 RAISE = 50.0
 CACHED = 600_000
-FAR, JUDGED = 2.5, 20
+FAR, LEAST_FAR, JUDGED, ENOUGH = 2.5, 1.5, 20, 50_000
 RUN = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
@@ -187,7 +187,8 @@ class LanguageModel:
             size_ = np.array([len(w) for w in own], float)
             letters, each = counts[x, some] * size_, model.word_scores(own, x)[:, 0] / size_
             mean = (letters * each).sum() / letters.sum()
-            model.usual[x] = mean, np.sqrt((letters * (each - mean) ** 2).sum() / letters.sum())
+            if letters.sum() >= ENOUGH:  # else nothing is unusual
+                model.usual[x] = mean, max(LEAST_FAR / FAR, np.sqrt((letters * (each - mean) ** 2).sum() / letters.sum()))
         return model
 
     def word_scores(self, words: list[str], only: int | None = None) -> np.ndarray:
@@ -242,8 +243,9 @@ class LanguageModel:
         """(language, score, whether half of the words or more are as likely as that language's usually are) of each text.
 
         The score compares the learnt languages only; how likely words are does not, so it tells texts that are in none
-        of them.  A word is unusual if its log probability a letter is FAR deviations below the language's mean; texts
-        of fewer than JUDGED words, of which a key or a name is a large part, are usual.
+        of them.  A word is unusual if its log probability a letter is FAR deviations, and LEAST_FAR, below the
+        language's mean; texts of fewer than JUDGED words, of which a key or a name is a large part, are usual, and so
+        are all texts in a language learnt from fewer than ENOUGH letters.
         """
         start, code, distinct = coded(pc.split_pattern(pc.replace_substring(text, "\n", " "), " "))
         rows = self._known(distinct)[code]

@@ -671,7 +671,7 @@ def test_texts_in_no_learnt_language_go(spark):
     r = random.Random(19)
     parts = {"en": ["th", "ing", "er", "on", "wh"], "de": ["sch", "ung", "ein", "ber", "lich"]}
     text = lambda x, n: " ".join("".join(r.choice(parts[x]) for _ in range(r.randint(1, 3))) for _ in range(n))
-    rows = [(i, text(x, r.choice([3, 30, 200])), x) for i, x in ((i, ("en", "de")[i % 2]) for i in range(200))]
+    rows = [(i, text(x, r.choice([3, 30, 700])), x) for i, x in ((i, ("en", "de")[i % 2]) for i in range(200))]
     noise = [(900 + i, " ".join("".join(r.choice("qxzjvkwpfy") for _ in range(r.randint(3, 9))) for _ in range(40)), "en") for i in range(5)]
     docs = spark.createDataFrame([*rows, *noise, (950, "12 34", "de"), (951, None, "de")], "doc_id long, text string, lang string")
     model = langid.fitted(docs, docs.filter("doc_id < 900").select("doc_id", "lang"), PIECE)
