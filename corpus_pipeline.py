@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm import langid, minhash, packing, quality, secretscan
 from sluice.llm.batches import remainder, table
-from sluice.llm.scratch import kept
+from sluice.llm.scratch import Scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Least score of a language for a document to stay.
@@ -63,13 +63,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
+    """All stages over documents.  What a stage keeps is a table until all are done; the result's stays."""
+    scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents").select(*COLUMNS)
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if name != STAGES[-1][0]:
-            docs = kept(docs, f"stage-{name}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = scratch.kept(stage(spark, docs, sf_dir), name)
+    name, last = STAGES[-1]
+    return scratch.last(last(spark, docs, sf_dir), name)
 
 
 #: Learnt models, tokenizers and components are beyond SQL; tests/llm checks the stages against brute force.
