@@ -400,11 +400,9 @@ def scored(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, parts: int | None
     """
     spark = docs.sparkSession
     parts = parts or max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    write = lambda rows, path: in_files(rows).write.option(  # noqa: E731  bodies are compressed already
-        "compression",
-        "none",
-    ).partitionBy("kind").parquet(path)
+    write = lambda rows, path: rows.write.option("compression", "none").partitionBy("kind").parquet(path)  # noqa: E731  bodies are compressed already
     asked, counts, shares = (new_path(spark, f"katz-{x}") for x in ("asked", "counts", "shares"))
+    # blocks are numbered by task, so each partition of the documents must be a task of its own here
     write(arrow_map(docs.select("doc_id", "text", "held"), _asking(parts, block_tokens, order), MESSAGE), asked)
     ask = lambda *kinds: spark.read.schema(MESSAGE).parquet(asked).filter(F.col("kind").isin(*kinds))
     orders = [str(n) for n in range(1, order + 1)]
@@ -425,7 +423,7 @@ def scored(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, parts: int | None
     settled(spark)
     columns = ["kind", "block", "part", "body"]
     first = ask("text", "1").unionByName(count.filter(F.col("kind").isin(*(f"answers{n}" for n in orders))).select(*columns))
-    write(arrow_groups(first.groupBy("block"), _first_round(stats, parts), MESSAGE), shares)
+    write(in_files(arrow_groups(first.groupBy("block"), _first_round(stats, parts), MESSAGE)), shares)
     for done in (f"{asked}/kind=text", *(f"{counts}/kind=answers{n}" for n in orders)):
         dropped(spark, done)
     settled(spark)

@@ -177,7 +177,7 @@ def test_katz_against_the_definition(spark, order, block):
         texts[:-1],
         order,
     )
-    rows = spark.createDataFrame(list(zip(range(len(texts)), texts, held)), "doc_id long, text string, held boolean")
+    rows = spark.createDataFrame(list(zip(range(len(texts)), texts, held)), "doc_id long, text string, held boolean").repartition(40)  # more than files of a table
     out = {r.doc_id: r for r in katz.scored(rows, block_tokens=block, parts=5, order=order).collect()}
     for i, (n, known, base, score) in enumerate(want):
         assert (out[i].n_tokens, out[i].n_known) == (n, known)
