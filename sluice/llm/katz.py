@@ -285,6 +285,11 @@ def _ordered(rows: pa.Table, kind: str) -> list[list[np.ndarray]]:
     return [_unpack(b) for b in mine.column("body").to_pylist()]
 
 
+def _joined(bodies: list[list[np.ndarray]], k: int) -> np.ndarray:
+    """The k-th arrays of bodies, one behind the other; there may be none, as in a block of texts too short for a run."""
+    return np.concatenate([x[k] for x in bodies]) if bodies else np.zeros(0)
+
+
 def _count(history: np.ndarray) -> np.ndarray:
     """Counts of histories, with RESERVE where it may be needed."""
     return history + np.where(history > K, RESERVE, 0)
@@ -301,12 +306,12 @@ def _first_round(stats: list[list[int]], parts: int):
         runs, counts, chance, out = _runs(tokens, hashes, order), [], [], []
         for n, own in enumerate(runs):
             answers = _ordered(rows, f"answers{n + 1}")
-            count = np.concatenate([x[0] for x in answers]).astype(np.int64)[own.rank]
+            count = _joined(answers, 0).astype(np.int64)[own.rank]
             if n == 0:
                 p = single(count)
             else:
                 p = discount[n][np.minimum(count, K + 1)] * count / np.maximum(_count(counts[-1][own.history]), 1)
-                mine = np.concatenate([x[1] for x in answers]).astype(bool)[own.rank]
+                mine = _joined(answers, 1).astype(bool)[own.rank]
                 below = runs[n - 1]
                 share = lambda x, h=own.history[mine], b=below: np.bincount(h, x, len(b.keys))[b.order]
                 seen, low = share(p[mine]), share(chance[-1][own.lower[mine]])  # what is learnt is learnt in every lower order, too
@@ -322,12 +327,13 @@ def _first_round(stats: list[list[int]], parts: int):
             if n == 0:
                 return np.log10(chance[0][tokens[at[left]]]), []
             run_of = runs[n].of[at[left]]
-            known = (run_of >= 0) & (counts[n][run_of] > 0)
+            known = run_of >= 0  # the block may have no run that long
+            known[known] = counts[n][run_of[known]] > 0
             log = np.empty(len(left))
             log[known] = np.log10(chance[n][run_of[known]])
             log[~known], weights = evaluated(n - 1, left[~known])
-            history = np.where(run_of >= 0, runs[n - 1].of[at[left] - 1], -1)
-            opened = ~known & (history >= 0)
+            history = runs[n - 1].of[at[left] - 1]
+            opened = ~known & (run_of >= 0)
             opened[opened] = counts[n - 1][history[opened]] > 0
             return log, [*weights, doc[left[opened]], runs[n - 1].rank[history[opened]]]
 
@@ -374,7 +380,7 @@ def _second_round(n: int, order: int):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         ids, null, held, lens, known, base, score, *weights = _ordered(rows, "docs")[0]
         for k, (doc, history) in enumerate(zip(weights[::2], weights[1::2]), 2):
-            log = np.concatenate([x[0] for x in _ordered(rows, f"weights{k}")])
+            log = _joined(_ordered(rows, f"weights{k}"), 0)
             score = score + np.bincount(doc, log[history], len(lens))
         held = held.astype(bool) & (null == 0)
         return pa.Table.from_arrays(
