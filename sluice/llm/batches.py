@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import functools
 import gc
 from collections.abc import Iterator
 
@@ -138,12 +137,12 @@ class RunCache:
 _HELD: dict[tuple, object] = {}
 
 
-@functools.cache
-def _thrifty() -> None:
-    """Has a worker, once, give freed arrays back to the system where its C library can."""
+def _thrifty(roomy: bool) -> None:
+    """Has a worker give freed arrays back to the system where its C library can; roomy: large ones only, which takes less time."""
     with contextlib.suppress(OSError, AttributeError):
         c = ctypes.CDLL(None)
-        for option, value in ((-3, 32 << 20), (-1, 64 << 20), (-8, 1)):  # least size of a mapping of its own, most free memory at the top, arenas
+        mapped, top = (32, 64) if roomy else (4, 16)
+        for option, value in ((-3, mapped << 20), (-1, top << 20), (-8, 1)):  # least size of a mapping of its own, most free memory at the top, arenas
             c.mallopt(option, value)
         pa.set_memory_pool(pa.system_memory_pool())
 
@@ -166,17 +165,17 @@ def held(kind: tuple, make):
     return _HELD[kind]
 
 
-def _begun(keeps: bool) -> None:
+def _begun(keeps: bool, roomy: bool = False) -> None:
     """Before a task or a group; keeps: whether what the worker holds may be of use for it."""
-    _thrifty()
+    _thrifty(roomy)
     if not keeps and _HELD:
         _HELD.clear()
         let_go()
 
 
-def _lean_batches(function):
+def _lean_batches(function, roomy: bool):
     def batches(rows):
-        _begun(True)
+        _begun(True, roomy)
         yield from function(rows)
         let_go()
 
@@ -216,10 +215,10 @@ def shipped(spark: SparkSession) -> None:
     context._sluice_shipped = True
 
 
-def arrow_map(rows: DataFrame, function, schema) -> DataFrame:
-    """mapInArrow with this package on the executors."""
+def arrow_map(rows: DataFrame, function, schema, roomy: bool = False) -> DataFrame:
+    """mapInArrow with this package on the executors; roomy: for functions that are short of time, not of memory."""
     shipped(rows.sparkSession)
-    return rows.mapInArrow(_lean_batches(function), schema)
+    return rows.mapInArrow(_lean_batches(function, roomy), schema)
 
 
 def arrow_groups(groups: GroupedData, function, schema: str) -> DataFrame:

@@ -46,7 +46,7 @@ from sluice.llm.batches import arrow_groups, arrow_map, remainder, table, text_s
 from sluice.llm.batches import held as kept_things
 from sluice.llm.scratch import dropped, in_files, new_path, settled
 
-ORDER, K, RESERVE, BLOCK_TOKENS = 2, 5, 0.01, 2_000_000
+ORDER, K, RESERVE, BLOCK_TOKENS = 2, 5, 0.01, 1_500_000
 BEGIN, END = 0, 1
 #: Counts are summed for so many sets of parts one after another, so that only one set's messages are in shuffle files at a time.
 TURNS = 5

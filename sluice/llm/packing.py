@@ -173,7 +173,7 @@ def _pieces(path: str, capacity: int, end_id: int):
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """A row per piece of at most `capacity` ids."""
-    return arrow_map(docs.select("doc_id", "text"), _pieces(path, capacity, end_id), PIECES)
+    return arrow_map(docs.select("doc_id", "text"), _pieces(path, capacity, end_id), PIECES, roomy=True)
 
 
 def reaches(lengths: list[tuple[int, int]], room: int) -> list[int]:
