@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm.batches import let_go
@@ -78,3 +80,21 @@ def settled(spark: SparkSession) -> None:
     """Has the driver free the shuffle files of plans that are done with, and give freed memory back, now, not at its next periodic collection."""
     let_go()
     spark._jvm.System.gc()
+    with contextlib.suppress(Py4JError):  # an older Java, or another system than Linux
+        _trimmed(spark)
+
+
+def _trimmed(spark: SparkSession) -> None:
+    """Has the driver's Java give freed memory outside its heap (of compilers, codecs) back to the system: malloc_trim, a command of Java's since 17.0.9."""
+    jvm, array = spark._jvm, spark.sparkContext._gateway.new_array
+    lang = jvm.java.lang
+    kinds, values = array(lang.Class, 4), array(lang.Object, 4)
+    for k, (kind, value) in enumerate((
+        ("javax.management.ObjectName", jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")),
+        ("java.lang.String", "systemTrimNativeHeap"),
+        ("[Ljava.lang.Object;", array(lang.Object, 0)),
+        ("[Ljava.lang.String;", array(lang.String, 0)),
+    )):
+        kinds[k], values[k] = lang.Class.forName(kind), value
+    invoke = lang.Class.forName("javax.management.MBeanServer").getMethod("invoke", kinds)  # the server's own class is closed to reflection
+    invoke.invoke(lang.management.ManagementFactory.getPlatformMBeanServer(), values)

@@ -1,11 +1,16 @@
 """Nulls, empty and very long texts, repeats, clashing columns and empty tables, for every operator and stage."""
 
+import os
+import re
+
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sluice.llm import forest, katz, langid, mainhtml, media, minhash, packing, pieces, quality, secretscan
+from sluice.llm.batches import let_go
+from sluice.llm.scratch import settled
 
 WORD, PIECE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, label string, score double, node long, copy string, _words string, _row string, held string, bands int, root int, rank int, _n int"
@@ -129,3 +134,27 @@ def test_redaction_with_clashing_columns(spark):
     out = {r.doc_id: r for r in secretscan.redacted(docs).collect()}
     assert out[8].text == "see password=[SECRET] now" and out[8].n_chars == len(out[8].text) and out[8]._secrets == "mine"
     assert out[4].text == LONG
+
+
+def test_the_driver_gives_freed_native_memory_back(spark):
+    """Compressors' memory is malloc's; one that stays open keeps what others freed from going back by itself."""
+    jvm = spark._jvm
+    status = f"/proc/{jvm.java.lang.ProcessHandle.current().pid()}/smaps_rollup"
+    if not os.path.exists(status) or tuple(map(int, jvm.java.lang.System.getProperty("java.version").split(".")[:3])) < (17, 0, 9):
+        pytest.skip("no Linux, or a Java that can't")
+
+    def used():
+        with open(status) as f:
+            return int(re.search(r"Pss_Anon:\s+(\d+)", f.read())[1]) / 1024
+
+    made = [jvm.java.util.zip.Deflater() for _ in range(1000)]
+    for x in made[:-1]:
+        x.end()
+    let_go()
+    for _ in range(4):  # what goes by a collection alone, goes before
+        jvm.System.gc()
+    before = used()
+    settled(spark)
+    after = used()
+    made[-1].end()
+    assert after < before - 60
